@@ -232,6 +232,10 @@ def _aligned(at: list[Column], slack: int) -> Column:
     return reduce(F.array_intersect, reach)
 
 
+def _free_after(last: Column, low: Column, high: Column):
+    return lambda p: (p > last) & (p >= low) & (p <= high)
+
+
 def _distinct_from(start: Column, at: list[Column], words: Sequence[object], slack: int) -> Column:
     """Whether repeated words can take different positions from ``start`` on.
 
@@ -246,16 +250,17 @@ def _distinct_from(start: Column, at: list[Column], words: Sequence[object], sla
         positions = at[turns[0]]
         last = F.lit(-1)
         for i in turns:
-            free = F.filter(
-                positions,
-                lambda p, i=i, last=last: (p > last) & (p >= start + i) & (p <= start + i + slack),
-            )
+            free = F.filter(positions, _free_after(last, start + i, start + i + slack))
             # no free position: an unreachable one, so that later turns fail too
             last = F.coalesce(F.array_min(free), F.lit(2**31 - 1))
         checks.append(last < F.lit(2**31 - 1))
     return reduce(and_, checks)
 
 
+def _distinct_starts(at: list[Column], words: Sequence[object], slack: int):
+    return lambda start: _distinct_from(start, at, words, slack)
+
+
 def spread(at: list[Column], words: Sequence[object], slop: int = SLOP) -> Column:
     """Smallest slack at which the words line up as a phrase; null if none up to ``slop``."""
     if not at:
@@ -265,9 +270,7 @@ def spread(at: list[Column], words: Sequence[object], slop: int = SLOP) -> Colum
     for slack in range(slop, -1, -1):
         starts = _aligned(at, slack)
         if repeated:
-            starts = F.filter(
-                starts, lambda m, slack=slack: _distinct_from(m, at, words, slack)
-            )
+            starts = F.filter(starts, _distinct_starts(at, words, slack))
         result = F.when(F.size(starts) > 0, F.lit(slack)).otherwise(result)
     every = reduce(and_, [F.size(positions) > 0 for positions in at])
     return F.when(every, result)

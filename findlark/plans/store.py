@@ -9,7 +9,7 @@ so a commit that fails leaves only files nobody reads.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Collection
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -28,17 +28,40 @@ from findlark.plans.search import SearchIndex
 from findlark.registry import Registry
 
 _VERSIONS = (
-    "version long, batch_id long, bucket_versions map<int,long>, "
+    "version long, batch_id long, bucket_versions map<int,long>, text_versions map<int,long>, "
     "indexed long, updated long, deleted long, rejected long, bytes long"
 )
 
 
 @dataclass(frozen=True)
 class Version:
-    """A published version: for every bucket, the version folder its files are in."""
+    """A published version: for every bucket, the version folder its files are in.
+
+    ``text_versions`` lists the buckets that hold any word, so have postings.
+    """
 
     number: int
     bucket_versions: dict[int, int]
+    text_versions: dict[int, int]
+
+    def folders(self, table: str) -> dict[int, int]:
+        return self.text_versions if table in ("postings", "terms") else self.bucket_versions
+
+    def only(self, buckets: Collection[int]) -> Version:
+        return Version(self.number, *(_kept(m, buckets) for m in (self.bucket_versions, self.text_versions)))
+
+    def replacing(self, touched: Collection[int], number: int, docs: set[int], words: set[int]) -> Version:
+        """The next version, with the touched buckets in its own folder."""
+        rest = self.only(self.bucket_versions.keys() - set(touched))
+        return Version(
+            number,
+            rest.bucket_versions | dict.fromkeys(docs, number),
+            rest.text_versions | dict.fromkeys(words, number),
+        )
+
+
+def _kept(folders: dict[int, int], buckets: Collection[int]) -> dict[int, int]:
+    return {bucket: version for bucket, version in folders.items() if bucket in buckets}
 
 
 @dataclass(frozen=True)
@@ -82,7 +105,8 @@ class IndexStore:
 
     def _doc_schema(self) -> T.StructType:
         words = T.StructType([T.StructField(f, T.IntegerType()) for f in self.text_fields])
-        return T.StructType([*self.schema.fields, T.StructField("words", words)])
+        counted = [T.StructField("words", words)] if self.text_fields else []
+        return T.StructType([*self.schema.fields, *counted])
 
     _posting_schema = "uid string, field string, term string, tf int, positions array<int>"
     _term_schema = "field string, term string, df long"
@@ -104,7 +128,8 @@ class IndexStore:
         rows = self.versions().orderBy(F.desc("version")).limit(1).collect()
         if not rows:
             return None
-        return Version(rows[0]["version"], dict(rows[0]["bucket_versions"]))
+        row = rows[0]
+        return Version(row["version"], dict(row["bucket_versions"]), dict(row["text_versions"]))
 
     @property
     def converted(self) -> bool:
@@ -124,6 +149,7 @@ class IndexStore:
             version.number,
             batch_id,
             version.bucket_versions,
+            version.text_versions,
             counts.get("indexed", 0),
             counts.get("updated", 0),
             counts.get("deleted", 0),
@@ -145,15 +171,12 @@ class IndexStore:
 
     def _paths(self, table: str, version: Version) -> list[str]:
         return [
-            f"{self.path}/{table}/v={v}/bucket={b}" for b, v in sorted(version.bucket_versions.items())
+            f"{self.path}/{table}/v={v}/bucket={b}" for b, v in sorted(version.folders(table).items())
         ]
 
     def _read(
-        self, table: str, schema: T.StructType | str, version: Version | None, only: Sequence[int] | None = None
+        self, table: str, schema: T.StructType | str, version: Version | None
     ) -> DataFrame:
-        if version and only is not None:
-            kept = {b: v for b, v in version.bucket_versions.items() if b in set(only)}
-            version = Version(version.number, kept)
         paths = self._paths(table, version) if version else []
         if not paths:
             return self.spark.createDataFrame([], schema)
@@ -177,8 +200,8 @@ class IndexStore:
 
     # --- writing ---
 
-    def _write(self, rows: DataFrame, number: int) -> set[int]:
-        """Write documents and their inverted tables; returns the buckets that got rows.
+    def _write(self, rows: DataFrame, number: int) -> tuple[set[int], set[int]]:
+        """Write documents and their inverted tables; returns the buckets with rows and with words.
 
         The documents are shuffled once, by bucket and a shard of it. Postings inherit that
         partitioning, so words are grouped where their document lies.
@@ -193,22 +216,26 @@ class IndexStore:
         )
         fields = self.text_fields
         where = {t: f"{self.path}/{t}/v={number}" for t in ("docs", "postings", "terms", "fields")}
-        docs = placed.drop("_shard").withColumn("words", P.word_counts(fields))
+        docs = placed.drop("_shard")
+        if fields:
+            docs = docs.withColumn("words", P.word_counts(fields))
         _by_bucket(docs.sortWithinPartitions("bucket", "uid"), where["docs"])
+        bucket = T.StructField("bucket", T.IntegerType())
+        written = self.spark.read.schema(T.StructType([*self._doc_schema().fields, bucket])).parquet(where["docs"])
+        if not fields:
+            placed.unpersist()
+            return _buckets(written), set()
+
         inverted = P.build_postings(placed, fields, ("bucket", "_shard", "uid")).drop("_shard")
         order = ("bucket", "field", "term", "uid")
         _by_bucket(inverted.sortWithinPartitions(*order), where["postings"])
         placed.unpersist()
-
         postings = self.spark.read.schema(f"{self._posting_schema}, bucket int").parquet(where["postings"])
         terms = P.term_statistics(postings, ("bucket",)).repartition("bucket")
         _by_bucket(terms.sortWithinPartitions("bucket", "field", "term"), where["terms"])
-        bucket = T.StructField("bucket", T.IntegerType())
-        written = self.spark.read.schema(T.StructType([*self._doc_schema().fields, bucket])).parquet(where["docs"])
         totals = P.field_statistics(written, fields, ("bucket",))
         _by_bucket(totals.repartition("bucket"), where["fields"])
-        # at most one row per bucket
-        return {row["bucket"] for row in written.select("bucket").distinct().collect()}
+        return _buckets(written), _buckets(postings)
 
     def _shape(self, rows: DataFrame) -> DataFrame:
         """Rows in the index schema; attributes the rows lack are null."""
@@ -229,7 +256,7 @@ class IndexStore:
 
     def recreate(self) -> Version:
         """A new, empty version with the present schema."""
-        return self._publish(Version(self._next(), {}), None, {})
+        return self._publish(Version(self._next(), {}, {}), None, {})
 
     def clear(self) -> Version | None:
         """Recreate the index when it is enabled but not active yet."""
@@ -240,8 +267,7 @@ class IndexStore:
     def rebuild(self, rows: DataFrame, batch_id: int | None = None) -> Version:
         """Replace the whole index by ``rows``."""
         number = self._next()
-        buckets = self._write(rows, number)
-        version = Version(number, dict.fromkeys(buckets, number))
+        version = Version(number, {}, {}).replacing((), number, *self._write(rows, number))
         counts = {"indexed": self._read("docs", "uid string", version).count()}
         return self._publish(version, batch_id, counts)
 
@@ -263,17 +289,15 @@ class IndexStore:
         touched = {row["bucket"]: row for row in summary.collect()}
         if not touched:
             return None
-        before = self._read("docs", self.schema, version, list(touched))
+        before = self._read("docs", self.schema, version.only(touched))
         refused = materialise(rejected(before, compacted), "rejected")
         number = version.number + 1
         written = self._write(apply_changes(before, compacted), number)
-        layout = {b: v for b, v in version.bucket_versions.items() if b not in touched}
-        layout |= dict.fromkeys(written, number)
         counts = {
             name: sum(row[name] for row in touched.values()) for name in ("indexed", "updated", "deleted")
         }
         counts["rejected"] = refused.count()
-        published = self._publish(Version(number, layout), batch_id, counts)
+        published = self._publish(version.replacing(touched, number, *written), batch_id, counts)
         return Commit(published, counts["indexed"], counts["updated"], counts["deleted"], refused)
 
     def describe(self) -> str:
@@ -283,3 +307,8 @@ class IndexStore:
 
 def _by_bucket(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+
+def _buckets(rows: DataFrame) -> set[int]:
+    """Buckets present: at most one row per bucket, read from the folder names."""
+    return {row["bucket"] for row in rows.select("bucket").distinct().collect()}
