@@ -64,3 +64,19 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     path = fresh_path(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# Below this estimated size a shuffle costs less than leaving cores idle.
+SMALL_INPUT = 256 << 20
+
+
+def spread_small(rows: DataFrame, key: str) -> DataFrame:
+    """Spread input over the cores before costly row-wise work, if it is small.
+
+    A small table may sit in one file that Spark cannot split. Larger ones are left as they
+    are: their splits already outnumber the cores.
+    """
+    estimate = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(estimate) >= SMALL_INPUT:
+        return rows
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, key)

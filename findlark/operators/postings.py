@@ -16,13 +16,16 @@ def word_counts(fields: Sequence[str]) -> Column:
 
 
 def build_postings(
-    docs: DataFrame, fields: Sequence[str], keys: Sequence[str] = ("uid",)
+    docs: DataFrame, fields: Sequence[str], keys: Sequence[str] = ("uid",), *, clustered: bool = False
 ) -> DataFrame:
     """``(keys, field, term, tf, positions)``, one row per document and word.
 
-    When ``docs`` is already hash-partitioned by some of ``keys``, the grouping below is
-    satisfied by that and each document is inverted where it lies.
+    The texts are hash-partitioned by ``keys`` before they are taken apart, so what is
+    shuffled is text and each document is inverted where it lies. ``clustered`` says that
+    ``docs`` is partitioned by some of ``keys`` already.
     """
+    if not clustered:
+        docs = docs.select(*keys, *fields).repartition(*keys)
     # one pass over the documents, not a union that reads them once per field
     words = F.array(
         *[F.struct(F.lit(name).alias("field"), tokens(F.col(name)).alias("words")) for name in fields]

@@ -17,6 +17,7 @@ from operator import add, and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from findlark.config import spread_small
 from findlark.functions.text import query_tokens, strip_stars, tokens
 
 K1 = 1.2
@@ -88,7 +89,8 @@ class ScannedText:
     def statistics(self, slots: Sequence[Slot]) -> Column:
         """One struct: documents and words per field, document count per slot."""
         fields = list(dict.fromkeys(slot.field for slot in slots))
-        words = self.docs.select(*[tokens(F.col(f)).alias(f"w{i}") for i, f in enumerate(fields)])
+        docs = spread_small(self.docs.select(self.key, *fields), self.key)
+        words = docs.select(*[tokens(F.col(f)).alias(f"w{i}") for i, f in enumerate(fields)])
         figures = []
         for i, field in enumerate(fields):
             size = F.size(f"w{i}")
@@ -104,7 +106,7 @@ class ScannedText:
         docs = self.docs if where is None else self.docs.where(where)
         # a word can only occur where its letters do: spares the others the analysis
         likely = [F.lower(F.col(slot.field)).contains(slot.term) for slot in slots]
-        docs = docs.where(F.coalesce(reduce(or_, likely), F.lit(False)))
+        docs = spread_small(docs.where(F.coalesce(reduce(or_, likely), F.lit(False))), self.key)
         fields = list(dict.fromkeys(slot.field for slot in slots))
         words = docs.select("*", *[tokens(F.col(f)).alias(f"_w{i}") for i, f in enumerate(fields)])
         found = words.select(

@@ -9,6 +9,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from findlark.config import Settings
 from findlark.operators import ordering
@@ -174,3 +175,20 @@ class Results:
         """Hits with the catalog's row, or the index record's where the catalog has none."""
         hits = self._shown(self._hits).withColumn("path", F.col("path.path"))
         return join_catalog(hits, catalog, records)
+
+    def page_rows(
+        self, start: int, catalog: DataFrame, records: DataFrame, size: int | None = None
+    ) -> DataFrame:
+        """One page with its catalog rows, in order.
+
+        The page is at most ``size`` rows, so its paths become a filter on the catalog scan
+        and neither the catalog nor the records are shuffled.
+        """
+        page = self.page(start, size).withColumn("path", F.col("path.path"))
+        found = page.collect()
+        schema = T.StructType([*page.schema.fields, T.StructField("place", T.IntegerType())])
+        hits = page.sparkSession.createDataFrame(
+            [(*row, start + i) for i, row in enumerate(found)], schema
+        )
+        here = F.col("path").isin(sorted({row["path"] for row in found if row["path"]}))
+        return join_catalog(hits, catalog.where(here), records.where(here)).orderBy("place")

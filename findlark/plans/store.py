@@ -124,12 +124,18 @@ class IndexStore:
         except AnalysisException:
             return self.spark.createDataFrame([], _VERSIONS)
 
+    def _head(self, batch_id: int | None = None) -> tuple[Version | None, bool]:
+        """The newest version, and whether a batch of that id is published."""
+        newest = F.max_by(F.struct("version", "bucket_versions", "text_versions"), "version")
+        known = F.coalesce(F.bool_or(F.col("batch_id") == batch_id), F.lit(False))
+        row = self.versions().agg(newest.alias("newest"), known.alias("known")).first()
+        if row["newest"] is None:
+            return None, False
+        number, docs, words = row["newest"]
+        return Version(number, dict(docs), dict(words)), row["known"]
+
     def current(self) -> Version | None:
-        rows = self.versions().orderBy(F.desc("version")).limit(1).collect()
-        if not rows:
-            return None
-        row = rows[0]
-        return Version(row["version"], dict(row["bucket_versions"]), dict(row["text_versions"]))
+        return self._head()[0]
 
     @property
     def converted(self) -> bool:
@@ -140,9 +146,6 @@ class IndexStore:
         """Changes are taken only when the index is enabled and has a version."""
         return self.settings.enabled and self.converted
 
-    def holds_batch(self, batch_id: int) -> bool:
-        return not self.versions().where(F.col("batch_id") == batch_id).isEmpty()
-
     def _publish(self, version: Version, batch_id: int | None, counts: dict[str, int]) -> Version:
         size = self._size(version)
         row = (
@@ -226,7 +229,8 @@ class IndexStore:
             placed.unpersist()
             return _buckets(written), set()
 
-        inverted = P.build_postings(placed, fields, ("bucket", "_shard", "uid")).drop("_shard")
+        inverted = P.build_postings(placed, fields, ("bucket", "_shard", "uid"), clustered=True)
+        inverted = inverted.drop("_shard")
         order = ("bucket", "field", "term", "uid")
         _by_bucket(inverted.sortWithinPartitions(*order), where["postings"])
         placed.unpersist()
@@ -276,10 +280,10 @@ class IndexStore:
 
         A batch that is published already is skipped, so a replay changes nothing.
         """
-        if not self.active or (batch_id is not None and self.holds_batch(batch_id)):
+        version, published = self._head(batch_id)
+        if not self.settings.enabled or version is None or published:
             return None
         compacted = materialise(compacted, "pending")
-        version = self.current()
         summary = compacted.groupBy(self.bucket().alias("bucket")).agg(
             F.count_if(F.col("base") == "index").alias("indexed"),
             F.count_if((F.coalesce(F.col("base"), F.lit("")) != "index") & (F.size("attributes") > 0)).alias("updated"),
@@ -297,8 +301,8 @@ class IndexStore:
             name: sum(row[name] for row in touched.values()) for name in ("indexed", "updated", "deleted")
         }
         counts["rejected"] = refused.count()
-        published = self._publish(version.replacing(touched, number, *written), batch_id, counts)
-        return Commit(published, counts["indexed"], counts["updated"], counts["deleted"], refused)
+        newest = self._publish(version.replacing(touched, number, *written), batch_id, counts)
+        return Commit(newest, counts["indexed"], counts["updated"], counts["deleted"], refused)
 
     def describe(self) -> str:
         """Schema of the index as JSON, mapping metadata included."""

@@ -110,3 +110,19 @@ def follow_blobs(
 
     writer = files.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def drain(
+    store: IndexStore,
+    feed: DataFrame,
+    files: DataFrame,
+    checkpoint: str,
+    *,
+    extractor: A.Extractor | None = A.plain_extractor,
+    **options,
+) -> None:
+    """Take in all that is waiting: changes first, then attachments."""
+    follow_feed(store, feed, f"{checkpoint}/changes", **options).awaitTermination()
+    blobs = follow_blobs(store, files, f"{checkpoint}/attachments", extractor=extractor)
+    if blobs is not None:
+        blobs.awaitTermination()

@@ -105,7 +105,7 @@ _stores: dict[tuple[str, str], IndexStore] = {}
 
 
 def new_store(spark: SparkSession, registry: Registry, settings: Settings | None = None) -> IndexStore:
-    settings = settings or Settings(buckets=4, search_only=frozenset(), retries=0)
+    settings = settings or Settings(buckets=8, search_only=frozenset(), retries=0)
     return IndexStore(spark, fresh_path(spark, "store"), registry, settings, site="/Docs")
 
 

@@ -171,13 +171,20 @@ def _account_store(spark, sf_dir, **settings):
     return store
 
 
-def _event_stream(spark, sf_dir, files=2):
-    """Events as a stream of several files, each holding later events than the one before."""
+def _event_halves(spark, sf_dir):
+    """The events before and from the middle of the period."""
     events = C.table(spark, sf_dir, "events")
-    path = fresh_path(spark, "events")
-    parts = events.repartitionByRange(files, "event_id").sortWithinPartitions("event_id")
-    parts.write.parquet(path)
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    middle = F.lit("2024-01-16").cast("timestamp_ntz")
+    return events.where(F.col("ts") < middle), events.where(F.col("ts") >= middle)
+
+
+def _follow(spark, sf_dir, store, to_feed=feed, **options):
+    """Events arrive in two deliveries; the stream is started after each and resumes."""
+    path, progress = fresh_path(spark, "events"), fresh_path(spark, "progress")
+    for part in _event_halves(spark, sf_dir):
+        part.write.mode("append").parquet(path)
+        stream = spark.readStream.schema(part.schema).parquet(path)
+        follow_feed(store, to_feed(stream), progress, **options).awaitTermination()
 
 
 @query(f"WITH {_FEED} {_FINAL}")
@@ -191,8 +198,7 @@ def store_commit(spark, sf_dir):
 @query(f"WITH {_FEED} {_FINAL}")
 def stream_commit(spark, sf_dir):
     store = _account_store(spark, sf_dir)
-    stream = follow_feed(store, feed(_event_stream(spark, sf_dir)), fresh_path(spark, "progress"))
-    stream.awaitTermination()
+    _follow(spark, sf_dir, store)
     return store.rows().drop("attachments")
 
 
@@ -211,9 +217,11 @@ _CURRENT = """current AS (
 def stream_hydrate(spark, sf_dir):
     """Deferred mode: the feed carries names only, values come from the customers at apply time."""
     store = _account_store(spark, sf_dir, deferred=True)
-    names_only = feed(_event_stream(spark, sf_dir, files=1)).withColumn(
-        "payload", F.lit(None).cast("struct<value:double,props:string,last_type:string>")
-    )
+
+    def names_only(events):
+        return feed(events).withColumn(
+            "payload", F.lit(None).cast("struct<value:double,props:string,last_type:string>")
+        )
 
     def current():
         return C.table(spark, sf_dir, "customer").select(
@@ -223,7 +231,7 @@ def stream_hydrate(spark, sf_dir):
             F.col("c_mktsegment").alias("last_type"),
         )
 
-    follow_feed(store, names_only, fresh_path(spark, "progress"), current=current).awaitTermination()
+    _follow(spark, sf_dir, store, names_only, current=current)
     return store.rows().drop("attachments")
 
 
