@@ -9,7 +9,7 @@ a stored postings table (:class:`StoredText`).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import add, and_, or_
@@ -136,7 +136,12 @@ def _word_positions(words: Column, slot: Slot) -> Column:
 
 
 class StoredText:
-    """Positions read from the tables that :mod:`findlark.operators.postings` writes."""
+    """Positions read from the tables that :mod:`findlark.plans.store` writes.
+
+    Documents and postings carry the part ``v`` they were written in. ``docs`` has only
+    current rows, so joining on it drops the postings of replaced ones; ``live`` does the
+    same to rows that are not joined. Word counts are sums over all parts.
+    """
 
     def __init__(
         self,
@@ -144,9 +149,9 @@ class StoredText:
         postings: DataFrame,
         term_stats: DataFrame,
         field_stats: DataFrame,
-        key: str = "uid",
+        live: Callable[[DataFrame], DataFrame] = lambda rows: rows,
     ):
-        self.docs, self.key = docs, key
+        self.docs, self.live = docs, live
         self.postings, self.term_stats, self.field_stats = postings, term_stats, field_stats
 
     def _wanted(self, table: DataFrame, slots: Sequence[Slot]) -> DataFrame:
@@ -158,17 +163,15 @@ class StoredText:
         exact = [slot for slot in slots if not slot.prefix]
         open_ended = [slot for slot in slots if slot.prefix]
         field, term = F.col("field"), F.col("term")
-        totals = self.field_stats.where(field.isin(*fields)).select(
-            "field", F.lit("").alias("term"), "n", "words", F.lit(0).alias("df"), F.lit("").alias("uid")
-        )
-        parts = [totals]
+        zero = F.lit(0).cast("long")
+        parts = [
+            self.field_stats.where(field.isin(*fields)).select(
+                "field", F.lit("").alias("term"), "n", "words", zero.alias("df")
+            )
+        ]
         if exact:
             counts = self._wanted(self.term_stats, exact)
-            parts.append(
-                counts.select(
-                    "field", "term", F.lit(0).alias("n"), F.lit(0).alias("words"), "df", F.lit("").alias("uid")
-                )
-            )
+            parts.append(counts.select("field", "term", zero.alias("n"), zero.alias("words"), "df"))
         figures = []
         for name in fields:
             figures.append(F.sum(F.when(field == name, F.col("n"))).alias(f"n_{name}"))
@@ -184,15 +187,15 @@ class StoredText:
         if not open_ended:
             return stats
         # documents holding any word of the prefix: not a sum over words
-        per_doc = self._wanted(self.postings, open_ended).select("field", "term", "uid")
-        flags = per_doc.groupBy("uid").agg(
+        per_doc = self._wanted(self.postings, open_ended).groupBy("uid", "v")
+        flags = per_doc.agg(
             *[
                 F.bool_or(slot.selects(field, term)).alias(f"df{i}")
                 for i, slot in enumerate(slots)
                 if slot.prefix
             ]
         )
-        counts = flags.agg(
+        counts = self.live(flags).agg(
             F.struct(
                 *[F.count_if(F.col(f"df{i}")).alias(f"df{i}") for i, s in enumerate(slots) if s.prefix]
             ).alias("stats")
@@ -204,7 +207,7 @@ class StoredText:
 
     def positions(self, where: Column | None, slots: Sequence[Slot]) -> DataFrame:
         field, term = F.col("field"), F.col("term")
-        per_doc = self._wanted(self.postings, slots).groupBy("uid")
+        per_doc = self._wanted(self.postings, slots).groupBy("uid", "v")
         columns = []
         for i, slot in enumerate(slots):
             mine = F.when(slot.selects(field, term), F.col("positions"))
@@ -212,11 +215,11 @@ class StoredText:
             got = F.flatten(F.collect_list(mine)) if slot.prefix else F.first(mine, ignorenulls=True)
             columns.append(F.coalesce(got, F.array().cast("array<int>")).alias(f"s{i}"))
         found = per_doc.agg(*columns)
-        found = found.select("uid", F.struct(*[f"s{i}" for i in range(len(slots))]).alias("_at"))
+        found = found.select("uid", "v", F.struct(*[f"s{i}" for i in range(len(slots))]).alias("_at"))
         docs = self.docs if where is None else self.docs.where(where)
         fields = list(dict.fromkeys(slot.field for slot in slots))
         lengths = F.struct(*[F.col(f"words.{name}").alias(name) for name in fields])
-        return docs.withColumn("_len", lengths).join(found, "uid")
+        return docs.withColumn("_len", lengths).join(found, ["uid", "v"]).drop("v", "bucket", "words")
 
 
 # --- clauses over positions ---------------------------------------------------------------

@@ -1,15 +1,17 @@
 """Versioned index tables in a shared folder.
 
-Documents, postings and word counts are split by the same hash of ``uid`` into buckets. A
-commit rewrites the buckets its changes touch, in a new version folder, and then publishes
-the version by appending one row to the ``versions`` table. Readers follow the newest row,
-so a commit that fails leaves only files nobody reads.
+A version is a *base*, written by a rebuild, and a few *overlays*, one per commit. An overlay
+holds the new rows of the documents a commit touched, their postings, the change of the word
+counts, and the touched ids. Readers take the newest row of every id, so a commit costs
+what its batch costs; folding the overlays into a new base is a rebuild from the live rows.
+
+A version becomes visible by one row appended to the ``versions`` table. A commit that fails
+before that leaves only files nobody reads.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Collection
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -28,40 +30,25 @@ from findlark.plans.search import SearchIndex
 from findlark.registry import Registry
 
 _VERSIONS = (
-    "version long, batch_id long, bucket_versions map<int,long>, text_versions map<int,long>, "
+    "version long, batch_id long, base long, overlays array<long>, "
     "indexed long, updated long, deleted long, rejected long, bytes long"
 )
+_POSTINGS = "uid string, field string, term string, tf int, positions array<int>"
+_TERMS = "field string, term string, df long"
+_FIELDS = "field string, n long, words long"
 
 
 @dataclass(frozen=True)
 class Version:
-    """A published version: for every bucket, the version folder its files are in.
-
-    ``text_versions`` lists the buckets that hold any word, so have postings.
-    """
+    """A published version; ``base`` is unset until a rebuild."""
 
     number: int
-    bucket_versions: dict[int, int]
-    text_versions: dict[int, int]
-
-    def folders(self, table: str) -> dict[int, int]:
-        return self.text_versions if table in ("postings", "terms") else self.bucket_versions
-
-    def only(self, buckets: Collection[int]) -> Version:
-        return Version(self.number, *(_kept(m, buckets) for m in (self.bucket_versions, self.text_versions)))
-
-    def replacing(self, touched: Collection[int], number: int, docs: set[int], words: set[int]) -> Version:
-        """The next version, with the touched buckets in its own folder."""
-        rest = self.only(self.bucket_versions.keys() - set(touched))
-        return Version(
-            number,
-            rest.bucket_versions | dict.fromkeys(docs, number),
-            rest.text_versions | dict.fromkeys(words, number),
-        )
+    base: int | None = None
+    overlays: tuple[int, ...] = ()
 
-
-def _kept(folders: dict[int, int], buckets: Collection[int]) -> dict[int, int]:
-    return {bucket: version for bucket, version in folders.items() if bucket in buckets}
+    @property
+    def parts(self) -> tuple[int, ...]:
+        return self.overlays if self.base is None else (self.base, *self.overlays)
 
 
 @dataclass(frozen=True)
@@ -103,17 +90,14 @@ class IndexStore:
     def text_fields(self) -> list[str]:
         return self.registry.text_fields(self.settings.search_only)
 
+    @cached_property
     def _doc_schema(self) -> T.StructType:
         words = T.StructType([T.StructField(f, T.IntegerType()) for f in self.text_fields])
         counted = [T.StructField("words", words)] if self.text_fields else []
         return T.StructType([*self.schema.fields, *counted])
 
-    _posting_schema = "uid string, field string, term string, tf int, positions array<int>"
-    _term_schema = "field string, term string, df long"
-    _field_schema = "field string, n long, words long"
-
-    def bucket(self, uid: str | Column = "uid") -> Column:
-        return F.pmod(F.xxhash64(uid), F.lit(self.settings.buckets)).cast("int")
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64("uid"), F.lit(self.settings.buckets)).cast("int")
 
     # --- versions ---
 
@@ -126,13 +110,13 @@ class IndexStore:
 
     def _head(self, batch_id: int | None = None) -> tuple[Version | None, bool]:
         """The newest version, and whether a batch of that id is published."""
-        newest = F.max_by(F.struct("version", "bucket_versions", "text_versions"), "version")
+        newest = F.max_by(F.struct("version", "base", "overlays"), "version")
         known = F.coalesce(F.bool_or(F.col("batch_id") == batch_id), F.lit(False))
         row = self.versions().agg(newest.alias("newest"), known.alias("known")).first()
         if row["newest"] is None:
             return None, False
-        number, docs, words = row["newest"]
-        return Version(number, dict(docs), dict(words)), row["known"]
+        number, base, overlays = row["newest"]
+        return Version(number, base, tuple(overlays)), row["known"]
 
     def current(self) -> Version | None:
         return self._head()[0]
@@ -146,100 +130,125 @@ class IndexStore:
         """Changes are taken only when the index is enabled and has a version."""
         return self.settings.enabled and self.converted
 
-    def _publish(self, version: Version, batch_id: int | None, counts: dict[str, int]) -> Version:
-        size = self._size(version)
+    def _publish(self, version: Version, batch_id: int | None = None, **counts: int) -> Version:
+        names = ("indexed", "updated", "deleted", "rejected")
         row = (
             version.number,
             batch_id,
-            version.bucket_versions,
-            version.text_versions,
-            counts.get("indexed", 0),
-            counts.get("updated", 0),
-            counts.get("deleted", 0),
-            counts.get("rejected", 0),
-            size,
+            version.base,
+            list(version.overlays),
+            *(counts.get(name, 0) for name in names),
+            self._size(version),
         )
         frame = self.spark.createDataFrame([row], _VERSIONS)
         frame.coalesce(1).write.mode("append").parquet(f"{self.path}/versions")
         return version
 
     def _size(self, version: Version) -> int:
-        paths = self._paths("docs", version) + self._paths("postings", version)
+        tables = ("docs", "postings") if self.text_fields else ("docs",)
+        paths = [f"{self.path}/{table}/v={v}" for table in tables for v in version.parts]
         if not paths:
             return 0
-        files = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(paths)
-        return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        found = files.option("pathGlobFilter", "*.parquet").load(paths)
+        return found.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
     # --- reading ---
 
-    def _paths(self, table: str, version: Version) -> list[str]:
-        return [
-            f"{self.path}/{table}/v={v}/bucket={b}" for b, v in sorted(version.folders(table).items())
-        ]
-
-    def _read(
-        self, table: str, schema: T.StructType | str, version: Version | None
-    ) -> DataFrame:
-        paths = self._paths(table, version) if version else []
-        if not paths:
+    def _read(self, table: str, schema: T.StructType | str, version: Version | None) -> DataFrame:
+        """All parts of a table, with the part in ``v`` and the hash bucket in ``bucket``."""
+        if isinstance(schema, str):
+            schema = T.StructType.fromDDL(schema)
+        schema = T.StructType(
+            [*schema.fields, T.StructField("v", T.LongType()), T.StructField("bucket", T.IntegerType())]
+        )
+        if version is None or not version.parts:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
+        folder = f"{self.path}/{table}"
+        paths = [f"{folder}/v={v}" for v in version.parts]
+        return self.spark.read.schema(schema).option("basePath", folder).parquet(*paths)
+
+    def _live(self, rows: DataFrame, version: Version | None) -> DataFrame:
+        """Rows that no later part replaces.
+
+        The touched ids are as many as the overlays changed; Spark broadcasts them while
+        they are small and shuffles both sides when they are not.
+        """
+        if version is None or not version.overlays:
+            return rows
+        last = self._touched(version).groupBy("uid").agg(F.max("v").alias("_last"))
+        joined = rows.join(last, "uid", "left")
+        return joined.where(F.col("_last").isNull() | (F.col("v") >= F.col("_last"))).drop("_last")
+
+    def _touched(self, version: Version) -> DataFrame:
+        folder = f"{self.path}/touched"
+        paths = [f"{folder}/v={v}" for v in version.overlays]
+        return self.spark.read.schema("uid string, v long").option("basePath", folder).parquet(*paths)
 
     def rows(self, version: Version | None = None) -> DataFrame:
         """Index rows of a version, the newest by default."""
-        return self._read("docs", self.schema, version or self.current())
+        version = version or self.current()
+        return self._live(self._read("docs", self.schema, version), version).select(*self.schema.names)
 
     def index(self, settings: Settings | None = None) -> SearchIndex:
         """The newest version, searchable through its postings."""
         version = self.current()
-        docs = self._read("docs", self._doc_schema(), version)
-        text = StoredText(
-            docs,
-            self._read("postings", self._posting_schema, version),
-            self._read("terms", self._term_schema, version),
-            self._read("fields", self._field_schema, version),
+        docs = self._live(self._read("docs", self._doc_schema, version), version)
+        text = None
+        if self.text_fields:
+            text = StoredText(
+                docs,
+                self._read("postings", _POSTINGS, version),
+                self._read("terms", _TERMS, version),
+                self._read("fields", _FIELDS, version),
+                live=lambda rows: self._live(rows, version),
+            )
+        return SearchIndex(
+            docs.select(*self.schema.names), self.registry, settings or self.settings, text
         )
-        return SearchIndex(docs.drop("words"), self.registry, settings or self.settings, text)
 
     # --- writing ---
 
-    def _write(self, rows: DataFrame, number: int) -> tuple[set[int], set[int]]:
-        """Write documents and their inverted tables; returns the buckets with rows and with words.
+    def _write(self, rows: DataFrame, number: int, replaced: DataFrame | None = None) -> None:
+        """Write one part: documents, their postings and the word counts.
 
         The documents are shuffled once, by bucket and a shard of it. Postings inherit that
-        partitioning, so words are grouped where their document lies.
+        partitioning, so words are grouped where their document lies. Word counts of an
+        overlay are net of the ``replaced`` rows.
         """
-        shards = self.settings.files_per_bucket
+        shards, fields = self.settings.files_per_bucket, self.text_fields
         placed = (
             self._shape(rows)
             .withColumn("bucket", self.bucket())
             .withColumn("_shard", F.pmod(F.hash("uid"), F.lit(shards)))
             .repartition(self.settings.buckets * shards, "bucket", "_shard")
-            .persist(StorageLevel.DISK_ONLY)
         )
-        fields = self.text_fields
         where = {t: f"{self.path}/{t}/v={number}" for t in ("docs", "postings", "terms", "fields")}
         docs = placed.drop("_shard")
-        if fields:
-            docs = docs.withColumn("words", P.word_counts(fields))
-        _by_bucket(docs.sortWithinPartitions("bucket", "uid"), where["docs"])
-        bucket = T.StructField("bucket", T.IntegerType())
-        written = self.spark.read.schema(T.StructType([*self._doc_schema().fields, bucket])).parquet(where["docs"])
         if not fields:
-            placed.unpersist()
-            return _buckets(written), set()
-
+            _by_bucket(docs.sortWithinPartitions("bucket", "uid"), where["docs"])
+            return
+        placed = placed.persist(StorageLevel.DISK_ONLY)
+        docs = placed.drop("_shard").withColumn("words", P.word_counts(fields))
+        _by_bucket(docs.sortWithinPartitions("bucket", "uid"), where["docs"])
         inverted = P.build_postings(placed, fields, ("bucket", "_shard", "uid"), clustered=True)
-        inverted = inverted.drop("_shard")
         order = ("bucket", "field", "term", "uid")
-        _by_bucket(inverted.sortWithinPartitions(*order), where["postings"])
+        _by_bucket(inverted.drop("_shard").sortWithinPartitions(*order), where["postings"])
         placed.unpersist()
-        postings = self.spark.read.schema(f"{self._posting_schema}, bucket int").parquet(where["postings"])
-        terms = P.term_statistics(postings, ("bucket",)).repartition("bucket")
-        _by_bucket(terms.sortWithinPartitions("bucket", "field", "term"), where["terms"])
-        totals = P.field_statistics(written, fields, ("bucket",))
+
+        part = Version(number, number)
+        terms = P.term_statistics(self._read("postings", _POSTINGS, part), ("bucket",))
+        totals = P.field_statistics(self._read("docs", self._doc_schema, part), fields, ("bucket",))
+        if replaced is not None:
+            old = replaced.withColumn("words", P.word_counts(fields)).withColumn("bucket", self.bucket())
+            gone = P.term_statistics(P.build_postings(old, fields, ("bucket", "uid")), ("bucket",))
+            terms = terms.unionByName(gone.withColumn("df", -F.col("df")))
+            terms = terms.groupBy("bucket", "field", "term").agg(F.sum("df").alias("df")).where("df <> 0")
+            less = P.field_statistics(old, fields, ("bucket",))
+            totals = totals.unionByName(less.withColumns({c: -F.col(c) for c in ("n", "words")}))
+        terms = terms.repartition("bucket").sortWithinPartitions("bucket", "field", "term")
+        _by_bucket(terms, where["terms"])
         _by_bucket(totals.repartition("bucket"), where["fields"])
-        return _buckets(written), _buckets(postings)
 
     def _shape(self, rows: DataFrame) -> DataFrame:
         """Rows in the index schema; attributes the rows lack are null."""
@@ -260,7 +269,7 @@ class IndexStore:
 
     def recreate(self) -> Version:
         """A new, empty version with the present schema."""
-        return self._publish(Version(self._next(), {}, {}), None, {})
+        return self._publish(Version(self._next()))
 
     def clear(self) -> Version | None:
         """Recreate the index when it is enabled but not active yet."""
@@ -271,9 +280,16 @@ class IndexStore:
     def rebuild(self, rows: DataFrame, batch_id: int | None = None) -> Version:
         """Replace the whole index by ``rows``."""
         number = self._next()
-        version = Version(number, {}, {}).replacing((), number, *self._write(rows, number))
-        counts = {"indexed": self._read("docs", "uid string", version).count()}
-        return self._publish(version, batch_id, counts)
+        self._write(rows, number)
+        version = Version(number, number)
+        indexed = self._read("docs", "uid string", version).count()
+        return self._publish(version, batch_id, indexed=indexed)
+
+    def merge(self) -> Version:
+        """Fold the overlays into a new base."""
+        number = self._next()
+        self._write(self.rows(), number)
+        return self._publish(Version(number, number))
 
     def commit(self, compacted: DataFrame, batch_id: int | None = None) -> Commit | None:
         """Apply pending actions as a new version, ``None`` if there is nothing to do.
@@ -284,25 +300,30 @@ class IndexStore:
         if not self.settings.enabled or version is None or published:
             return None
         compacted = materialise(compacted, "pending")
-        summary = compacted.groupBy(self.bucket().alias("bucket")).agg(
-            F.count_if(F.col("base") == "index").alias("indexed"),
-            F.count_if((F.coalesce(F.col("base"), F.lit("")) != "index") & (F.size("attributes") > 0)).alias("updated"),
-            F.count_if(F.col("base") == "delete").alias("deleted"),
-        )
-        # at most one row per bucket
-        touched = {row["bucket"]: row for row in summary.collect()}
-        if not touched:
+        base = F.coalesce(F.col("base"), F.lit(""))
+        summary = compacted.agg(
+            F.count_if(base == "index").alias("indexed"),
+            F.count_if((base != "index") & (F.size("attributes") > 0)).alias("updated"),
+            F.count_if(base == "delete").alias("deleted"),
+            # at most as many values as there are buckets
+            F.collect_set(self.bucket()).alias("buckets"),
+        ).first()
+        if not summary["buckets"]:
             return None
-        before = self._read("docs", self.schema, version.only(touched))
+        docs = self._read("docs", self.schema, version).where(F.col("bucket").isin(*summary["buckets"]))
+        before = self._live(docs, version).join(compacted.select("uid"), "uid", "left_semi")
+        before = materialise(before.select(*self.schema.names), "replaced")
         refused = materialise(rejected(before, compacted), "rejected")
+
         number = version.number + 1
-        written = self._write(apply_changes(before, compacted), number)
-        counts = {
-            name: sum(row[name] for row in touched.values()) for name in ("indexed", "updated", "deleted")
-        }
-        counts["rejected"] = refused.count()
-        newest = self._publish(version.replacing(touched, number, *written), batch_id, counts)
-        return Commit(newest, counts["indexed"], counts["updated"], counts["deleted"], refused)
+        self._write(apply_changes(before, compacted), number, replaced=before)
+        compacted.select("uid").write.mode("overwrite").parquet(f"{self.path}/touched/v={number}")
+        counts = {name: summary[name] for name in ("indexed", "updated", "deleted")}
+        newest = Version(number, version.base, (*version.overlays, number))
+        self._publish(newest, batch_id, **counts, rejected=refused.count())
+        if len(newest.overlays) >= self.settings.merge_after:
+            newest = self.merge()
+        return Commit(newest, **counts, refused=refused)
 
     def describe(self) -> str:
         """Schema of the index as JSON, mapping metadata included."""
@@ -311,8 +332,3 @@ class IndexStore:
 
 def _by_bucket(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").partitionBy("bucket").parquet(path)
-
-
-def _buckets(rows: DataFrame) -> set[int]:
-    """Buckets present: at most one row per bucket, read from the folder names."""
-    return {row["bucket"] for row in rows.select("bucket").distinct().collect()}

@@ -170,6 +170,26 @@ def short_names(spark, sf_dir):
 # --- through the stored index ---
 
 
+@query(
+    f"""WITH {C.CONTENT_SQL}, words AS (
+      SELECT uid, 's' AS field, unnest(regexp_extract_all(lower(searchable), '{WORDS}')) AS term FROM content
+      UNION ALL SELECT uid, 't', unnest(regexp_extract_all(lower(title), '{WORDS}')) FROM content)
+    SELECT (SELECT count(*) FROM content) AS n_docs, count(DISTINCT (uid, field, term)) AS n_postings,
+           count(DISTINCT (field, term)) AS n_terms, count(*) AS n_words FROM words"""
+)
+def index_build(spark, sf_dir):
+    """All tables of a stored index, built from the documents."""
+    store = C.new_store(spark, C.STORED)
+    store.rebuild(C.content(spark, sf_dir))
+    text = store.index().text
+    docs = text.docs.agg(F.count("*").alias("n")).scalar()
+    words = text.field_stats.agg(F.sum("words").alias("n")).scalar()
+    terms = text.term_stats.groupBy("field", "term").agg(F.sum("df").alias("df"))
+    return terms.agg(F.sum("df").alias("n_postings"), F.count("*").alias("n_terms")).select(
+        docs.alias("n_docs"), "n_postings", "n_terms", words.alias("n_words")
+    )
+
+
 @query(
     search_sql(
         C.CONTENT_SQL,

@@ -111,6 +111,7 @@ def test_stages_and_explicit_null(spark):
 
 
 REGISTRY = Registry([IndexSpec("a", "field", analyzed=False), IndexSpec("b", "field", analyzed=False)])
+TEXT = Registry([IndexSpec("SearchableText", "text"), IndexSpec("Title", "text")])
 PLAIN = Settings(buckets=4, search_only=frozenset(), retries=0)
 
 
@@ -126,15 +127,64 @@ def test_store_replay_and_untouched_buckets(spark, tmp_path):
     store.convert()
     assert store.convert().number == 1 and store.clear().number == 1
     store.rebuild(spark.createDataFrame([(str(n), "x", "y") for n in range(40)], ROWS))
-    before = store.current()
-    change = changes.compact(spark.createDataFrame([("7", 1, "reindex", ["a"], ("z", None))], FEED))
+    change = changes.compact(
+        spark.createDataFrame([("7", 1, "reindex", ["a"], ("z", None)), ("8", 2, "unindex", [], None)], FEED)
+    )
     done = store.commit(change, batch_id=5)
-    assert (done.updated, done.indexed, done.deleted, done.refused.count()) == (1, 0, 0, 0)
+    assert (done.updated, done.indexed, done.deleted, done.refused.count()) == (1, 0, 1, 0)
     after = store.current()
-    moved = [b for b, v in after.bucket_versions.items() if v != before.bucket_versions[b]]
-    assert len(moved) == 1
+    # only the changed row is written
+    assert store._read("docs", store.schema, after).where(F.col("v") == after.number).count() == 1
     assert store.commit(change, batch_id=5) is None and store.current() == after
-    assert ("7", "z", "y") in rows_of(store) and len(rows_of(store)) == 40
+    assert ("7", "z", "y") in rows_of(store) and len(rows_of(store)) == 39
+    kept = rows_of(store)
+    assert store.merge().overlays == () and rows_of(store) == kept
+
+
+def test_overlays_keep_scores_and_counts_exact(spark, tmp_path):
+    """After many commits a search scores as on an index built at once; so it does merged."""
+    settings = Settings(buckets=3, search_only=frozenset(), retries=0, merge_after=100)
+    grown = IndexStore(spark, str(tmp_path / "grown"), TEXT, settings)
+    texts = {str(n): (f"alpha {'beta ' * (n % 3)}gamma{n % 4}", f"Title {n}") for n in range(20)}
+    schema = "uid string, SearchableText string, Title string"
+
+    def frame(rows):
+        return spark.createDataFrame([(uid, *row) for uid, row in rows.items()], schema)
+
+    grown.rebuild(frame(texts))
+    feed = "uid string, seq long, op string, attributes array<string>, payload struct<SearchableText:string,Title:string>"
+    steps = [
+        [("3", 1, "reindex", ["SearchableText"], ("beta beta alphabet", None)), ("4", 1, "unindex", [], None)],
+        [("4", 1, "index", [], ("alpha back", "Beta")), ("3", 1, "reindex", ["Title"], (None, "Alphabetic"))],
+        [("5", 1, "unindex", [], None), ("77", 1, "index", [], (None, None)), ("3", 2, "unindex", [], None)],
+    ]
+    for batch, step in enumerate(steps):
+        commit_batch(grown, spark.createDataFrame(step, feed), batch)
+    for uid in ("3", "5"):
+        del texts[uid]
+    texts |= {"4": ("alpha back", "Beta"), "77": (None, None)}
+    whole = IndexStore(spark, str(tmp_path / "whole"), TEXT, settings)
+    whole.rebuild(frame(texts))
+    assert len(grown.current().overlays) == 3
+    for merged in (False, True):
+        if merged:
+            grown.merge()
+        for query in ({"SearchableText": "alpha beta"}, {"Title": "title alph"}, {"Title": "b"}):
+            found = [
+                {r["uid"]: round(r["score"], 9) for r in s.index().search(query).hits.select("uid", "score").collect()}
+                for s in (grown, whole)
+            ]
+            assert found[0] == found[1]
+        assert sorted(grown.rows().select("uid").collect()) == sorted(whole.rows().select("uid").collect())
+
+
+def test_overlays_are_folded_after_some_commits(spark, tmp_path):
+    store = IndexStore(spark, str(tmp_path), REGISTRY, Settings(buckets=2, search_only=frozenset(), merge_after=2))
+    store.convert()
+    for n in range(3):
+        commit_batch(store, spark.createDataFrame([(str(n), 1, "index", [], ("x", "y"))], FEED), n)
+    assert len(store.current().overlays) == 1 and len(rows_of(store)) == 3
+    assert commit_batch(store, spark.createDataFrame([("1", 1, "unindex", [], None)], FEED), 1) is None
 
 
 def test_unpublished_files_are_not_read(spark, tmp_path):
@@ -176,7 +226,6 @@ def test_retries():
         with_retries(failing, 1, 0)
 
 
-TEXT = Registry([IndexSpec("SearchableText", "text"), IndexSpec("Title", "text")])
 FILES = "uid string, fieldname string, filename string, data binary"
 
 
