@@ -68,6 +68,48 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables written for the length of one job, removed when it is over."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def write(self, df: DataFrame, tag: str) -> DataFrame:
+        path = fresh_path(self.spark, tag)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *_) -> None:
+        for path in self.paths:
+            remove(self.spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system it is on."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+# Session options this engine is written for; most are Spark's defaults.
+SESSION_OPTIONS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
+    """A session builder with the options of :data:`SESSION_OPTIONS`."""
+    for name, value in SESSION_OPTIONS.items():
+        builder = builder.config(name, value)
+    return builder
+
+
 # Below this estimated size a shuffle costs less than leaving cores idle.
 SMALL_INPUT = 256 << 20
 

@@ -161,7 +161,9 @@ def hydrate(compacted: DataFrame, current: DataFrame) -> DataFrame:
     An object that is gone by now has nothing to index; its deletes still pass.
     """
     names = compacted.schema["payload"].dataType.names
-    values = current.select("uid", F.struct(*names).alias("_current"))
+    # the pending ids are few next to the content: it is reduced to them before it is joined
+    wanted = current.join(compacted.select("uid"), "uid", "left_semi")
+    values = wanted.select("uid", F.struct(*names).alias("_current"))
     joined = compacted.join(values, "uid", "left")
     removed = F.col("base") == "delete"
     fetched = F.struct(
@@ -189,6 +191,27 @@ def feed_rows(
     )
 
 
+def full_indexes(rows: DataFrame) -> DataFrame:
+    """Pending actions that index the given rows, each uid being there once."""
+    names = [name for name in rows.columns if name != "uid"]
+    return rows.select(
+        "uid",
+        F.lit("index").alias("base"),
+        F.array(*[F.lit(n) for n in names]).alias("attributes"),
+        F.struct(*names).alias("payload"),
+    )
+
+
+def deletes(ids: DataFrame, payload: T.DataType) -> DataFrame:
+    """Pending actions that delete the given uids; ``payload`` is the type to be unioned with."""
+    return ids.select(
+        "uid",
+        F.lit("delete").alias("base"),
+        F.array().cast("array<string>").alias("attributes"),
+        F.lit(None).cast(payload).alias("payload"),
+    )
+
+
 def differing_rows(left: DataFrame, right: DataFrame, key: str = "uid") -> DataFrame:
     """Keys whose rows differ between two tables of the same columns."""
     names = [name for name in left.columns if name != key]

@@ -84,7 +84,7 @@ def _has(spec: IndexSpec, values: list[Any]) -> Column:
 
 
 def _date(name: str, value: Any, schema: T.StructType) -> Column | None:
-    if not isinstance(value, Mapping) or value.get("query") is None:
+    if not isinstance(value, Mapping) or value.get("query") in (None, [], ()):
         return None
     query, how = value["query"], value.get("range")
     if how is None and isinstance(query, (list, tuple)):

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from findlark.functions.values import size_mb
 from findlark.operators import changes, reconcile
@@ -53,31 +54,17 @@ def synchronize(store: IndexStore, content: DataFrame, **options) -> dict[str, i
     rows = store.rows()
     missing = content.join(reconcile.not_indexed(content, rows), "uid", "left_semi")
     fresh = extract_rows(store, missing, **options)
-    indexed = changes.feed_rows(fresh, "index", F.lit(1).cast("long"))
-    gone = reconcile.orphaned(content, rows)
-    payload = indexed.schema["payload"].dataType
-    removed = gone.select(
-        "uid",
-        F.lit(1).cast("long").alias("seq"),
-        F.lit("unindex").alias("op"),
-        F.array().cast("array<string>").alias("attributes"),
-        F.lit(None).cast(payload).alias("payload"),
-    )
-    done = store.commit(changes.compact(indexed.unionByName(removed)))
+    indexed = changes.full_indexes(fresh)
+    removed = changes.deletes(reconcile.orphaned(content, rows), indexed.schema["payload"].dataType)
+    done = store.commit(indexed.unionByName(removed))
     return {"indexed": done.indexed if done else 0, "deleted": done.deleted if done else 0}
 
 
 def uncatalog(store: IndexStore, catalog: DataFrame, paths: DataFrame) -> Commit | None:
     """Delete the documents at the given catalog paths."""
     ids = reconcile.uncataloged_ids(catalog, paths)
-    payload = store.schema.fields[1]
-    deletes = ids.select(
-        "uid",
-        F.lit("delete").alias("base"),
-        F.array().cast("array<string>").alias("attributes"),
-        F.struct(F.lit(None).cast(payload.dataType).alias(payload.name)).alias("payload"),
-    )
-    return store.commit(deletes)
+    attributes = T.StructType([f for f in store.schema if f.name != "uid"])
+    return store.commit(changes.deletes(ids, attributes))
 
 
 def info(store: IndexStore, catalog: DataFrame, queries: int = 0) -> DataFrame:

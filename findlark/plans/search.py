@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from findlark.config import Settings
+from findlark.config import Settings, materialise
 from findlark.operators import ordering
 from findlark.operators.catalogjoin import join_catalog
 from findlark.operators.highlight import describe_hits
@@ -142,6 +142,9 @@ class Results:
         if self._ranked is None:
             names = [name.split(".")[0] for name, _ in self.plan.sort]
             keys = self._hits.select(*dict.fromkeys(["uid", *names, "score"]))
+            if self.plan.has_text:
+                # a range sort reads its input twice, to sample and to sort
+                keys = materialise(keys, "hits")
             self._ranked = ordering.ranked(keys, self.order)
         return self._ranked
 

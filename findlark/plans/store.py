@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
-from findlark.config import Settings, materialise
+from findlark.config import Scratch, Settings, remove
 from findlark.functions.values import index_name
 from findlark.operators import postings as P
 from findlark.operators.changes import apply_changes, rejected
@@ -190,6 +190,15 @@ class IndexStore:
         version = version or self.current()
         return self._live(self._read("docs", self.schema, version), version).select(*self.schema.names)
 
+    def rows_of(self, ids: DataFrame, version: Version | None = None) -> DataFrame:
+        """Index rows of the given uids; only the files of their buckets are read."""
+        version = version or self.current()
+        # at most as many values as there are buckets
+        buckets = ids.select(F.collect_set(self.bucket()).alias("b")).first()["b"]
+        docs = self._read("docs", self.schema, version).where(F.col("bucket").isin(*buckets))
+        rows = self._live(docs, version).join(ids.select("uid"), "uid", "left_semi")
+        return rows.select(*self.schema.names)
+
     def index(self, settings: Settings | None = None) -> SearchIndex:
         """The newest version, searchable through its postings."""
         version = self.current()
@@ -299,23 +308,28 @@ class IndexStore:
         version, published = self._head(batch_id)
         if not self.settings.enabled or version is None or published:
             return None
-        compacted = materialise(compacted, "pending")
+        with Scratch(self.spark) as scratch:
+            return self._apply(version, scratch.write(compacted, "pending"), batch_id, scratch)
+
+    def _apply(
+        self, version: Version, compacted: DataFrame, batch_id: int | None, scratch: Scratch
+    ) -> Commit | None:
         base = F.coalesce(F.col("base"), F.lit(""))
         summary = compacted.agg(
             F.count_if(base == "index").alias("indexed"),
             F.count_if((base != "index") & (F.size("attributes") > 0)).alias("updated"),
             F.count_if(base == "delete").alias("deleted"),
-            # at most as many values as there are buckets
-            F.collect_set(self.bucket()).alias("buckets"),
+            F.count("*").alias("pending"),
         ).first()
-        if not summary["buckets"]:
+        if not summary["pending"]:
             return None
-        docs = self._read("docs", self.schema, version).where(F.col("bucket").isin(*summary["buckets"]))
-        before = self._live(docs, version).join(compacted.select("uid"), "uid", "left_semi")
-        before = materialise(before.select(*self.schema.names), "replaced")
-        refused = materialise(rejected(before, compacted), "rejected")
-
         number = version.number + 1
+        before = scratch.write(self.rows_of(compacted, version), "replaced")
+        refusals = f"{self.path}/rejected/v={number}"
+        lost = rejected(before, compacted)
+        lost.write.mode("overwrite").parquet(refusals)
+        refused = self.spark.read.schema(lost.schema).parquet(refusals)
+
         self._write(apply_changes(before, compacted), number, replaced=before)
         compacted.select("uid").write.mode("overwrite").parquet(f"{self.path}/touched/v={number}")
         counts = {name: summary[name] for name in ("indexed", "updated", "deleted")}
@@ -325,6 +339,16 @@ class IndexStore:
             newest = self.merge()
         return Commit(newest, **counts, refused=refused)
 
+    def vacuum(self) -> None:
+        """Delete the files of parts the newest version does not use.
+
+        For when no reader holds an older version and no commit is running.
+        """
+        version = self.current()
+        for number in set(range(1, version.number + 1)) - set(version.parts):
+            for table in ("docs", "postings", "terms", "fields", "touched", "rejected"):
+                remove(self.spark, f"{self.path}/{table}/v={number}")
+
     def describe(self) -> str:
         """Schema of the index as JSON, mapping metadata included."""
         return json.dumps(self.schema.jsonValue())

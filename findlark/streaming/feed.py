@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from findlark.config import Scratch
 from findlark.operators import attachments as A
 from findlark.operators import changes
 from findlark.plans.store import Commit, IndexStore
@@ -28,9 +29,11 @@ def commit_batch(
     if not store.active:
         return None
     pending = changes.compact(batch, partial)
-    if store.settings.deferred and current is not None:
-        pending = changes.hydrate(pending, current())
-    return store.commit(pending, batch_id)
+    if not store.settings.deferred or current is None:
+        return store.commit(pending, batch_id)
+    with Scratch(store.spark) as scratch:
+        named = scratch.write(pending, "named")
+        return store.commit(changes.hydrate(named, current()), batch_id)
 
 
 def with_retries(job: Callable[[], object], retries: int, seconds: float) -> object:
@@ -73,17 +76,32 @@ def follow_feed(
 
 
 def attachment_updates(
-    store: IndexStore, files: DataFrame, extractor: A.Extractor = A.plain_extractor
+    store: IndexStore, found: DataFrame
 ) -> DataFrame:
     """Pending updates that give documents their attachments and the text found in them.
 
-    Files of documents the index does not hold, deleted ones included, are dropped.
+    ``found`` has the collected attachments per uid. Those of documents the index does not
+    hold, deleted ones included, are dropped.
     """
-    found = A.collect_attachments(A.extract_contents(files, extractor))
-    rows = store.rows().select("uid", "SearchableText").join(found.select("uid"), "uid", "left_semi")
-    filled = A.append_contents(rows, found)
-    feed = changes.feed_rows(filled, "reindex", F.lit(1).cast("long"), ("SearchableText", "attachments"))
-    return feed.selectExpr("uid", "cast(null as string) as base", "attributes", "payload")
+    rows = store.rows_of(found).select("uid", "SearchableText")
+    filled = changes.full_indexes(A.append_contents(rows, found))
+    return filled.withColumn("base", F.lit(None).cast("string"))
+
+
+def commit_files(
+    store: IndexStore,
+    files: DataFrame,
+    batch_id: int | None = None,
+    *,
+    extractor: A.Extractor = A.plain_extractor,
+) -> Commit | None:
+    """Extract one batch of files, once, and commit what it gives."""
+    if not store.active:
+        return None
+    with Scratch(store.spark) as scratch:
+        gathered = A.collect_attachments(A.extract_contents(files, extractor))
+        found = scratch.write(gathered, "files")
+        return store.commit(attachment_updates(store, found), batch_id)
 
 
 def follow_blobs(
@@ -105,8 +123,7 @@ def follow_blobs(
         return None
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if store.active:
-            store.commit(attachment_updates(store, batch, extractor), batch_offset + batch_id)
+        commit_files(store, batch, batch_offset + batch_id, extractor=extractor)
 
     writer = files.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

@@ -40,36 +40,40 @@ EXTRACTED = Registry(
 
 def _source(spark, sf_dir):
     """Orders as content objects, with empty, missing and odd values among them."""
-    key = F.col("o_orderkey")
+    key, status, priority = F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_orderpriority")
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
     return C.table(spark, sf_dir, "orders").select(
         key.cast("string").alias("uid"),
         "o_orderkey",
         "o_custkey",
-        F.when(key % 7 == 0, "None").otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
+        F.when(status == "P", "None").otherwise(status).alias("o_orderstatus"),
         "o_orderpriority",
         F.array(F.lit("a"), F.col("o_orderstatus")).alias("tags"),
         F.lit("").alias("blank"),
-        F.when(key % 5 == 0, "").when(key % 5 == 1, "None").when(key % 5 == 2, "no date").otherwise(day).alias("created_text"),
+        F.when(priority == "1-URGENT", "")
+        .when(priority == "2-HIGH", "None")
+        .when(priority == "3-MEDIUM", "no date")
+        .otherwise(day)
+        .alias("created_text"),
         F.array("o_orderdate", F.lit(None).cast("timestamp_ntz")).alias("occurrences"),
         "o_orderdate",
-        F.when(key % 3 > 0, F.col("o_orderdate") + F.expr("interval 10 days")).alias("expires"),
-        F.when(key % 2 == 0, "true").when(key % 11 == 0, "maybe").otherwise("false").alias("open_text"),
+        F.when(status != "F", F.col("o_orderdate") + F.expr("interval 10 days")).alias("expires"),
+        F.when(status == "O", "true").when(status == "P", "maybe").otherwise("false").alias("open_text"),
         F.array(F.lit(""), F.lit("site"), F.concat(F.lit("c"), F.col("o_custkey").cast("string")), key.cast("string")).alias("segments"),
     )
 
 
 _ISO = "'%Y-%m-%dT%H:%M:%S+00:00'"
 _EXTRACT_SQL = f"""SELECT CAST(o_orderkey AS VARCHAR) AS uid,
-  CASE WHEN o_orderkey % 7 <> 0 THEN o_orderstatus END AS portal_type,
+  CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS portal_type,
   'a,' || o_orderstatus AS subject, o_orderpriority AS title,
   o_orderpriority || chr(10) || 'a' || chr(10) || o_orderstatus AS searchable,
-  CASE WHEN o_orderkey % 5 IN (0, 1) THEN '1900-01-01T00:00:00+00:00'
-       WHEN o_orderkey % 5 > 2 THEN strftime(date_trunc('day', o_orderdate), {_ISO}) END AS created,
+  CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN '1900-01-01T00:00:00+00:00'
+       WHEN o_orderpriority <> '3-MEDIUM' THEN strftime(date_trunc('day', o_orderdate), {_ISO}) END AS created,
   strftime(o_orderdate, {_ISO}) AS start,
-  CASE WHEN o_orderkey % 3 > 0 THEN strftime(o_orderdate, {_ISO}) || '/' ||
+  CASE WHEN o_orderstatus <> 'F' THEN strftime(o_orderdate, {_ISO}) || '/' ||
        strftime(o_orderdate + INTERVAL 10 DAY, {_ISO}) END AS span,
-  CASE WHEN o_orderkey % 2 = 0 THEN true WHEN o_orderkey % 11 <> 0 THEN false END AS is_open,
+  CASE o_orderstatus WHEN 'O' THEN true WHEN 'F' THEN false END AS is_open,
   '/site/c' || CAST(o_custkey AS VARCHAR) || '/' || CAST(o_orderkey AS VARCHAR) AS path,
   3 AS depth, CAST(o_custkey AS INTEGER) AS position FROM orders"""
 

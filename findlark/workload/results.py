@@ -179,12 +179,12 @@ def hits_catalog_left(spark, sf_dir):
 
 
 @query(
-    """SELECT CAST(doc_id AS VARCHAR) AS uid, CASE WHEN doc_id % 3 <> 0 THEN coalesce(l.doc_id, -1) END AS rid
+    """SELECT CAST(doc_id AS VARCHAR) AS uid, CASE WHEN lang <> 'en' THEN coalesce(l.doc_id, -1) END AS rid
     FROM documents LEFT JOIN labels l USING (doc_id)"""
 )
 def hits_without_path(spark, sf_dir):
     rows = C.content(spark, sf_dir)
-    hits = rows.select("uid", F.when(F.col("uid").cast("long") % 3 != 0, F.col("path.path")).alias("path"))
+    hits = rows.select("uid", F.when(F.col("Language") != "en", F.col("path.path")).alias("path"))
     stored = rows.select(F.col("path.path").alias("path"))
     return join_catalog(hits, _catalog(spark, sf_dir), stored).select("uid", "row.rid")
 

@@ -270,7 +270,7 @@ def rebuild_equals_incremental(spark, sf_dir):
     grown = C.new_store(spark, C.STORED)
     grown.rebuild(rows.where(F.col("Language") != "en").withColumn("n_chars", F.lit(0).cast("long")))
     fresh = rows.select("uid", *C.STORED)
-    grown.commit(changes.compact(changes.feed_rows(fresh, "index", F.lit(1).cast("long"))))
+    grown.commit(changes.full_indexes(fresh))
     left, right = whole.rows().drop("attachments"), grown.rows().drop("attachments")
     differing = changes.differing_rows(left, right).agg(F.count("*").alias("n")).scalar()
     return right.agg(F.count("*").alias("n_rows")).withColumn("n_different", differing.cast("int"))

@@ -11,7 +11,7 @@ from findlark import IndexSpec, Registry, Settings
 from findlark.operators import changes
 from findlark.plans import jobs
 from findlark.plans.store import IndexStore
-from findlark.streaming.feed import attachment_updates, commit_batch, drain, follow_feed, with_retries
+from findlark.streaming.feed import commit_batch, commit_files, drain, follow_feed, with_retries
 
 FEED = "uid string, seq long, op string, attributes array<string>, payload struct<a:string,b:string>"
 OPS = ("full", "a", "b", "delete")
@@ -139,6 +139,8 @@ def test_store_replay_and_untouched_buckets(spark, tmp_path):
     assert ("7", "z", "y") in rows_of(store) and len(rows_of(store)) == 39
     kept = rows_of(store)
     assert store.merge().overlays == () and rows_of(store) == kept
+    store.vacuum()
+    assert rows_of(store) == kept and not (tmp_path / "site" / "docs" / "v=1").exists()
 
 
 def test_overlays_keep_scores_and_counts_exact(spark, tmp_path):
@@ -263,7 +265,7 @@ def test_stream_with_attachments(spark, tmp_path):
     # the text is indexed again without its second file
     again = spark.createDataFrame([("d1", 9, "index", [], ("hello", "First"))], feed_type)
     commit_batch(store, again)
-    store.commit(attachment_updates(store, spark.createDataFrame([("d1", "file", "a.txt", b" first")], FILES)))
+    commit_files(store, spark.createDataFrame([("d1", "file", "a.txt", b" first")], FILES))
     assert store.index().search({"SearchableText": "second part"}).count() == 0
     assert store.rows().where("uid = 'd1'").first()["SearchableText"] == "hellofirst"
 
