@@ -88,10 +88,21 @@ class Scratch:
             remove(self.spark, path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder through the file system it is on."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    files, folder = _file_system(spark, path)
+    files.delete(folder, True)
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder, from the file system's own summary."""
+    files, folder = _file_system(spark, path)
+    return files.getContentSummary(folder).getLength()
 
 
 # Session options this engine is written for; most are Spark's defaults.

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
-from findlark.config import Scratch, Settings, remove
+from findlark.config import Scratch, Settings, folder_bytes, remove
 from findlark.functions.values import index_name
 from findlark.operators import postings as P
 from findlark.operators.changes import apply_changes, rejected
@@ -146,12 +146,9 @@ class IndexStore:
 
     def _size(self, version: Version) -> int:
         tables = ("docs", "postings") if self.text_fields else ("docs",)
-        paths = [f"{self.path}/{table}/v={v}" for table in tables for v in version.parts]
-        if not paths:
-            return 0
-        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        found = files.option("pathGlobFilter", "*.parquet").load(paths)
-        return found.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+        return sum(
+            folder_bytes(self.spark, f"{self.path}/{table}/v={v}") for table in tables for v in version.parts
+        )
 
     # --- reading ---
 
@@ -190,15 +187,21 @@ class IndexStore:
         version = version or self.current()
         return self._live(self._read("docs", self.schema, version), version).select(*self.schema.names)
 
-    def rows_of(self, ids: DataFrame, version: Version | None = None) -> DataFrame:
+    def rows_of(
+        self, ids: DataFrame, buckets: list[int] | None = None, version: Version | None = None
+    ) -> DataFrame:
         """Index rows of the given uids; only the files of their buckets are read."""
         version = version or self.current()
-        # at most as many values as there are buckets
-        buckets = ids.select(F.collect_set(self.bucket()).alias("b")).first()["b"]
+        if buckets is None:
+            buckets = ids.select(self._buckets()).first()[0]
         docs = self._read("docs", self.schema, version).where(F.col("bucket").isin(*buckets))
         rows = self._live(docs, version).join(ids.select("uid"), "uid", "left_semi")
         return rows.select(*self.schema.names)
 
+    def _buckets(self) -> Column:
+        """Buckets of the rows at hand: at most as many values as there are buckets."""
+        return F.collect_set(self.bucket()).alias("buckets")
+
     def index(self, settings: Settings | None = None) -> SearchIndex:
         """The newest version, searchable through its postings."""
         version = self.current()
@@ -319,12 +322,12 @@ class IndexStore:
             F.count_if(base == "index").alias("indexed"),
             F.count_if((base != "index") & (F.size("attributes") > 0)).alias("updated"),
             F.count_if(base == "delete").alias("deleted"),
-            F.count("*").alias("pending"),
+            self._buckets(),
         ).first()
-        if not summary["pending"]:
+        if not summary["buckets"]:
             return None
         number = version.number + 1
-        before = scratch.write(self.rows_of(compacted, version), "replaced")
+        before = scratch.write(self.rows_of(compacted, summary["buckets"], version), "replaced")
         refusals = f"{self.path}/rejected/v={number}"
         lost = rejected(before, compacted)
         lost.write.mode("overwrite").parquet(refusals)
