@@ -42,7 +42,7 @@ def compact(feed: DataFrame, partial: str = "merge") -> DataFrame:
     part = ~removal & ~covers
     seq = F.col("seq")
 
-    marked = feed.select(
+    marked = feed.where(F.col("uid").isNotNull()).select(
         "uid",
         seq,
         F.when(removal | full, seq).alias("_base_seq"),

@@ -28,25 +28,28 @@ def page(rows: DataFrame, order: Sequence[Column], start: int, size: int) -> Dat
     return (ordered.offset(start) if start else ordered).limit(size)
 
 
-def ranked(rows: DataFrame, order: Sequence[Column], rank: str = "rank") -> DataFrame:
+def ranked(
+    rows: DataFrame, order: Sequence[Column], rank: str = "rank", part: str | None = None
+) -> DataFrame:
     """Rows with their 0-based position in the whole order, for deep paging and batches.
 
     A range-partitioned sort is written once with the row's number inside its partition;
     the partition sizes, one row per partition, give the offsets. No task sees more than
-    its own range, and ties are spread because ``order`` ends in a unique key.
+    its own range, and ties are spread because ``order`` ends in a unique key. ``part`` names
+    a column to keep the number of the range in.
     """
-    number = F.monotonically_increasing_id()
-    span = 1 << 33
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    ordered = materialise(ordered.withColumn("_number", number), "ranked")
-    part = F.floor(F.col("_number") / span).cast("long")
-    sizes = ordered.groupBy(part.alias("_part")).agg(F.count("*").alias("_size"))
+    ordered = materialise(ordered.withColumn("_number", F.monotonically_increasing_id()), "ranked")
+    # Spark puts the partition above the lower 33 bits and the row number into them
+    ordered = ordered.withColumn("_part", F.shiftright("_number", 33))
+    sizes = ordered.groupBy("_part").agg(F.count("*").alias("_size"))
     # one row per partition: small whatever the data
     before = F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
     offsets = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
-    numbered = ordered.withColumn("_part", part).join(F.broadcast(offsets), "_part")
-    position = F.col("_before") + F.col("_number") % span
-    return numbered.withColumn(rank, position).drop("_part", "_number", "_before")
+    numbered = ordered.join(F.broadcast(offsets), "_part")
+    position = F.col("_before") + F.col("_number").bitwiseAND((1 << 33) - 1)
+    numbered = numbered.withColumn(rank, position).drop("_number", "_before")
+    return numbered.withColumnRenamed("_part", part) if part else numbered.drop("_part")
 
 
 def with_batches(ranked_rows: DataFrame, size: int, rank: str = "rank") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from findlark.operators.ordering import ranked
@@ -13,18 +13,48 @@ def container_positions(
 ) -> DataFrame:
     """Members with their 0-based ``position`` in the container.
 
-    Positions come from one global order by container and place, so a container may hold
-    any share of the rows without ending up in one task.
+    Positions come from one global order by container and place. A container may hold any
+    share of the rows: it is then spread over many ranges, and each row finds the start of
+    its container inside its own range or, for the container a range begins with, in a
+    table of one row per range.
     """
     place = [F.asc(parent), *([F.asc(order)] if order else []), F.asc(member)]
-    placed = ranked(members, place, "_rank")
-    starts = placed.groupBy(parent).agg(F.min("_rank").alias("_start"))
-    joined = placed.join(starts, parent)
-    return joined.withColumn("position", (F.col("_rank") - F.col("_start")).cast("int")).drop(
-        "_rank", "_start"
+    placed = ranked(members, place, "_rank", "_range")
+    joined = placed.join(F.broadcast(_range_starts(placed, parent)), "_range")
+    in_range = Window.partitionBy("_range").orderBy("_rank")
+    begins = ~F.col(parent).eqNullSafe(F.lag(parent).over(in_range))
+    begin = F.when(begins & F.lag("_rank").over(in_range).isNotNull(), F.col("_rank"))
+    so_far = in_range.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    joined = joined.withColumn("_begin", begin)
+    start = F.coalesce(F.last("_begin", ignorenulls=True).over(so_far), F.col("_carried"))
+    return joined.withColumn("position", (F.col("_rank") - start).cast("int")).drop(
+        "_rank", "_range", "_carried", "_begin"
     )
 
 
+def _range_starts(placed: DataFrame, parent: str) -> DataFrame:
+    """Per range, the rank at which the container of its first row begins, maybe ranges before."""
+    runs = placed.groupBy("_range", parent).agg(F.min("_rank").alias("_start"))
+    ranges = runs.groupBy("_range").agg(
+        F.min("_start").alias("_first"),
+        F.max("_start").alias("_last"),
+        F.min_by(parent, "_start").alias("_first_parent"),
+        F.max_by(parent, "_start").alias("_last_parent"),
+    )
+    # from here on one row per range
+    along = Window.orderBy("_range")
+    opens = F.lag("_first").over(along).isNull() | ~F.col("_first_parent").eqNullSafe(
+        F.lag("_last_parent").over(along)
+    )
+    ranges = ranges.withColumn("_opens", opens)
+    # start of the last container of a range, unless it comes from a range before
+    known = F.when((F.col("_last") > F.col("_first")) | F.col("_opens"), F.col("_last"))
+    ranges = ranges.withColumn("_known", known)
+    earlier = F.last("_known", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1))
+    carried = F.when(F.col("_opens"), F.col("_first")).otherwise(earlier)
+    return ranges.select("_range", carried.alias("_carried"))
+
+
 def move_members(
     positions: DataFrame, moves: DataFrame, parent: str, member: str
 ) -> DataFrame:

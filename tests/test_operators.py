@@ -171,6 +171,22 @@ def test_ranks_with_one_hot_key(spark):
     assert sorted(r["rank"] for r in got) == list(range(5000))
 
 
+def test_positions_of_containers_over_many_ranges(spark):
+    rng = random.Random(2)
+    sizes = {0: 3, 1: 4000, 2: 1, 3: 1, 4: 900, 5: 2500, 6: 2, 7: 600}
+    rows = [(p, f"m{i:05d}", rng.random()) for p, size in sizes.items() for i in range(size)]
+    frame = spark.createDataFrame(rows, "parent int, member string, ord double").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    got = container_positions(frame, "parent", "member", "ord").collect()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    expected = {}
+    for parent in sizes:
+        inside = sorted((o, m) for p, m, o in rows if p == parent)
+        expected |= {(parent, m): i for i, (_, m) in enumerate(inside)}
+    assert {(r["parent"], r["member"]): r["position"] for r in got} == expected
+    assert len(got) == len(rows)
+
+
 def simulate(order, moved, delta):
     """Members moved one after another, nearest to the edge first."""
     order = list(order)
