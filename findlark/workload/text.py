@@ -230,7 +230,8 @@ def highlight_best_fragments(spark, sf_dir):
     clauses = [Clause("any", "SearchableText", ("that", "with"))]
     rows = C.content(spark, sf_dir).where(F.col("Language") == "en")
     found = highlight_fragments(F.col("SearchableText"), highlight_words(clauses), "<em>", "</em>")
-    return rows.select("uid", F.inline(found).alias("ord", "matches", "fragment"))
+    best = rows.select("uid", F.inline(found).alias("ord", "matches", "fragment"))
+    return best.withColumns({name: F.col(name).cast("long") for name in ("ord", "matches")})
 
 
 @query(

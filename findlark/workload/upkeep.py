@@ -316,6 +316,10 @@ def stored_info(spark, sf_dir):
 _TURNS = "turns AS (SELECT conv_id, turn, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS position FROM conversations)"
 
 
+def _long(name, alias=None):
+    return F.col(name).cast("long").alias(alias or name)
+
+
 def _positions(spark, sf_dir):
     turns = C.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
     return container_positions(turns, "conv_id", "turn")
@@ -323,7 +327,7 @@ def _positions(spark, sf_dir):
 
 @query(f"WITH {_TURNS} SELECT conv_id, turn, position FROM turns")
 def position_window(spark, sf_dir):
-    return _positions(spark, sf_dir).select("conv_id", "turn", "position")
+    return _positions(spark, sf_dir).select("conv_id", "turn", _long("position"))
 
 
 @query(
@@ -334,7 +338,7 @@ def position_large_containers(spark, sf_dir):
     """Three containers that hold all rows between them."""
     rows = C.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
     placed = container_positions(rows, "o_orderstatus", "o_orderkey", "o_orderdate")
-    return placed.select("o_orderkey", "o_orderstatus", "position")
+    return placed.select("o_orderkey", "o_orderstatus", _long("position"))
 
 
 @query(
@@ -349,7 +353,7 @@ def position_diff(spark, sf_dir):
     moved = move_members(placed, last, "conv_id", "turn")
     moved = moved.withColumn("is_content", F.col("role") == "user")
     changed = changed_positions(moved, "is_content")
-    return changed.select("conv_id", "turn", "position", F.col("position_after").alias("after"))
+    return changed.select("conv_id", "turn", _long("position"), _long("position_after", "after"))
 
 
 @query(
@@ -370,5 +374,5 @@ def position_actions(spark, sf_dir):
     )
     actions = changes.feed_rows(rows, "reindex", F.lit(1).cast("long"), ["getObjPositionInParent"])
     return actions.select(
-        "uid", "op", F.array_join("attributes", ",").alias("attributes"), F.col("payload.getObjPositionInParent").alias("after")
+        "uid", "op", F.array_join("attributes", ",").alias("attributes"), _long("payload.getObjPositionInParent", "after")
     )
