@@ -27,11 +27,13 @@ class Settings:
     # failed batches of the change feed
     retries: int = 3
     retry_seconds: float = 30.0
-    # physical layout: hash buckets of documents, files written per bucket, and the number
-    # of commits after which their overlays are folded into the base
+    # physical layout: hash buckets of documents, files written per bucket, the number of
+    # commits after which their overlays are folded into one, and the share of all bytes
+    # above which they are folded into the base
     buckets: int = 16
     files_per_bucket: int = 1
     merge_after: int = 32
+    merge_share: float = 0.1
 
     @property
     def tags(self) -> tuple[str, str]:

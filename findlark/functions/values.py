@@ -85,7 +85,8 @@ def last_segment(path: Column) -> Column:
 def relative_path(path: Column, root: str) -> Column:
     """Segments below ``root``, joined."""
     below = len(root.rstrip("/").split("/"))
-    return F.array_join(F.slice(path_segments(path), below + 1, 1_000_000), "/")
+    segments = path_segments(path)
+    return F.array_join(F.slice(segments, F.lit(below + 1), F.size(segments)), "/")
 
 
 def absolute_url(url: Column, base: Column | str) -> Column:

@@ -29,12 +29,16 @@ def join_catalog(hits: DataFrame, catalog: DataFrame, records: DataFrame) -> Dat
             ],
         ).alias("_record"),
     )
-    joined = hits.join(known, "path", "left").join(stored, "path", "left")
+    # hits without path get a key of their own, so they do not meet in one task
+    key = F.coalesce(F.col("path"), F.concat(F.lit("\0"), F.col("uid")))
+    joined = hits.withColumn("_key", key)
+    for side in (known, stored):
+        joined = joined.join(side.withColumnRenamed("path", "_key"), "_key", "left")
     empty = F.struct(
         F.lit(NO_RID).cast(catalog.schema["rid"].dataType).alias("rid"),
         *[F.lit(None).cast(catalog.schema[c].dataType).alias(c) for c in columns],
     )
     row = F.coalesce(F.col("_catalog"), F.col("_record"), empty)
     return joined.withColumn("row", F.when(F.col("path").isNotNull(), row)).drop(
-        "_catalog", "_record"
+        "_key", "_catalog", "_record"
     )

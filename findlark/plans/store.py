@@ -3,7 +3,8 @@
 A version is a *base*, written by a rebuild, and a few *overlays*, one per commit. An overlay
 holds the new rows of the documents a commit touched, their postings, the change of the word
 counts, and the touched ids. Readers take the newest row of every id, so a commit costs
-what its batch costs; folding the overlays into a new base is a rebuild from the live rows.
+what its batch costs. After some commits the overlays are folded into one, and into a new
+base when they have grown to a share of it.
 
 A version becomes visible by one row appended to the ``versions`` table. A commit that fails
 before that leaves only files nobody reads.
@@ -33,6 +34,8 @@ _VERSIONS = (
     "version long, batch_id long, base long, overlays array<long>, "
     "indexed long, updated long, deleted long, rejected long, bytes long"
 )
+# the bucket folder of all rows of an overlay
+OVERLAY = -1
 _POSTINGS = "uid string, field string, term string, tf int, positions array<int>"
 _TERMS = "field string, term string, df long"
 _FIELDS = "field string, n long, words long"
@@ -147,7 +150,7 @@ class IndexStore:
     def _size(self, version: Version) -> int:
         tables = ("docs", "postings") if self.text_fields else ("docs",)
         return sum(
-            folder_bytes(self.spark, f"{self.path}/{table}/v={v}") for table in tables for v in version.parts
+            folder_bytes(self.spark, self._folder(table, v)) for table in tables for v in version.parts
         )
 
     # --- reading ---
@@ -194,7 +197,8 @@ class IndexStore:
         version = version or self.current()
         if buckets is None:
             buckets = ids.select(self._buckets()).first()[0]
-        docs = self._read("docs", self.schema, version).where(F.col("bucket").isin(*buckets))
+        here = F.col("bucket").isin(OVERLAY, *buckets)
+        docs = self._read("docs", self.schema, version).where(here)
         rows = self._live(docs, version).join(ids.select("uid"), "uid", "left_semi")
         return rows.select(*self.schema.names)
 
@@ -221,46 +225,73 @@ class IndexStore:
 
     # --- writing ---
 
-    def _write(self, rows: DataFrame, number: int, replaced: DataFrame | None = None) -> None:
-        """Write one part: documents, their postings and the word counts.
+    def _folder(self, table: str, number: int) -> str:
+        return f"{self.path}/{table}/v={number}"
 
-        The documents are shuffled once, by bucket and a shard of it. Postings inherit that
-        partitioning, so words are grouped where their document lies. Word counts of an
-        overlay are net of the ``replaced`` rows.
+    def _write_docs(self, rows: DataFrame, number: int, overlay: bool) -> None:
+        """Write the documents of a part and their postings.
+
+        The documents are shuffled once: by bucket and a shard of it for a base, by uid for
+        an overlay, which is one folder of few files. Postings inherit that partitioning, so
+        words are grouped where their document lies.
         """
-        shards, fields = self.settings.files_per_bucket, self.text_fields
-        placed = (
-            self._shape(rows)
-            .withColumn("bucket", self.bucket())
-            .withColumn("_shard", F.pmod(F.hash("uid"), F.lit(shards)))
-            .repartition(self.settings.buckets * shards, "bucket", "_shard")
-        )
-        where = {t: f"{self.path}/{t}/v={number}" for t in ("docs", "postings", "terms", "fields")}
+        rows, fields = self._shape(rows), self.text_fields
+        if overlay:
+            keys = ("uid",)
+            placed = rows.withColumn("bucket", F.lit(OVERLAY)).repartition("uid")
+        else:
+            keys = ("bucket", "_shard")
+            shards = self.settings.files_per_bucket
+            placed = rows.withColumn("bucket", self.bucket()).withColumn("_shard", _shard("uid", shards))
+            placed = placed.repartition(self.settings.buckets * shards, *keys)
+        if fields:
+            placed = placed.persist(StorageLevel.DISK_ONLY)
         docs = placed.drop("_shard")
-        if not fields:
-            _by_bucket(docs.sortWithinPartitions("bucket", "uid"), where["docs"])
+        if fields:
+            docs = docs.withColumn("words", P.word_counts(fields))
+        _by_bucket(docs.sortWithinPartitions("bucket", "uid"), self._folder("docs", number))
+        if fields:
+            inverted = P.build_postings(
+                placed, fields, tuple(dict.fromkeys(("bucket", *keys, "uid"))), clustered=True
+            )
+            order = ("bucket", "field", "term", "uid")
+            inverted = inverted.drop("_shard").sortWithinPartitions(*order)
+            _by_bucket(inverted, self._folder("postings", number))
+            placed.unpersist()
+
+    def _write_counts(self, terms: DataFrame, totals: DataFrame, number: int, overlay: bool) -> None:
+        """Write document counts per word and word totals per field, signed in an overlay."""
+        shard = F.col("term") if overlay else _shard("term", self.settings.files_per_bucket)
+        terms = terms.repartition("bucket", shard).sortWithinPartitions("bucket", "field", "term")
+        _by_bucket(terms, self._folder("terms", number))
+        _by_bucket(totals.repartition("bucket"), self._folder("fields", number))
+
+    def _counts(self, version: Version) -> tuple[DataFrame, DataFrame]:
+        """Word and field counts of a part, from its documents and postings."""
+        terms = P.term_statistics(self._read("postings", _POSTINGS, version), ("bucket",))
+        docs = self._read("docs", self._doc_schema, version)
+        return terms, P.field_statistics(docs, self.text_fields, ("bucket",))
+
+    def _write_base(self, rows: DataFrame, number: int) -> Version:
+        version = Version(number, number)
+        self._write_docs(rows, number, overlay=False)
+        if self.text_fields:
+            self._write_counts(*self._counts(version), number, overlay=False)
+        return version
+
+    def _write_overlay(self, rows: DataFrame, number: int, replaced: DataFrame) -> None:
+        """An overlay's counts are net of the rows it replaces."""
+        self._write_docs(rows, number, overlay=True)
+        if not self.text_fields:
             return
-        placed = placed.persist(StorageLevel.DISK_ONLY)
-        docs = placed.drop("_shard").withColumn("words", P.word_counts(fields))
-        _by_bucket(docs.sortWithinPartitions("bucket", "uid"), where["docs"])
-        inverted = P.build_postings(placed, fields, ("bucket", "_shard", "uid"), clustered=True)
-        order = ("bucket", "field", "term", "uid")
-        _by_bucket(inverted.drop("_shard").sortWithinPartitions(*order), where["postings"])
-        placed.unpersist()
-
-        part = Version(number, number)
-        terms = P.term_statistics(self._read("postings", _POSTINGS, part), ("bucket",))
-        totals = P.field_statistics(self._read("docs", self._doc_schema, part), fields, ("bucket",))
-        if replaced is not None:
-            old = replaced.withColumn("words", P.word_counts(fields)).withColumn("bucket", self.bucket())
-            gone = P.term_statistics(P.build_postings(old, fields, ("bucket", "uid")), ("bucket",))
-            terms = terms.unionByName(gone.withColumn("df", -F.col("df")))
-            terms = terms.groupBy("bucket", "field", "term").agg(F.sum("df").alias("df")).where("df <> 0")
-            less = P.field_statistics(old, fields, ("bucket",))
-            totals = totals.unionByName(less.withColumns({c: -F.col(c) for c in ("n", "words")}))
-        terms = terms.repartition("bucket").sortWithinPartitions("bucket", "field", "term")
-        _by_bucket(terms, where["terms"])
-        _by_bucket(totals.repartition("bucket"), where["fields"])
+        terms, totals = self._counts(Version(number, None, (number,)))
+        fields = self.text_fields
+        old = replaced.withColumn("words", P.word_counts(fields)).withColumn("bucket", F.lit(OVERLAY))
+        gone = P.term_statistics(P.build_postings(old, fields, ("bucket", "uid")), ("bucket",))
+        less = P.field_statistics(old, fields, ("bucket",))
+        terms = terms.unionByName(gone.withColumn("df", -F.col("df")))
+        totals = totals.unionByName(less.withColumns({c: -F.col(c) for c in ("n", "words")}))
+        self._write_counts(*_summed(terms, totals), number, overlay=True)
 
     def _shape(self, rows: DataFrame) -> DataFrame:
         """Rows in the index schema; attributes the rows lack are null."""
@@ -291,17 +322,25 @@ class IndexStore:
 
     def rebuild(self, rows: DataFrame, batch_id: int | None = None) -> Version:
         """Replace the whole index by ``rows``."""
-        number = self._next()
-        self._write(rows, number)
-        version = Version(number, number)
+        version = self._write_base(rows, self._next())
         indexed = self._read("docs", "uid string", version).count()
         return self._publish(version, batch_id, indexed=indexed)
 
     def merge(self) -> Version:
-        """Fold the overlays into a new base."""
-        number = self._next()
-        self._write(self.rows(), number)
-        return self._publish(Version(number, number))
+        """Fold the overlays: into one while they are small, else into a new base."""
+        version, number = self.current(), self._next()
+        overlays = Version(version.number, None, version.overlays)
+        if version.base is None or self._size(overlays) > self.settings.merge_share * self._size(version):
+            return self._publish(self._write_base(self.rows(version), number))
+        rows = self._live(self._read("docs", self.schema, overlays), overlays)
+        self._write_docs(rows, number, overlay=True)
+        if self.text_fields:
+            terms, totals = (self._read(t, s, overlays) for t, s in (("terms", _TERMS), ("fields", _FIELDS)))
+            self._write_counts(*_summed(terms, totals), number, overlay=True)
+        self._touched(version).select("uid").distinct().write.mode("overwrite").parquet(
+            self._folder("touched", number)
+        )
+        return self._publish(Version(number, version.base, (number,)))
 
     def commit(self, compacted: DataFrame, batch_id: int | None = None) -> Commit | None:
         """Apply pending actions as a new version, ``None`` if there is nothing to do.
@@ -328,13 +367,13 @@ class IndexStore:
             return None
         number = version.number + 1
         before = scratch.write(self.rows_of(compacted, summary["buckets"], version), "replaced")
-        refusals = f"{self.path}/rejected/v={number}"
+        refusals = self._folder("rejected", number)
         lost = rejected(before, compacted)
         lost.write.mode("overwrite").parquet(refusals)
         refused = self.spark.read.schema(lost.schema).parquet(refusals)
 
-        self._write(apply_changes(before, compacted), number, replaced=before)
-        compacted.select("uid").write.mode("overwrite").parquet(f"{self.path}/touched/v={number}")
+        self._write_overlay(apply_changes(before, compacted), number, replaced=before)
+        compacted.select("uid").write.mode("overwrite").parquet(self._folder("touched", number))
         counts = {name: summary[name] for name in ("indexed", "updated", "deleted")}
         newest = Version(number, version.base, (*version.overlays, number))
         self._publish(newest, batch_id, **counts, rejected=refused.count())
@@ -350,12 +389,24 @@ class IndexStore:
         version = self.current()
         for number in set(range(1, version.number + 1)) - set(version.parts):
             for table in ("docs", "postings", "terms", "fields", "touched", "rejected"):
-                remove(self.spark, f"{self.path}/{table}/v={number}")
+                remove(self.spark, self._folder(table, number))
 
     def describe(self) -> str:
         """Schema of the index as JSON, mapping metadata included."""
         return json.dumps(self.schema.jsonValue())
 
 
+def _shard(column: str, shards: int) -> Column:
+    return F.pmod(F.hash(column), F.lit(shards))
+
+
+def _summed(terms: DataFrame, totals: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Signed counts of several overlays as those of one."""
+    bucket = F.lit(OVERLAY).alias("bucket")
+    terms = terms.groupBy(bucket, "field", "term").agg(F.sum("df").alias("df")).where("df <> 0")
+    totals = totals.groupBy(bucket, "field").agg(F.sum("n").alias("n"), F.sum("words").alias("words"))
+    return terms, totals
+
+
 def _by_bucket(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").partitionBy("bucket").parquet(path)
