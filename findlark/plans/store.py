@@ -31,7 +31,7 @@ from findlark.plans.search import SearchIndex
 from findlark.registry import Registry
 
 _VERSIONS = (
-    "version long, batch_id long, base long, overlays array<long>, "
+    "version long, batch_id long, base long, overlays array<long>, buckets int, "
     "indexed long, updated long, deleted long, rejected long, bytes long"
 )
 # the bucket folder of all rows of an overlay
@@ -43,11 +43,12 @@ _FIELDS = "field string, n long, words long"
 
 @dataclass(frozen=True)
 class Version:
-    """A published version; ``base`` is unset until a rebuild."""
+    """A published version; ``base`` is unset until a rebuild, ``buckets`` is what it was split into."""
 
     number: int
     base: int | None = None
     overlays: tuple[int, ...] = ()
+    buckets: int = 1
 
     @property
     def parts(self) -> tuple[int, ...]:
@@ -99,9 +100,6 @@ class IndexStore:
         counted = [T.StructField("words", words)] if self.text_fields else []
         return T.StructType([*self.schema.fields, *counted])
 
-    def bucket(self) -> Column:
-        return F.pmod(F.xxhash64("uid"), F.lit(self.settings.buckets)).cast("int")
-
     # --- versions ---
 
     def versions(self) -> DataFrame:
@@ -113,13 +111,13 @@ class IndexStore:
 
     def _head(self, batch_id: int | None = None) -> tuple[Version | None, bool]:
         """The newest version, and whether a batch of that id is published."""
-        newest = F.max_by(F.struct("version", "base", "overlays"), "version")
+        newest = F.max_by(F.struct("version", "base", "overlays", "buckets"), "version")
         known = F.coalesce(F.bool_or(F.col("batch_id") == batch_id), F.lit(False))
         row = self.versions().agg(newest.alias("newest"), known.alias("known")).first()
         if row["newest"] is None:
             return None, False
-        number, base, overlays = row["newest"]
-        return Version(number, base, tuple(overlays)), row["known"]
+        number, base, overlays, buckets = row["newest"]
+        return Version(number, base, tuple(overlays), buckets), row["known"]
 
     def current(self) -> Version | None:
         return self._head()[0]
@@ -140,6 +138,7 @@ class IndexStore:
             batch_id,
             version.base,
             list(version.overlays),
+            version.buckets,
             *(counts.get(name, 0) for name in names),
             self._size(version),
         )
@@ -196,16 +195,12 @@ class IndexStore:
         """Index rows of the given uids; only the files of their buckets are read."""
         version = version or self.current()
         if buckets is None:
-            buckets = ids.select(self._buckets()).first()[0]
+            buckets = ids.select(_buckets(version)).first()[0]
         here = F.col("bucket").isin(OVERLAY, *buckets)
         docs = self._read("docs", self.schema, version).where(here)
         rows = self._live(docs, version).join(ids.select("uid"), "uid", "left_semi")
         return rows.select(*self.schema.names)
 
-    def _buckets(self) -> Column:
-        """Buckets of the rows at hand: at most as many values as there are buckets."""
-        return F.collect_set(self.bucket()).alias("buckets")
-
     def index(self, settings: Settings | None = None) -> SearchIndex:
         """The newest version, searchable through its postings."""
         version = self.current()
@@ -242,7 +237,8 @@ class IndexStore:
         else:
             keys = ("bucket", "_shard")
             shards = self.settings.files_per_bucket
-            placed = rows.withColumn("bucket", self.bucket()).withColumn("_shard", _shard("uid", shards))
+            placed = rows.withColumn("bucket", _bucket(self.settings.buckets))
+            placed = placed.withColumn("_shard", _shard("uid", shards))
             placed = placed.repartition(self.settings.buckets * shards, *keys)
         if fields:
             placed = placed.persist(StorageLevel.DISK_ONLY)
@@ -273,7 +269,7 @@ class IndexStore:
         return terms, P.field_statistics(docs, self.text_fields, ("bucket",))
 
     def _write_base(self, rows: DataFrame, number: int) -> Version:
-        version = Version(number, number)
+        version = Version(number, number, buckets=self.settings.buckets)
         self._write_docs(rows, number, overlay=False)
         if self.text_fields:
             self._write_counts(*self._counts(version), number, overlay=False)
@@ -340,7 +336,7 @@ class IndexStore:
         self._touched(version).select("uid").distinct().write.mode("overwrite").parquet(
             self._folder("touched", number)
         )
-        return self._publish(Version(number, version.base, (number,)))
+        return self._publish(Version(number, version.base, (number,), version.buckets))
 
     def commit(self, compacted: DataFrame, batch_id: int | None = None) -> Commit | None:
         """Apply pending actions as a new version, ``None`` if there is nothing to do.
@@ -361,7 +357,7 @@ class IndexStore:
             F.count_if(base == "index").alias("indexed"),
             F.count_if((base != "index") & (F.size("attributes") > 0)).alias("updated"),
             F.count_if(base == "delete").alias("deleted"),
-            self._buckets(),
+            _buckets(version),
         ).first()
         if not summary["buckets"]:
             return None
@@ -375,7 +371,7 @@ class IndexStore:
         self._write_overlay(apply_changes(before, compacted), number, replaced=before)
         compacted.select("uid").write.mode("overwrite").parquet(self._folder("touched", number))
         counts = {name: summary[name] for name in ("indexed", "updated", "deleted")}
-        newest = Version(number, version.base, (*version.overlays, number))
+        newest = Version(number, version.base, (*version.overlays, number), version.buckets)
         self._publish(newest, batch_id, **counts, rejected=refused.count())
         if len(newest.overlays) >= self.settings.merge_after:
             newest = self.merge()
@@ -396,6 +392,15 @@ class IndexStore:
         return json.dumps(self.schema.jsonValue())
 
 
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("uid"), F.lit(buckets)).cast("int")
+
+
+def _buckets(version: Version) -> Column:
+    """Buckets of the rows at hand: at most as many values as the version has buckets."""
+    return F.collect_set(_bucket(version.buckets)).alias("buckets")
+
+
 def _shard(column: str, shards: int) -> Column:
     return F.pmod(F.hash(column), F.lit(shards))
 

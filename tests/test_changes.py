@@ -138,6 +138,11 @@ def test_store_replay_and_untouched_buckets(spark, tmp_path):
     assert store._read("docs", store.schema, after).where(F.col("v") == after.number).count() == 1
     assert store.commit(change, batch_id=5) is None and store.current() == after
     assert ("7", "z", "y") in rows_of(store) and len(rows_of(store)) == 39
+    # the base keeps its bucket count, whatever the settings say now
+    other = IndexStore(spark, str(tmp_path), REGISTRY, replace(PLAIN, buckets=9))
+    change = spark.createDataFrame([(str(n), 9, "reindex", ["b"], (None, "w")) for n in range(10, 20)], FEED)
+    assert commit_batch(other, change).refused.isEmpty()
+    assert sum(row[2] == "w" for row in rows_of(other)) == 10
     kept = rows_of(store)
     # the overlay is a large share of this small index
     assert store.merge().overlays == () and rows_of(store) == kept
