@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from findlark.config import materialise
 
 
+# Rows per task up to which a page is taken from the top of the order.
+SHALLOW = 10_000
+
+
 def sort_columns(keys: Sequence[tuple[str, bool]], columns: Sequence[str]) -> list[Column]:
     """Sort keys ``(name, descending)`` with nulls last, then score, then ``uid``."""
     order = []

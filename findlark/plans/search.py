@@ -132,10 +132,15 @@ class Results:
         return self._hits.select("uid", *names, "score")
 
     def page(self, start: int, size: int | None = None) -> DataFrame:
-        """Rows ``start`` to ``start + size`` of the order."""
-        return self._shown(
-            ordering.page(self._hits, self.order, start, size or self.settings.bulk_size)
-        )
+        """Rows ``start`` to ``start + size`` of the order.
+
+        Near the top Spark keeps the first rows of every task and merges them; far from it
+        the ranked table is used, so no task holds all rows before the page.
+        """
+        size = size or self.settings.bulk_size
+        if start + size > ordering.SHALLOW:
+            return self.deep_page(start, size)
+        return self._shown(ordering.page(self._hits, self.order, start, size))
 
     def ranked(self) -> DataFrame:
         """Ids with their place in the order, written once: deep pages are range filters on it."""

@@ -241,7 +241,7 @@ class IndexStore:
             placed = placed.withColumn("_shard", _shard("uid", shards))
             placed = placed.repartition(self.settings.buckets * shards, *keys)
         if fields:
-            placed = placed.persist(StorageLevel.DISK_ONLY)
+            placed = placed.persist(StorageLevel.MEMORY_AND_DISK)
         docs = placed.drop("_shard")
         if fields:
             docs = docs.withColumn("words", P.word_counts(fields))

@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from findlark import Settings, default_registry
+from findlark.operators import changes
+from findlark.plans import jobs
 from findlark.plans.search import SearchIndex
 from findlark.plans.store import IndexStore
 from findlark.sources.content import derive_rows
@@ -189,6 +191,34 @@ def test_paging(build):
     assert text[-1]["getId"] == "0119page"
 
 
+def test_pages_far_from_the_top(build, monkeypatch):
+    index = build([{"id": f"{n:04d}page", "Title": "Page"} for n in range(30)], Settings(bulk_size=5, buckets=2))
+    found = index.search({"Title": "page", "sort_on": "getId", "sort_order": "reverse"})
+    monkeypatch.setattr("findlark.operators.ordering.SHALLOW", 12)
+    wanted = {0: "0029", 12: "0017", 29: "0000", -2: "0001"}
+    assert {i: found[i]["getId"][:4] for i in wanted} == wanted
+    assert [r["getId"][:4] for r in found.page(20, 3).collect()] == ["0009", "0008", "0007"]
+
+
+def test_search_only_field_after_partial_update(spark, tmp_path):
+    """The field is not in the registry, is still searched, and forgets its old text."""
+    registry = default_registry().without("SearchableText", "Title")
+    settings = Settings(buckets=2)
+    items = [{"id": "a", "Title": "Fancy Title", "Description": "Fancy"}, {"id": "b", "Title": "Other"}]
+    store = IndexStore(spark, str(tmp_path), registry, settings)
+    jobs.rebuild(store, content(spark, items))
+    assert store.index().search({"SearchableText": "fancy"}).count() == 1
+    changed = content(spark, [{"id": "a", "Title": "Common Title", "Description": "Fancy"}])
+    rows = jobs.extract_rows(store, changed, ["Title", "SearchableText"])
+    feed = changes.feed_rows(rows, "reindex", F.lit(1).cast("long"), ["Title", "SearchableText"])
+    store.commit(changes.compact(feed.withColumn("payload", F.struct("payload.*", F.lit("x").alias("id")))))
+    index = store.index()
+    assert index.search({"SearchableText": "fancy"}).count() == 0
+    assert index.search({"SearchableText": "common"}).count() == 1
+    assert index.search({"Description": "fancy"}).count() == 1
+    assert index.search({"id": "a"}).count() == 1
+
+
 def test_highlight(build):
     settings = Settings(highlight=True, highlight_pre_tags="<em>", highlight_post_tags="</em>", buckets=2)
     index = build([{"id": "page", "Title": "Some Page"}, {"id": "x", "Title": "Other", "Description": "d"}], settings)
