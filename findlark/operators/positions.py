@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from findlark.config import materialise
 from findlark.operators.ordering import ranked
 
 
@@ -65,11 +66,11 @@ def move_members(
     the free places in their old order. Only containers with moves are returned, and the
     moves of one request are what is gathered per container, never its members.
     """
-    sizes = positions.join(moves.select(parent).distinct(), parent, "left_semi").groupBy(parent).agg(
-        (F.max("position") + 1).alias("_n")
-    )
+    concerned = positions.join(moves.select(parent).distinct(), parent, "left_semi")
+    concerned = materialise(concerned, "moved")
+    sizes = concerned.groupBy(parent).agg((F.max("position") + 1).alias("_n"))
     asked = (
-        moves.join(positions.select(parent, member, "position"), [parent, member])
+        moves.join(concerned.select(parent, member, "position"), [parent, member])
         .groupBy(parent)
         .agg(F.array_sort(F.collect_list(F.struct("position", "delta"))).alias("_moves"))
         .join(sizes, parent)
@@ -86,7 +87,7 @@ def move_members(
         F.transform("_moves", lambda m: m["position"]).alias("_from"),
         F.transform("_moves", target).alias("_to"),
     )
-    rows = positions.join(asked, parent)
+    rows = concerned.join(asked, parent)
     at = F.array_position(F.col("_from"), F.col("position")).cast("int")
     # rank among the unmoved, then one more place for every target at or before it
     rank = F.col("position") - F.size(F.filter("_from", lambda p: p < F.col("position")))

@@ -179,18 +179,15 @@ class Results:
             self._pages[start] = self.page(start, size).collect()
         return self._pages[start][place - start]
 
-    def rows(self, catalog: DataFrame, records: DataFrame) -> DataFrame:
-        """Hits with the catalog's row, or the index record's where the catalog has none."""
-        hits = self._shown(self._hits).withColumn("path", F.col("path.path"))
-        return join_catalog(hits, catalog, records)
-
-    def page_rows(
-        self, start: int, catalog: DataFrame, records: DataFrame, size: int | None = None
-    ) -> DataFrame:
+    def rows(self, catalog: DataFrame) -> DataFrame:
+        """Hits with the catalog's row, or their own index record where the catalog has none."""
+        return join_catalog(self._shown(self._hits).withColumn("path", F.col("path.path")), catalog)
+
+    def page_rows(self, start: int, catalog: DataFrame, size: int | None = None) -> DataFrame:
         """One page with its catalog rows, in order.
 
         The page is at most ``size`` rows, so its paths become a filter on the catalog scan
-        and neither the catalog nor the records are shuffled.
+        and the catalog is not shuffled.
         """
         page = self.page(start, size).withColumn("path", F.col("path.path"))
         found = page.collect()
@@ -199,4 +196,4 @@ class Results:
             [(*row, start + i) for i, row in enumerate(found)], schema
         )
         here = F.col("path").isin(sorted({row["path"] for row in found if row["path"]}))
-        return join_catalog(hits, catalog.where(here), records.where(here)).orderBy("place")
+        return join_catalog(hits, catalog.where(here)).orderBy("place")

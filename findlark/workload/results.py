@@ -157,8 +157,7 @@ def _catalog(spark, sf_dir):
 def hits_fallback_record(spark, sf_dir):
     rows = C.content(spark, sf_dir)
     found = SearchIndex(rows, C.CONTENT).search({"Language": {"not": "en"}})
-    stored = rows.select(F.col("path.path").alias("path"), "Title")
-    joined = found.rows(_catalog(spark, sf_dir), stored)
+    joined = found.rows(_catalog(spark, sf_dir))
     return joined.select("uid", "path", "row.rid", F.col("row.Title").alias("title"), "row.quality")
 
 
@@ -174,7 +173,7 @@ def hits_fallback_record(spark, sf_dir):
 def hits_catalog_left(spark, sf_dir):
     rows = C.content(spark, sf_dir)
     found = SearchIndex(rows, C.CONTENT).search({"Title": "the"})
-    joined = found.rows(_catalog(spark, sf_dir), rows.select(F.col("path.path").alias("path")))
+    joined = found.rows(_catalog(spark, sf_dir))
     return joined.select("uid", "row.rid", F.round("score", 4).alias("score"))
 
 

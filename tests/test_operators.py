@@ -7,12 +7,14 @@ import random
 import re
 from datetime import UTC, date, datetime
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from findlark import IndexSpec, Registry, Settings
 from findlark.functions import text as X
 from findlark.functions import values as V
+from findlark.operators import attachments as A
 from findlark.operators import ordering, postings
 from findlark.operators.catalogjoin import join_catalog
 from findlark.operators.positions import changed_positions, container_positions, move_members
@@ -236,6 +238,10 @@ def test_catalog_rows(spark):
     rows = {r["uid"]: r["row"] for r in join_catalog(hits, catalog, records).collect()}
     assert tuple(rows["1"]) == (10, "A") and tuple(rows["2"]) == (-1, "Gone Event")
     assert rows["3"] is None and tuple(rows["4"]) == (-1, None)
+    own = hits.withColumn("Title", F.concat(F.lit("t"), "uid"))
+    rows = {r["uid"]: r["row"] for r in join_catalog(own, catalog).collect()}
+    assert tuple(rows["1"]) == (10, "A") and tuple(rows["2"]) == (-1, "t2") and rows["3"] is None
+    assert join_catalog(own, catalog)._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
 
 
 def test_page_with_catalog_rows_keeps_order(spark):
@@ -244,9 +250,8 @@ def test_page_with_catalog_rows_keeps_order(spark):
         F.col("id").cast("string").alias("uid"), F.format_string("%02d", "id").alias("n"), V.path_struct(F.format_string("/d/%d", "id")).alias("path")
     )
     catalog = rows.where("n < '25'").select("path.path", F.col("uid").cast("int").alias("rid"))
-    records = rows.select("path.path")
     found = SearchIndex(rows, registry, Settings(bulk_size=10)).search({"sort_on": "n", "sort_order": "desc"})
-    got = [(r["n"], r["row"]["rid"]) for r in found.page_rows(0, catalog, records).collect()]
+    got = [(r["n"], r["row"]["rid"]) for r in found.page_rows(0, catalog).collect()]
     assert got == [(f"{n:02d}", n if n < 25 else -1) for n in range(29, 19, -1)]
 
 
@@ -279,6 +284,21 @@ def test_blob_fields_and_bytes(spark, tmp_path):
     assert read == {"file": b"one", "file2": b"two"}
 
 
+def test_extractor_of_the_caller(spark):
+    @F.pandas_udf("string")
+    def reverse(name: pd.Series, data: pd.Series) -> pd.Series:
+        return pd.Series([bytes(d).decode()[::-1] if n.endswith(".rev") else None for n, d in zip(name, data)])
+
+    files = spark.createDataFrame(
+        [("u", "file", "a.rev", b"cba"), ("u", "file2", "b.bin", b"xyz")], "uid string, fieldname string, filename string, data binary"
+    )
+    rows = spark.createDataFrame([("u", "text:"), ("v", None)], "uid string, SearchableText string")
+    filled = A.append_contents(rows, A.collect_attachments(A.extract_contents(files, reverse)), separator=" ")
+    got = {r["uid"]: r for r in filled.collect()}
+    assert got["u"]["SearchableText"] == "text: abc" and got["v"]["SearchableText"] is None
+    assert [a["data"] and bytes(a["data"]) for a in got["u"]["attachments"]] == [None, b"xyz"]
+
+
 def test_encyclopedia_pages(spark):
     html = (
         '<h1 id="firstHeading" class="x">Café <i>Noir</i></h1><div id="bodyContent"><p>Body</p>'
