@@ -36,7 +36,8 @@ def predicate(
 
 def allowed_for(column: str, principals: Iterable[str]) -> Column:
     """Rows whose allowed principals overlap the viewer's."""
-    return F.arrays_overlap(F.col(column), F.array(*[F.lit(p) for p in sorted(principals)]))
+    allowed = F.array(*[F.lit(p) for p in sorted(principals)]).cast("array<string>")
+    return F.arrays_overlap(F.col(column), allowed)
 
 
 def in_effect(column: str, schema: T.StructType, now: datetime | None = None) -> Column:
@@ -73,6 +74,8 @@ def _has(spec: IndexSpec, values: list[Any]) -> Column:
     """Any of ``values``, by token for analysed names, by element for multi-valued ones."""
     column = F.col(spec.column)
     ordered = sorted(values, key=repr)
+    if not ordered:
+        return F.lit(False)
     if spec.by_token:
         text = F.concat_ws("\n", column) if spec.many else column.cast("string")
         column, ordered = tokens(text), [str(value) for value in ordered]
@@ -101,6 +104,8 @@ def _date(name: str, value: Any, schema: T.StructType) -> Column | None:
 
 def _interval(name: str, value: Any, schema: T.StructType) -> Column | None:
     value, _ = _unwrap(value)
+    if value in (None, ""):
+        return None
     dtype = _leaf(schema, f"{name}.since")
     instant = instant_literal(value, dtype)
     return (F.col(f"{name}.since") <= instant) & (F.col(f"{name}.until") >= instant)

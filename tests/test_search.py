@@ -256,6 +256,8 @@ def test_restricted(build):
     )
     query = {"SearchableText": "page"}
     assert index.search(query).count() == 3
+    assert index.restricted_search(query, [], now=NOW).count() == 0
+    assert index.search({**query, "effectiveRange": None, "portal_type": [None]}).count() == 0
     assert index.restricted_search(query, ["Anonymous"], now=NOW).count() == 1
     assert index.restricted_search({**query, "show_inactive": True}, ["Anonymous"], now=NOW).count() == 2
     assert index.restricted_search(query, ["Anonymous", "Manager"], now=NOW, sees_inactive=True).count() == 3
