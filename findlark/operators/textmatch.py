@@ -26,6 +26,8 @@ SLOP = 2
 TITLE = "Title"
 MAIN_TEXT = "SearchableText"
 TITLE_BOOST = 2.0
+# columns of stored documents that are not attributes: part, hash bucket, word counts
+LAYOUT_COLUMNS = ("v", "bucket", "words")
 
 
 @dataclass(frozen=True)
@@ -86,6 +88,9 @@ class ScannedText:
     def __init__(self, docs: DataFrame, key: str = "uid"):
         self.docs, self.key = docs, key
 
+    def public(self, rows: DataFrame) -> DataFrame:
+        return rows
+
     def statistics(self, slots: Sequence[Slot]) -> Column:
         """One struct: documents and words per field, document count per slot."""
         fields = list(dict.fromkeys(slot.field for slot in slots))
@@ -154,6 +159,10 @@ class StoredText:
         self.docs, self.live = docs, live
         self.postings, self.term_stats, self.field_stats = postings, term_stats, field_stats
 
+    def public(self, rows: DataFrame) -> DataFrame:
+        """Rows without the columns of the storage layout."""
+        return rows.drop(*LAYOUT_COLUMNS)
+
     def _wanted(self, table: DataFrame, slots: Sequence[Slot]) -> DataFrame:
         """Rows of the wanted words only: the condition reaches the Parquet scan."""
         return table.where(reduce(or_, [s.selects(F.col("field"), F.col("term")) for s in slots]))
@@ -219,7 +228,7 @@ class StoredText:
         docs = self.docs if where is None else self.docs.where(where)
         fields = list(dict.fromkeys(slot.field for slot in slots))
         lengths = F.struct(*[F.col(f"words.{name}").alias(name) for name in fields])
-        return docs.withColumn("_len", lengths).join(found, ["uid", "v"]).drop("v", "bucket", "words")
+        return self.public(docs.withColumn("_len", lengths).join(found, ["uid", "v"]))
 
 
 # --- clauses over positions ---------------------------------------------------------------
@@ -331,7 +340,7 @@ def match_text(
     """
     clauses = [clause for clause in clauses if clause.words]
     if not clauses:
-        return source.docs.where(F.lit(False)).withColumn("score", F.lit(0.0))
+        return source.public(source.docs.where(F.lit(False))).withColumn("score", F.lit(0.0))
     slots = _slots(clauses)
     found = source.positions(where, slots)
     kept = [name for name in found.columns if name not in ("_at", "_len")]

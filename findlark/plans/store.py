@@ -26,7 +26,7 @@ from findlark.config import Scratch, Settings, folder_bytes, remove
 from findlark.functions.values import index_name
 from findlark.operators import postings as P
 from findlark.operators.changes import apply_changes, rejected
-from findlark.operators.textmatch import StoredText
+from findlark.operators.textmatch import LAYOUT_COLUMNS, StoredText
 from findlark.plans.search import SearchIndex
 from findlark.registry import Registry
 
@@ -79,6 +79,8 @@ class IndexStore:
         site: str = "/site",
         name: str | None = None,
     ):
+        if clash := {*LAYOUT_COLUMNS, "_shard"} & set(registry):
+            raise ValueError(f"these names are taken by the stored tables: {sorted(clash)}")
         self.spark, self.registry = spark, registry
         self.settings = settings or Settings()
         self.name = index_name(site, name)

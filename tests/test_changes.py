@@ -222,6 +222,11 @@ def test_synchronize_uncatalog_and_info(spark, tmp_path):
     assert found["size"] == "1 MB"
 
 
+def test_reserved_names_are_refused(spark, tmp_path):
+    with pytest.raises(ValueError):
+        IndexStore(spark, str(tmp_path), Registry([IndexSpec("bucket", "field")]))
+
+
 def test_retries():
     calls = []
 

@@ -237,7 +237,9 @@ def test_text_rules(build):
     assert index.search({"Title": "alpha"}).count() == 2  # title prefix
     assert index.search({"Description": "alpha"}).count() == 1
     assert index.search({"Title": "soup", "Description": "one"}).count() == 2  # clauses are or-ed
-    assert index.search({"SearchableText": ""}).count() == 0
+    nothing = index.search({"SearchableText": ""})
+    assert nothing.count() == 0
+    assert nothing.hits.columns == index.search({"SearchableText": "x"}).hits.columns
     assert index.search({"SearchableText": "*"}).count() == 0
     assert index.search({"Title": "*alpha beta*"}).count() == 1
     assert index.search({"Title": "alpha gamma"}).count() == 1  # one word between: within the slop
