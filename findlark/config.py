@@ -48,14 +48,20 @@ _fallback: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``, or a temporary one if unset."""
+    """Folder every executor can reach: ``spark.checkpoint.dir``.
+
+    Where it is unset, a single-process session (master ``local``) gets a temporary folder of
+    its own; on a cluster that is an error, for executors would write to disks of their own.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _fallback:
-        _fallback[app] = tempfile.mkdtemp(prefix="findlark-")
-    return _fallback[app]
+    context = spark.sparkContext
+    if not context.master.partition("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if context.applicationId not in _fallback:
+        _fallback[context.applicationId] = tempfile.mkdtemp(prefix="findlark-")
+    return _fallback[context.applicationId]
 
 
 def fresh_path(spark: SparkSession, tag: str) -> str:
