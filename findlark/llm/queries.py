@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from findlark.llm import mixing, warc
+from findlark.llm import mixing, pii, quality, warc
 from findlark.llm.common import table
 from findlark.workload.common import Catalogue
 
 QUERIES = Catalogue()
 
 
+@QUERIES.add()
+def op2_pii(spark, sf_dir):
+    """Personal data in all documents."""
+    return pii.personal_data(table(spark, sf_dir, "documents")).drop("found")
+
+
 @QUERIES.add(warc.SQL)
 def op8_warc(spark, sf_dir):
     """All pages written as archives and read back."""
@@ -22,3 +28,9 @@ def op9_mixing(spark, sf_dir):
     """All documents mixed at one and a half times their size."""
     rows = mixing.mix(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@QUERIES.add()
+def op10_quality(spark, sf_dir):
+    """Counts and verdict of all documents."""
+    return quality.judge(table(spark, sf_dir, "documents"))

@@ -1,0 +1,43 @@
+"""Plain Python forms of the operators, written from their contracts."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+
+KINDS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(number: str) -> bool:
+    total = 0
+    for i, c in enumerate(reversed(number)):
+        d = int(c) * (1 + i % 2)
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def base_spans(text: str | None) -> list[tuple[str, int, int]]:
+    out = []
+    for kind, pattern in KINDS.items():
+        for m in re.finditer(pattern, text or ""):
+            number = re.sub("[^0-9]", "", m[0])
+            if kind == "ip" and any(int(p) > 255 for p in m[0].split(".")):
+                continue
+            if kind == "card" and not (16 <= len(number) <= 19 and luhn(number)):
+                continue
+            if kind == "phone" and not 8 <= len(number) <= 15:
+                continue
+            out.append((kind, m.start(), m.end()))
+    return out
+
+
+def base_pii(doc_id, text) -> tuple:
+    spans = base_spans(text)
+    counts = [sum(s[0] == kind for s in spans) for kind in KINDS]
+    joined = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+    return (doc_id, *counts, hashlib.sha256(joined.encode()).hexdigest())
