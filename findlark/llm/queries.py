@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from findlark.llm import mixing, pii, quality, warc
+from pyspark.sql import functions as F
+
+from findlark.llm import langid, mixing, pii, quality, simhash, warc
 from findlark.llm.common import table
 from findlark.workload.common import Catalogue
 
@@ -15,6 +17,23 @@ def op2_pii(spark, sf_dir):
     return pii.personal_data(table(spark, sf_dir, "documents")).drop("found")
 
 
+@QUERIES.add()
+def op4_langid(spark, sf_dir):
+    """Languages of all documents, learned from three quarters of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    rows = langid.identify(docs.withColumn("held_out", langid.is_held_out()))
+    return rows.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@QUERIES.add()
+def op5_simhash(spark, sf_dir):
+    """Fingerprints of all documents and the components they link in."""
+    rows = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 @QUERIES.add(warc.SQL)
 def op8_warc(spark, sf_dir):
     """All pages written as archives and read back."""
