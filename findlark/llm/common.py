@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -103,4 +103,42 @@ def batches_of(
             start, base = stop, int(ends[stop - 1])
 
 
-Task = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with the id as long and ``text_key``, a hash that tells texts of one id apart."""
+    return docs.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text_key", F.xxhash64("text"))
+
+
+def packed(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """``docs`` with the text as compressed bytes ``_packed`` of ``_size``, for joins by id.
+
+    With ``carry`` all other columns come along and the id is repeated as ``_doc``; without, the
+    result is ``doc_id, text_key, _packed, _size``.
+    """
+    rows = docs.withColumn("text_key", F.xxhash64("text"))
+    if carry:
+        rows = rows.withColumn("_doc", F.col("doc_id").cast("long"))
+    else:
+        rows = rows.select(F.col("doc_id").cast("long"), "text_key", "text")
+    kept = [f for f in rows.schema.fields if f.name != "text"]
+    added = [T.StructField("_packed", T.BinaryType()), T.StructField("_size", T.LongType())]
+    schema = T.StructType([*kept, *added])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd", 1)
+        for batch in batches:
+            texts = [t.as_buffer() for t in batch.column(batch.schema.get_field_index("text"))]
+            data = pa.array([None if t is None else codec.compress(t, asbytes=True) for t in texts], pa.binary())
+            sizes = pa.array([0 if t is None else t.size for t in texts], pa.int64())
+            own = [batch.column(batch.schema.get_field_index(f.name)) for f in kept]
+            yield pa.RecordBatch.from_arrays([*own, data, sizes], schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
+def unpack_bytes(data: bytes | None, size: int) -> bytes:
+    return b"" if data is None or not size else pa.Codec("zstd").decompress(data, size, asbytes=True)
+
+
+def unpack(data: bytes | None, size: int) -> str | None:
+    """The text :func:`packed` compressed."""
+    return None if data is None else unpack_bytes(data, size).decode("utf-8", "surrogatepass")

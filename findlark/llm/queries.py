@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from findlark.llm import langid, mixing, pii, quality, simhash, warc
+from findlark.llm import langid, lines, mixing, pii, quality, simhash, warc
 from findlark.llm.common import table
 from findlark.workload.common import Catalogue
 
@@ -34,6 +34,15 @@ def op5_simhash(spark, sf_dir):
     )
 
 
+@QUERIES.add()
+def op7_lines(spark, sf_dir):
+    """All documents without repeated chunks of lines."""
+    rows = lines.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select(
+        "doc_id", "lines_before", "lines_removed", F.sha2("text", 256).alias("kept_sha256"), "text"
+    )
+
+
 @QUERIES.add(warc.SQL)
 def op8_warc(spark, sf_dir):
     """All pages written as archives and read back."""
