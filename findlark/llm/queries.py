@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from findlark.llm import langid, lines, mixing, pii, quality, simhash, warc
+from findlark.llm import decontaminate, langid, lines, mixing, pii, quality, simhash, warc
 from findlark.llm.common import table
 from findlark.workload.common import Catalogue
 
@@ -17,6 +17,12 @@ def op2_pii(spark, sf_dir):
     return pii.personal_data(table(spark, sf_dir, "documents")).drop("found")
 
 
+@QUERIES.add()
+def op3_decontaminate(spark, sf_dir):
+    """Documents that hold a benchmark item, as it is or filled in anew."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @QUERIES.add()
 def op4_langid(spark, sf_dir):
     """Languages of all documents, learned from three quarters of them."""
