@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 from collections.abc import Iterator, Sequence
 
@@ -83,6 +84,16 @@ def running_sums(
     return out.drop("_part", *[f"_off_{v}" for v in values])
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished steps now, not at the driver's next collection.
+
+    Spark removes them when the driver's JVM finds a step unreachable; between large steps whose
+    results have been written that is worth asking for.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def batches_of(
     batches: Iterator[pa.RecordBatch], column: str, limit: int
 ) -> Iterator[pa.RecordBatch]:

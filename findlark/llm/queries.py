@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from findlark.llm import decontaminate, langid, lines, mixing, pii, quality, simhash, warc
+from findlark.llm import decontaminate, langid, lines, mixing, pii, quality, simhash, substrings, warc
 from findlark.llm.common import table
 from findlark.workload.common import Catalogue
 
 QUERIES = Catalogue()
 
 
+@QUERIES.add()
+def op1_substrings(spark, sf_dir):
+    """All documents without bytes of 100-byte strings that start earlier."""
+    return substrings.deduplicate(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @QUERIES.add()
 def op2_pii(spark, sf_dir):
     """Personal data in all documents."""
