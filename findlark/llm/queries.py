@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from findlark.llm import decontaminate, langid, lines, mixing, pii, quality, simhash, substrings, warc
+from findlark.llm import decontaminate, langid, lines, mixing, passages, pii, quality, simhash, substrings, warc
 from findlark.llm.common import table
 from findlark.workload.common import Catalogue
 
@@ -46,6 +46,12 @@ def op5_simhash(spark, sf_dir):
     )
 
 
+@QUERIES.add()
+def op6_passages(spark, sf_dir):
+    """Documents that share near-duplicate passages of 50 words or more, and their classes."""
+    return passages.near_passages(table(spark, sf_dir, "documents"))
+
+
 @QUERIES.add()
 def op7_lines(spark, sf_dir):
     """All documents without repeated chunks of lines."""
