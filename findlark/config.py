@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -19,18 +20,24 @@ class Settings:
     bulk_size: int = 50
     highlight: bool = False
     highlight_threshold: int = 600
+    highlight_fragments: int = 5
+    highlight_fragment_chars: int = 100
     highlight_pre_tags: str = ""
     highlight_post_tags: str = ""
     # opt-in deviations from the default query rules
     honour_operator: bool = False
     strict_subtree: bool = False
+    # partitions to spread documents over before their text is analysed; 0 leaves the scan's
+    # own splits, which suit tables of many files
+    scan_partitions: int = 0
     # failed batches of the change feed
     retries: int = 3
     retry_seconds: float = 30.0
-    # physical layout: hash buckets of documents, files written per bucket, the number of
-    # commits after which their overlays are folded into one, and the share of all bytes
-    # above which they are folded into the base
-    buckets: int = 16
+    # physical layout: hash buckets of documents (0: one for every ``bucket_bytes`` of text),
+    # files written per bucket, the number of overlays at which folding them is due, and the
+    # share of all bytes above which they are folded into the base
+    buckets: int = 0
+    bucket_bytes: int = 1 << 28
     files_per_bucket: int = 1
     merge_after: int = 32
     merge_share: float = 0.1
@@ -69,9 +76,14 @@ def fresh_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/findlark/{tag}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back, which also cuts its lineage."""
+def materialise(df: DataFrame, tag: str, written: list[str] | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back, which also cuts its lineage.
+
+    The path is added to ``written``, for whoever is to remove the table.
+    """
     path = fresh_path(df.sparkSession, tag)
+    if written is not None:
+        written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -107,6 +119,36 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(folder, True)
 
 
+def create_exclusive(spark: SparkSession, path: str, data: bytes) -> bool:
+    """Create a file with the given content; ``False`` if there is one already."""
+    files, file = _file_system(spark, path)
+    try:
+        stream = files.create(file, False)
+    except Py4JJavaError as problem:
+        if "FileAlreadyExists" in str(problem.java_exception):
+            return False
+        raise
+    stream.write(bytearray(data))
+    stream.close()
+    return True
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in a folder, none if there is no such folder."""
+    files, folder = _file_system(spark, path)
+    return [status.getPath().getName() for status in files.listStatus(folder)] if files.exists(folder) else []
+
+
+def file_text(spark: SparkSession, path: str) -> str:
+    """Content of a small file."""
+    files, file = _file_system(spark, path)
+    stream = files.open(file)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def folder_bytes(spark: SparkSession, path: str) -> int:
     """Bytes of all files below a folder, from the file system's own summary."""
     files, folder = _file_system(spark, path)
@@ -127,19 +169,3 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     for name, value in SESSION_OPTIONS.items():
         builder = builder.config(name, value)
     return builder
-
-
-# Below this estimated size a shuffle costs less than leaving cores idle.
-SMALL_INPUT = 256 << 20
-
-
-def spread_small(rows: DataFrame, key: str) -> DataFrame:
-    """Spread input over the cores before costly row-wise work, if it is small.
-
-    A small table may sit in one file that Spark cannot split. Larger ones are left as they
-    are: their splits already outnumber the cores.
-    """
-    estimate = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(estimate) >= SMALL_INPUT:
-        return rows
-    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, key)

@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 TOKEN_PATTERN = r"[\p{L}\p{N}_]+"
 PIECE_PATTERN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+"
 FRAGMENT_CHARS = 100
-# a run of up to FRAGMENT_CHARS characters that ends before whitespace, or one longer word
-FRAGMENT_PATTERN = rf"(?s)\S.{{0,{FRAGMENT_CHARS - 1}}}(?:\s|\z)|\S+"
 
 
 def tokens(text: Column) -> Column:
@@ -35,9 +33,11 @@ def trim_stars(text: Column) -> Column:
     return F.regexp_replace(text, r"^\*+|\*+$", "")
 
 
-def fragments(text: Column) -> Column:
-    """Text cut into trimmed runs of about a hundred characters."""
-    runs = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(FRAGMENT_PATTERN), F.lit(0))
+def fragments(text: Column, chars: int = FRAGMENT_CHARS) -> Column:
+    """Text cut into trimmed runs of about ``chars`` characters."""
+    # a run of up to that many that ends before whitespace, or one longer word
+    pattern = rf"(?s)\S.{{0,{chars - 1}}}(?:\s|\z)|\S+"
+    runs = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), F.lit(0))
     return F.transform(runs, lambda run: F.regexp_replace(run, r"^\s+|\s+$", ""))
 
 

@@ -22,10 +22,11 @@ def payload_names(feed: DataFrame) -> list[str]:
     return payload.names
 
 
-def compact(feed: DataFrame, partial: str = "merge") -> DataFrame:
+def compact(feed: DataFrame, every: Sequence[str], partial: str = "merge") -> DataFrame:
     """One row per uid: ``(uid, base, attributes, payload)``.
 
-    ``base`` is ``index``, ``delete`` or null; ``attributes`` lists what a partial update
+    ``every`` names the attributes of the index: a change that names all of them is a full
+    index, however narrow or wide its payload is. ``base`` is ``index``, ``delete`` or null; ``attributes`` lists what a partial update
     sets (all of them for an index). Only the last full index or delete and the last value
     of each attribute matter, so this is one aggregation whose per-map partial results
     are one row per uid, however many changes a single uid has.
@@ -35,7 +36,7 @@ def compact(feed: DataFrame, partial: str = "merge") -> DataFrame:
     """
     names = payload_names(feed)
     named = F.coalesce(F.col("attributes"), F.array().cast("array<string>"))
-    everything = F.array(*[F.lit(name) for name in names])
+    everything = F.array(*[F.lit(name) for name in every]).cast("array<string>")
     covers = (F.size(named) == 0) | (F.size(F.array_except(everything, named)) == 0)
     removal = F.col("op") == "unindex"
     full = ~removal & covers

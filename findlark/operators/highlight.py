@@ -9,11 +9,11 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from findlark.functions.text import fragments, pieces
+from findlark.functions.text import FRAGMENT_CHARS, fragments, pieces
 from findlark.operators.textmatch import Slot
 
-MAX_FRAGMENTS = 5
 SEPARATOR = " ... "
+EXTRACT = "extract"
 
 
 def _is_match(word: Column, words: Sequence[Slot]) -> Column:
@@ -24,8 +24,10 @@ def _is_match(word: Column, words: Sequence[Slot]) -> Column:
     return reduce(or_, tests)
 
 
-def highlight_fragments(text: Column, words: Sequence[Slot], pre: str, post: str) -> Column:
-    """The five fragments with most matches, in descending match count, matches wrapped.
+def highlight_fragments(
+    text: Column, words: Sequence[Slot], pre: str, post: str, count: int = 5, chars: int = FRAGMENT_CHARS
+) -> Column:
+    """The ``count`` fragments with most matches, in descending match count, matches wrapped.
 
     Each is ``struct<order, matches, fragment>``; ``order`` is its place in the text.
     """
@@ -46,14 +48,14 @@ def highlight_fragments(text: Column, words: Sequence[Slot], pre: str, post: str
             F.array_join(marked, "").alias("fragment"),
         )
 
-    hits = F.filter(F.transform(fragments(text), mark), lambda f: f["matches"] > 0)
+    hits = F.filter(F.transform(fragments(text, chars), mark), lambda f: f["matches"] > 0)
 
     def by_rank(a: Column, b: Column) -> Column:
         fewer = a["matches"] < b["matches"]
         later = (a["matches"] == b["matches"]) & (a["order"] > b["order"])
         return F.when(fewer | later, 1).otherwise(-1)
 
-    return F.slice(F.array_sort(hits, by_rank), 1, MAX_FRAGMENTS)
+    return F.slice(F.array_sort(hits, by_rank), 1, count)
 
 
 def join_fragments(found: Column, threshold: int) -> Column:
@@ -80,11 +82,16 @@ def describe_hits(
     pre: str,
     post: str,
     threshold: int,
+    count: int = 5,
+    chars: int = FRAGMENT_CHARS,
     text: str = "SearchableText",
     description: str = "Description",
 ) -> DataFrame:
-    """Replace the description by the highlighted extract where there is one."""
-    found = highlight_fragments(F.col(text), words, pre, post)
-    extract = F.nullif(join_fragments(found, threshold), F.lit(""))
+    """Replace the description by the highlighted extract where there is one.
+
+    The extract itself, null without one, is in ``extract``.
+    """
+    found = highlight_fragments(F.col(text), words, pre, post, count, chars)
     plain = F.col(description) if description in hits.columns else F.lit(None).cast("string")
-    return hits.withColumn(description, F.coalesce(extract, plain))
+    hits = hits.withColumn(EXTRACT, F.nullif(join_fragments(found, threshold), F.lit("")))
+    return hits.withColumn(description, F.coalesce(EXTRACT, plain))

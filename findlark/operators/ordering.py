@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 from findlark.config import materialise
 
 
-# Rows per task up to which a page is taken from the top of the order.
-SHALLOW = 10_000
-
-
 def sort_columns(keys: Sequence[tuple[str, bool]], columns: Sequence[str]) -> list[Column]:
     """Sort keys ``(name, descending)`` with nulls last, then score, then ``uid``."""
     order = []
@@ -33,17 +29,21 @@ def page(rows: DataFrame, order: Sequence[Column], start: int, size: int) -> Dat
 
 
 def ranked(
-    rows: DataFrame, order: Sequence[Column], rank: str = "rank", part: str | None = None
+    rows: DataFrame,
+    order: Sequence[Column],
+    rank: str = "rank",
+    part: str | None = None,
+    scratch: list[str] | None = None,
 ) -> DataFrame:
     """Rows with their 0-based position in the whole order, for deep paging and batches.
 
     A range-partitioned sort is written once with the row's number inside its partition;
     the partition sizes, one row per partition, give the offsets. No task sees more than
     its own range, and ties are spread because ``order`` ends in a unique key. ``part`` names
-    a column to keep the number of the range in.
+    a column to keep the number of the range in; the path of the table is added to ``scratch``.
     """
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    ordered = materialise(ordered.withColumn("_number", F.monotonically_increasing_id()), "ranked")
+    ordered = materialise(ordered.withColumn("_number", F.monotonically_increasing_id()), "ranked", scratch)
     # Spark puts the partition above the lower 33 bits and the row number into them
     ordered = ordered.withColumn("_part", F.shiftright("_number", 33))
     sizes = ordered.groupBy("_part").agg(F.count("*").alias("_size"))

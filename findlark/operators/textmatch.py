@@ -17,7 +17,6 @@ from operator import add, and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from findlark.config import spread_small
 from findlark.functions.text import query_tokens, strip_stars, tokens
 
 K1 = 1.2
@@ -83,10 +82,21 @@ def _slots(clauses: Sequence[Clause]) -> list[Slot]:
 
 
 class ScannedText:
-    """Positions read from the text columns of the documents, without any index."""
+    """Positions read from the text columns of the documents, without any index.
 
-    def __init__(self, docs: DataFrame, key: str = "uid"):
-        self.docs, self.key = docs, key
+    ``partitions`` spreads the documents before they are analysed, for tables in so few files
+    that cores would be idle; it costs a shuffle of what is read. 0 leaves the scan's splits.
+    """
+
+    def __init__(self, docs: DataFrame, key: str = "uid", partitions: int = 0):
+        self.docs, self.key, self.partitions = docs, key, partitions
+
+    @property
+    def fields(self) -> list[str]:
+        return self.docs.columns
+
+    def _spread(self, rows: DataFrame) -> DataFrame:
+        return rows.repartition(self.partitions, self.key) if self.partitions else rows
 
     def public(self, rows: DataFrame) -> DataFrame:
         return rows
@@ -94,7 +104,7 @@ class ScannedText:
     def statistics(self, slots: Sequence[Slot]) -> Column:
         """One struct: documents and words per field, document count per slot."""
         fields = list(dict.fromkeys(slot.field for slot in slots))
-        docs = spread_small(self.docs.select(self.key, *fields), self.key)
+        docs = self._spread(self.docs.select(self.key, *fields))
         words = docs.select(*[tokens(F.col(f)).alias(f"w{i}") for i, f in enumerate(fields)])
         figures = []
         for i, field in enumerate(fields):
@@ -111,7 +121,7 @@ class ScannedText:
         docs = self.docs if where is None else self.docs.where(where)
         # a word can only occur where its letters do: spares the others the analysis
         likely = [F.lower(F.col(slot.field)).contains(slot.term) for slot in slots]
-        docs = spread_small(docs.where(F.coalesce(reduce(or_, likely), F.lit(False))), self.key)
+        docs = self._spread(docs.where(F.coalesce(reduce(or_, likely), F.lit(False))))
         fields = list(dict.fromkeys(slot.field for slot in slots))
         words = docs.select("*", *[tokens(F.col(f)).alias(f"_w{i}") for i, f in enumerate(fields)])
         found = words.select(
@@ -159,6 +169,10 @@ class StoredText:
         self.docs, self.live = docs, live
         self.postings, self.term_stats, self.field_stats = postings, term_stats, field_stats
 
+    @property
+    def fields(self) -> list[str]:
+        return self.docs.schema["words"].dataType.names
+
     def public(self, rows: DataFrame) -> DataFrame:
         """Rows without the columns of the storage layout."""
         return rows.drop(*LAYOUT_COLUMNS)
@@ -338,7 +352,8 @@ def match_text(
 
     Word and document counts come from the whole field, not only from the filtered rows.
     """
-    clauses = [clause for clause in clauses if clause.words]
+    # a field that the rows do not have matches nothing
+    clauses = [clause for clause in clauses if clause.words and clause.field in source.fields]
     if not clauses:
         return source.public(source.docs.where(F.lit(False))).withColumn("score", F.lit(0.0))
     slots = _slots(clauses)

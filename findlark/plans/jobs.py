@@ -51,6 +51,11 @@ def rebuild(store: IndexStore, content: DataFrame, **options) -> dict[str, float
 
 def synchronize(store: IndexStore, content: DataFrame, **options) -> dict[str, int]:
     """Index what the catalog has and the index lacks, delete what only the index has."""
+    version = store.current()
+    if version is not None and not version.parts and store.settings.enabled:
+        # nothing is indexed: a base, not one overlay with everything
+        store.rebuild(extract_rows(store, content, **options))
+        return {"indexed": store.rows().count(), "deleted": 0}
     rows = store.rows()
     missing = content.join(reconcile.not_indexed(content, rows), "uid", "left_semi")
     fresh = extract_rows(store, missing, **options)
@@ -67,19 +72,16 @@ def uncatalog(store: IndexStore, catalog: DataFrame, paths: DataFrame) -> Commit
     return store.commit(changes.deletes(ids, attributes))
 
 
-def info(store: IndexStore, catalog: DataFrame, queries: int = 0) -> DataFrame:
+def info(store: IndexStore, catalog: DataFrame) -> DataFrame:
     """Index name, document counts, deleted documents, size and query count in one row."""
     version = store.current()
-    log = store.versions()
-    deleted = log.agg(F.coalesce(F.sum("deleted"), F.lit(0)).alias("d")).scalar()
-    size = log.agg(F.max_by("bytes", "version").alias("b")).scalar()
     counts = reconcile.doc_counts(catalog, store.rows(version))
     return counts.select(
         F.lit(store.name).alias("index_name"),
         F.lit(version.number if version else None).cast("long").alias("version"),
         "catalog_docs",
         "index_docs",
-        deleted.alias("deleted_docs"),
-        size_mb(F.coalesce(size, F.lit(0))).alias("size"),
-        F.lit(queries).alias("query_count"),
+        F.lit(version.deleted_total if version else 0).cast("long").alias("deleted_docs"),
+        size_mb(F.lit(version.bytes if version else 0)).alias("size"),
+        F.lit(version.queries_total if version else 0).cast("long").alias("query_count"),
     )

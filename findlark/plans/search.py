@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -9,12 +10,11 @@ from typing import Any
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from findlark.config import Settings, materialise
+from findlark.config import Settings, materialise, remove
 from findlark.operators import ordering
 from findlark.operators.catalogjoin import join_catalog
-from findlark.operators.highlight import describe_hits
+from findlark.operators.highlight import EXTRACT, describe_hits
 from findlark.operators.predicates import allowed_for, in_effect
 from findlark.operators.textmatch import ScannedText, StoredText, highlight_words, match_text
 from findlark.plans.query import Assembler, CompiledQuery, compile_query
@@ -34,7 +34,7 @@ class SearchIndex:
 
     def __post_init__(self) -> None:
         if self.text is None:
-            self.text = ScannedText(self.rows)
+            self.text = ScannedText(self.rows, partitions=self.settings.scan_partitions)
 
     def search(
         self, query: Mapping[str, Any], row_factory: Callable[[DataFrame], DataFrame] | None = None
@@ -60,9 +60,11 @@ class SearchIndex:
     ) -> Results:
         """Search limited to what the principals may see and, by default, to what is in effect."""
         visible = allowed_for("allowedRolesAndUsers", principals)
-        query = dict(query)
+        # the viewer's own conditions take the place of what the caller asks for on these keys
+        query = {name: spec for name, spec in query.items() if name != "allowedRolesAndUsers"}
         if not query.pop("show_inactive", False) and not sees_inactive:
             visible &= in_effect("effectiveRange", self.rows.schema, now)
+            query.pop("effectiveRange", None)
         inner = self.assemble
 
         def with_visibility(*args) -> CompiledQuery:
@@ -78,10 +80,13 @@ class SearchIndex:
 class Results:
     """The full, lazy result of a search.
 
-    ``hits`` is unordered and has every index column and ``score``. Indexing fetches one
-    page of ``bulk_size`` rows at a time and keeps it.
+    ``hits`` is unordered and has every index column and ``score``. Indexing with a number
+    fetches one page of ``bulk_size`` rows of the ranked result and keeps the latest few; a
+    slice is a lazy frame. :meth:`close` removes the ranked table.
     """
 
+    PAGES_KEPT = 8
+
     def __init__(
         self,
         hits: DataFrame,
@@ -91,9 +96,10 @@ class Results:
     ):
         self.plan, self.settings = plan, settings
         self._hits, self._factory = hits, row_factory
-        self._pages: dict[int, list[Row]] = {}
+        self._pages: OrderedDict[int, list[Row]] = OrderedDict()
         self._count: int | None = None
         self._ranked: DataFrame | None = None
+        self._scratch: list[str] = []
 
     @property
     def order(self) -> list:
@@ -104,7 +110,7 @@ class Results:
         dtype = self._hits.schema[name].dataType
         return f"{name}.path" if "path" in getattr(dtype, "names", ()) else name
 
-    def _shown(self, rows: DataFrame) -> DataFrame:
+    def _shown(self, rows: DataFrame, extract: bool = False) -> DataFrame:
         """Highlighting and the caller's row function, for the rows that are shown."""
         if self.settings.highlight and "SearchableText" in rows.columns:
             pre, post = self.settings.tags
@@ -114,7 +120,10 @@ class Results:
                 pre=pre,
                 post=post,
                 threshold=self.settings.highlight_threshold,
+                count=self.settings.highlight_fragments,
+                chars=self.settings.highlight_fragment_chars,
             )
+            rows = rows if extract else rows.drop(EXTRACT)
         return rows.transform(self._factory) if self._factory else rows
 
     @property
@@ -132,14 +141,12 @@ class Results:
         return self._hits.select("uid", *names, "score")
 
     def page(self, start: int, size: int | None = None) -> DataFrame:
-        """Rows ``start`` to ``start + size`` of the order.
+        """Rows ``start`` to ``start + size`` of the order, for a page near the top.
 
-        Near the top Spark keeps the first rows of every task and merges them; far from it
-        the ranked table is used, so no task holds all rows before the page.
+        Spark keeps the first ``start + size`` rows of every task and merges them; far from
+        the top :meth:`deep_page` is the one to call.
         """
         size = size or self.settings.bulk_size
-        if start + size > ordering.SHALLOW:
-            return self.deep_page(start, size)
         return self._shown(ordering.page(self._hits, self.order, start, size))
 
     def ranked(self) -> DataFrame:
@@ -149,15 +156,25 @@ class Results:
             keys = self._hits.select(*dict.fromkeys(["uid", *names, "score"]))
             if self.plan.has_text:
                 # a range sort reads its input twice, to sample and to sort
-                keys = materialise(keys, "hits")
-            self._ranked = ordering.ranked(keys, self.order)
+                keys = materialise(keys, "hits", self._scratch)
+            self._ranked = ordering.ranked(keys, self.order, scratch=self._scratch)
         return self._ranked
 
+    def close(self) -> None:
+        """Remove the tables the ranked result was written to."""
+        if self._ranked is not None:
+            spark, self._ranked = self._ranked.sparkSession, None
+            for path in self._scratch:
+                remove(spark, path)
+            self._pages.clear()
+
     def deep_page(self, start: int, size: int | None = None) -> DataFrame:
         """As :meth:`page`, for a start far into the result."""
-        wanted = ordering.deep_page(self.ranked(), start, size or self.settings.bulk_size)
-        rows = self._hits.join(wanted.select("uid", "rank"), "uid").orderBy("rank").drop("rank")
-        return self._shown(rows)
+        return self._shown(self._placed(start, size or self.settings.bulk_size).orderBy("rank").drop("rank"))
+
+    def _placed(self, start: int, size: int) -> DataFrame:
+        wanted = ordering.deep_page(self.ranked(), start, size)
+        return self._hits.join(wanted.select("uid", "rank"), "uid")
 
     def count(self) -> int:
         if self._count is None:
@@ -167,33 +184,46 @@ class Results:
     def __len__(self) -> int:
         return self.count()
 
-    def __getitem__(self, key: int | slice) -> Row | list[Row]:
+    def __getitem__(self, key: int | slice) -> Row | DataFrame:
         if isinstance(key, slice):
-            return [self[i] for i in range(*key.indices(self.count()))]
+            places = range(*key.indices(self.count()))
+            if not places:
+                return self._shown(self._hits.limit(0))
+            low, high = min(places[0], places[-1]), max(places[0], places[-1])
+            rows = self._placed(low, high - low + 1).where((F.col("rank") - places[0]) % abs(places.step) == 0)
+            return self._shown(rows.orderBy(F.col("rank") * (1 if places.step > 0 else -1)).drop("rank"))
         place = key + self.count() if key < 0 else key
         if not 0 <= place < self.count():
             raise IndexError(key)
         size = self.settings.bulk_size
         start = place // size * size
         if start not in self._pages:
-            self._pages[start] = self.page(start, size).collect()
+            self._pages[start] = self.deep_page(start, size).collect()
+            if len(self._pages) > self.PAGES_KEPT:
+                self._pages.popitem(last=False)
         return self._pages[start][place - start]
 
     def rows(self, catalog: DataFrame) -> DataFrame:
         """Hits with the catalog's row, or their own index record where the catalog has none."""
-        return join_catalog(self._shown(self._hits).withColumn("path", F.col("path.path")), catalog)
+        return self._with_catalog(self._hits, catalog)
+
+    def _with_catalog(self, hits: DataFrame, catalog: DataFrame) -> DataFrame:
+        shown = self._shown(hits, extract=True).withColumn("path", F.col("path.path"))
+        joined = join_catalog(shown, catalog)
+        if EXTRACT not in joined.columns:
+            return joined
+        # the row that is handed to the user shows the extract too, whoever it comes from
+        row = F.col("row")
+        if "Description" in catalog.columns:
+            told = F.when(F.col(EXTRACT).isNull(), row["Description"]).otherwise(F.col(EXTRACT))
+            row = F.when(row.isNotNull(), row.withField("Description", told))
+        return joined.withColumn("row", row).drop(EXTRACT)
 
     def page_rows(self, start: int, catalog: DataFrame, size: int | None = None) -> DataFrame:
-        """One page with its catalog rows, in order.
+        """One page with its catalog rows, in order, and their ``place``.
 
-        The page is at most ``size`` rows, so its paths become a filter on the catalog scan
-        and the catalog is not shuffled.
+        The catalog is reduced to the paths of the page before it is joined.
         """
-        page = self.page(start, size).withColumn("path", F.col("path.path"))
-        found = page.collect()
-        schema = T.StructType([*page.schema.fields, T.StructField("place", T.IntegerType())])
-        hits = page.sparkSession.createDataFrame(
-            [(*row, start + i) for i, row in enumerate(found)], schema
-        )
-        here = F.col("path").isin(sorted({row["path"] for row in found if row["path"]}))
-        return join_catalog(hits, catalog.where(here)).orderBy("place")
+        hits = self._placed(start, size or self.settings.bulk_size).withColumnRenamed("rank", "place")
+        paths = hits.select(F.col("path.path").alias("path"))
+        return self._with_catalog(hits, catalog.join(paths, "path", "left_semi")).orderBy("place")

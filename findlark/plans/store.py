@@ -6,23 +6,35 @@ counts, and the touched ids. Readers take the newest row of every id, so a commi
 what its batch costs. After some commits the overlays are folded into one, and into a new
 base when they have grown to a share of it.
 
-A version becomes visible by one row appended to the ``versions`` table. A commit that fails
-before that leaves only files nobody reads.
+A version becomes visible by one small file named after its number, created only if there is
+none: of two writers from the same head one is first, and the other starts again from the new
+head. Parts have numbers of their own, drawn for each attempt, so attempts never share a folder,
+and one that fails leaves only files nobody reads. The file of a version holds all that is
+needed of the log: totals, sizes of parts, and the last batch of every stream of batches.
 """
 
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
-from functools import cached_property
+import random
+from collections.abc import Callable, Mapping
+from dataclasses import asdict, dataclass, field, fields, replace
+from functools import cached_property, reduce
+from operator import add
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.storagelevel import StorageLevel
 
-from findlark.config import Scratch, Settings, folder_bytes, remove
+from findlark.config import (
+    Scratch,
+    Settings,
+    create_exclusive,
+    file_names,
+    file_text,
+    folder_bytes,
+    remove,
+)
 from findlark.functions.values import index_name
 from findlark.operators import postings as P
 from findlark.operators.changes import apply_changes, rejected
@@ -31,9 +43,13 @@ from findlark.plans.search import SearchIndex
 from findlark.registry import Registry
 
 _VERSIONS = (
-    "version long, batch_id long, base long, overlays array<long>, buckets int, "
-    "indexed long, updated long, deleted long, rejected long, bytes long"
+    "version long, base long, overlays array<long>, buckets int, indexed long, updated long, "
+    "deleted long, rejected long, bytes long, deleted_total long, queries_total long"
 )
+# files of versions that are kept for readers of the log; older ones are removed
+KEPT_VERSIONS = 100
+# bits of a part's number that tell attempts at the same version apart
+ATTEMPT_BITS = 24
 # the bucket folder of all rows of an overlay
 OVERLAY = -1
 _POSTINGS = "uid string, field string, term string, tf int, positions array<int>"
@@ -43,17 +59,33 @@ _FIELDS = "field string, n long, words long"
 
 @dataclass(frozen=True)
 class Version:
-    """A published version; ``base`` is unset until a rebuild, ``buckets`` is what it was split into."""
+    """A published version; ``base`` is unset until a rebuild, ``buckets`` is what it was split into.
+
+    ``base`` and ``overlays`` are numbers of parts, ``sizes`` their bytes, ``applied`` the last
+    batch of each stream.
+    """
 
     number: int
     base: int | None = None
     overlays: tuple[int, ...] = ()
     buckets: int = 1
+    sizes: Mapping[str, int] = field(default_factory=dict)
+    applied: Mapping[str, int] = field(default_factory=dict)
+    deleted_total: int = 0
+    queries_total: int = 0
 
     @property
     def parts(self) -> tuple[int, ...]:
         return self.overlays if self.base is None else (self.base, *self.overlays)
 
+    @property
+    def bytes(self) -> int:
+        return sum(self.sizes.get(str(part), 0) for part in self.parts)
+
+
+class HeadMoved(Exception):
+    """Another writer published first."""
+
 
 @dataclass(frozen=True)
 class Commit:
@@ -92,6 +124,11 @@ class IndexStore:
     def schema(self) -> T.StructType:
         return self.registry.struct_type(self.settings.search_only)
 
+    @cached_property
+    def attributes(self) -> list[str]:
+        """Attributes a full index names: all but the key and the attachments."""
+        return [f.name for f in self.registry.struct_type(self.settings.search_only, attachments=False) if f.name != "uid"]
+
     @cached_property
     def text_fields(self) -> list[str]:
         return self.registry.text_fields(self.settings.search_only)
@@ -104,22 +141,33 @@ class IndexStore:
 
     # --- versions ---
 
-    def versions(self) -> DataFrame:
-        """The commit log, one row per published version."""
+    def _numbers(self) -> list[int]:
+        names = file_names(self.spark, f"{self.path}/versions")
+        return sorted(int(name.removesuffix(".json")) for name in names if name[0].isdigit())
+
+    def _record(self, number: int) -> dict | None:
+        """What the file of a version holds; ``None`` if its writer stopped before it was complete."""
         try:
-            return self.spark.read.schema(_VERSIONS).parquet(f"{self.path}/versions")
-        except AnalysisException:
-            return self.spark.createDataFrame([], _VERSIONS)
-
-    def _head(self, batch_id: int | None = None) -> tuple[Version | None, bool]:
-        """The newest version, and whether a batch of that id is published."""
-        newest = F.max_by(F.struct("version", "base", "overlays", "buckets"), "version")
-        known = F.coalesce(F.bool_or(F.col("batch_id") == batch_id), F.lit(False))
-        row = self.versions().agg(newest.alias("newest"), known.alias("known")).first()
-        if row["newest"] is None:
-            return None, False
-        number, base, overlays, buckets = row["newest"]
-        return Version(number, base, tuple(overlays), buckets), row["known"]
+            return json.loads(file_text(self.spark, f"{self.path}/versions/{number}.json"))
+        except json.JSONDecodeError:
+            return None
+
+    def versions(self) -> DataFrame:
+        """The commit log: one row for each of the latest versions."""
+        records = [r for r in map(self._record, self._numbers()) if r]
+        names = T.StructType.fromDDL(_VERSIONS).names
+        return self.spark.createDataFrame([tuple(r[n] for n in names) for r in records], _VERSIONS)
+
+    def _head(self) -> tuple[Version | None, int]:
+        """The newest version, and the number of the next one."""
+        numbers = self._numbers()
+        for number in reversed(numbers):
+            record = self._record(number)
+            if record:
+                names = {f.name for f in fields(Version)} - {"number", "overlays"}
+                kept = {name: record[name] for name in names}
+                return Version(number, overlays=tuple(record["overlays"]), **kept), numbers[-1] + 1
+        return None, numbers[-1] + 1 if numbers else 1
 
     def current(self) -> Version | None:
         return self._head()[0]
@@ -133,26 +181,44 @@ class IndexStore:
         """Changes are taken only when the index is enabled and has a version."""
         return self.settings.enabled and self.converted
 
-    def _publish(self, version: Version, batch_id: int | None = None, **counts: int) -> Version:
+    def _publish(self, version: Version, **counts: int) -> Version:
+        """Make a version visible; :class:`HeadMoved` if its number is taken by now."""
+        written = {str(p): version.sizes.get(str(p)) or self._part_bytes(p) for p in version.parts}
+        totals = version.deleted_total + counts.get("deleted", 0), version.queries_total + counts.get("queries", 0)
+        version = replace(version, sizes=written, deleted_total=totals[0], queries_total=totals[1])
         names = ("indexed", "updated", "deleted", "rejected")
-        row = (
-            version.number,
-            batch_id,
-            version.base,
-            list(version.overlays),
-            version.buckets,
-            *(counts.get(name, 0) for name in names),
-            self._size(version),
-        )
-        frame = self.spark.createDataFrame([row], _VERSIONS)
-        frame.coalesce(1).write.mode("append").parquet(f"{self.path}/versions")
+        record = asdict(version) | {name: counts.get(name, 0) for name in names}
+        record |= {"version": record.pop("number"), "bytes": version.bytes}
+        file = f"{self.path}/versions/{version.number}.json"
+        if not create_exclusive(self.spark, file, json.dumps(record).encode()):
+            raise HeadMoved(version.number)
+        for number in self._numbers()[:-KEPT_VERSIONS]:
+            remove(self.spark, f"{self.path}/versions/{number}.json")
         return version
 
-    def _size(self, version: Version) -> int:
+    def _publishing(self, attempt: Callable[[Version | None, int], Version | Commit | None]):
+        """Run an attempt on the head, again on the new one as often as another writer was first."""
+        while True:
+            try:
+                return attempt(*self._head())
+            except HeadMoved:
+                continue
+
+    def _part(self, number: int) -> int:
+        """Number of a new part: later versions have larger ones, attempts different ones."""
+        return (number << ATTEMPT_BITS) | random.getrandbits(ATTEMPT_BITS)
+
+    def _part_bytes(self, part: int) -> int:
         tables = ("docs", "postings") if self.text_fields else ("docs",)
-        return sum(
-            folder_bytes(self.spark, self._folder(table, v)) for table in tables for v in version.parts
-        )
+        return sum(folder_bytes(self.spark, self._folder(table, part)) for table in tables)
+
+    def count_queries(self, queries: int) -> Version | None:
+        """Add to the number of searches the log tells of."""
+
+        def attempt(head, number):
+            return head and self._publish(replace(head, number=number), queries=queries)
+
+        return self._publishing(attempt)
 
     # --- reading ---
 
@@ -225,37 +291,46 @@ class IndexStore:
     def _folder(self, table: str, number: int) -> str:
         return f"{self.path}/{table}/v={number}"
 
-    def _write_docs(self, rows: DataFrame, number: int, overlay: bool) -> None:
-        """Write the documents of a part and their postings.
-
-        The documents are shuffled once: by bucket and a shard of it for a base, by uid for
-        an overlay, which is one folder of few files. Postings inherit that partitioning, so
-        words are grouped where their document lies.
+    def _bucket_count(self, rows: DataFrame) -> int:
+        """Buckets of a new base: as set, or one for every ``bucket_bytes`` of text."""
+        if self.settings.buckets:
+            return self.settings.buckets
+        named = [f for f in self.text_fields if f in rows.columns]
+        sizes = [F.coalesce(F.octet_length(f), F.lit(0)) for f in named]
+        total = rows.agg(F.sum(reduce(add, sizes)).alias("n")).first()["n"] if sizes else 0
+        return 1 + (total or 0) // self.settings.bucket_bytes
+
+    def _write_docs(self, rows: DataFrame, part: int, buckets: int | None) -> None:
+        """Write the documents of a part, then their postings from the files written.
+
+        A base (``buckets`` given) is shuffled by bucket and a shard of it, one task each; an
+        overlay by uid, into one folder. Words are grouped where their document lies. Nothing
+        is cached: the second step reads the text columns of the files.
         """
-        rows, fields = self._shape(rows), self.text_fields
-        if overlay:
-            keys = ("uid",)
-            placed = rows.withColumn("bucket", F.lit(OVERLAY)).repartition("uid")
+        rows, named = self._shape(rows), self.text_fields
+        if buckets is None:
+            keys, number, bucket = ("uid",), None, F.lit(OVERLAY)
         else:
             keys = ("bucket", "_shard")
-            shards = self.settings.files_per_bucket
-            placed = rows.withColumn("bucket", _bucket(self.settings.buckets))
-            placed = placed.withColumn("_shard", _shard("uid", shards))
-            placed = placed.repartition(self.settings.buckets * shards, *keys)
-        if fields:
-            placed = placed.persist(StorageLevel.MEMORY_AND_DISK)
-        docs = placed.drop("_shard")
-        if fields:
-            docs = docs.withColumn("words", P.word_counts(fields))
-        _by_bucket(docs.sortWithinPartitions("bucket", "uid"), self._folder("docs", number))
-        if fields:
+            number, bucket = buckets * self.settings.files_per_bucket, _bucket(buckets)
+
+        def placed(docs: DataFrame) -> DataFrame:
+            docs = docs.withColumn("bucket", bucket)
+            docs = docs.withColumn("_shard", _shard("uid", self.settings.files_per_bucket))
+            return docs.repartition(number, *keys) if number else docs.repartition(*keys)
+
+        docs = placed(rows).drop("_shard")
+        if named:
+            docs = docs.withColumn("words", P.word_counts(named))
+        _by_bucket(docs.sortWithinPartitions("bucket", "uid"), self._folder("docs", part))
+        if named:
+            texts = self._read("docs", self.schema, Version(0, part)).select("uid", *named)
             inverted = P.build_postings(
-                placed, fields, tuple(dict.fromkeys(("bucket", *keys, "uid"))), clustered=True
+                placed(texts), named, tuple(dict.fromkeys(("bucket", *keys, "uid"))), clustered=True
             )
             order = ("bucket", "field", "term", "uid")
             inverted = inverted.drop("_shard").sortWithinPartitions(*order)
-            _by_bucket(inverted, self._folder("postings", number))
-            placed.unpersist()
+            _by_bucket(inverted, self._folder("postings", part))
 
     def _write_counts(self, terms: DataFrame, totals: DataFrame, number: int, overlay: bool) -> None:
         """Write document counts per word and word totals per field, signed in an overlay."""
@@ -271,18 +346,20 @@ class IndexStore:
         return terms, P.field_statistics(docs, self.text_fields, ("bucket",))
 
     def _write_base(self, rows: DataFrame, number: int) -> Version:
-        version = Version(number, number, buckets=self.settings.buckets)
-        self._write_docs(rows, number, overlay=False)
+        """Write a base; returns what its version is to be."""
+        part, head, buckets = self._part(number), self.current() or Version(0), self._bucket_count(rows)
+        version = replace(head, number=number, base=part, overlays=(), buckets=buckets, sizes={})
+        self._write_docs(rows, part, buckets)
         if self.text_fields:
-            self._write_counts(*self._counts(version), number, overlay=False)
+            self._write_counts(*self._counts(version), part, overlay=False)
         return version
 
     def _write_overlay(self, rows: DataFrame, number: int, replaced: DataFrame) -> None:
         """An overlay's counts are net of the rows it replaces."""
-        self._write_docs(rows, number, overlay=True)
+        self._write_docs(rows, number, None)
         if not self.text_fields:
             return
-        terms, totals = self._counts(Version(number, None, (number,)))
+        terms, totals = self._counts(Version(0, None, (number,)))
         fields = self.text_fields
         old = replaced.withColumn("words", P.word_counts(fields)).withColumn("bucket", F.lit(OVERLAY))
         gone = P.term_statistics(P.build_postings(old, fields, ("bucket", "uid")), ("bucket",))
@@ -300,17 +377,18 @@ class IndexStore:
             ]
         )
 
-    def _next(self) -> int:
-        version = self.current()
-        return version.number + 1 if version else 1
-
     def convert(self) -> Version:
         """Register the index: an empty first version unless there is one already."""
         return self.current() or self.recreate()
 
     def recreate(self) -> Version:
         """A new, empty version with the present schema."""
-        return self._publish(Version(self._next()))
+
+        def attempt(head, number):
+            head = head or Version(0)
+            return self._publish(replace(head, number=number, base=None, overlays=(), buckets=1, sizes={}))
+
+        return self._publishing(attempt)
 
     def clear(self) -> Version | None:
         """Recreate the index when it is enabled but not active yet."""
@@ -318,65 +396,86 @@ class IndexStore:
             return self.recreate()
         return self.current()
 
-    def rebuild(self, rows: DataFrame, batch_id: int | None = None) -> Version:
-        """Replace the whole index by ``rows``."""
-        version = self._write_base(rows, self._next())
-        indexed = self._read("docs", "uid string", version).count()
-        return self._publish(version, batch_id, indexed=indexed)
+    def rebuild(self, rows: DataFrame) -> Version:
+        """Replace the whole index by ``rows``; what was published meanwhile is replaced too."""
+        written = self._write_base(rows, self._head()[1])
+        indexed = self._read("docs", "uid string", written).count()
+
+        def attempt(head, number):
+            applied = head.applied if head else {}
+            totals = {"deleted_total": head.deleted_total, "queries_total": head.queries_total} if head else {}
+            return self._publish(replace(written, number=number, applied=applied, **totals), indexed=indexed)
+
+        return self._publishing(attempt)
 
     def merge(self) -> Version:
-        """Fold the overlays: into one while they are small, else into a new base."""
-        version, number = self.current(), self._next()
-        overlays = Version(version.number, None, version.overlays)
-        if version.base is None or self._size(overlays) > self.settings.merge_share * self._size(version):
-            return self._publish(self._write_base(self.rows(version), number))
+        """Fold the overlays: into one while they are small, else into a new base. A job of its
+        own, for when overlays have grown to ``merge_after``; commits do not do it."""
+        return self._publishing(self._merged)
+
+    def _merged(self, version: Version, number: int) -> Version:
+        if not version.overlays:
+            return version
+        overlays = replace(version, base=None)
+        if version.base is None or overlays.bytes > self.settings.merge_share * version.bytes:
+            return self._publish(replace(self._write_base(self.rows(version), number), applied=version.applied))
+        part = self._part(number)
         rows = self._live(self._read("docs", self.schema, overlays), overlays)
-        self._write_docs(rows, number, overlay=True)
+        self._write_docs(rows, part, None)
         if self.text_fields:
             terms, totals = (self._read(t, s, overlays) for t, s in (("terms", _TERMS), ("fields", _FIELDS)))
-            self._write_counts(*_summed(terms, totals), number, overlay=True)
-        self._touched(version).select("uid").distinct().write.mode("overwrite").parquet(
-            self._folder("touched", number)
-        )
-        return self._publish(Version(number, version.base, (number,), version.buckets))
+            self._write_counts(*_summed(terms, totals), part, overlay=True)
+        self._touched(version).select("uid").distinct().write.mode("overwrite").parquet(self._folder("touched", part))
+        return self._publish(replace(version, number=number, overlays=(part,)))
+
+    @property
+    def crowded(self) -> bool:
+        """Whether there are so many overlays that :meth:`merge` should run."""
+        version = self.current()
+        return version is not None and len(version.overlays) >= self.settings.merge_after
 
-    def commit(self, compacted: DataFrame, batch_id: int | None = None) -> Commit | None:
+    def commit(self, compacted: DataFrame, batch_id: int | None = None, stream: str = "changes") -> Commit | None:
         """Apply pending actions as a new version, ``None`` if there is nothing to do.
 
-        A batch that is published already is skipped, so a replay changes nothing.
+        Batches of a stream are numbered upwards; one that is not above the last one published
+        is skipped, so a replay changes nothing. If another writer publishes first, the actions
+        are applied anew to what it left.
         """
-        version, published = self._head(batch_id)
-        if not self.settings.enabled or version is None or published:
+        if not self.settings.enabled or self.current() is None:
             return None
         with Scratch(self.spark) as scratch:
-            return self._apply(version, scratch.write(compacted, "pending"), batch_id, scratch)
+            pending = scratch.write(compacted, "pending")
+
+            def attempt(head, number):
+                if batch_id is not None and batch_id <= head.applied.get(stream, -1):
+                    return None
+                applied = dict(head.applied) | ({stream: batch_id} if batch_id is not None else {})
+                return self._apply(replace(head, applied=applied), number, pending, scratch)
 
-    def _apply(
-        self, version: Version, compacted: DataFrame, batch_id: int | None, scratch: Scratch
-    ) -> Commit | None:
+            return self._publishing(attempt)
+
+    def _apply(self, head: Version, number: int, compacted: DataFrame, scratch: Scratch) -> Commit | None:
         base = F.coalesce(F.col("base"), F.lit(""))
         summary = compacted.agg(
             F.count_if(base == "index").alias("indexed"),
             F.count_if((base != "index") & (F.size("attributes") > 0)).alias("updated"),
             F.count_if(base == "delete").alias("deleted"),
-            _buckets(version),
+            _buckets(head),
         ).first()
         if not summary["buckets"]:
             return None
-        number = version.number + 1
-        before = scratch.write(self.rows_of(compacted, summary["buckets"], version), "replaced")
-        refusals = self._folder("rejected", number)
+        part = self._part(number)
+        before = scratch.write(self.rows_of(compacted, summary["buckets"], head), "replaced")
+        refusals = self._folder("rejected", part)
         lost = rejected(before, compacted)
         lost.write.mode("overwrite").parquet(refusals)
         refused = self.spark.read.schema(lost.schema).parquet(refusals)
 
-        self._write_overlay(apply_changes(before, compacted), number, replaced=before)
-        compacted.select("uid").write.mode("overwrite").parquet(self._folder("touched", number))
+        self._write_overlay(apply_changes(before, compacted), part, replaced=before)
+        compacted.select("uid").write.mode("overwrite").parquet(self._folder("touched", part))
         counts = {name: summary[name] for name in ("indexed", "updated", "deleted")}
-        newest = Version(number, version.base, (*version.overlays, number), version.buckets)
-        self._publish(newest, batch_id, **counts, rejected=refused.count())
-        if len(newest.overlays) >= self.settings.merge_after:
-            newest = self.merge()
+        newest = replace(head, number=number, overlays=(*head.overlays, part))
+        newest = self._publish(newest, **counts, rejected=refused.count())
         return Commit(newest, **counts, refused=refused)
 
     def vacuum(self) -> None:
@@ -384,10 +483,11 @@ class IndexStore:
 
         For when no reader holds an older version and no commit is running.
         """
-        version = self.current()
-        for number in set(range(1, version.number + 1)) - set(version.parts):
-            for table in ("docs", "postings", "terms", "fields", "touched", "rejected"):
-                remove(self.spark, self._folder(table, number))
+        used = {f"v={part}" for part in self.current().parts}
+        for table in ("docs", "postings", "terms", "fields", "touched", "rejected"):
+            for name in file_names(self.spark, f"{self.path}/{table}"):
+                if name.startswith("v=") and name not in used:
+                    remove(self.spark, f"{self.path}/{table}/{name}")
 
     def describe(self) -> str:
         """Schema of the index as JSON, mapping metadata included."""

@@ -28,7 +28,7 @@ def commit_batch(
     """Compact one batch and commit it. In deferred mode values are read now, by name."""
     if not store.active:
         return None
-    pending = changes.compact(batch, partial)
+    pending = changes.compact(batch, store.attributes, partial)
     if not store.settings.deferred or current is None:
         return store.commit(pending, batch_id)
     with Scratch(store.spark) as scratch:
@@ -101,7 +101,7 @@ def commit_files(
     with Scratch(store.spark) as scratch:
         gathered = A.collect_attachments(A.extract_contents(files, extractor))
         found = scratch.write(gathered, "files")
-        return store.commit(attachment_updates(store, found), batch_id)
+        return store.commit(attachment_updates(store, found), batch_id, "attachments")
 
 
 def follow_blobs(
@@ -111,19 +111,18 @@ def follow_blobs(
     *,
     extractor: A.Extractor | None = A.plain_extractor,
     trigger: dict | None = None,
-    batch_offset: int = 1 << 40,
 ) -> StreamingQuery | None:
     """Start the second, lower-priority stream over file rows ``(uid, fieldname, filename, data)``.
 
     Start it after the change feed of the same documents. Without an extractor there is
-    nothing to do. Its batches are numbered apart from those of the change feed and are
-    not retried.
+    nothing to do. Its batches are counted apart from those of the change feed and are not
+    retried.
     """
     if extractor is None:
         return None
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        commit_files(store, batch, batch_offset + batch_id, extractor=extractor)
+        commit_files(store, batch, batch_id, extractor=extractor)
 
     writer = files.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,8 +86,13 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content(spark, sf_dir).join(labels, "uid", "left")
 
 
+def spread(spark: SparkSession, settings: Settings | None = None) -> Settings:
+    """Settings for the driver's tables: each is one file, so texts are spread over the cores."""
+    return replace(settings or Settings(), scan_partitions=spark.sparkContext.defaultParallelism)
+
+
 def content_index(spark: SparkSession, sf_dir: str, settings: Settings | None = None) -> SearchIndex:
-    return SearchIndex(content(spark, sf_dir), CONTENT, settings or Settings())
+    return SearchIndex(content(spark, sf_dir), CONTENT, spread(spark, settings))
 
 
 STORED = Registry(

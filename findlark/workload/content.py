@@ -267,7 +267,7 @@ def iso_dates(spark, sf_dir):
 @query(
     f"""WITH {C.TREE_SQL} SELECT path, CAST(depth AS INTEGER) AS depth, regexp_extract(path, '^(.*)/[^/]*$', 1) AS parent,
     regexp_extract(path, '([^/]*)$', 1) AS last,
-    array_to_string(list_slice(string_split(path, '/'), 3, 100), '/') AS below,
+    array_to_string(list_slice(string_split(path, '/'), 3, len(path)), '/') AS below,
     regexp_replace(path, '^/', '') AS joined FROM nodes"""
 )
 def path_functions(spark, sf_dir):
@@ -278,7 +278,7 @@ def path_functions(spark, sf_dir):
         V.parent_path(path).alias("parent"),
         V.last_segment(path).alias("last"),
         V.relative_path(path, "/AFRICA").alias("below"),
-        V.join_segments(F.slice(V.path_segments(path), 2, 100)).alias("joined"),
+        V.join_segments(F.slice(V.path_segments(path), 2, F.size(V.path_segments(path)))).alias("joined"),
     )
 
 

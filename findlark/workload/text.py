@@ -24,6 +24,10 @@ def _scored(hits):
     return hits.select("uid", F.round("score", 4).alias("score"))
 
 
+def _scanned(spark, sf_dir):
+    return ScannedText(C.content(spark, sf_dir), partitions=C.spread(spark).scan_partitions)
+
+
 def _main(words):
     return [("phrase", "SearchableText", words), ("prefix", "Title", words, 2.0), ("any", "SearchableText", words)]
 
@@ -61,19 +65,19 @@ def term_statistics(spark, sf_dir):
 @query(search_sql(C.CONTENT_SQL, BODY, [("any", "Body", ["that", "with", "from"])], SCORED))
 def match_any(spark, sf_dir):
     clause = Clause("any", "Body", ("that", "with", "from", "that"))
-    return _scored(match_text(ScannedText(C.content(spark, sf_dir)), [clause]))
+    return _scored(match_text(_scanned(spark, sf_dir), [clause]))
 
 
 @query(search_sql(C.CONTENT_SQL, BODY, [("phrase", "Body", ["the", "of", "in"])], SCORED))
 def phrase_slop2(spark, sf_dir):
     clause = Clause("phrase", "Body", ("the", "of", "in"))
-    return _scored(match_text(ScannedText(C.content(spark, sf_dir)), [clause]))
+    return _scored(match_text(_scanned(spark, sf_dir), [clause]))
 
 
 @query(search_sql(C.CONTENT_SQL, BODY, [("phrase", "Body", ["the", "of", "the"])], "SELECT uid FROM hits"))
 def phrase_repeated_word(spark, sf_dir):
     clause = Clause("phrase", "Body", ("the", "of", "the"))
-    return match_text(ScannedText(C.content(spark, sf_dir)), [clause]).select("uid")
+    return match_text(_scanned(spark, sf_dir), [clause]).select("uid")
 
 
 @query(
@@ -142,7 +146,7 @@ def star_strip(spark, sf_dir):
 @query(search_sql(C.CONTENT_SQL, MAIN, _main(["für", "nicht"]), SCORED))
 def search_only_field(spark, sf_dir):
     registry = C.CONTENT.without("SearchableText", "Title")
-    found = SearchIndex(C.content(spark, sf_dir), registry).search({"SearchableText": "für nicht"})
+    found = SearchIndex(C.content(spark, sf_dir), registry, C.spread(spark)).search({"SearchableText": "für nicht"})
     return _scored(found.hits)
 
 
@@ -160,7 +164,7 @@ _PARTS = "content AS (SELECT CAST(p_partkey AS VARCHAR) AS uid, p_name AS search
 def short_names(spark, sf_dir):
     parts = C.table(spark, sf_dir, "part").select(
         F.col("p_partkey").cast("string").alias("uid"), F.col("p_name").alias("SearchableText"),
-        F.lit(None).cast("string").alias("Title"), "p_brand",
+        "p_brand",
     )
     registry = Registry([IndexSpec("SearchableText", "text"), IndexSpec("p_brand", "field", analyzed=False)])
     found = SearchIndex(parts, registry).search({"SearchableText": "red widget", "p_brand": {"not": "Brand#4"}})
@@ -213,7 +217,7 @@ def stored_title_prefix(spark, sf_dir):
 
 _FRAGMENTS = r"""runs AS (
   SELECT uid, generate_subscripts(f, 1) - 1 AS ord, trim(unnest(f), E' \t\n\f\r\x0b') AS run
-  FROM (SELECT uid, regexp_extract_all(searchable, '(?s)\S.{0,99}(?:\s|\z)|\S+') AS f FROM content WHERE lang = 'en')),
+  FROM (SELECT uid, regexp_extract_all(searchable, '(?s)\S.{0,99}(?:\s|\z)|\S+') AS f  FROM content)),
 parts AS (
   SELECT uid, ord, regexp_extract_all(run, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+') AS p FROM runs),
 marked AS (
@@ -228,7 +232,7 @@ best AS (
 @query(f"WITH {C.CONTENT_SQL},\n{_FRAGMENTS} SELECT uid, ord, matches, fragment FROM best WHERE place <= 5")
 def highlight_best_fragments(spark, sf_dir):
     clauses = [Clause("any", "SearchableText", ("that", "with"))]
-    rows = C.content(spark, sf_dir).where(F.col("Language") == "en")
+    rows = C.content(spark, sf_dir)
     found = highlight_fragments(F.col("SearchableText"), highlight_words(clauses), "<em>", "</em>")
     best = rows.select("uid", F.inline(found).alias("ord", "matches", "fragment"))
     return best.withColumns({name: F.col(name).cast("long") for name in ("ord", "matches")})
@@ -255,5 +259,5 @@ def highlight_threshold(spark, sf_dir):
         highlight=True, highlight_threshold=250, highlight_pre_tags="<em>\n<b>", highlight_post_tags="</em>\n</b>"
     )
     rows = C.content(spark, sf_dir).withColumn("Description", F.lit("none"))
-    found = SearchIndex(rows, C.CONTENT, settings).search({"SearchableText": "that with", "Language": "en"})
+    found = SearchIndex(rows, C.CONTENT, C.spread(spark, settings)).search({"SearchableText": "that with", "Language": "en"})
     return found.hits.select("uid", F.col("Description").alias("description"))

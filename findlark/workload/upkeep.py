@@ -91,7 +91,7 @@ def _accounts(spark, sf_dir):
     CASE WHEN has_type THEN last_type END AS last_type FROM pending"""
 )
 def compact_changes(spark, sf_dir):
-    pending = changes.compact(_feed(spark, sf_dir))
+    pending = changes.compact(_feed(spark, sf_dir), list(ACCOUNTS))
     return pending.select(
         "uid", F.coalesce("base", F.lit("none")).alias("base"), F.array_join("attributes", ",").alias("attributes"), "payload.*"
     )
@@ -108,14 +108,14 @@ def compact_changes(spark, sf_dir):
 )
 def partial_replace(spark, sf_dir):
     """The opt-in rule: a later partial update replaces an earlier one of the same batch."""
-    pending = changes.compact(_feed(spark, sf_dir), partial="replace")
+    pending = changes.compact(_feed(spark, sf_dir), list(ACCOUNTS), partial="replace")
     updates = changes.actions(pending).where("op = 'update'")
     return updates.select("uid", F.array_join("attributes", ",").alias("attributes"))
 
 
 @query(f"WITH {_FEED} {_FINAL}")
 def apply_index_update_delete(spark, sf_dir):
-    return changes.apply_changes(_accounts(spark, sf_dir), changes.compact(_feed(spark, sf_dir)))
+    return changes.apply_changes(_accounts(spark, sf_dir), changes.compact(_feed(spark, sf_dir), list(ACCOUNTS)))
 
 
 @query(
@@ -126,7 +126,7 @@ def apply_index_update_delete(spark, sf_dir):
     FROM rows0 r LEFT JOIN part p USING (uid)"""
 )
 def partial_update_merge(spark, sf_dir):
-    partial = changes.compact(_feed(spark, sf_dir)).where(F.col("base").isNull())
+    partial = changes.compact(_feed(spark, sf_dir), list(ACCOUNTS)).where(F.col("base").isNull())
     return changes.apply_changes(_accounts(spark, sf_dir), partial)
 
 
@@ -135,7 +135,7 @@ def partial_update_merge(spark, sf_dir):
     AND (has_value OR has_props OR has_type) AND uid NOT IN (SELECT uid FROM rows0)"""
 )
 def rejected_updates(spark, sf_dir):
-    pending = changes.compact(_feed(spark, sf_dir))
+    pending = changes.compact(_feed(spark, sf_dir), list(ACCOUNTS))
     return changes.rejected(_accounts(spark, sf_dir), pending).select("uid")
 
 
@@ -146,7 +146,7 @@ def rejected_updates(spark, sf_dir):
     SELECT *, n_index + n_update + n_delete AS n_pending FROM n"""
 )
 def pending_counts(spark, sf_dir):
-    return changes.pending_counts(changes.compact(_feed(spark, sf_dir)))
+    return changes.pending_counts(changes.compact(_feed(spark, sf_dir), list(ACCOUNTS)))
 
 
 @query(
@@ -157,7 +157,7 @@ def pending_counts(spark, sf_dir):
       UNION ALL SELECT 'delete', 2 FROM pending WHERE base = 'delete') GROUP BY ALL"""
 )
 def action_stages(spark, sf_dir):
-    pending = changes.actions(changes.compact(_feed(spark, sf_dir)))
+    pending = changes.actions(changes.compact(_feed(spark, sf_dir), list(ACCOUNTS)))
     return pending.groupBy("op", "stage").agg(F.count("*").alias("n"))
 
 
@@ -190,8 +190,8 @@ def _follow(spark, sf_dir, store, to_feed=feed, **options):
 @query(f"WITH {_FEED} {_FINAL}")
 def store_commit(spark, sf_dir):
     store = _account_store(spark, sf_dir)
-    store.commit(changes.compact(_feed(spark, sf_dir)), batch_id=0)
-    store.commit(changes.compact(_feed(spark, sf_dir)), batch_id=0)
+    store.commit(changes.compact(_feed(spark, sf_dir), list(ACCOUNTS)), batch_id=0)
+    store.commit(changes.compact(_feed(spark, sf_dir), list(ACCOUNTS)), batch_id=0)
     return store.rows().drop("attachments")
 
 

@@ -50,7 +50,7 @@ def test_compaction_equals_model(spark, partial):
         feed_row(f"u{i}", seq, kind) for i, s in enumerate(sequences) for seq, kind in enumerate(s)
     ]
     feed = spark.createDataFrame(rows, FEED).orderBy(F.rand(3)).repartition(7)
-    got = {r["uid"]: r for r in changes.compact(feed, partial).collect()}
+    got = {r["uid"]: r for r in changes.compact(feed, ["a", "b"], partial).collect()}
     assert len(got) == len(sequences)
     for i, sequence in enumerate(sequences):
         base, values = model(sequence, partial)
@@ -64,7 +64,7 @@ def test_naming_every_attribute_is_a_full_index(spark):
     feed = spark.createDataFrame(
         [("u", 1, "unindex", [], None), ("u", 2, "reindex", ["b", "a"], ("x", None))], FEED
     )
-    row = changes.compact(feed).first()
+    row = changes.compact(feed, ["a", "b"]).first()
     assert (row["base"], row["payload"].asDict()) == ("index", {"a": "x", "b": None})
 
 
@@ -76,9 +76,9 @@ def test_one_hot_uid_is_combined_before_the_shuffle(spark):
         F.array(F.when(F.col("id") % 2 == 0, "a").otherwise("b")).alias("attributes"),
         F.struct(F.col("id").cast("string").alias("a"), F.col("id").cast("string").alias("b")).alias("payload"),
     )
-    row = changes.compact(feed).first()
+    row = changes.compact(feed, ["a", "b"]).first()
     assert row["payload"].asDict() == {"a": "19998", "b": "19999"}
-    plan = changes.compact(feed)._jdf.queryExecution().executedPlan().toString()
+    plan = changes.compact(feed, ["a", "b"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "partial_max_by" in plan
 
 
@@ -99,7 +99,7 @@ def test_stages_and_explicit_null(spark):
         ],
         FEED,
     )
-    pending = changes.compact(feed)
+    pending = changes.compact(feed, ["a", "b"])
     rows = sorted(tuple(r) for r in changes.apply_changes(base, pending).collect())
     assert rows == [("1", None, "y"), ("3", "new", None), ("4", "p", "q")]
     assert [r["uid"] for r in changes.rejected(base, pending).collect()] == ["5"]
@@ -129,13 +129,14 @@ def test_store_replay_and_untouched_buckets(spark, tmp_path):
     assert store.convert().number == 1 and store.clear().number == 1
     store.rebuild(spark.createDataFrame([(str(n), "x", "y") for n in range(40)], ROWS))
     change = changes.compact(
-        spark.createDataFrame([("7", 1, "reindex", ["a"], ("z", None)), ("8", 2, "unindex", [], None)], FEED)
+        spark.createDataFrame([("7", 1, "reindex", ["a"], ("z", None)), ("8", 2, "unindex", [], None)], FEED),
+        store.attributes,
     )
     done = store.commit(change, batch_id=5)
     assert (done.updated, done.indexed, done.deleted, done.refused.count()) == (1, 0, 1, 0)
     after = store.current()
     # only the changed row is written
-    assert store._read("docs", store.schema, after).where(F.col("v") == after.number).count() == 1
+    assert store._read("docs", store.schema, after).where(F.col("v") == after.overlays[-1]).count() == 1
     assert store.commit(change, batch_id=5) is None and store.current() == after
     assert ("7", "z", "y") in rows_of(store) and len(rows_of(store)) == 39
     # the base keeps its bucket count, whatever the settings say now
@@ -147,7 +148,8 @@ def test_store_replay_and_untouched_buckets(spark, tmp_path):
     # the overlay is a large share of this small index
     assert store.merge().overlays == () and rows_of(store) == kept
     store.vacuum()
-    assert rows_of(store) == kept and not (tmp_path / "site" / "docs" / "v=1").exists()
+    parts = [part.name for part in (tmp_path / "site" / "docs").glob("v=*")]
+    assert rows_of(store) == kept and parts == [f"v={store.current().base}"]
 
 
 def test_overlays_keep_scores_and_counts_exact(spark, tmp_path):
@@ -189,15 +191,105 @@ def test_overlays_keep_scores_and_counts_exact(spark, tmp_path):
         assert sorted(grown.rows().select("uid").collect()) == sorted(whole.rows().select("uid").collect())
 
 
-def test_overlays_are_folded_after_some_commits(spark, tmp_path):
-    store = IndexStore(spark, str(tmp_path), REGISTRY, Settings(buckets=2, search_only=frozenset(), merge_after=2))
-    store.convert()
+def test_folding_is_a_job_of_its_own(spark, tmp_path):
+    store = IndexStore(spark, str(tmp_path), REGISTRY, Settings(buckets=2, search_only=frozenset(), merge_after=2, merge_share=1.0))
+    store.rebuild(spark.createDataFrame([(str(n), "x", "y") for n in range(10, 40)], ROWS))
     for n in range(3):
+        assert store.crowded == (n >= 2)
         commit_batch(store, spark.createDataFrame([(str(n), 1, "index", [], ("x", "y"))], FEED), n)
-    assert len(store.current().overlays) == 1 and len(rows_of(store)) == 3
+    assert len(store.current().overlays) == 3
+    kept = rows_of(store)
+    assert len(store.merge().overlays) == 1 and rows_of(store) == kept and len(kept) == 33
+    assert store.merge().number == store.current().number
+    # what was applied before the fold stays applied
     assert commit_batch(store, spark.createDataFrame([("1", 1, "unindex", [], None)], FEED), 1) is None
 
 
+def test_two_commits_from_one_head(spark, tmp_path, monkeypatch):
+    """A writer that finds its version taken applies its batch to what the other left."""
+    store = IndexStore(spark, str(tmp_path), TEXT, PLAIN)
+    schema = "uid string, SearchableText string, Title string"
+    store.rebuild(spark.createDataFrame([("a", "old words", "A"), ("b", "old words", "B")], schema))
+    feed = "uid string, seq long, op string, attributes array<string>, payload struct<SearchableText:string,Title:string>"
+    other = IndexStore(spark, str(tmp_path), TEXT, PLAIN)
+    first = spark.createDataFrame([("a", 1, "reindex", ["Title"], (None, "changed")), ("c", 1, "index", [], ("new", "C"))], feed)
+    second = spark.createDataFrame([("a", 2, "reindex", ["SearchableText"], ("other words", None)), ("d", 2, "index", [], ("new", "D"))], feed)
+    write, calls = IndexStore._write_overlay, []
+
+    def meanwhile(self, *args, **options):
+        write(self, *args, **options)
+        calls.append(1)
+        if len(calls) == 1:
+            assert commit_batch(other, first, 7) is not None
+
+    monkeypatch.setattr(IndexStore, "_write_overlay", meanwhile)
+    done = store.commit(changes.compact(second, store.attributes), 3, "attachments")
+    # one attempt lost to the other writer, one of that writer, one on the new head
+    assert len(calls) == 3 and done.version.number == 3 and len(store.current().overlays) == 2
+    rows = {r["uid"]: (r["SearchableText"], r["Title"]) for r in store.rows().collect()}
+    assert rows == {"a": ("other words", "changed"), "b": ("old words", "B"), "c": ("new", "C"), "d": ("new", "D")}
+    assert store.index().search({"SearchableText": "old"}).count() == 1
+    # each stream has its own last batch
+    assert store.current().applied == {"changes": 7, "attachments": 3}
+    assert commit_batch(store, first, 7) is None and commit_batch(store, first, 8) is not None
+
+
+def test_a_narrow_payload_is_no_full_index(spark, tmp_path):
+    store = IndexStore(spark, str(tmp_path), REGISTRY, PLAIN)
+    store.rebuild(spark.createDataFrame([("1", "x", "y")], ROWS))
+    narrow = "uid string, seq long, op string, attributes array<string>, payload struct<b:string>"
+    feed = spark.createDataFrame([("1", 1, "reindex", ["b"], ("z",)), ("2", 1, "reindex", ["b"], ("z",))], narrow)
+    done = commit_batch(store, feed, 1)
+    assert (done.indexed, done.updated) == (0, 2) and [r["uid"] for r in done.refused.collect()] == ["2"]
+    assert rows_of(store) == [("1", "x", "z")]
+
+
+def test_log_stays_short(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("findlark.plans.store.KEPT_VERSIONS", 3)
+    store = IndexStore(spark, str(tmp_path), REGISTRY, PLAIN)
+    store.rebuild(spark.createDataFrame([(str(n), "x", "y") for n in range(5)], ROWS))
+    for n in range(4):
+        commit_batch(store, spark.createDataFrame([(str(n), 1, "unindex", [], None)], FEED), n)
+    store.count_queries(4)
+    assert [r["version"] for r in store.versions().orderBy("version").collect()] == [4, 5, 6]
+    assert store.current().deleted_total == 4 and store.current().queries_total == 4
+    # a writer that stopped inside its last step is passed over
+    (tmp_path / "site" / "versions" / "7.json").write_text("{")
+    assert store.current().number == 6 and store.recreate().number == 8
+
+
+def test_buckets_follow_the_text(spark, tmp_path):
+    settings = Settings(search_only=frozenset(), bucket_bytes=1000)
+    store = IndexStore(spark, str(tmp_path), TEXT, settings)
+    rows = [(str(n), "word " * 50, None) for n in range(20)]
+    version = store.rebuild(spark.createDataFrame(rows, "uid string, SearchableText string, Title string"))
+    assert version.buckets == 6 and store.index().search({"SearchableText": "word"}).count() == 20
+
+
+def test_clear_abort_and_inactive_store(spark, tmp_path):
+    feed = spark.createDataFrame([("1", 1, "index", [], ("x", "y"))], FEED)
+    store = IndexStore(spark, str(tmp_path), REGISTRY, PLAIN)
+    # not converted: changes are ignored
+    assert not store.active and commit_batch(store, feed) is None
+    assert store.clear().number == 1 and store.clear().number == 1
+    off = IndexStore(spark, str(tmp_path), REGISTRY, replace(PLAIN, enabled=False))
+    assert not off.active and commit_batch(off, feed) is None and off.clear().number == 1
+    # pending actions that are never committed leave nothing
+    changes.compact(feed, store.attributes)
+    assert rows_of(store) == [] and commit_batch(store, feed).indexed == 1
+
+
+def test_no_shared_folder_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from findlark.config import shared_dir
+
+    unset = SimpleNamespace(get=lambda name, default=None: default)
+    context = SimpleNamespace(master="spark://host:7077", applicationId="a")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(SimpleNamespace(conf=unset, sparkContext=context))
+
+
 def test_unpublished_files_are_not_read(spark, tmp_path):
     store = IndexStore(spark, str(tmp_path), REGISTRY, PLAIN)
     store.rebuild(spark.createDataFrame([("1", "x", "y")], ROWS))
@@ -217,7 +309,8 @@ def test_synchronize_uncatalog_and_info(spark, tmp_path):
     assert rows_of(store) == [("1", "x", "y"), ("2", "n", "m")]
     gone = spark.createDataFrame([("/p1",), ("/nowhere",)], "path string")
     assert jobs.uncatalog(store, content, gone).deleted == 1
-    found = jobs.info(store, content, queries=3).first()
+    store.count_queries(3)
+    found = jobs.info(store, content).first()
     assert (found["catalog_docs"], found["index_docs"], found["deleted_docs"], found["query_count"]) == (2, 1, 2, 3)
     assert found["size"] == "1 MB"
 
