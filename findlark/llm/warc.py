@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from findlark.config import fresh_path
-from findlark.llm.common import running_sums, ship
+from findlark.llm.common import running_sums, ship, unpack_bytes
 
 ship(__name__)
 
@@ -24,38 +24,39 @@ DATE = "1970-01-01T00:00:00Z"
 SPACE = uuid.UUID("5ee2fd1c-7b9e-4bd0-9b50-9d7ad2f0c011")
 
 RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string"
-PACKED = "page_id long, payload_digest string, member binary, stored long"
+PACKED = "shard long, page_id long, member binary"
 MANIFEST = "shard long, file string, records long, bytes long, sha256 string"
 
 
-def described(pages: DataFrame, min_revisit: int) -> DataFrame:
-    """Pages with payload, its size and digest, and the page whose payload they repeat.
+def described(pages: DataFrame, min_revisit: int, shard_bytes: int) -> DataFrame:
+    """Narrow rows, one per page id and digest: kind of record, page it repeats, shard.
 
     Payloads are compared by SHA-256. Counts are combined before they are shuffled and only
     digests that occur twice are joined, so one payload on a third of all pages is one row there.
     """
-    payload = F.encode(F.coalesce(F.col("html"), F.lit("")), "UTF-8")
-    rows = pages.select("page_id", "url", payload.alias("payload"))
-    rows = rows.select(
-        "page_id", "url", "payload", F.length("payload").cast("long").alias("payload_bytes"),
-        F.sha2("payload", 256).alias("payload_digest"),
+    rows = pages.groupBy("page_id", "payload_digest").agg(
+        F.max("payload_bytes").alias("payload_bytes"), F.count("*").alias("n")
     )
     repeated = (
         rows.where(F.col("payload_bytes") >= min_revisit)
         .groupBy("payload_digest")
-        .agg(F.min("page_id").alias("first_page"), F.count("*").alias("n"))
-        .where("n > 1")
+        .agg(F.min("page_id").alias("first_page"), F.count("*").alias("ids"))
+        .where("ids > 1")
         .select(F.col("payload_digest").alias("_digest"), "first_page")
     )
     rows = rows.join(repeated, F.col("payload_digest") == F.col("_digest"), "left")
     later = F.col("first_page").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_page"))
-    return rows.select(
-        "page_id", "url",
-        # what a revisit repeats is not written again, so it need not travel either
-        F.when(~later, F.col("payload")).alias("payload"),
-        "payload_bytes", "payload_digest",
+    rows = rows.select(
+        "page_id", "payload_digest",
         F.when(later, F.lit("revisit")).otherwise(F.lit("response")).alias("record_type"),
         F.when(later, F.col("first_page")).alias("refers_to"),
+        F.when(later, F.lit(0)).otherwise(F.col("payload_bytes") * F.col("n")).cast("long").alias("stored"),
+    )
+    placed = running_sums(rows, [F.col("page_id"), F.col("payload_digest")], ["stored"], "warc-rows")
+    shard = F.floor(F.col("before_stored") / F.lit(shard_bytes)).cast("long")
+    return placed.select(
+        F.col("page_id").alias("_page_id"), F.col("payload_digest").alias("_digest"), "record_type", "refers_to",
+        shard.alias("shard"),
     )
 
 
@@ -65,7 +66,7 @@ def record_id(page_id: int | None, digest: str) -> str:
 
 def record(row: dict, date: str) -> bytes:
     """One record: headers made anew from the row, then the payload of a response."""
-    body = row["payload"] or b"" if row["record_type"] == "response" else b""
+    body = row["payload"] if row["record_type"] == "response" else b""
     lines = [
         "WARC/1.1",
         f"WARC-Type: {row['record_type']}",
@@ -133,14 +134,14 @@ def write_archives(
     shard_bytes: int = SHARD_BYTES,
     file_bytes: int = FILE_BYTES,
     min_revisit: int = MIN_REVISIT,
-    level: int = 5,
+    level: int = 6,
     date: str = DATE,
 ) -> tuple[str, DataFrame]:
     """Write ``pages`` (page_id, url, html) as archives; returns the folder and the manifest.
 
-    Records are compressed, then sorted by page id. A shard holds the records that begin in the
-    same multiple of ``shard_bytes`` of all compressed bytes before them, so which record is in
-    which shard and file depends on the data alone, not on partitions. Inside a shard a file is
+    Records are sorted by page id. A shard holds the records that begin in the same multiple of
+    ``shard_bytes`` of all payload bytes written before them, so which record is in which shard
+    and file depends on the data alone, not on partitions. Shards are found on narrow rows. Inside a shard a file is
     closed before its compressed size exceeds ``file_bytes``. Files appear by a rename when they
     are complete; the manifest (one row per file with counts and digest) is written last, and
     readers only open files it names.
@@ -154,27 +155,42 @@ def write_archives(
     folder = folder or fresh_path(spark, "warc")
     uri = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    payload = F.encode(F.coalesce(F.col("html"), F.lit("")), "UTF-8")
+    rows = pages.select("page_id", "url", payload.alias("payload"))
+    rows = rows.select(
+        "page_id", "url", "payload", F.length("payload").cast("long").alias("payload_bytes"),
+        F.unhex(F.sha2("payload", 256)).alias("payload_digest"),
+    )
+    narrow = described(rows.drop("payload", "url"), min_revisit, shard_bytes)
+
+    def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd", 3)
         for batch in batches:
-            rows = batch.to_pylist()
-            members = [member(record(row, date), level) for row in rows]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([row["page_id"] for row in rows], pa.int64()),
-                    pa.array([row["payload_digest"] for row in rows], pa.string()),
-                    pa.array(members, pa.binary()),
-                    pa.array([len(m) for m in members], pa.int64()),
-                ],
-                ["page_id", "payload_digest", "member", "stored"],
-            )
+            at = batch.schema.get_field_index("payload")
+            small = pa.array([codec.compress(p.as_buffer(), asbytes=True) for p in batch.column(at)], pa.binary())
+            yield batch.set_column(at, "payload", small)
 
-    # records are compressed before they are sorted: shuffles then move what is written
-    rows = described(pages, min_revisit).mapInArrow(pack, PACKED)
-    keys = [F.col("page_id"), F.col("payload_digest"), F.col("member")]
-    placed = running_sums(rows, keys, ["stored"], "warc-rows")
-    shard = F.floor(F.col("before_stored") / F.lit(shard_bytes)).cast("long")
-    # shards are runs of the order above, so whole shards are ranges too
-    placed = placed.withColumn("shard", shard).repartitionByRange("shard").sortWithinPartitions("shard", *keys)
+    # payloads travel compressed
+    rows = rows.mapInArrow(squeeze, rows.schema)
+    same = F.col("page_id").eqNullSafe(F.col("_page_id")) & (F.col("payload_digest") == F.col("_digest"))
+    rows = rows.join(narrow, same).drop("_page_id", "_digest")
+    # what a revisit repeats is not written again, so it need not travel either
+    rows = rows.withColumn("payload", F.when(F.col("record_type") == "response", F.col("payload")))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = batch.to_pylist()
+            for row in made:
+                row["payload_digest"] = row["payload_digest"].hex()
+                row["payload"] = unpack_bytes(row["payload"], row["payload_bytes"])
+            kept = batch.select(["shard", "page_id"])
+            members = pa.array([member(record(row, date), level) for row in made], pa.binary())
+            yield pa.RecordBatch.from_arrays([*kept.columns, members], [*kept.schema.names, "member"])
+
+    # records are compressed before they are sorted into shards
+    packed = rows.mapInArrow(pack, PACKED)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = packed.repartition(tasks, "shard").sortWithinPartitions("shard", "page_id", "member")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roll, done = None, []
@@ -258,8 +274,8 @@ def read_archives(spark: SparkSession, uri: str, manifest: DataFrame) -> DataFra
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
-    # one task per few files: manifests are small, files are not
-    spread = manifest.select("file").repartitionByRange("file")
+    # manifests are small, files are not: deal the names out evenly
+    spread = manifest.select("file").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     return spread.mapInArrow(read, RECORDS)
 
 
