@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from findlark.workload import content, corpus, filters, results, text, upkeep
+from findlark.workload import content, corpus, filters, lifecycle, results, text, upkeep
 
-MODULES = (filters, text, results, upkeep, content, corpus)
+MODULES = (filters, text, results, upkeep, content, corpus, lifecycle)
 
 
 def all_queries() -> dict:
