@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from findlark.config import materialise
-from findlark.llm.common import packed, release, ship, unpack_bytes
+from findlark.llm.common import release, ship
 from findlark.llm.graph import components
 from findlark.llm.substrings import groups, mixed, sliding
 
@@ -20,7 +20,7 @@ SHINGLE = 5
 MIN_WORDS = 50
 SIMILARITY = 0.8
 # independent hash functions; a pair of passages at the limit misses all with 0.2 ** FUNCTIONS
-FUNCTIONS = 4
+FUNCTIONS = 3
 SCAN_BYTES = 1 << 20
 LAST = (1 << 63) - 1
 POSITION_BITS = 22
@@ -206,13 +206,14 @@ def near_passages(
     ``functions`` hash functions a text is cut into compact windows; passages that match share a
     window's minimum with that probability for each function. Values seen once are dropped.
     Windows of equal content are one from then on, represented by the document with the
-    smallest id. Different contents of one value are compared with the first and the one before,
-    shingle by shingle, over the part that lies in both windows.
+    smallest id, and tie their documents. Where a value has contents of documents that are not
+    tied so far, its contents are compared with the first and the one before, shingle by
+    shingle, over the part that lies in both windows.
 
     ``class_id`` is the smallest id reachable over matches, the document's own without any;
-    ``n_links`` counts matched representatives; ``spans`` are the matched word ranges (start,
-    end), merged, ``n_words`` the words in them. A copy links to its representative, not to
-    every other copy. Null texts and texts under ``min_words`` match nothing. Rows that share
+    ``n_links`` counts the links found that hold the class together; ``spans`` are the word
+    ranges (start, end) they rest on, merged, ``n_words`` the words in them. A copy links to
+    its representative, not to every other copy. Null texts and texts under ``min_words`` match nothing. Rows that share
     an id are one document; a null id comes last and stays null; no rows give no rows; other
     columns are left out. A task holds one text or about a megabyte.
     """
@@ -225,7 +226,17 @@ def near_passages(
     release(spark)
     kinds = rows.groupBy("value", "content").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
     kinds = materialise(kinds, "contents")
-    several = kinds.groupBy("value").agg(F.count("*").alias("kinds")).where("kinds > 1").select("value")
+    # documents of equal contents hang on the first of them
+    many = kinds.where("n > 1").select("value", "content", "first")
+    members = rows.join(many, ["value", "content"])
+    star = members.where("doc_id != first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
+    star = materialise(star, "equal-links")
+    release(spark)
+    # different contents need comparing only where they may tie documents that equal ones do not
+    tied_by_equals = components(star).withColumnRenamed("node", "first")
+    rooted = kinds.join(tied_by_equals, "first", "left").select("value", F.coalesce("root", "first").alias("root"))
+    several = rooted.groupBy("value").agg(F.min("root").alias("one"), F.max("root").alias("two"))
+    several = several.where("one != two").select("value")
     compared = kinds.join(several, "value", "left_semi")
     wanted = compared.groupBy(F.col("first").alias("_id")).agg(F.collect_list(F.struct("value", "content")).alias("wanted"))
 
@@ -233,8 +244,7 @@ def near_passages(
         for batch in batches:
             for row in batch.to_pylist():
                 want = {(w["value"], w["content"]) for w in row["wanted"]}
-                data = unpack_bytes(row["_packed"], row["_size"])
-                _, value, content, left, at, right, hashes, _ = windows_of([data], shingle, width, functions)
+                _, value, content, left, at, right, hashes, _ = windows_of([row["data"]], shingle, width, functions)
                 small = (hashes >> np.uint64(32)).astype(np.uint32)
                 out = {}
                 for v, c, a, m, b in zip(*(x.tolist() for x in (value, content, left, at, right))):
@@ -251,18 +261,16 @@ def near_passages(
                         ["value", "content", "doc_id", "body", "at"],
                     )
 
-    texts = packed(docs.select("doc_id", "text")).withColumn("doc_id", F.coalesce("doc_id", F.lit(LAST)))
-    texts = texts.join(wanted, F.col("doc_id") == F.col("_id")).select("_id", "_packed", "_size", "wanted")
+    ids = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id")
+    texts = docs.select(ids, F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("data"))
+    texts = texts.join(wanted, F.col("doc_id") == F.col("_id")).select("_id", "data", "wanted")
     shown = texts.mapInArrow(bodies, "value long, content long, doc_id long, body binary, at int")
-    shown = materialise(shown.dropDuplicates(["value", "content"]), "window-shingles")
+    shown = materialise(shown, "window-shingles")
     release(spark)
     pairs = materialise(verified(shown, width, similarity), "pairs")
     release(spark)
 
-    # documents of equal contents hang on the first of them, first ones of similar contents on each other
-    many = kinds.where("n > 1").select("value", "content", "first")
-    members = rows.join(many, ["value", "content"])
-    star = members.where("doc_id != first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
+    # and first ones of similar contents on each other
     names = kinds.select("value", "content", "first")
     tied = pairs.join(names.withColumnsRenamed({"content": "a", "first": "one"}), ["value", "a"])
     tied = tied.join(names.withColumnsRenamed({"content": "b", "first": "two"}), ["value", "b"])
