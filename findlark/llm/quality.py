@@ -243,12 +243,33 @@ def judge(
     return joined.withColumn("kept", ~F.col("base_failed") & near)
 
 
+def _listed(common: Mapping[str, Sequence[str]]) -> str:
+    cases = " ".join(
+        "WHEN '{}' THEN [{}]".format(name, ", ".join(f"'{v}'" for v in values)) for name, values in common.items()
+    )
+    return f"CASE lang {cases} END"
+
+
+def _distance(p: str, q: str) -> str:
+    """The distance of two lists in SQL."""
+    pairs = f"list_transform(range(1, len({p}) + 1), lambda k: {{'a': {p}[k] / list_sum({p}), 'b': {q}[k] / list_sum({q})}})"
+    terms = " + ".join(f"CASE WHEN z.{x} > 0 THEN z.{x} * log2(z.{x} / ((z.a + z.b) / 2)) ELSE 0 END" for x in "ab")
+    value = f"sqrt(greatest(list_sum(list_transform({pairs}, lambda z: {terms})) / 2, 0))"
+    return f"CASE WHEN list_sum({p}) > 0 AND list_sum({q}) > 0 THEN {value} END"
+
+
+def _shares(name: str, size: int) -> str:
+    total = f"list_sum({name})"
+    each = [f"sum(CASE WHEN {total} > 0 THEN floor({name}[{k}] * 1000000 / {total}) ELSE 0 END)" for k in range(1, size + 1)]
+    return f"[{', '.join(each)}]"
+
+
 BASE_SQL = """
 WITH d AS (
-  SELECT doc_id, coalesce(text, '') AS t,
+  SELECT doc_id, lang, coalesce(text, '') AS t,
          regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 e AS (
-  SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+  SELECT doc_id, lang, t, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
          (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols,
          list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines, w,
          row_number() OVER () AS row
@@ -257,9 +278,34 @@ win AS (
   SELECT row, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
   FROM e, unnest(range(1, len(w) - 1)) r(i)),
 twice AS (SELECT row, i FROM win QUALIFY count(*) OVER (PARTITION BY row, g) > 1),
-rep AS (SELECT row, count(DISTINCT i + k)::BIGINT AS n FROM twice, range(3) s(k) GROUP BY row)
-SELECT doc_id, n_words, word_chars, n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
-       coalesce(n, 0)::BIGINT AS n_repeat_words,
-       n_words < 50 OR 100 * coalesce(n, 0) > 50 * n_words AS base_failed
-FROM e LEFT JOIN rep USING (row)
-"""
+rep AS (SELECT row, count(DISTINCT i + k)::BIGINT AS n FROM twice, range(3) s(k) GROUP BY row),
+base AS (
+  SELECT row, doc_id, lang, t, w, n_words, word_chars, n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
+         n_words < 50 OR 100 * coalesce(n, 0) > 50 * n_words AS base_failed
+  FROM e LEFT JOIN rep USING (row))"""
+
+_CLASSES = ["[a-z]+", "[A-Z]+", r"\p{L}+", r"\p{N}+", r"[ \t\n\x0b\f\r]+", """[.,;:!?''"()-]+"""]
+
+
+def sql() -> str:
+    """The whole result in SQL: base counts, histograms, references and distances."""
+    left = ["t"]
+    for pattern in _CLASSES:
+        left.append(f"regexp_replace({left[-1]}, '{pattern}', '', 'g')")
+    counts = ", ".join([*(f"length({a}) - length({b})" for a, b in zip(left, left[1:])), f"length({left[-1]})"])
+    size = max(map(len, COMMON.values())) + 1
+    at = "list_transform(w, lambda x: coalesce(list_position(listed, x), 0))"
+    common = ", ".join(f"len(list_filter(spots, lambda x: x = {k}))" for k in [*range(1, size), 0])
+    return f"""{BASE_SQL},
+listed AS (SELECT *, {_listed(COMMON)} AS listed FROM base),
+placed AS (SELECT *, {at} AS spots FROM listed),
+hist AS (
+  SELECT * EXCLUDE (t, w, spots), [{counts}] AS ch, CASE WHEN listed IS NOT NULL THEN [{common}] END AS co FROM placed),
+refs AS (
+  SELECT lang, {_shares("ch", 7)} AS rch, {_shares("co", size)} AS rco
+  FROM hist WHERE n_words >= {MIN_WORDS} AND lang IS NOT NULL GROUP BY lang),
+far AS (SELECT hist.*, {_distance("ch", "rch")} AS dch, {_distance("co", "rco")} AS dco FROM hist LEFT JOIN refs USING (lang))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(dch, 0) <= {MAX_CHARACTERS} AND coalesce(dco, 0) <= {MAX_WORDS} AS kept
+FROM far"""
