@@ -11,7 +11,7 @@ from findlark.workload.common import Catalogue
 QUERIES = Catalogue()
 
 
-@QUERIES.add()
+@QUERIES.add(substrings.SQL)
 def op1_substrings(spark, sf_dir):
     """All documents without bytes of 100-byte strings that start earlier."""
     return substrings.deduplicate(table(spark, sf_dir, "documents")).drop("kept")
@@ -76,7 +76,8 @@ def op9_mixing(spark, sf_dir):
     return rows.select("doc_id", "size", "source_size", "target", "taken")
 
 
-@QUERIES.add()
+@QUERIES.add(quality.sql())
 def op10_quality(spark, sf_dir):
     """Counts and verdict of all documents."""
-    return quality.judge(table(spark, sf_dir, "documents"))
+    rows = quality.judge(table(spark, sf_dir, "documents"))
+    return rows.drop("character_distance", "word_distance")

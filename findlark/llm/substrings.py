@@ -21,7 +21,9 @@ LENGTH = 100
 GRAM = 32
 # bytes scanned at once and bytes of blocks ordered at once: bounds of a task's memory
 SCAN_BYTES = 1 << 18
-ORDER_BYTES = 1 << 20
+ORDER_BYTES = 1 << 19
+# windows of one block at most, and so bytes that a kind of block carries
+RUN = 256
 # a key with more distinct blocks than this is compared window by window, spread by their hash
 HOT = 2048
 LAST = (1 << 63) - 1
@@ -59,16 +61,15 @@ class Blocks:
     again: np.ndarray
 
 
-def scan(data: bytes, sizes: np.ndarray, length: int, gram: int) -> Blocks:
-    """Blocks of documents that lie one after another in ``data``.
+def picked(blocks: Blocks, which: np.ndarray) -> Blocks:
+    return Blocks(*(getattr(blocks, name)[which] for name in ("doc", "first", "last", "key", "again")))
 
-    A window of ``length`` bytes has as key the smallest hash of its grams, so equal windows have
-    equal keys wherever they stand; windows of neighbouring starts mostly share it.
-    """
-    empty = np.zeros(0, np.int64)
-    letters = np.frombuffer(data, np.uint8)
-    if len(letters) < length:
-        return Blocks(empty, empty, empty, empty, empty.astype(bool))
+
+def segment(
+    letters: np.ndarray, owner: np.ndarray, length: int, gram: int, repeats: bool
+) -> tuple[np.ndarray, ...]:
+    """Of the windows that lie in ``letters`` and in one document: first and last of each block,
+    its key; with ``repeats`` also the places of the grams chosen as keys, and the grams."""
     hashes, power, span = LETTERS[letters], BASE, 1
     with np.errstate(over="ignore"):
         while span < gram:
@@ -78,33 +79,57 @@ def scan(data: bytes, sizes: np.ndarray, length: int, gram: int) -> Blocks:
     width = length - gram + 1
     least = sliding(grams, width, np.minimum)
     count = len(least)
-    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     inside = owner[:count] == owner[length - 1 :]
     start = inside.copy()
     start[1:] &= (least[1:] != least[:-1]) | ~inside[:-1] | (owner[1:count] != owner[: count - 1])
+    # a long run, of periodic text, is several blocks
+    begun = np.maximum.accumulate(np.where(start, np.arange(count), 0))
+    start |= inside & ((np.arange(count) - begun) % RUN == 0)
     stop = inside.copy()
     stop[:-1] &= start[1:] | ~inside[1:]
     first, last = np.flatnonzero(start), np.flatnonzero(stop)
-    doc, key = owner[first].astype(np.int64), least[first]
-    # a gram is selected if it is the smallest of a window it lies in
+    if not repeats:
+        return first, last, least[first], first[:0], grams[:0]
+    # a gram is chosen if it is the smallest of a window it lies in
     low = np.where(inside, least, np.iinfo(np.int64).min)
     edge = np.full(width - 1, np.iinfo(np.int64).min)
     highest = sliding(np.concatenate([edge, low, edge]), width, np.maximum)[: len(grams)]
     chosen = np.flatnonzero(grams == highest)
-    chosen_doc = owner[chosen].astype(np.int64)
-    order = np.lexsort((grams[chosen], chosen_doc))
-    a, b = grams[chosen][order], chosen_doc[order]
+    return first, last, least[first], chosen, grams[chosen]
+
+
+def scan(data: bytes, sizes: np.ndarray, length: int, gram: int, repeats: bool = False) -> Blocks:
+    """Blocks of documents that lie one after another in ``data``.
+
+    A window of ``length`` bytes has as key the smallest hash of its grams, so equal windows have
+    equal keys wherever they stand; windows of neighbouring starts mostly share it. Long data is
+    scanned in segments that overlap by a window. ``again`` is only found with ``repeats``.
+    """
+    letters = np.frombuffer(data, np.uint8)
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    step = max(SCAN_BYTES, length)
+    parts = []
+    for at in range(0, max(1, len(letters) - length + 1), 2 * step):
+        end = min(len(letters), at + 2 * step + length - 1)
+        if end - at >= length:
+            found = segment(letters[at:end], owner[at:end], length, gram, repeats)
+            parts.append((found[0] + at, found[1] + at, found[2], found[3] + at, found[4]))
+    if not parts:
+        empty = np.zeros(0, np.int64)
+        return Blocks(empty, empty, empty, empty, empty.astype(bool))
+    first, last, key, chosen, grams = (np.concatenate(x) for x in zip(*parts))
+    doc, chosen_doc = owner[first].astype(np.int64), owner[chosen].astype(np.int64)
+    order = np.lexsort((grams, chosen_doc))
+    a, b = grams[order], chosen_doc[order]
     twice = np.zeros(len(a), bool)
     same = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
     twice[1:] |= same
     twice[:-1] |= same
     repeated = {(d, k) for d, k in zip(b[twice].tolist(), a[twice].tolist())}
+    again = np.zeros(len(doc), bool)
     if repeated:
-        docs_with = {d for d, _ in repeated}
-        again = np.isin(doc, list(docs_with))
+        again = np.isin(doc, list({d for d, _ in repeated}))
         again[again] = [(d, k) in repeated for d, k in zip(doc[again].tolist(), key[again].tolist())]
-    else:
-        again = np.zeros(len(doc), bool)
     return Blocks(doc, first, last, key, again)
 
 
@@ -130,6 +155,17 @@ def groups(texts: list[bytes], limit: int) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+def dense(values: np.ndarray) -> np.ndarray:
+    """Rank of each value among the distinct ones."""
+    order = np.argsort(values)
+    ordered = values[order]
+    step = np.zeros(len(values), np.int64)
+    np.cumsum(ordered[1:] != ordered[:-1], out=step[1:])
+    ranks = np.empty(len(values), np.int64)
+    ranks[order] = step
+    return ranks
+
+
 def suffix_ranks(data: np.ndarray, length: int) -> np.ndarray:
     """Rank of every suffix in suffix order, suffixes cut off after ``length`` bytes: equal ranks
     mean a common prefix of ``length`` bytes. Prefix doubling from words of eight bytes."""
@@ -138,12 +174,12 @@ def suffix_ranks(data: np.ndarray, length: int) -> np.ndarray:
     padded = np.concatenate([data, np.zeros(length, np.uint8)]).astype(np.uint64)
     for k in range(8):
         word = (word << np.uint64(8)) | padded[k : k + size]
-    rank = np.unique(word, return_inverse=True)[1].astype(np.int64)
+    rank = dense(word)
     while span < length:
         step = min(span, length - span)
         # the second half may overlap the first: both prefixes together cover span + step bytes
         later = np.concatenate([rank[step:], np.zeros(step, np.int64)])
-        rank = np.unique(rank * (size + 1) + later, return_inverse=True)[1].astype(np.int64)
+        rank = dense(rank * (size + 1) + later)
         span += step
     return rank
 
@@ -197,8 +233,9 @@ def later_windows(key: np.ndarray, rank: np.ndarray, body: list[bytes], length:
     window = offset <= sizes[owner] - length
     owner, offset, ranks = owner[window], offset[window], ranks[window]
     later = previous(ranks, rank[owner]) < rank[owner]
-    cuts = np.searchsorted(owner[later], np.arange(len(body) + 1))
-    return [offset[later][a:b] for a, b in zip(cuts, cuts[1:])]
+    owner, offset = owner[later], offset[later]
+    cuts = np.searchsorted(owner, np.arange(len(body) + 1))
+    return [offset[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 def runs(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
@@ -259,27 +296,28 @@ def window_states(docs: DataFrame, states: DataFrame, several: DataFrame, length
 
     def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                wanted = {(m["key"], m["sig"]) for m in row["marks"]}
-                data = unpack_bytes(row["_packed"], row["_size"])
-                blocks = scan(data, np.array([len(data)]), length, gram)
-                mark = np.flatnonzero(np.isin(blocks.key, np.array([k for k, _ in wanted])))
-                own = Blocks(*(getattr(blocks, n)[mark] for n in ("doc", "first", "last", "key", "again")))
+            rows = batch.to_pylist()
+            texts = [unpack_bytes(row["_packed"], row["_size"]) for row in rows]
+            for a, b in groups(texts, SCAN_BYTES):
+                whole = b"".join(texts[a:b])
+                blocks = scan(whole, np.array([len(x) for x in texts[a:b]]), length, gram)
+                wanted = [{(m["key"], m["sig"]) for m in row["marks"]} for row in rows[a:b]]
+                keys = np.array(list({k for w in wanted for k, _ in w}))
+                own = picked(blocks, np.flatnonzero(np.isin(blocks.key, keys)))
                 out = {}
-                for k, s, a, b in zip(own.key.tolist(), signatures(data, own, length).tolist(), own.first.tolist(), own.last.tolist()):
-                    if (k, s) in wanted:
-                        out[(k, s)] = data[a : b + length]
-                if out:
-                    count = len(out)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([row["doc_id"]] * count, pa.int64()),
-                            pa.array([k for k, _ in out], pa.int64()),
-                            pa.array([s for _, s in out], pa.int64()),
-                            pa.array(list(out.values()), pa.binary()),
-                        ],
-                        ["doc_id", "key", "sig", "body"],
-                    )
+                found = zip(own.doc.tolist(), own.key.tolist(), signatures(whole, own, length).tolist(), own.first.tolist(), own.last.tolist())
+                for i, k, s, first, last in found:
+                    if (k, s) in wanted[i]:
+                        out[(i, k, s)] = whole[first : last + length]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([rows[a + i]["doc_id"] for i, _, _ in out], pa.int64()),
+                        pa.array([k for _, k, _ in out], pa.int64()),
+                        pa.array([s for _, _, s in out], pa.int64()),
+                        pa.array(list(out.values()), pa.binary()),
+                    ],
+                    ["doc_id", "key", "sig", "body"],
+                )
 
     marks = by_document(states.where("state = 2"), "key", "sig")
     texts = packed(docs.select("doc_id", "text")).join(marks, F.col("doc_id").eqNullSafe(F.col("_id")))
@@ -383,7 +421,7 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: in
             bodies = [unpack_bytes(row["_packed"], row["_size"]) for row in rows]
             for a, b in groups(bodies, SCAN_BYTES):
                 whole, sizes = b"".join(bodies[a:b]), np.array([len(x) for x in bodies[a:b]])
-                blocks = scan(whole, sizes, length, gram)
+                blocks = scan(whole, sizes, length, gram, True)
                 gone = own_repeats(whole, blocks, length)
                 cuts = np.searchsorted(blocks.doc, np.arange(b - a + 1))
                 bounds = np.concatenate([[0], np.cumsum(sizes)])
@@ -394,7 +432,7 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: in
                     if marks:
                         own = slice(cuts[i - a], cuts[i - a + 1])
                         pick = np.flatnonzero(np.isin(blocks.key[own], np.array([k for k, _ in marks]))) + own.start
-                        some = Blocks(*(getattr(blocks, n)[pick] for n in ("doc", "first", "last", "key", "again")))
+                        some = picked(blocks, pick)
                         sigs = signatures(whole, some, length)
                         for k, s, f, e in zip(some.key.tolist(), sigs.tolist(), some.first.tolist(), some.last.tolist()):
                             if (k, s) in marks:
@@ -415,3 +453,26 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: in
     return texts.mapInArrow(
         cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     )
+
+
+SQL = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, '')))::BIGINT AS n FROM documents),
+w AS (SELECT doc_id, p, substr(h, 2 * p + 1, 200) AS s FROM d, unnest(range(0, n - 99)) r(p)),
+later AS (
+  SELECT doc_id, p FROM w QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, p) > 1),
+marked AS (
+  SELECT doc_id, p, coalesce(p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100, true)::INT AS new FROM later),
+numbered AS (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM marked),
+spans AS (SELECT doc_id, k, min(p) AS a, max(p) + 100 AS b FROM numbered GROUP BY ALL),
+gaps AS (
+  SELECT doc_id, coalesce(lag(b) OVER o, 0) AS x, a AS y FROM spans WINDOW o AS (PARTITION BY doc_id ORDER BY k)
+  UNION ALL SELECT doc_id, coalesce(max(b), 0), any_value(n) FROM d LEFT JOIN spans USING (doc_id) GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, string_agg(substr(h, (2 * x + 1)::BIGINT, (2 * (y - x))::BIGINT), '' ORDER BY x) AS h
+  FROM gaps JOIN d USING (doc_id) GROUP BY doc_id),
+totals AS (SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(kept.h)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN totals USING (doc_id)
+"""

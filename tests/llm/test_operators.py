@@ -50,6 +50,17 @@ def test_substrings_limits_and_overlaps(make):
         same(substrings.deduplicate(make(rows), hot=hot).select(*BYTES).collect(), brute.substrings(rows, 100))
 
 
+def test_substrings_in_segments(make, monkeypatch):
+    """Texts longer than what is scanned at once, and runs longer than a block."""
+    rng = random.Random(6)
+    base = "".join(rng.choices("abcd", k=3000))
+    rows = [(1, base), (2, base[700:2600] + "xyz" * 300 + base[:900]), (3, base[1500:] + base[1500:]), (4, "q" * 2500)]
+    monkeypatch.setattr(substrings, "SCAN_BYTES", 300)
+    monkeypatch.setattr(substrings, "ORDER_BYTES", 300)
+    monkeypatch.setattr(substrings, "RUN", 40)
+    same(substrings.deduplicate(make(rows)).select(*BYTES).collect(), brute.substrings(rows, 100))
+
+
 # --- personal data ---
 
 HARD = [
