@@ -6,6 +6,7 @@ from pathlib import Path
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
+from llm_rows import ODD  # noqa: E402
 
 TEXTS = "doc_id long, text string, lang string, source string, n_chars long, size string, score int, taken boolean"
 
@@ -31,24 +32,6 @@ def make(spark):
     return lambda pairs: spark.createDataFrame(rows_of(pairs), TEXTS)
 
 
-LONG = " ".join(f"word{k % 977}x{k % 31}" for k in range(60_000)) + "\n" + "é😀 tail"
-ODD = [
-    (1, None),
-    (2, ""),
-    (3, " \t\r\n\x0b\x0c "),
-    (4, "one"),
-    (5, "Ünï cödé 😀 words"),
-    (6, "same text\nsecond line\nthird line of it\nfourth"),
-    (7, "same text\nsecond line\nthird line of it\nfourth"),
-    (7, "same text\nsecond line\nthird line of it\nfourth"),
-    (8, "a\n" * 300),
-    (9, LONG),
-    (None, "no id here"),
-    (None, None),
-    (10, "12345 !!! ###"),
-]
-
-
 @pytest.fixture(scope="session")
 def odd(make):
     """Nulls, empty and very long texts, ties and repeated rows."""

@@ -5,10 +5,10 @@ from __future__ import annotations
 import random
 from collections import Counter
 
-import brute
+import llm_brute as brute
 import numpy as np
 import pytest
-from conftest import LONG, ODD
+from llm_rows import LONG, ODD
 from pyspark.sql import functions as F
 
 from findlark.llm import (

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import brute
+import llm_brute as brute
 import corpus_pipeline
 import pytest
-from conftest import ODD
+from llm_rows import ODD
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
