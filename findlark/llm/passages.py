@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +24,8 @@ SIMILARITY = 0.8
 # independent hash functions; a pair of passages at the limit misses all with 0.2 ** FUNCTIONS
 FUNCTIONS = 3
 SCAN_BYTES = 1 << 20
+# contents of one value that meet in one task; more are dealt as pairs of blocks
+BLOCK = 1024
 LAST = (1 << 63) - 1
 POSITION_BITS = 22
 BASE = np.uint64(0x9DDFEA08EB382D69)
@@ -109,13 +113,20 @@ def alike(a: np.ndarray, at_a: int, b: np.ndarray, at_b: int, width: int, simila
 
     if share(x, y) >= similarity:
         return before, after
-    need = 2 * similarity / (1 + similarity) * width
-    if len(np.intersect1d(x, y)) < need:
-        return None
-    best = max(range(len(x) - width + 1), key=lambda k: share(x[k : k + width], y[k : k + width]))
-    if share(x[best : best + width], y[best : best + width]) >= similarity:
-        return before - best, best + width - 1 - before
-    return None
+    if len(set(x.tolist())) == len(x) == len(set(y.tolist())):
+        # a shingle at i and j lies in both runs that begin from max(i, j) - width + 1 to min(i, j)
+        _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+        lowest, highest = np.maximum(np.maximum(i, j) - width + 1, 0), np.minimum(np.minimum(i, j), len(x) - width)
+        lies = lowest <= highest
+        steps = np.bincount(lowest[lies], minlength=len(x) + 1) - np.bincount(highest[lies] + 1, minlength=len(x) + 1)
+        both = np.cumsum(steps)[: len(x) - width + 1]
+        best = int(np.argmax(both))
+        most = both[best] / (2 * width - both[best])
+    else:
+        shares = [share(x[k : k + width], y[k : k + width]) for k in range(len(x) - width + 1)]
+        best = int(np.argmax(shares))
+        most = shares[best]
+    return (before - best, best + width - 1 - before) if most >= similarity else None
 
 
 def emitted(docs: DataFrame, shingle: int, width: int, functions: int, narrow: bool) -> DataFrame:
@@ -139,57 +150,94 @@ def emitted(docs: DataFrame, shingle: int, width: int, functions: int, narrow: b
     return texts.mapInArrow(run, ddl)
 
 
+def matches(rows: list[tuple], width: int, similarity: float) -> Iterator[tuple[int, int, tuple[int, int]]]:
+    """Similar pairs among contents (shingles, place of the minimum, block) of one value: their
+    places in ``rows`` and what :func:`alike` finds.
+
+    Every two are compared, those of different blocks only if there are two blocks, except where
+    nothing can come of it: two that share too few shingles, and two that pairs found before tie
+    together, all of whose common shingles lie in similar parts already.
+    """
+    sets = [set(body.tolist()) for body, _, _ in rows]
+    # similar runs of ``width`` different shingles share so many
+    least = [2 * similarity / (1 + similarity) * width if len(s) == len(r[0]) else 1 for s, r in zip(sets, rows)]
+    least = np.array(least) - 1e-9
+    blocks = np.array([block for *_, block in rows])
+    across = len(set(blocks.tolist())) > 1
+    at, uncovered, root = [r[1] for r in rows], [set(s) for s in sets], list(range(len(rows)))
+    holders = {}
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for k, own in enumerate(sets):
+        held = [holders[s] for s in own if s in holders]
+        if held:
+            shared = np.bincount(np.concatenate([np.frombuffer(h, np.int32) for h in held]), minlength=k)
+            possible = shared >= np.minimum(least[:k], least[k])
+            if across:
+                possible &= blocks[:k] != blocks[k]
+            for j in np.flatnonzero(possible).tolist():
+                tied = find(j) == find(k)
+                if tied and uncovered[k].isdisjoint(sets[j]) and uncovered[j].isdisjoint(own):
+                    continue
+                part = alike(rows[j][0], at[j], rows[k][0], at[k], width, similarity)
+                if part is None:
+                    continue
+                fresh = False
+                for one, other in ((j, k), (k, j)):
+                    inside = set(rows[one][0][at[one] - part[0] : at[one] + part[1] + 1].tolist())
+                    fresh |= not (inside & uncovered[one]).isdisjoint(sets[other])
+                    uncovered[one] -= inside
+                if fresh or not tied:
+                    root[find(k)] = find(j)
+                    yield j, k, part
+        for s in own:
+            holders.setdefault(s, array("i")).append(k)
+
+
 def verified(bodies: DataFrame, width: int, similarity: float) -> DataFrame:
     """Similar contents of one value: ``value, a, b`` (content hashes), the first shingle of the
     similar part in each, ``from_a`` and ``from_b``, and its ``size``.
 
-    Rows sorted by value and document are compared with the row before and with the first of
-    their value. The sort is by range, so a frequent value spreads over tasks; the first rows of
-    the values at the ends of each range, two a task, are compared with each other afterwards.
+    All contents of a value meet each other, see :func:`matches`. Those of a value with more than
+    ``BLOCK`` are dealt into blocks, and each pair of blocks is a group of its own, so that a
+    frequent value spreads over tasks.
     """
-    ddl = "value long, a long, b long, from_a int, from_b int, size int, doc_id long, body binary, at int"
-    names = ["value", "a", "b", "from_a", "from_b", "size", "doc_id", "body", "at"]
-    types = [pa.int64()] * 3 + [pa.int32()] * 3 + [pa.int64(), pa.binary(), pa.int32()]
-
-    def packed_rows(rows):
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
-
-    def compare(edges: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            leader = before = first = None
-            for batch in batches:
-                out = []
-                for row in batch.to_pylist():
-                    row["body_"] = np.frombuffer(row["body"], np.uint32)
-                    if leader is None or row["value"] != leader["value"]:
-                        leader, before = row, None
-                        first = first or row
-                        continue
-                    for other in (leader, before):
-                        if other is not None and other["content"] != row["content"]:
-                            part = alike(other["body_"], other["at"], row["body_"], row["at"], width, similarity)
-                            if part:
-                                starts = other["at"] - part[0], row["at"] - part[0], sum(part) + 1
-                                out.append((row["value"], other["content"], row["content"], *starts, None, None, None))
-                    before = row
-                if out:
-                    yield packed_rows(out)
-            if edges and leader is not None:
-                # what the neighbouring ranges may go on with
-                ends = {r["content"]: r for r in (first, leader, before) if r is not None}
-                yield packed_rows([
-                    (r["value"], r["content"], *[None] * 4, r["doc_id"], r["body"], r["at"]) for r in ends.values()
-                ])
-
-        return run
-
-    order = ["value", "doc_id", "content"]
-    found = bodies.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(compare(True), ddl)
-    found = materialise(found, "alike")
-    ends = found.where("b is null").select("value", F.col("a").alias("content"), "doc_id", "body", "at")
-    # at most three rows a task
-    ends = ends.repartition(1).sortWithinPartitions(*order).mapInArrow(compare(False), ddl)
-    return found.where("b is not null").unionByName(ends).select("value", "a", "b", "from_a", "from_b", "size")
+    hot = bodies.groupBy("value").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    rows = bodies.join(hot.where("blocks > 1"), "value", "left")
+    blocks = F.coalesce("blocks", F.lit(1))
+    rows = rows.withColumn("own", F.pmod("content", blocks).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    key = ["value", "one", "two"]
+    rows = rows.select(
+        "value", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "own", "doc_id",
+        "content", "body", "at",
+    )
+    rows = rows.repartition(*key).sortWithinPartitions(*key, "doc_id", "content")
+    names = ["value", "a", "b", "from_a", "from_b", "size"]
+    types = [pa.int64()] * 3 + [pa.int32()] * 3
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        each = (row for batch in batches for row in batch.to_pylist())
+        for (value, _, _), group in groupby(each, lambda r: (r["value"], r["one"], r["two"])):
+            group = list(group)
+            if len(group) < 2:
+                continue
+            found = matches(
+                [(np.frombuffer(r["body"], np.uint32), r["at"], r["own"]) for r in group], width, similarity
+            )
+            out = [
+                (value, group[j]["content"], group[k]["content"], group[j]["at"] - p[0], group[k]["at"] - p[0], sum(p) + 1)
+                for j, k, p in found
+            ]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+
+    return rows.mapInArrow(compare, "value long, a long, b long, from_a int, from_b int, size int")
 
 
 def near_passages(
@@ -207,8 +255,8 @@ def near_passages(
     window's minimum with that probability for each function. Values seen once are dropped.
     Windows of equal content are one from then on, represented by the document with the
     smallest id, and tie their documents. Where a value has contents of documents that are not
-    tied so far, its contents are compared with the first and the one before, shingle by
-    shingle, over the part that lies in both windows.
+    tied so far, all its contents are compared with each other, shingle by shingle, over the
+    part that lies in both windows.
 
     ``class_id`` is the smallest id reachable over matches, the document's own without any;
     ``n_links`` counts the links found that hold the class together; ``spans`` are the word

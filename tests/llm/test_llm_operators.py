@@ -251,6 +251,30 @@ def test_passages_hot_group(make):
     assert {r.class_id for r in found} == {0} and sum(r.n_links for r in found) < 20 * len(rows)
 
 
+@pytest.mark.parametrize("block", [1024, 2])
+def test_passages_interleaved_families(make, monkeypatch, block):
+    """Two families under one minimum-hash value, ids in turn, one short passage in all."""
+    monkeypatch.setattr(passages, "BLOCK", block)
+
+    def family(head, seed):
+        # four texts whose one minimum lies in the words that both families begin with
+        for tail in (spread(seed + k, 34) for k in range(100)):
+            rows = [[*head, *tail[:20], f"{seed}x{k}", *tail[20:]] for k in range(4)]
+            texts = [" ".join(w).encode() for w in rows]
+            _, value, content, _, at, *_ = passages.windows_of(texts, passages.SHINGLE, 46, 1)
+            if len(set(value.tolist())) == 1 and len(set(content.tolist())) == 4 and at[0] < 22:
+                return value[0], rows
+        return None, None
+
+    heads = (spread(30 + k, 26) for k in range(100))
+    one, two = next(f for f in ((family(h, 10_000), family(h, 20_000)) for h in heads) if f[0][1] and f[1][1])
+    assert one[0] == two[0]
+    rows = [(k, " ".join(w)) for k, w in enumerate(w for pair in zip(one[1], two[1]) for w in pair)]
+    found = {r.doc_id: r for r in passages.near_passages(make(rows), functions=1).collect()}
+    assert [found[i].class_id for i, _ in rows] == brute.near_passages(rows, 50, 0.8) == [0, 1] * 4
+    assert all(r.n_links > 0 and r.n_words >= 50 for r in found.values())
+
+
 def test_passages_odd_rows(odd, empty):
     found = {r.doc_id: r for r in passages.near_passages(odd).collect()}
     assert set(found) == {i for i, _ in ODD} and all(r.class_id == i for i, r in found.items())
