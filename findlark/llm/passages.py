@@ -254,9 +254,8 @@ def near_passages(
     ``functions`` hash functions a text is cut into compact windows; passages that match share a
     window's minimum with that probability for each function. Values seen once are dropped.
     Windows of equal content are one from then on, represented by the document with the
-    smallest id, and tie their documents. Where a value has contents of documents that are not
-    tied so far, all its contents are compared with each other, shingle by shingle, over the
-    part that lies in both windows.
+    smallest id, and tie their documents. All different contents of a value are compared with
+    each other, shingle by shingle, over the part that lies in both windows.
 
     ``class_id`` is the smallest id reachable over matches, the document's own without any;
     ``n_links`` counts the links found that hold the class together; ``spans`` are the word
@@ -280,11 +279,7 @@ def near_passages(
     star = members.where("doc_id != first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
     star = materialise(star, "equal-links")
     release(spark)
-    # different contents need comparing only where they may tie documents that equal ones do not
-    tied_by_equals = components(star).withColumnRenamed("node", "first")
-    rooted = kinds.join(tied_by_equals, "first", "left").select("value", F.coalesce("root", "first").alias("root"))
-    several = rooted.groupBy("value").agg(F.min("root").alias("one"), F.max("root").alias("two"))
-    several = several.where("one != two").select("value")
+    several = kinds.groupBy("value").count().where("count > 1").select("value")
     compared = kinds.join(several, "value", "left_semi")
     wanted = compared.groupBy(F.col("first").alias("_id")).agg(F.collect_list(F.struct("value", "content")).alias("wanted"))
 

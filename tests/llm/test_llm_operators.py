@@ -275,6 +275,19 @@ def test_passages_interleaved_families(make, monkeypatch, block):
     assert all(r.n_links > 0 and r.n_words >= 50 for r in found.values())
 
 
+def test_passages_beside_equal_ones(make):
+    """Documents tied by an exact passage have a near-duplicate one elsewhere."""
+    exact, near = spread(40, 60), spread(41, 60)
+    edited = [*near[:30], "edit", *near[31:]]
+    cut = [[*exact, *spread(42, 80), *near], [*spread(43, 70), *edited, *spread(44, 60), *exact]]
+    found = {r.doc_id: r for r in passages.near_passages(make([(k, " ".join(w)) for k, w in enumerate(cut)])).collect()}
+    for row, places in ((found[0], (0, 140)), (found[1], (190, 70))):
+        spans = [(s.start, s.end) for s in row.spans]
+        assert row.class_id == 0 and row.n_passages == 2
+        # each passage is matched, up to a few words at its ends
+        assert all(any(s <= p + 12 and e >= p + 48 for s, e in spans) for p in places), spans
+
+
 def test_passages_odd_rows(odd, empty):
     found = {r.doc_id: r for r in passages.near_passages(odd).collect()}
     assert set(found) == {i for i, _ in ODD} and all(r.class_id == i for i, r in found.items())
