@@ -62,9 +62,15 @@ def compact_windows(hashed: np.ndarray, counts: np.ndarray, width: int, seed: in
     if len(hashed) < width:
         return none, none, none, none
     values = mixed(hashed ^ np.uint64(0xA24BAED4963EE407 * (2 * seed + 1) % (1 << 64))).view(np.int64)
-    # the place in the low bits: the leftmost of equal minima is taken, and known at once
+    # the place in the low bits: the leftmost of equal minima is taken, and known at once; more
+    # places than the bits hold are scanned in segments that overlap by a window
     low = np.int64((1 << POSITION_BITS) - 1)
-    least = sliding((values & ~low) | np.arange(len(values)), width, np.minimum)
+    step = max(1, (1 << POSITION_BITS) - width + 1)
+    parts = []
+    for begin in range(0, len(values) - width + 1, step):
+        part = values[begin : begin + step + width - 1]
+        parts.append((sliding((part & ~low) | np.arange(len(part)), width, np.minimum) & low) + begin)
+    least = np.concatenate(parts)
     owner = np.repeat(np.arange(len(counts)), counts)
     count = len(least)
     inside = owner[:count] == owner[width - 1 :]
@@ -73,7 +79,7 @@ def compact_windows(hashed: np.ndarray, counts: np.ndarray, width: int, seed: in
     stop = inside.copy()
     stop[:-1] &= start[1:] | ~inside[1:]
     first, last = np.flatnonzero(start), np.flatnonzero(stop)
-    return owner[first], first, least[first] & low, last + width - 1
+    return owner[first], first, least[first], last + width - 1
 
 
 def windows_of(texts: list[bytes], shingle: int, width: int, functions: int) -> tuple[np.ndarray, ...]:

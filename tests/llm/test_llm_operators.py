@@ -288,6 +288,15 @@ def test_passages_beside_equal_ones(make):
         assert all(any(s <= p + 12 and e >= p + 48 for s, e in spans) for p in places), spans
 
 
+def test_passages_windows_in_segments(monkeypatch):
+    """More shingles than places fit into the low bits of a hash."""
+    texts = [" ".join(spread(50, 3000)).encode(), b"short", " ".join(spread(51, 500)).encode()]
+    # hashes keep the bits that the smaller places leave, so only minima that tie in them could differ
+    whole = [x.tolist() for x in passages.windows_of(texts, 5, 46, 3)]
+    monkeypatch.setattr(passages, "POSITION_BITS", 8)
+    assert [x.tolist() for x in passages.windows_of(texts, 5, 46, 3)] == whole
+
+
 def test_passages_odd_rows(odd, empty):
     found = {r.doc_id: r for r in passages.near_passages(odd).collect()}
     assert set(found) == {i for i, _ in ODD} and all(r.class_id == i for i, r in found.items())
