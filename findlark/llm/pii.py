@@ -9,6 +9,26 @@ from pyspark.sql import functions as F
 
 from findlark.llm.quality import let
 
+# Characters of an account number, by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+COUNTRIES = "|".join(" ".join(IBAN_LENGTHS.values()).split())
+
+
+def iban() -> str:
+    """Account numbers as long as their country says; those of other countries are taken up to
+    the end of the run, or to a space before one of a country in the list."""
+    known = "|".join(
+        rf"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items()
+    )
+    other = rf"(?!{COUNTRIES})[A-Z]{{2}}[0-9]{{2}}(?:(?:\x20(?!(?:{COUNTRIES})[0-9]{{2}}))?[A-Z0-9]){{11,30}}+"
+    return rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{known}|{other})(?![A-Za-z0-9])"
+
+
 # The patterns of the contract, written so that a failed match costs one pass: runs are taken
 # whole (possessive) and begin at the start of a run or where the match before ended. Both
 # forms find the same spans.
@@ -18,7 +38,7 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    "iban": iban(),
     "local_phone": r"(?<![0-9+])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
 }
 # A text without this cannot match the pattern.
@@ -131,7 +151,8 @@ def personal_data(
     counts, Luhn and mod-97 confirm them; one that fails is dropped without a second try. A span
     scores the first value of its kind, or the second if a context word stands in the ``reach``
     characters before it. The four base kinds always stay; account numbers and local telephone
-    numbers are added if they reach ``min_score`` and overlap no base span.
+    numbers are added if they reach ``min_score`` and overlap no base span. An account number
+    ends where the length of its country says, whatever follows after a space.
 
     Null text is empty, and a document without spans has an empty list. Repeated rows and ids
     are searched one by one; no rows give no rows; other columns are left out. A row needs

@@ -90,6 +90,19 @@ def test_pii_added_spans(make):
     assert all(text[s.start : s.end] == s.value for s in row.found)
 
 
+def test_pii_account_numbers_before_words(make):
+    one, two, three = "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "NO93 8601 1117 947"
+    other = "DZ580002100001113000000570"
+    cases = [
+        (f"{one} BIC COBADEFF", [one]), ("DE89370400440532013000 EUR 500", ["DE89370400440532013000"]),
+        (f"{one} Bitte", [one]), (f"{one} {two}", [one, two]), (f"{three} {one} 12 34", [three, one]),
+        (f"{one}00", []), (f"x{one}", []), (f"{one}a", []), (other, [other]), (f"{other} {two}", [other, two]),
+        (f"DE00 3704 0044 0532 0130 00 {two} AB", [two]),
+    ]
+    found = {r.doc_id: r.found for r in pii.personal_data(make([(k, t) for k, (t, _) in enumerate(cases)])).collect()}
+    assert [[s.value for s in found[k] if s.kind == "iban"] for k in range(len(cases))] == [v for _, v in cases]
+
+
 # --- decontamination ---
 
 ITEMS = [
