@@ -67,8 +67,10 @@ def leaks(
     by hash; a document with ``min_share`` of an item's distinct windows is a candidate. For
     candidates, the values that one item value meets in the matched windows are compared: the
     share of slots in which it meets its most frequent partner is the consistency, 1 without
-    slots, and must reach ``min_consistent``. An item that was filled in anew maps each value to
-    one other; windows that match by chance do not.
+    slots, and must reach ``min_consistent`` in the document or in one occurrence of the item:
+    the windows that lie at about one distance from the item's, with ``min_share`` of them. An
+    item that was filled in anew maps each value to one other, in each filling anew; windows that
+    match by chance do not. ``consistency`` is the best of these.
 
     Windows of the items are written first; Spark broadcasts them while that file is below its
     limit and shuffles hashes otherwise. Matches are combined per document before the shuffle.
@@ -91,21 +93,41 @@ def leaks(
     found = materialise(found.where(F.col("share") >= min_share), "leak-candidates")
 
     # values are compared for candidates only
-    slots = places(items, "item_id", window).withColumnRenamed("value", "item_value")
     ids = found.select(F.col("doc_id").alias("_doc")).distinct()
     own = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_doc")), "left_semi")
-    own = own.select("doc_id", tokens(F.col("text")).alias("t"))
-    met = places(own.withColumn("w", windows(F.col("t"), window)), "doc_id", window)
-    pairs = found.select("doc_id", "item_id").join(slots, "item_id").withColumnRenamed("doc_id", "_doc")
-    same = (
-        F.col("doc_id").eqNullSafe(F.col("_doc"))
-        & (met["hash"] == pairs["hash"]) & (met["place"] == pairs["place"])
+    own = own.select("doc_id", tokens(F.col("text")).alias("t")).withColumn("w", windows(F.col("t"), window))
+    items = items.withColumn("n", F.size("t"))
+    pairs = found.select(F.col("doc_id").alias("_doc"), "item_id", "n_windows")
+    of_doc = F.col("doc_id").eqNullSafe(F.col("_doc"))
+
+    # windows of one occurrence have about the same distance between document and item
+    item_at = items.select("item_id", "n", F.posexplode("w").alias("i", "hash"))
+    doc_at = own.select("doc_id", F.posexplode("w").alias("j", "hash"))
+    doc_at = doc_at.withColumnRenamed("hash", "_hash")
+    near = pairs.join(item_at, "item_id").join(doc_at, of_doc & (F.col("hash") == F.col("_hash")))
+    near = near.select("_doc", "item_id", "n_windows", "hash", F.explode(occurrences()).alias("o"))
+    held = near.groupBy("_doc", "item_id", "n_windows", "o").agg(F.count_distinct("hash").alias("seen"))
+    whole = F.col("o.kind") == 0
+    held = held.where(whole | (F.col("seen") / F.col("n_windows") >= min_share)).select("_doc", "item_id", "o")
+
+    slots = places(items, ["item_id", "n"], window).withColumnsRenamed({"value": "item_value", "at": "i"})
+    met = places(own, ["doc_id"], window).withColumnsRenamed({"at": "j", "hash": "_hash", "place": "_place"})
+    same = of_doc & (F.col("_hash") == F.col("hash")) & (F.col("_place") == F.col("place"))
+    counted = pairs.join(slots, "item_id").join(met, same)
+    counted = counted.select("_doc", "item_id", "item_value", "value", F.explode(occurrences()).alias("o"))
+    counted = counted.groupBy("_doc", "item_id", "o", "item_value", "value").count()
+    best = counted.groupBy("_doc", "item_id", "o", "item_value").agg(
+        F.max("count").alias("most"), F.sum("count").alias("all")
     )
-    counted = pairs.join(met, same).groupBy("_doc", "item_id", "item_value", "value").count()
-    best = counted.groupBy("_doc", "item_id", "item_value").agg(F.max("count").alias("most"), F.sum("count").alias("all"))
-    agreed = best.groupBy("_doc", F.col("item_id").alias("_item")).agg(
+    agreed = best.groupBy(F.col("_doc").alias("_d"), F.col("item_id").alias("_i"), F.col("o").alias("_o")).agg(
         (F.sum("most") / F.sum("all")).alias("consistency")
     )
+    each = held.join(
+        agreed, F.col("_doc").eqNullSafe(F.col("_d")) & (F.col("item_id") == F.col("_i")) & (F.col("o") == F.col("_o")), "left"
+    )
+    agreed = each.groupBy("_doc", F.col("item_id").alias("_item")).agg(
+        F.max(F.coalesce("consistency", F.lit(1.0))).alias("consistency")
+    )
     result = found.join(
         agreed, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("item_id") == F.col("_item")), "left"
     ).withColumn("consistency", F.coalesce("consistency", F.lit(1.0)))
@@ -114,9 +136,19 @@ def leaks(
     )
 
 
-def places(rows: DataFrame, key: str, window: int) -> DataFrame:
-    """Values of the slots of every window: ``key, hash, place, value``."""
-    at = rows.select(key, "t", F.posexplode("w").alias("i", "hash"))
-    cut = at.select(key, "hash", F.posexplode(F.slice("t", F.col("i") + 1, F.lit(window))).alias("place", "token"))
+def occurrences() -> Column:
+    """The groups a match at item place ``i`` and document place ``j`` belongs to: the whole
+    document, its distance, and two rows of bins as long as the item, half a bin apart."""
+    apart, n = (F.col("j") - F.col("i")).cast("long"), F.col("n")
+    bins = [F.lit(0).cast("long"), apart, F.floor(apart / n), F.floor(apart / n + F.lit(0.5))]
+    return F.array(*[F.struct(F.lit(k).alias("kind"), b.alias("bin")) for k, b in enumerate(bins)])
+
+
+def places(rows: DataFrame, keys: list[str], window: int) -> DataFrame:
+    """Values of the slots of every window: ``keys, at, hash, place, value``."""
+    at = rows.select(*keys, "t", F.posexplode("w").alias("at", "hash"))
+    cut = at.select(
+        *keys, "at", "hash", F.posexplode(F.slice("t", F.col("at") + 1, F.lit(window))).alias("place", "token")
+    )
     cut = cut.where(F.startswith("token", F.lit(MARK)))
-    return cut.select(key, "hash", "place", F.expr("substring(token, 2)").alias("value"))
+    return cut.select(*keys, "at", "hash", "place", F.expr("substring(token, 2)").alias("value"))

@@ -132,6 +132,16 @@ def test_templates(make, items):
     assert all(r.share == 1 and r.consistency == 1 for r in found)
 
 
+def test_leaks_beside_other_fillings(make, items):
+    """An exact copy and a filling anew in one document, in either order, and two fillings."""
+    exact = ITEMS[0][1]
+    one = "If Mary buys 12 apples for 9 euros each, how much does Mary pay in Paris?"
+    two = "If Pia buys 7 apples for 2 cents each, how much does Pia pay in Oslo?"
+    rows = [(1, f"{exact} {one}"), (2, f"x {one} and so on. {exact}"), (3, f"{one} {two}"), (4, f"{exact} {one} {two}")]
+    found = decontaminate.leaks(make(rows), items).collect()
+    same([(r.doc_id, r.item_id, r.consistency) for r in found], [(k, 1, 1.0) for k in (1, 2, 3, 4)])
+
+
 def test_leaks_small_table(docs, texts, spark, sf_dir, items, empty):
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     held = {(i, r.item_id) for i, t in texts.items() for r in benchmark.collect() if r.text in (t or "")}
