@@ -161,8 +161,9 @@ def matches(rows: list[tuple], width: int, similarity: float) -> Iterator[tuple[
     places in ``rows`` and what :func:`alike` finds.
 
     Every two are compared, those of different blocks only if there are two blocks, except where
-    nothing can come of it: two that share too few shingles, and two that pairs found before tie
-    together, all of whose common shingles lie in similar parts already.
+    nothing can come of it: two whose common part is under ``width``, two that share too few
+    shingles, and two that pairs found before tie together, whose common parts share no shingle
+    outside of similar parts found before.
     """
     sets = [set(body.tolist()) for body, _, _ in rows]
     # similar runs of ``width`` different shingles share so many
@@ -171,6 +172,7 @@ def matches(rows: list[tuple], width: int, similarity: float) -> Iterator[tuple[
     blocks = np.array([block for *_, block in rows])
     across = len(set(blocks.tolist())) > 1
     at, uncovered, root = [r[1] for r in rows], [set(s) for s in sets], list(range(len(rows)))
+    before, after = np.array(at), np.array([len(r[0]) for r in rows]) - at
     holders = {}
 
     def find(x: int) -> int:
@@ -184,12 +186,20 @@ def matches(rows: list[tuple], width: int, similarity: float) -> Iterator[tuple[
         if held:
             shared = np.bincount(np.concatenate([np.frombuffer(h, np.int32) for h in held]), minlength=k)
             possible = shared >= np.minimum(least[:k], least[k])
+            possible &= np.minimum(before[:k], before[k]) + np.minimum(after[:k], after[k]) >= width
             if across:
                 possible &= blocks[:k] != blocks[k]
             for j in np.flatnonzero(possible).tolist():
                 tied = find(j) == find(k)
-                if tied and uncovered[k].isdisjoint(sets[j]) and uncovered[j].isdisjoint(own):
-                    continue
+                if tied:
+                    open_ = (uncovered[k] & sets[j]) | (uncovered[j] & own)
+                    b, a = min(before[j], before[k]), min(after[j], after[k])
+                    # only what both hold in their common part can be added
+                    for one in (j, k):
+                        if open_:
+                            open_.intersection_update(rows[one][0][at[one] - b : at[one] + a].tolist())
+                    if not open_:
+                        continue
                 part = alike(rows[j][0], at[j], rows[k][0], at[k], width, similarity)
                 if part is None:
                     continue
