@@ -20,6 +20,8 @@ ship(__name__)
 SHARD_BYTES = 32 << 20
 FILE_BYTES = 16 << 20
 MIN_REVISIT = 100
+# weight of a record's headers, so that records without payload are dealt over shards too
+HEADER_BYTES = 500
 DATE = "1970-01-01T00:00:00Z"
 SPACE = uuid.UUID("5ee2fd1c-7b9e-4bd0-9b50-9d7ad2f0c011")
 
@@ -50,7 +52,10 @@ def described(pages: DataFrame, min_revisit: int, shard_bytes: int) -> DataFrame
         "page_id", "payload_digest",
         F.when(later, F.lit("revisit")).otherwise(F.lit("response")).alias("record_type"),
         F.when(later, F.col("first_page")).alias("refers_to"),
-        F.when(later, F.lit(0)).otherwise(F.col("payload_bytes") * F.col("n")).cast("long").alias("stored"),
+        (F.when(later, F.lit(0)).otherwise(F.col("payload_bytes")) + HEADER_BYTES).alias("each"), "n",
+    )
+    rows = rows.select(
+        "page_id", "payload_digest", "record_type", "refers_to", (F.col("each") * F.col("n")).cast("long").alias("stored")
     )
     placed = running_sums(rows, [F.col("page_id"), F.col("payload_digest")], ["stored"], "warc-rows")
     shard = F.floor(F.col("before_stored") / F.lit(shard_bytes)).cast("long")
@@ -140,7 +145,7 @@ def write_archives(
     """Write ``pages`` (page_id, url, html) as archives; returns the folder and the manifest.
 
     Records are sorted by page id. A shard holds the records that begin in the same multiple of
-    ``shard_bytes`` of all payload bytes written before them, so which record is in which shard
+    ``shard_bytes`` of all bytes written before them (payloads, and a fixed size for headers), so which record is in which shard
     and file depends on the data alone, not on partitions. Shards are found on narrow rows. Inside a shard a file is
     closed before its compressed size exceeds ``file_bytes``. Files appear by a rename when they
     are complete; the manifest (one row per file with counts and digest) is written last, and

@@ -377,6 +377,13 @@ def test_warc_round_trip(spark):
     same(again.collect(), files)
 
 
+def test_warc_pages_without_payload_spread(spark):
+    """Revisits and empty payloads fill shards by their headers."""
+    rows = [(k, "u", None if k % 2 else "x" * 200) for k in range(100)]
+    _, manifest = warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), shard_bytes=5000)
+    assert manifest.agg(F.max("records")).first()[0] <= 11
+
+
 def test_warc_empty_and_damaged(spark, tmp_path):
     none = spark.createDataFrame([], "page_id long, url string, html string")
     uri, manifest = warc.write_archives(none)
