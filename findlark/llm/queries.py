@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from findlark.llm import decontaminate, langid, lines, mixing, passages, pii, quality, simhash, substrings, warc
+from findlark.llm import (
+    decontaminate,
+    langid,
+    lines,
+    mixing,
+    passages,
+    periods,
+    pii,
+    prefixes,
+    quality,
+    regions,
+    simhash,
+    substrings,
+    warc,
+)
 from findlark.llm.common import table
 from findlark.workload.common import Catalogue
 
@@ -81,3 +95,22 @@ def op10_quality(spark, sf_dir):
     """Counts and verdict of all documents."""
     rows = quality.judge(table(spark, sf_dir, "documents"))
     return rows.drop("character_distance", "word_distance")
+
+
+@QUERIES.add()
+def op11_periods(spark, sf_dir):
+    """Periodic runs of words in all documents, some of which are made periodic before."""
+    docs = periods.rewritten(table(spark, sf_dir, "documents"))
+    return periods.digests(periods.periodic_runs(docs))
+
+
+@QUERIES.add(prefixes.SQL)
+def op12_prefixes(spark, sf_dir):
+    """Prefix trie of all conversations, rebuilt to share first turns."""
+    return prefixes.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
+@QUERIES.add()
+def op13_regions(spark, sf_dir):
+    """Main texts of all pages."""
+    return regions.main_texts(table(spark, sf_dir, "pages"))
