@@ -113,6 +113,12 @@ def _file_system(spark: SparkSession, path: str):
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
+def full_uri(spark: SparkSession, path: str) -> str:
+    """A path with the scheme of the file system Spark finds it on."""
+    files, folder = _file_system(spark, path)
+    return files.makeQualified(folder).toString()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder through the file system it is on."""
     files, folder = _file_system(spark, path)

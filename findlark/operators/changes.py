@@ -28,8 +28,10 @@ def compact(feed: DataFrame, every: Sequence[str], partial: str = "merge") -> Da
     ``every`` names the attributes of the index: a change that names all of them is a full
     index, however narrow or wide its payload is. ``base`` is ``index``, ``delete`` or null; ``attributes`` lists what a partial update
     sets (all of them for an index). Only the last full index or delete and the last value
-    of each attribute matter, so this is one aggregation whose per-map partial results
-    are one row per uid, however many changes a single uid has.
+    of each attribute matter. Which these are is one aggregation over sequence numbers alone,
+    whose per-map partial results are one row per uid, however many changes a single uid has; the
+    payloads of the changes that won, at most one for each attribute, are fetched after it by uid
+    and number. Payloads that lost are never sorted, aggregated or kept.
 
     A later partial adds to an earlier one, or replaces it with ``partial="replace"``. A
     partial after a delete stays pending next to it; a full index after a delete wins.
@@ -45,11 +47,9 @@ def compact(feed: DataFrame, every: Sequence[str], partial: str = "merge") -> Da
 
     marked = feed.where(F.col("uid").isNotNull()).select(
         "uid",
-        seq,
         F.when(removal | full, seq).alias("_base_seq"),
         full.alias("_full"),
         F.when(part, seq).alias("_part_seq"),
-        *[F.col(f"payload.{name}").alias(f"v_{i}") for i, name in enumerate(names)],
         *[
             F.when(full | (part & F.array_contains(named, name)), seq).alias(f"q_{i}")
             for i, name in enumerate(names)
@@ -60,9 +60,7 @@ def compact(feed: DataFrame, every: Sequence[str], partial: str = "merge") -> Da
         F.max_by("_full", "_base_seq").alias("_full"),
         F.max("_part_seq").alias("_part_seq"),
         *[F.max(f"q_{i}").alias(f"q_{i}") for i in range(len(names))],
-        *[F.max_by(f"v_{i}", f"q_{i}").alias(f"v_{i}") for i in range(len(names))],
     )
-    base = F.when(F.col("_full"), "index").when(~F.col("_full"), "delete")
     live = []
     for i in range(len(names)):
         current = F.col(f"q_{i}")
@@ -71,14 +69,27 @@ def compact(feed: DataFrame, every: Sequence[str], partial: str = "merge") -> Da
         )
         if partial == "replace":
             alive &= F.coalesce(F.col("_full"), F.lit(False)) | (current == F.col("_part_seq"))
-        live.append(F.coalesce(alive, F.lit(False)))
-    return last.select(
+        live.append(F.when(F.coalesce(alive, F.lit(False)), current).alias(f"q_{i}"))
+    base = F.when(F.col("_full"), "index").when(~F.col("_full"), "delete")
+    pending = last.select("uid", base.alias("base"), *live)
+
+    numbers = F.array_distinct(F.array_compact(F.array(*[F.col(f"q_{i}") for i in range(len(names))])))
+    won = pending.select("uid", F.explode(numbers).alias("seq"))
+    fetched = feed.select("uid", "seq", "payload").join(won, ["uid", "seq"])
+    # at most as many as there are attributes
+    fetched = fetched.groupBy("uid").agg(F.collect_list(F.struct("seq", "payload")).alias("_won"))
+    joined = pending.join(fetched, "uid", "left")
+
+    def value(i: int, name: str) -> Column:
+        mine = F.filter("_won", lambda w: w["seq"] == F.col(f"q_{i}"))
+        return F.get(mine, F.lit(0))["payload"][name]
+
+    sets = [F.when(F.col(f"q_{i}").isNotNull(), F.lit(n)) for i, n in enumerate(names)]
+    return joined.select(
         "uid",
-        base.alias("base"),
-        F.array_compact(F.array(*[F.when(a, F.lit(n)) for a, n in zip(live, names)])).alias("attributes"),
-        F.struct(*[F.when(a, F.col(f"v_{i}")).alias(n) for i, (a, n) in enumerate(zip(live, names))]).alias(
-            "payload"
-        ),
+        "base",
+        F.array_compact(F.array(*sets)).alias("attributes"),
+        F.struct(*[value(i, n).alias(n) for i, n in enumerate(names)]).alias("payload"),
     )
 
 

@@ -56,6 +56,32 @@ def ranked(
     return numbered.withColumnRenamed("_part", part) if part else numbered.drop("_part")
 
 
+def running_sums(
+    rows: DataFrame, group: str, order: Sequence[Column], values: Sequence[str], scratch: list[str] | None = None
+) -> DataFrame:
+    """Rows with ``<value>_sum``: the sum of each value over the rows of its ``group`` so far.
+
+    Rows are range-sorted by group and ``order`` (which ends in a unique key), so a group of any size
+    is spread over many tasks. Inside a range the sums are windows; what a group brings along from
+    the ranges before is at most one row per range, for the group the range begins with.
+    """
+    placed = ranked(rows, [F.asc(group), *order], "_rank", "_range", scratch)
+    parts = placed.groupBy("_range", group).agg(*[F.sum(v).alias(f"_part_{v}") for v in values])
+    earlier = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = parts.select("_range", F.col(group).alias("_of"), *[F.sum(f"_part_{v}").over(earlier).alias(f"_carried_{v}") for v in values])
+    carried = carried.where(" or ".join(f"_carried_{v} is not null" for v in values))
+    so_far = Window.partitionBy("_range", group).orderBy("_rank")
+    so_far = so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    joined = placed.alias("r").join(
+        F.broadcast(carried).alias("c"),
+        (F.col("r._range") == F.col("c._range")) & F.col(f"r.{group}").eqNullSafe(F.col("c._of")),
+        "left",
+    )
+    joined = joined.select("r.*", *[f"c._carried_{v}" for v in values])
+    sums = {f"{v}_sum": F.sum(v).over(so_far) + F.coalesce(f"_carried_{v}", F.lit(0)) for v in values}
+    return joined.withColumns(sums).drop("_rank", "_range", *[f"_carried_{v}" for v in values])
+
+
 def with_batches(ranked_rows: DataFrame, size: int, rank: str = "rank") -> DataFrame:
     """Number of the batch or bucket of ``size`` rows each row falls in."""
     return ranked_rows.withColumn("batch", F.floor(F.col(rank) / size).cast("long"))

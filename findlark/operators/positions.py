@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from findlark.config import materialise
-from findlark.operators.ordering import ranked
+from findlark.operators.ordering import ranked, running_sums
 
 
 def container_positions(
@@ -63,39 +62,35 @@ def move_members(
 
     ``moves`` is ``(parent, member, delta)``, all deltas of a container having one sign. A
     moved member goes to its position plus delta, clamped to the container; the others fill
-    the free places in their old order. Only containers with moves are returned, and the
-    moves of one request are what is gathered per container, never its members.
-    """
-    concerned = positions.join(moves.select(parent).distinct(), parent, "left_semi")
-    concerned = materialise(concerned, "moved")
-    sizes = concerned.groupBy(parent).agg((F.max("position") + 1).alias("_n"))
-    asked = (
-        moves.join(concerned.select(parent, member, "position"), [parent, member])
-        .groupBy(parent)
-        .agg(F.array_sort(F.collect_list(F.struct("position", "delta"))).alias("_moves"))
-        .join(sizes, parent)
-    )
-
-    def target(move, i):
-        count = F.size("_moves")
-        up = F.greatest(move["position"] + move["delta"], i)
-        down = F.least(move["position"] + move["delta"], F.col("_n") - count + i)
-        return F.when(move["delta"] < 0, up).otherwise(down)
+    the free places in their old order. Only containers with moves are returned.
 
-    asked = asked.select(
-        parent,
-        F.transform("_moves", lambda m: m["position"]).alias("_from"),
-        F.transform("_moves", target).alias("_to"),
-    )
-    rows = concerned.join(asked, parent)
-    at = F.array_position(F.col("_from"), F.col("position")).cast("int")
-    # rank among the unmoved, then one more place for every target at or before it
-    rank = F.col("position") - F.size(F.filter("_from", lambda p: p < F.col("position")))
-    passed = F.size(
-        F.filter(F.transform("_to", lambda t, i: t - i), lambda free: free <= rank)
-    )
-    after = F.when(at > 0, F.get("_to", at - 1)).otherwise(rank + passed)
-    return rows.withColumn("position_after", after.cast("int")).drop("_from", "_to")
+    Nothing is gathered per container. The number of moved members before each member is a running
+    sum over the container's order. A target then passes all unmoved members whose number is not
+    below its place less the targets before it; targets and unmoved members are put in one order
+    by these numbers, where the targets passed are again a running sum.
+    """
+    place = "position"
+    known = moves.select(parent, member, F.col("delta").alias("_delta"))
+    concerned = positions.join(known, [parent, member], "left")
+    concerned = concerned.withColumn("_moved", F.col("_delta").isNotNull().cast("long"))
+    asked = concerned.where("_moved = 1").groupBy(parent).agg(F.count("*").alias("_moves"))
+    sizes = concerned.groupBy(parent).agg((F.max(place) + 1).alias("_n")).join(asked, parent)
+    concerned = concerned.join(asked.select(parent), parent, "left_semi")
+    counted = running_sums(concerned, parent, [F.asc(place), F.asc(member)], ["_moved"])
+    # moved members from the first on, and the unmoved before a member
+    turn, unmoved = F.col("_moved_sum") - 1, F.col(place) - F.col("_moved_sum")
+    goal = F.col(place) + F.col("_delta")
+    down = F.least(goal, F.col("_n") - F.col("_moves") + turn)
+    target = F.when(F.col("_delta") < 0, F.greatest(goal, turn)).otherwise(down)
+    targets = counted.where("_moved = 1").join(sizes, parent).withColumn("_to", target.cast("long"))
+    targets = targets.withColumn("_key", F.col("_to") - turn).select(*counted.columns, "_to", "_key")
+    others = counted.where("_moved = 0").withColumn("_to", F.lit(None).cast("long"))
+    others = others.withColumn("_key", unmoved.cast("long")).select(*counted.columns, "_to", "_key")
+    events = targets.unionByName(others).withColumnRenamed("_moved", "_event").drop("_moved_sum")
+    order = [F.asc("_key"), F.desc("_event"), F.asc(place), F.asc(member)]
+    passed = running_sums(events, parent, order, ["_event"])
+    after = F.coalesce("_to", F.col("_key") + F.col("_event_sum"))
+    return passed.select(*positions.columns, after.cast("int").alias("position_after"))
 
 
 def changed_positions(moved: DataFrame, content_only: str | None = None) -> DataFrame:

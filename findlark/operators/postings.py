@@ -4,21 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from findlark.functions.text import tokens
 
+K1 = 1.2
+B = 0.75
+# postings of a word in its first run, in one bucket and shard, and how much longer each next run is
+RUN = 64
+RUN_GROWTH = 4
+
 
 def word_counts(fields: Sequence[str]) -> Column:
     """Words per text field as one struct column, kept with the document."""
     return F.struct(*[F.size(tokens(F.col(name))).alias(name) for name in fields])
 
 
+def word_sets(fields: Sequence[str]) -> Column:
+    """Distinct words per text field as one struct column: what a document counts for, without its text."""
+    return F.struct(*[F.array_sort(F.array_distinct(tokens(F.col(name)))).alias(name) for name in fields])
+
+
 def build_postings(
     docs: DataFrame, fields: Sequence[str], keys: Sequence[str] = ("uid",), *, clustered: bool = False
 ) -> DataFrame:
-    """``(keys, field, term, tf, positions)``, one row per document and word.
+    """``(keys, field, term, tf, len, positions)``, one row per document and word; ``len`` counts
+    the words of the field.
 
     The texts are hash-partitioned by ``keys`` before they are taken apart, so what is
     shuffled is text and each document is inverted where it lies. ``clustered`` says that
@@ -34,12 +46,33 @@ def build_postings(
     exploded = per_field.select(
         *keys,
         F.col("part.field").alias("field"),
+        F.size("part.words").alias("len"),
         F.posexplode("part.words").alias("position", "term"),
     )
-    grouped = exploded.groupBy(*keys, "field", "term").agg(
+    grouped = exploded.groupBy(*keys, "field", "len", "term").agg(
         F.array_sort(F.collect_list("position")).alias("positions")
     )
-    return grouped.select(*keys, "field", "term", F.size("positions").alias("tf"), "positions")
+    return grouped.select(*keys, "field", "term", F.size("positions").alias("tf"), "len", "positions")
+
+
+def saturation(tf: Column, length: Column, mean: Column | float) -> Column:
+    """BM25's part of a word that comes ``tf`` times in a field of ``length`` words."""
+    return tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
+
+
+def in_runs(postings: DataFrame, means: Column, keys: Sequence[str]) -> DataFrame:
+    """Postings with their ``run``: the best :data:`RUN` of a word are run 0, then each run is
+    :data:`RUN_GROWTH` times as long as the one before.
+
+    ``means`` is a map of field to mean words. It only decides how well runs sort documents;
+    bounds come from what is in a run. ``postings`` is partitioned by ``keys``, and runs are those
+    of one partition, so nothing is shuffled.
+    """
+    mean = F.coalesce(means[F.col("field")], F.lit(1.0))
+    good = saturation(F.col("tf"), F.col("len"), mean)
+    place = F.row_number().over(Window.partitionBy(*keys, "field", "term").orderBy(good.desc(), "uid")) - 1
+    longer = F.floor(F.log(float(RUN_GROWTH), F.greatest(place, F.lit(RUN)) / RUN)).cast("int") + 1
+    return postings.withColumn("run", F.when(place < RUN, 0).otherwise(longer).cast("int"))
 
 
 def term_statistics(postings: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -47,6 +80,24 @@ def term_statistics(postings: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return postings.groupBy(*keys, "field", "term").agg(F.count("*").alias("df"))
 
 
+def run_statistics(postings: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Documents per word and run, by powers of two of the word's frequency: ``df``, the greatest
+    ``tf`` and the least ``len``. No posting of such a row scores more than these two would."""
+    step = F.floor(F.log2(F.col("tf"))).cast("int").alias("step")
+    rows = postings.groupBy(*keys, "field", "term", "run", step)
+    return rows.agg(F.count("*").alias("df"), F.max("tf").alias("tf"), F.min("len").alias("len")).drop("step")
+
+
+def set_statistics(docs: DataFrame, fields: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """Documents per word from the ``terms`` column of :func:`word_sets`."""
+    sets = F.array(
+        *[F.struct(F.lit(f).alias("field"), F.col(f"terms.{f}").alias("words")) for f in fields]
+    )
+    rows = docs.select(*keys, F.explode(sets).alias("part"))
+    rows = rows.select(*keys, F.col("part.field").alias("field"), F.explode("part.words").alias("term"))
+    return rows.groupBy(*keys, "field", "term").agg(F.count("*").alias("df"))
+
+
 def field_statistics(docs: DataFrame, fields: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """Documents with at least one word, and words, per field, from the ``words`` column."""
     sizes = F.array(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from findlark.functions.values import size_mb
@@ -18,6 +18,26 @@ def orphaned(catalog: DataFrame, rows: DataFrame) -> DataFrame:
     return rows.select("uid").join(catalog.select("uid"), "uid", "left_anti")
 
 
+def digests(ids: DataFrame, bucket: Column) -> DataFrame:
+    """``bucket, n, a, b`` per bucket of the ids at hand: two hashes of a set that do not depend on
+    its order. Ids are not shuffled; each task sends one row per bucket."""
+    seeds = (F.xxhash64("uid"), F.xxhash64("uid", F.lit(1)))
+    return ids.groupBy(bucket.alias("bucket")).agg(
+        F.count("*").alias("n"), *[F.bit_xor(seed).alias(name) for name, seed in zip("ab", seeds)]
+    )
+
+
+def differing_buckets(catalog: DataFrame, rows: DataFrame, bucket: Column) -> DataFrame:
+    """Buckets in which catalog and index do not hold the same ids, as far as digests tell.
+
+    Equal digests of different sets would need two 64-bit hashes to agree; an id that one side holds
+    twice makes its bucket differ.
+    """
+    left = digests(catalog, bucket).select("bucket", F.struct("n", "a", "b").alias("mine"))
+    right = digests(rows, bucket).select("bucket", F.struct("n", "a", "b").alias("theirs"))
+    return left.join(right, "bucket", "full").where(~F.col("mine").eqNullSafe(F.col("theirs"))).select("bucket")
+
+
 def synchronized(catalog: DataFrame, rows: DataFrame, fresh: DataFrame) -> DataFrame:
     """Index rows after indexing what is missing (from ``fresh``) and dropping orphans."""
     kept = rows.join(catalog.select("uid"), "uid", "left_semi")

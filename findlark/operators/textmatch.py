@@ -18,15 +18,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from findlark.functions.text import query_tokens, strip_stars, tokens
+from findlark.operators.postings import B, K1
 
-K1 = 1.2
-B = 0.75
 SLOP = 2
 TITLE = "Title"
 MAIN_TEXT = "SearchableText"
 TITLE_BOOST = 2.0
-# columns of stored documents that are not attributes: part, hash bucket, word counts
-LAYOUT_COLUMNS = ("v", "bucket", "words")
+# columns of stored documents that are not attributes: part, hash bucket, word counts, distinct words
+LAYOUT_COLUMNS = ("v", "bucket", "words", "terms")
 
 
 @dataclass(frozen=True)
@@ -74,7 +73,7 @@ def text_clauses(field: str, query: str | None) -> list[Clause]:
     return clauses
 
 
-def _slots(clauses: Sequence[Clause]) -> list[Slot]:
+def slots_of(clauses: Sequence[Clause]) -> list[Slot]:
     return list(dict.fromkeys(slot for clause in clauses for slot in clause.slots))
 
 
@@ -116,25 +115,33 @@ class ScannedText:
             figures.append(F.count_if(_any_word(column, slot)).alias(f"df{i}"))
         return words.agg(F.struct(*figures).alias("stats")).scalar()
 
-    def positions(self, where: Column | None, slots: Sequence[Slot]) -> DataFrame:
+    def positions(
+        self, where: Column | None, slots: Sequence[Slot], pieces: ScanColumns | None = None
+    ) -> DataFrame:
         """Documents under ``where`` that may match, with slot positions and field lengths."""
+        pieces = pieces or ScanColumns(slots)
         docs = self.docs if where is None else self.docs.where(where)
+        docs = self._spread(docs.where(pieces.likely))
+        words = docs.select("*", *pieces.words)
+        return words.select(*docs.columns, pieces.lengths, pieces.at)
+
+
+class ScanColumns:
+    """The expressions of one scan for slots; they fit any documents with these fields."""
+
+    def __init__(self, slots: Sequence[Slot]):
         # a word can only occur where its letters do: spares the others the analysis
         likely = [F.lower(F.col(slot.field)).contains(slot.term) for slot in slots]
-        docs = self._spread(docs.where(F.coalesce(reduce(or_, likely), F.lit(False))))
+        self.likely = F.coalesce(reduce(or_, likely), F.lit(False))
         fields = list(dict.fromkeys(slot.field for slot in slots))
-        words = docs.select("*", *[tokens(F.col(f)).alias(f"_w{i}") for i, f in enumerate(fields)])
-        found = words.select(
-            *docs.columns,
-            F.struct(*[F.size(f"_w{i}").alias(f) for i, f in enumerate(fields)]).alias("_len"),
-            F.struct(
-                *[
-                    _word_positions(F.col(f"_w{fields.index(slot.field)}"), slot).alias(f"s{i}")
-                    for i, slot in enumerate(slots)
-                ]
-            ).alias("_at"),
-        )
-        return found
+        self.words = [tokens(F.col(f)).alias(f"_w{i}") for i, f in enumerate(fields)]
+        self.lengths = F.struct(*[F.size(f"_w{i}").alias(f) for i, f in enumerate(fields)]).alias("_len")
+        self.at = F.struct(
+            *[
+                _word_positions(F.col(f"_w{fields.index(slot.field)}"), slot).alias(f"s{i}")
+                for i, slot in enumerate(slots)
+            ]
+        ).alias("_at")
 
 
 def _any_word(words: Column, slot: Slot) -> Column:
@@ -345,36 +352,54 @@ def _score(c: int, clause: Clause, slots: list[Slot], stats: Column) -> Column:
     return weights * saturated(1 / (1 + facts[f"spread{c}"])) * clause.boost
 
 
+def asked_of(source: ScannedText | StoredText, clauses: Sequence[Clause]) -> list[Clause]:
+    """The clauses that can match: those with words, on a field that the rows have."""
+    return [clause for clause in clauses if clause.words and clause.field in source.fields]
+
+
 def match_text(
-    source: ScannedText | StoredText, clauses: Sequence[Clause], where: Column | None = None
+    source: ScannedText | StoredText,
+    clauses: Sequence[Clause],
+    where: Column | None = None,
+    stats: Column | None = None,
 ) -> DataFrame:
     """Documents under ``where`` for which at least one clause holds, with their ``score``.
 
-    Word and document counts come from the whole field, not only from the filtered rows.
+    Word and document counts come from the whole field, not only from the filtered rows, or from
+    ``stats`` where they are known already.
     """
-    # a field that the rows do not have matches nothing
-    clauses = [clause for clause in clauses if clause.words and clause.field in source.fields]
+    clauses = asked_of(source, clauses)
     if not clauses:
         return source.public(source.docs.where(F.lit(False))).withColumn("score", F.lit(0.0))
-    slots = _slots(clauses)
-    found = source.positions(where, slots)
-    kept = [name for name in found.columns if name not in ("_at", "_len")]
-    # a generator keeps the optimiser from copying the position expressions into a filter
-    facts = F.filter(
-        F.array(_facts(clauses, slots)),
-        lambda f: reduce(or_, [_holds(f, c, clause, slots) for c, clause in enumerate(clauses)]),
-    )
-    found = found.select(*kept, "_len", F.explode(facts).alias("_facts"))
-    stats = source.statistics(slots)
-    score = [
-        F.when(
-            _holds(F.col("_facts"), c, clause, slots), _score(c, clause, slots, F.col("_stats"))
-        ).otherwise(0.0)
-        for c, clause in enumerate(clauses)
-    ]
-    return found.withColumn("_stats", stats).select(*kept, reduce(add, score).alias("score"))
+    scorer = Scorer(clauses)
+    found = source.positions(where, scorer.slots)
+    return scorer(found, source.statistics(scorer.slots) if stats is None else stats)
+
+
+class Scorer:
+    """The expressions that decide on and score documents with positions; they fit any of them."""
+
+    def __init__(self, clauses: Sequence[Clause]):
+        self.slots = slots = slots_of(clauses)
+        # a generator keeps the optimiser from copying the position expressions into a filter
+        self.facts = F.filter(
+            F.array(_facts(clauses, slots)),
+            lambda f: reduce(or_, [_holds(f, c, clause, slots) for c, clause in enumerate(clauses)]),
+        )
+        score = [
+            F.when(
+                _holds(F.col("_facts"), c, clause, slots), _score(c, clause, slots, F.col("_stats"))
+            ).otherwise(0.0)
+            for c, clause in enumerate(clauses)
+        ]
+        self.score = reduce(add, score).alias("score")
+
+    def __call__(self, found: DataFrame, stats: Column) -> DataFrame:
+        kept = [name for name in found.columns if name not in ("_at", "_len")]
+        found = found.select(*kept, "_len", F.explode(self.facts).alias("_facts"))
+        return found.withColumn("_stats", stats).select(*kept, self.score)
 
 
 def highlight_words(clauses: Sequence[Clause], field: str = MAIN_TEXT) -> list[Slot]:
     """Words the clauses of ``field`` look for."""
-    return _slots([clause for clause in clauses if clause.field == field])
+    return slots_of([clause for clause in clauses if clause.field == field])

@@ -56,11 +56,13 @@ def synchronize(store: IndexStore, content: DataFrame, **options) -> dict[str, i
         # nothing is indexed: a base, not one overlay with everything
         store.rebuild(extract_rows(store, content, **options))
         return {"indexed": store.rows().count(), "deleted": 0}
-    rows = store.rows()
-    missing = content.join(reconcile.not_indexed(content, rows), "uid", "left_semi")
+    if version is None:
+        return {"indexed": 0, "deleted": 0}
+    catalog, rows = store.apart(content)
+    missing = content.join(reconcile.not_indexed(catalog, rows), "uid", "left_semi")
     fresh = extract_rows(store, missing, **options)
     indexed = changes.full_indexes(fresh)
-    removed = changes.deletes(reconcile.orphaned(content, rows), indexed.schema["payload"].dataType)
+    removed = changes.deletes(reconcile.orphaned(catalog, rows), indexed.schema["payload"].dataType)
     done = store.commit(indexed.unionByName(removed))
     return {"indexed": done.indexed if done else 0, "deleted": done.deleted if done else 0}
 

@@ -6,6 +6,7 @@ from collections import OrderedDict
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import cached_property
 from typing import Any
 
 from pyspark.sql import DataFrame, Row
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from findlark.config import Settings, materialise, remove
 from findlark.operators import ordering
 from findlark.operators.catalogjoin import join_catalog
+from findlark.operators.firstpage import FirstPage
 from findlark.operators.highlight import EXTRACT, describe_hits
 from findlark.operators.predicates import allowed_for, in_effect
 from findlark.operators.textmatch import ScannedText, StoredText, highlight_words, match_text
@@ -42,12 +44,15 @@ class SearchIndex:
         """Unrestricted search. Without a text key this is a plain filter on the index rows."""
         self.queries += 1
         plan = self.assemble(query, self.registry, self.rows.schema, self.settings)
+        best = None
         if plan.has_text:
-            hits = match_text(self.text, plan.clauses, plan.where)
+            hits = lambda: match_text(self.text, plan.clauses, plan.where)
+            if isinstance(self.text, StoredText) and not plan.sort:
+                best = lambda size: FirstPage(self.text, plan.clauses, plan.where, size).rows()
         else:
             hits = self.rows if plan.where is None else self.rows.where(plan.where)
             hits = hits.withColumn("score", F.lit(1.0 if plan.match_all else 0.0))
-        return Results(hits, plan, self.settings, row_factory)
+        return Results(hits, plan, self.settings, row_factory, best)
 
     def restricted_search(
         self,
@@ -89,18 +94,24 @@ class Results:
 
     def __init__(
         self,
-        hits: DataFrame,
+        hits: DataFrame | Callable[[], DataFrame],
         plan: CompiledQuery,
         settings: Settings,
         row_factory: Callable[[DataFrame], DataFrame] | None = None,
+        best: Callable[[int], DataFrame | None] | None = None,
     ):
         self.plan, self.settings = plan, settings
-        self._hits, self._factory = hits, row_factory
+        self._found, self._factory, self._best = hits, row_factory, best
         self._pages: OrderedDict[int, list[Row]] = OrderedDict()
         self._count: int | None = None
         self._ranked: DataFrame | None = None
         self._scratch: list[str] = []
 
+    @cached_property
+    def _hits(self) -> DataFrame:
+        """All hits; their expressions are only built when something asks for them."""
+        return self._found() if callable(self._found) else self._found
+
     @property
     def order(self) -> list:
         keys = [(self._sort_name(name), down) for name, down in self.plan.sort]
@@ -144,10 +155,15 @@ class Results:
         """Rows ``start`` to ``start + size`` of the order, for a page near the top.
 
         Spark keeps the first ``start + size`` rows of every task and merges them; far from
-        the top :meth:`deep_page` is the one to call.
+        the top :meth:`deep_page` is the one to call. On a stored index in order of relevance, hits
+        that cannot be among these rows are not scored (:class:`FirstPage`; a few small jobs run
+        when this is called).
         """
         size = size or self.settings.bulk_size
-        return self._shown(ordering.page(self._hits, self.order, start, size))
+        first = self._best(start + size) if self._best else None
+        if first is None:
+            return self._shown(ordering.page(self._hits, self.order, start, size))
+        return self._shown(ordering.page(first, ordering.sort_columns([], first.columns), start, size))
 
     def ranked(self) -> DataFrame:
         """Ids with their place in the order, written once: deep pages are range filters on it."""

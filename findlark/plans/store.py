@@ -37,6 +37,7 @@ from findlark.config import (
 )
 from findlark.functions.values import index_name
 from findlark.operators import postings as P
+from findlark.operators import reconcile
 from findlark.operators.changes import apply_changes, rejected
 from findlark.operators.textmatch import LAYOUT_COLUMNS, StoredText
 from findlark.plans.search import SearchIndex
@@ -52,8 +53,11 @@ KEPT_VERSIONS = 100
 ATTEMPT_BITS = 24
 # the bucket folder of all rows of an overlay
 OVERLAY = -1
-_POSTINGS = "uid string, field string, term string, tf int, positions array<int>"
-_TERMS = "field string, term string, df long"
+_POSTINGS = "uid string, field string, term string, run int, tf int, len int, positions array<int>"
+# a word may have several rows: by bucket, run and frequency, and signed ones of overlays
+_TERMS = "field string, term string, run int, df long, tf int, len int"
+# rows in a page of a postings file, the least that a scan of some words' first runs reads
+PAGE_ROWS = 1000
 _FIELDS = "field string, n long, words long"
 
 
@@ -136,7 +140,8 @@ class IndexStore:
     @cached_property
     def _doc_schema(self) -> T.StructType:
         words = T.StructType([T.StructField(f, T.IntegerType()) for f in self.text_fields])
-        counted = [T.StructField("words", words)] if self.text_fields else []
+        terms = T.StructType([T.StructField(f, T.ArrayType(T.StringType())) for f in self.text_fields])
+        counted = [T.StructField("words", words), T.StructField("terms", terms)] if self.text_fields else []
         return T.StructType([*self.schema.fields, *counted])
 
     # --- versions ---
@@ -257,6 +262,33 @@ class IndexStore:
         version = version or self.current()
         return self._live(self._read("docs", self.schema, version), version).select(*self.schema.names)
 
+    def ids(self, version: Version | None = None, buckets: list[int] | None = None) -> DataFrame:
+        """Uids of a version; only the files of the given buckets are read."""
+        version = version or self.current()
+        docs = self._read("docs", "uid string", version)
+        if buckets is not None:
+            docs = docs.where(F.col("bucket").isin(OVERLAY, *buckets))
+        rows = self._live(docs, version).select("uid")
+        return rows if buckets is None else rows.where(_bucket(version.buckets).isin(*buckets))
+
+    def apart(self, catalog: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Ids of catalog and index in the buckets where they are not the same.
+
+        Both sides are read once for the digests of their ids; the ids themselves, and the joins
+        on them, are those of the differing buckets.
+        """
+        version = self.current()
+        bucket = _bucket(version.buckets)
+        ids = catalog.select("uid").where("uid is not null")
+        found = reconcile.differing_buckets(ids, self.ids(version), bucket)
+        # at most as many numbers as the version has buckets
+        numbers = [row["bucket"] for row in found.collect()]
+        if len(numbers) == version.buckets:
+            return ids, self.ids(version)
+        if not numbers:
+            return ids.limit(0), self.ids(version).limit(0)
+        return ids.where(bucket.isin(*numbers)), self.ids(version, numbers)
+
     def rows_of(
         self, ids: DataFrame, buckets: list[int] | None = None, version: Version | None = None
     ) -> DataFrame:
@@ -269,6 +301,16 @@ class IndexStore:
         rows = self._live(docs, version).join(ids.select("uid"), "uid", "left_semi")
         return rows.select(*self.schema.names)
 
+    def _replaced(self, ids: DataFrame, buckets: list[int], version: Version) -> DataFrame:
+        """What the documents of the given uids count for: words per field, and which.
+
+        That is all a commit needs of a document it replaces or deletes; no attribute is read.
+        """
+        here = F.col("bucket").isin(OVERLAY, *buckets)
+        docs = self._live(self._read("docs", self._doc_schema, version).where(here), version)
+        counted = ("words", "terms") if self.text_fields else ()
+        return docs.select("uid", *counted).join(ids.select("uid"), "uid", "left_semi")
+
     def index(self, settings: Settings | None = None) -> SearchIndex:
         """The newest version, searchable through its postings."""
         version = self.current()
@@ -321,16 +363,27 @@ class IndexStore:
 
         docs = placed(rows).drop("_shard")
         if named:
-            docs = docs.withColumn("words", P.word_counts(named))
+            docs = docs.withColumns({"words": P.word_counts(named), "terms": P.word_sets(named)})
         _by_bucket(docs.sortWithinPartitions("bucket", "uid"), self._folder("docs", part))
         if named:
             texts = self._read("docs", self.schema, Version(0, part)).select("uid", *named)
             inverted = P.build_postings(
                 placed(texts), named, tuple(dict.fromkeys(("bucket", *keys, "uid"))), clustered=True
             )
-            order = ("bucket", "field", "term", "uid")
+            if buckets is None:
+                # overlays are small: one run, which every search reads
+                inverted = inverted.withColumn("run", F.lit(0))
+            else:
+                inverted = P.in_runs(inverted, self._means(part), keys)
+            order = ("bucket", "field", "term", "run", "uid")
             inverted = inverted.drop("_shard").sortWithinPartitions(*order)
-            _by_bucket(inverted, self._folder("postings", part))
+            _by_bucket(inverted, self._folder("postings", part), PAGE_ROWS)
+
+    def _means(self, part: int) -> Column:
+        """Mean words of each text field over the documents of a part, as a map."""
+        docs = self._read("docs", self._doc_schema, Version(0, part))
+        pairs = [x for f in self.text_fields for x in (F.lit(f), F.avg(F.nullif(f"words.{f}", F.lit(0))))]
+        return docs.agg(F.create_map(*pairs).alias("means")).scalar()
 
     def _write_counts(self, terms: DataFrame, totals: DataFrame, number: int, overlay: bool) -> None:
         """Write document counts per word and word totals per field, signed in an overlay."""
@@ -341,7 +394,7 @@ class IndexStore:
 
     def _counts(self, version: Version) -> tuple[DataFrame, DataFrame]:
         """Word and field counts of a part, from its documents and postings."""
-        terms = P.term_statistics(self._read("postings", _POSTINGS, version), ("bucket",))
+        terms = P.run_statistics(self._read("postings", _POSTINGS, version), ("bucket",))
         docs = self._read("docs", self._doc_schema, version)
         return terms, P.field_statistics(docs, self.text_fields, ("bucket",))
 
@@ -355,16 +408,16 @@ class IndexStore:
         return version
 
     def _write_overlay(self, rows: DataFrame, number: int, replaced: DataFrame) -> None:
-        """An overlay's counts are net of the rows it replaces."""
+        """An overlay's counts are net of those of the rows it replaces (``words`` and ``terms``)."""
         self._write_docs(rows, number, None)
         if not self.text_fields:
             return
         terms, totals = self._counts(Version(0, None, (number,)))
         fields = self.text_fields
-        old = replaced.withColumn("words", P.word_counts(fields)).withColumn("bucket", F.lit(OVERLAY))
-        gone = P.term_statistics(P.build_postings(old, fields, ("bucket", "uid")), ("bucket",))
+        old = replaced.withColumn("bucket", F.lit(OVERLAY))
+        gone = P.set_statistics(old, fields, ("bucket",))
         less = P.field_statistics(old, fields, ("bucket",))
-        terms = terms.unionByName(gone.withColumn("df", -F.col("df")))
+        terms = terms.unionByName(gone.withColumn("df", -F.col("df")), allowMissingColumns=True)
         totals = totals.unionByName(less.withColumns({c: -F.col(c) for c in ("n", "words")}))
         self._write_counts(*_summed(terms, totals), number, overlay=True)
 
@@ -460,18 +513,25 @@ class IndexStore:
             F.count_if(base == "index").alias("indexed"),
             F.count_if((base != "index") & (F.size("attributes") > 0)).alias("updated"),
             F.count_if(base == "delete").alias("deleted"),
+            F.count_if(base == "").alias("partial"),
             _buckets(head),
+            _buckets(head, "partial_buckets", base == ""),
         ).first()
         if not summary["buckets"]:
             return None
         part = self._part(number)
-        before = scratch.write(self.rows_of(compacted, summary["buckets"], head), "replaced")
+        old = scratch.write(self._replaced(compacted, summary["buckets"], head), "replaced")
         refusals = self._folder("rejected", part)
-        lost = rejected(before, compacted)
+        lost = rejected(old, compacted)
         lost.write.mode("overwrite").parquet(refusals)
         refused = self.spark.read.schema(lost.schema).parquet(refusals)
 
-        self._write_overlay(apply_changes(before, compacted), part, replaced=before)
+        # whole rows, with their texts, are only read where a part of them stays
+        partial = compacted.where("base is null")
+        kept = self.spark.createDataFrame([], self.schema)
+        if summary["partial"]:
+            kept = self.rows_of(partial, summary["partial_buckets"], head)
+        self._write_overlay(apply_changes(kept, compacted), part, replaced=old)
         compacted.select("uid").write.mode("overwrite").parquet(self._folder("touched", part))
         counts = {name: summary[name] for name in ("indexed", "updated", "deleted")}
         newest = replace(head, number=number, overlays=(*head.overlays, part))
@@ -498,9 +558,10 @@ def _bucket(buckets: int) -> Column:
     return F.pmod(F.xxhash64("uid"), F.lit(buckets)).cast("int")
 
 
-def _buckets(version: Version) -> Column:
+def _buckets(version: Version, name: str = "buckets", where: Column | None = None) -> Column:
     """Buckets of the rows at hand: at most as many values as the version has buckets."""
-    return F.collect_set(_bucket(version.buckets)).alias("buckets")
+    bucket = _bucket(version.buckets)
+    return F.collect_set(bucket if where is None else F.when(where, bucket)).alias(name)
 
 
 def _shard(column: str, shards: int) -> Column:
@@ -510,10 +571,17 @@ def _shard(column: str, shards: int) -> Column:
 def _summed(terms: DataFrame, totals: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Signed counts of several overlays as those of one."""
     bucket = F.lit(OVERLAY).alias("bucket")
-    terms = terms.groupBy(bucket, "field", "term").agg(F.sum("df").alias("df")).where("df <> 0")
+    terms = terms.groupBy(bucket, "field", "term", F.lit(0).alias("run")).agg(
+        F.sum("df").alias("df"), F.max("tf").alias("tf"), F.min("len").alias("len")
+    )
+    # a word that only left counts less, and bounds nothing
+    terms = terms.where("df <> 0 or tf is not null")
     totals = totals.groupBy(bucket, "field").agg(F.sum("n").alias("n"), F.sum("words").alias("words"))
     return terms, totals
 
 
-def _by_bucket(rows: DataFrame, path: str) -> None:
-    rows.write.mode("overwrite").partitionBy("bucket").parquet(path)
+def _by_bucket(rows: DataFrame, path: str, page_rows: int | None = None) -> None:
+    writer = rows.write.mode("overwrite").partitionBy("bucket")
+    if page_rows:
+        writer = writer.option("parquet.page.row.count.limit", page_rows)
+    writer.parquet(path)

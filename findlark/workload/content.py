@@ -11,7 +11,8 @@ from findlark.functions.text import trim_stars
 from findlark.operators import attachments as A
 from findlark.plans.query import CompiledQuery, compile_query
 from findlark.plans.search import SearchIndex
-from findlark.sources.blobs import blob_fields
+from findlark.config import fresh_path, full_uri
+from findlark.sources.blobs import blob_fields, read_blobs, write_blobs
 from findlark.sources.content import derive_rows, read_back
 from findlark.workload import common as C
 from findlark.workload.upkeep import HTML_TEXT_SQL
@@ -231,6 +232,20 @@ def blob_descriptors(spark, sf_dir):
     return blob_fields(_files(spark, sf_dir), "/site")
 
 
+@query(
+    """SELECT CAST(page_id AS VARCHAR) AS uid, 'file' AS fieldname, octet_length(encode(html)) AS bytes, md5(html) AS digest FROM pages"""
+)
+def blob_bytes(spark, sf_dir):
+    """Pages and notes written as files; the bytes of the pages are read back, no note is opened."""
+    base = full_uri(spark, fresh_path(spark, "blobs"))
+    rows = _files(spark, sf_dir)
+    entries = rows.select("uid", F.explode("files").alias("fieldname", "file")).select("uid", "fieldname", "file.data")
+    fields = blob_fields(rows, "/site")
+    write_blobs(fields.join(entries, ["uid", "fieldname"]), base).agg(F.sum("length")).collect()
+    read = read_blobs(spark, base, fields.where("fieldname = 'file'"))
+    return read.select("uid", "fieldname", F.octet_length("data").cast("long").alias("bytes"), F.md5("data").alias("digest"))
+
+
 @query(f"SELECT uid, count(*) AS files, string_agg(fieldname || '=' || filename, ',' ORDER BY fieldname) AS names FROM ({_FILES_SQL}) GROUP BY uid")
 def attachment_collect(spark, sf_dir):
     found = A.collect_attachments(A.extract_contents(_blobs(spark, sf_dir)))

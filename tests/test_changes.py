@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import re
 from dataclasses import replace
 
 import pytest
@@ -79,7 +80,22 @@ def test_one_hot_uid_is_combined_before_the_shuffle(spark):
     row = changes.compact(feed, ["a", "b"]).first()
     assert row["payload"].asDict() == {"a": "19998", "b": "19999"}
     plan = changes.compact(feed, ["a", "b"])._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1 and "partial_max_by" in plan
+    # sequence numbers are combined before they are shuffled; payloads meet in a join by uid and number
+    assert "partial_max_by" in plan and "SortAggregate" not in plan
+    combined = [line for line in plan.splitlines() if "Aggregate" in line and "max" in line]
+    assert combined and not any("payload" in line for line in combined)
+
+
+def test_losing_payloads_are_not_carried(spark):
+    """Many changes of one uid with long payloads: what is aggregated and joined has none that lost."""
+    feed = spark.range(5_000).select(
+        (F.col("id") % 3).cast("string").alias("uid"), F.col("id").alias("seq"), F.lit("reindex").alias("op"),
+        F.array(F.when(F.col("id") % 2 == 0, "a").otherwise("b")).alias("attributes"),
+        F.struct(F.repeat(F.lit("x"), 1000).alias("a"), F.concat(F.lit("b"), F.col("id").cast("string")).alias("b")).alias("payload"),
+    )
+    rows = {r["uid"]: r["payload"] for r in changes.compact(feed, ["a", "b"]).collect()}
+    last = {str(u): max(k for k in range(5000) if k % 3 == u and k % 2) for u in range(3)}
+    assert {u: (p["a"], p["b"]) for u, p in rows.items()} == {u: ("x" * 1000, f"b{k}") for u, k in last.items()}
 
 
 ROWS = "uid string, a string, b string"
@@ -315,6 +331,28 @@ def test_synchronize_uncatalog_and_info(spark, tmp_path):
     assert found["size"] == "1 MB"
 
 
+def test_equal_buckets_are_not_compared(spark, tmp_path):
+    """Only the buckets whose digests differ are read again and joined."""
+    store = IndexStore(spark, str(tmp_path), REGISTRY, replace(PLAIN, buckets=16))
+    ids = [str(n) for n in range(300)]
+    store.rebuild(spark.createDataFrame([(uid, "x", "y") for uid in ids], ROWS))
+    content = spark.createDataFrame([(uid, "x", "y") for uid in ids if uid != "42"] + [("42b", "n", "m")], ROWS)
+    catalog, rows = store.apart(content)
+    near = [set(r["uid"] for r in side.collect()) for side in (catalog, rows)]
+    assert near[0] ^ near[1] == {"42", "42b"} and len(near[1]) < 100
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    folders = plan.split("PartitionFilters: [")[1].split("]")[0]
+    # the overlays' folder and those of at most two buckets
+    assert "bucket" in folders and 2 <= len(re.findall(r"-?\d+(?=[,)])", folders.split("IN")[-1])) <= 3, folders
+    assert jobs.synchronize(store, content) == {"indexed": 1, "deleted": 1}
+    catalog, rows = store.apart(content)
+    assert catalog.isEmpty() and rows.isEmpty()
+    # an id the catalog holds twice, and null ids, change nothing
+    again = content.unionByName(content.where("uid = '7'")).unionByName(spark.createDataFrame([(None, "x", "y")], ROWS))
+    assert jobs.synchronize(store, again) == {"indexed": 0, "deleted": 0}
+    assert sorted(r[0] for r in rows_of(store)) == sorted((set(ids) - {"42"}) | {"42b"})
+
+
 def test_reserved_names_are_refused(spark, tmp_path):
     with pytest.raises(ValueError):
         IndexStore(spark, str(tmp_path), Registry([IndexSpec("bucket", "field")]))

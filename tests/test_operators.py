@@ -23,7 +23,7 @@ from findlark.operators.textmatch import Clause, ScannedText, match_text, text_c
 from findlark.plans.search import SearchIndex
 from findlark.registry import default_registry
 from findlark.sources import hierarchy as H
-from findlark.sources.blobs import blob_fields, read_blobs
+from findlark.sources.blobs import blob_fields, list_blobs, open_uri, read_blobs, write_blobs
 from findlark.sources.content import derive_rows
 from findlark.sources.pages import link_frontier, page_documents, page_links
 
@@ -228,6 +228,30 @@ def test_moves_equal_simulation(spark):
     assert changed == {key for key, place in expected.items() if place != before[key]}
 
 
+@pytest.mark.parametrize("delta", [-40, 25])
+def test_many_moves_in_one_container(spark, delta):
+    """10,000 moves in one container next to small ones; nothing is gathered per container."""
+    rng = random.Random(5)
+    size, names = 12_000, [f"m{i:05d}" for i in range(12_000)]
+    picked = sorted(rng.sample(names, 10_000))
+    members = [(1, name, i) for i, name in enumerate(names)] + [(k, "a", 0) for k in range(2, 30)]
+    moves = [(1, name, delta) for name in picked] + [(3, "a", delta), (77, "b", delta), (4, "unknown", delta)]
+    placed = container_positions(spark.createDataFrame(members, "parent int, member string, ord int"), "parent", "member", "ord")
+    after = move_members(placed, spark.createDataFrame(moves, "parent int, member string, delta int"), "parent", "member")
+    plan = after._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan
+    got = {(r["parent"], r["member"]): r["position_after"] for r in after.collect()}
+    # targets, clamped so that moved members keep their order; the others fill what is free
+    targets = {}
+    for turn, name in enumerate(picked):
+        goal = int(name[1:]) + delta
+        targets[name] = max(goal, turn) if delta < 0 else min(goal, size - len(picked) + turn)
+    free = sorted(set(range(size)) - set(targets.values()))
+    expected = {(1, n): p for n, p in targets.items()} | {(3, "a"): 0}
+    expected |= {(1, n): p for n, p in zip([n for n in names if n not in targets], free)}
+    assert got == expected
+
+
 # --- catalog rows ---
 
 
@@ -258,6 +282,24 @@ def test_page_with_catalog_rows_keeps_order(spark):
 # --- sources ---
 
 
+def test_only_wanted_files_are_opened(spark, tmp_path):
+    """Files of other objects and fields are listed, never opened: reading one of them fails."""
+    base = f"file:{tmp_path}/blobs"
+    rows = [(f"doc {n}", field, f"{n} {field}".encode()) for n in range(20) for field in ("file", "file2")]
+    written = write_blobs(spark.createDataFrame(rows, "path string, fieldname string, data binary"), base).collect()
+    assert sorted((r["path"], r["fieldname"], r["length"]) for r in written) == sorted((p, f, len(d)) for p, f, d in rows)
+    assert list_blobs(spark, base).count() == 40 and not list((tmp_path / "blobs").rglob(".*"))
+    wanted = [(f"u{n}", "file", f"doc {n}", "x.txt") for n in (3, 7, 19)] + [("u99", "file", "doc 99", "x.txt")]
+    fields = spark.createDataFrame(wanted, "uid string, fieldname string, path string, filename string")
+
+    def careful(uri):
+        assert uri.endswith(("doc 3/@@download/file", "doc 7/@@download/file", "doc 19/@@download/file")), uri
+        return open_uri(uri)
+
+    read = {r["uid"]: bytes(r["data"]) for r in read_blobs(spark, base, fields, careful).collect()}
+    assert read == {f"u{n}": f"{n} file".encode() for n in (3, 7, 19)}
+
+
 def test_blob_fields_and_bytes(spark, tmp_path):
     base = tmp_path / "site data"
     for path, field, data in (("folder/doc", "file", b"one"), ("folder/doc", "file2", b"two"), ("x", "file", b"other")):
