@@ -2,12 +2,16 @@
 
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that :func:`run` writes as
 Parquet in the shared folder and reads again as the next one's ``docs``. All but the last return
-the columns of ``docs``. Nulls, repeated rows, empty tables and further columns are treated as
-the operators' docstrings say.
+the columns of ``docs``. Nulls, repeated rows and empty tables are treated as the operators'
+docstrings say. Columns other than those of ``documents`` may have any name: they travel in one
+struct, so no operator meets them, and come back unchanged (the last stage replaces those that are
+called like what it adds).
 """
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -21,10 +25,31 @@ SURE_CHARS = 50
 MIN_COSINE = 0.1
 
 
+OWN = ("doc_id", "text", "lang", "source", "n_chars")
+
+
 def columns(rows: DataFrame, like: DataFrame) -> DataFrame:
     return rows.select(*[F.col(f"`{name}`") for name in like.columns])
 
 
+def apart(stage):
+    """A stage that sees the columns of ``documents`` and one struct ``more`` with all others."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        more = [name for name in docs.columns if name not in OWN]
+        own = [name for name in docs.columns if name in OWN]
+        folded = docs.select(*own, F.struct(*[F.col(f"`{name}`") for name in more]).alias("more")) if more else docs
+        rows = stage(spark, folded, sf_dir)
+        added = [name for name in rows.columns if name not in folded.columns]
+        kept = [name for name in docs.columns if name not in added]
+        where = {name: F.col("more").getField(name) if name in more else F.col(name) for name in kept}
+        return rows.select(*[column.alias(name) for name, column in where.items()], *added)
+
+    return run_stage
+
+
+@apart
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages learned from them: those without a letter, and those of
     ``SURE_CHARS`` characters or more that resemble no language, are rejected."""
@@ -33,6 +58,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return columns(rows.where((F.col("lang_pred") != langid.UNKNOWN) & sure), docs)
 
 
+@apart
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated chunks of lines; one that loses all its words goes, and
     ``n_chars`` follows the text."""
@@ -45,11 +71,13 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return columns(rows, docs)
 
 
+@apart
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id."""
     return simhash.representatives(docs)
 
 
+@apart
 def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
@@ -57,6 +85,7 @@ def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(held, F.col("doc_id").eqNullSafe(F.col("_doc")), "left_anti")
 
 
+@apart
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the mix takes words from, with ``size, source_size, target, taken``."""
     new = ["size", "source_size", "target", "taken"]
