@@ -476,8 +476,9 @@ def prefix_trie(turns: DataFrame, order: Sequence[Column] | None = None, ids: Da
     parents = nodes.select(
         (F.col("depth") + 1).alias("depth"), F.col("k0").alias("_p0"), F.col("k1").alias("_p1"), F.col("conv_id").alias("_over")
     )
-    # the root is one row and has the most children: its own small join
-    first = nodes.where("depth = 1").crossJoin(F.broadcast(root.select(F.col("conv_id").alias("_over"))))
+    # the root has the most children, and one name
+    smallest = nodes.where("depth = 0").agg(F.min("conv_id").alias("conv_id")).scalar()
+    first = nodes.where("depth = 1").withColumn("_over", smallest)
     deeper = nodes.where("depth > 1").join(parents.where("depth > 1"), ["depth", "_p0", "_p1"])
     top = nodes.where("depth = 0").withColumn("_over", F.lit(None).cast("long"))
     linked = materialise(top.unionByName(first).unionByName(deeper.select(top.columns)), "linked")
@@ -492,18 +493,15 @@ def prefix_trie(turns: DataFrame, order: Sequence[Column] | None = None, ids: Da
         *[F.lit(0).cast("long").alias(f"_sum_{v}") for v in values],
         (F.col("depth") == 0).alias("_top"),
     )
-    name = nodes.where("depth = 0").select(F.col("conv_id").alias("_comp_id"))
-    full = full.crossJoin(F.broadcast(name)).withColumn("_comp_depth", F.lit(0).cast("long"))
+    full = full.withColumns({"_comp_id": smallest, "_comp_depth": F.lit(0).cast("long")})
     full = materialise(full, "trie")
     parts = full
     if full.count() > GATHER:
         weighed = full.join(weights(rows), NODE, "left")
-        all_turns = rows.where("last").agg(F.sum("depth").alias("_turns"))
-        # one row; the root is passed by all turns and by each conversation once
-        weighed = weighed.crossJoin(F.broadcast(all_turns)).withColumn(
-            "_size", F.coalesce("_size", F.col("_turns") + F.col("n_convs"))
-        )
-        parts = split(weighed.drop("_turns"), rows, values).drop("_size")
+        # the root is passed by all turns and by each conversation once
+        all_turns = rows.where("last").agg(F.sum("depth").alias("n")).scalar()
+        weighed = weighed.withColumn("_size", F.coalesce("_size", all_turns + F.col("n_convs")))
+        parts = split(weighed, rows, values).drop("_size")
     summed = rolled_up(parts, values)
     ends = rows.where("last").select("conv_id", *NODE)
     if empty is not None:
