@@ -86,8 +86,10 @@ def leaks(
     known = materialise(known, "item-windows")
     sizes = known.groupBy("item_id").agg(F.count("*").alias("n_windows"))
 
+    # outer: for an inner one Spark asks every scanned text first whether it has windows at all
     own = docs.select("doc_id", windows(tokens(F.col("text")), window).alias("w"))
-    hits = own.select("doc_id", F.explode(F.array_distinct("w")).alias("hash")).join(known, "hash")
+    own = own.select("doc_id", F.explode_outer(F.array_distinct("w")).alias("hash"))
+    hits = own.where("hash is not null").join(known, "hash")
     shared = hits.groupBy("doc_id", "item_id").agg(F.count_distinct("hash").alias("n_shared"))
     found = shared.join(sizes, "item_id").withColumn("share", F.col("n_shared") / F.col("n_windows"))
     found = materialise(found.where(F.col("share") >= min_share), "leak-candidates")
@@ -96,6 +98,7 @@ def leaks(
     ids = found.select(F.col("doc_id").alias("_doc")).distinct()
     own = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_doc")), "left_semi")
     own = own.select("doc_id", tokens(F.col("text")).alias("t")).withColumn("w", windows(F.col("t"), window))
+    own = materialise(own, "leak-tokens")
     items = items.withColumn("n", F.size("t"))
     pairs = found.select(F.col("doc_id").alias("_doc"), "item_id", "n_windows")
     of_doc = F.col("doc_id").eqNullSafe(F.col("_doc"))

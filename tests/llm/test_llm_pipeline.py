@@ -14,7 +14,7 @@ from findlark.llm.queries import QUERIES
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
@@ -25,6 +25,23 @@ def test_stages_keep_columns_and_take_odd_rows(spark, sf_dir, odd, empty, stage)
     assert set(stage(spark, odd, sf_dir).toPandas().doc_id.dropna()) <= {i for i, _ in ODD if i is not None}
 
 
+CLASHING = ["score", "lang_pred", "text_key", "_key", "_id", "_doc", "_n", "_size", "more", "_m", "_same", "hash", "a.b"]
+
+
+@pytest.mark.parametrize("stage", [s for _, s in corpus_pipeline.STAGES])
+def test_stages_leave_other_columns_alone(spark, sf_dir, docs, stage):
+    """Columns called like those operators use inside come back with their values."""
+    clashing = docs.select("*", *[(F.col("doc_id") * 10 + k).alias(name) for k, name in enumerate(CLASHING)])
+    plain = {r.doc_id: r for r in stage(spark, docs, sf_dir).collect()}
+    rows = stage(spark, clashing, sf_dir)
+    assert rows.columns[: len(clashing.columns)] == clashing.columns
+    found = {r.doc_id: r for r in rows.collect()}
+    assert set(found) == set(plain)
+    for i, row in found.items():
+        assert [row[name] for name in CLASHING] == [i * 10 + k for k in range(len(CLASHING))]
+        assert all(row[name] == plain[i][name] for name in plain[i].asDict())
+
+
 def test_language_stage(spark, sf_dir, docs, make):
     kept = {r.doc_id for r in corpus_pipeline.language(spark, docs, sf_dir).collect()}
     rejected = docs.where(~F.col("doc_id").isin(kept))
