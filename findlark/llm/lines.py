@@ -15,46 +15,40 @@ from findlark.llm.common import keyed, packed, ship, unpack
 
 ship(__name__)
 
-# Lines whose hashes make a rolling hash; one boundary in so many lines; a chunk's least lines.
+# Lines of a chunk, whose hashes are rolled into one; one such hash in so many begins a chunk.
 WINDOW = 2
-EVERY = 2
-MIN_LINES = 2
+EVERY = 1
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def chunks(text: str, window: int, every: int, least: int) -> list[tuple[int, int, int]]:
+def chunks(text: str, window: int, every: int) -> list[tuple[int, int, int]]:
     """Chunks of a text: first line, line after the last, hash of the bytes.
 
-    A chunk ends after a line if the rolling hash of the ``window`` lines up to it falls on a
-    boundary and the chunk has ``least`` lines; a shorter rest joins the chunk before it.
-    Boundaries depend on nearby lines alone, so an inserted or removed line shifts none further
-    off, and equal passages are cut alike.
+    The hashes of ``window`` lines are rolled into one, line by line; a chunk of these lines begins
+    wherever that hash is a multiple of ``every``. Whether it does is up to these lines alone, so
+    equal passages are cut alike whatever stands around them, and with ``every`` = 1 no repeated
+    pair of lines is missed. Chunks overlap; what joins up is one longer repeat. Chunks without a
+    word are none.
     """
     import xxhash
 
-    lines = text.split("\n")
-    hashes = np.fromiter((xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass")) for x in lines), np.uint64, len(lines))
-    rolled = hashes.copy()
-    for back in range(1, window):
-        rolled[back:] = rolled[back:] * MIX + hashes[:-back]
+    lines = text.encode("utf-8", "surrogatepass").split(b"\n")
+    count = len(lines) - window + 1
+    if count < 1:
+        return []
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, lines), np.uint64, len(lines))
+    rolled = np.zeros(count, np.uint64)
+    for k in range(window):
+        rolled = rolled * MIX + hashes[k : k + count]
     rolled = (rolled ^ (rolled >> np.uint64(29))) * MIX
-    bounds = [0]
-    for end in (np.flatnonzero((rolled >> np.uint64(33)) % np.uint64(every) == 0) + 1).tolist():
-        if end - bounds[-1] >= least:
-            bounds.append(end)
-    if bounds[-1] < len(lines):
-        if len(lines) - bounds[-1] < least and len(bounds) > 1:
-            bounds.pop()
-        bounds.append(len(lines))
-    out = []
-    for a, b in zip(bounds, bounds[1:]):
-        if b - a >= least:
-            body = "\n".join(lines[a:b]).encode("utf-8", "surrogatepass")
-            out.append((a, b, xxhash.xxh64_intdigest(body) - (1 << 63)))
-    return out
-
-
-def repeated_chunks(docs: DataFrame, window: int, every: int, least: int) -> DataFrame:
+    rolled ^= rolled >> np.uint64(32)
+    begins = np.flatnonzero(rolled % np.uint64(every) == 0).tolist()
+    filled = [bool(line.strip()) for line in lines]
+    values = rolled.view(np.int64).tolist()
+    return [(a, a + window, values[a]) for a in begins if any(filled[a : a + window])]
+
+
+def repeated_chunks(docs: DataFrame, window: int, every: int) -> DataFrame:
     """Chunks that repeat those of an earlier document byte for byte: ``doc_id, text_key, hash``.
 
     Hashes are counted first, combined before the shuffle. Only chunks whose hash occurs in two
@@ -68,7 +62,7 @@ def repeated_chunks(docs: DataFrame, window: int, every: int, least: int) -> Dat
             out = [
                 (ids[i], keys[i], h)
                 for i, text in enumerate(batch.column(2))
-                for h in {h for *_, h in chunks(text.as_py() or "", window, every, least)}
+                for h in {h for *_, h in chunks(text.as_py() or "", window, every)}
             ]
             if out:
                 yield pa.RecordBatch.from_arrays(
@@ -90,7 +84,7 @@ def repeated_chunks(docs: DataFrame, window: int, every: int, least: int) -> Dat
             for row in batch.to_pylist():
                 text, of = unpack(row["_packed"], row["_size"]) or "", {w["hash"]: w["first"] for w in row["wanted"]}
                 lines = text.split("\n")
-                for a, b, h in chunks(text, window, every, least):
+                for a, b, h in chunks(text, window, every):
                     if h in of:
                         out.append((row["doc_id"], row["text_key"], h, of.pop(h), "\n".join(lines[a:b]).encode("utf-8", "surrogatepass")))
             if out:
@@ -111,21 +105,21 @@ def repeated_chunks(docs: DataFrame, window: int, every: int, least: int) -> Dat
     return later.select("doc_id", "text_key", "hash")
 
 
-def deduplicate(
-    docs: DataFrame, window: int = WINDOW, every: int = EVERY, min_lines: int = MIN_LINES
-) -> DataFrame:
+def deduplicate(docs: DataFrame, window: int = WINDOW, every: int = EVERY) -> DataFrame:
     """``docs`` without repeated multi-line chunks, plus ``lines_before`` and ``lines_removed``.
 
-    A text is split at ``\\n`` and cut into chunks of ``min_lines`` lines or more (a shorter
-    text has none). A chunk that repeats one of an earlier document (smaller id, null last), or
-    an earlier one of the same text, is removed; the first stays. What is left is joined by
-    ``\\n`` again, in order; a text that lost every line is empty.
+    A text is split at ``\\n``; :func:`chunks` says which runs of ``window`` lines are chunks. A line
+    goes if a chunk over it repeats, byte for byte, one of an earlier document (smaller id, null
+    last), or an earlier one of the same text; the first stays. Chunks are judged on the input,
+    overlaps count. What is left is joined by ``\\n`` again, in order; a text that lost every line
+    is empty.
 
-    Null text stays null; empty chunks count like any other. Rows repeated with the same id
-    keep their chunks. No rows give no rows; other columns are passed on as they are. Texts
-    travel compressed and one document is held in a task at a time.
+    Null text stays null; a text of fewer lines has no chunk. Rows repeated with the same id keep
+    their chunks. No rows give no rows; other columns are passed on as they are, those called like
+    helpers excepted (the pipeline folds them). Texts travel compressed and one document is held in
+    a task at a time.
     """
-    drop = repeated_chunks(docs, window, every, min_lines)
+    drop = repeated_chunks(docs, window, every)
     drop = drop.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(
         F.collect_set("hash").alias("_drop")
     )
@@ -143,15 +137,13 @@ def deduplicate(
             for data, size, gone in zip(*columns):
                 text, gone = unpack(data.as_py(), size.as_py()), set(gone.as_py() or ())
                 lines = (text or "").split("\n")
-                bodies, out, at = set(), [], 0
-                for a, b, h in chunks(text or "", window, every, min_lines):
+                seen, dropped = set(), np.zeros(len(lines), bool)
+                for a, b, h in chunks(text or "", window, every):
                     body = tuple(lines[a:b])
-                    out += lines[at:a]
-                    if h not in gone and body not in bodies:
-                        out += body
-                    bodies.add(body)
-                    at = b
-                out += lines[at:]
+                    if h in gone or body in seen:
+                        dropped[a:b] = True
+                    seen.add(body)
+                out = [line for line, d in zip(lines, dropped) if not d]
                 texts.append(None if text is None else "\n".join(out))
                 before.append(0 if text is None else len(lines))
                 removed.append(0 if text is None else len(lines) - len(out))

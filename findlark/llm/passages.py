@@ -160,26 +160,52 @@ def matches(rows: list[tuple], width: int, similarity: float) -> Iterator[tuple[
     """Similar pairs among contents (shingles, place of the minimum, block) of one value: their
     places in ``rows`` and what :func:`alike` finds.
 
-    Every two are compared, those of different blocks only if there are two blocks, except where
-    nothing can come of it: two whose common part is under ``width``, two that share too few
-    shingles, and two that pairs found before tie together, whose common parts share no shingle
-    outside of similar parts found before.
+    A content is compared with those that no pair found before ties it to, in turn, until one is
+    similar and ties it to all of that one's; and with those it is tied to as far as that can add to
+    spans: where one holds a shingle, in the common part, that no similar part of the other covers
+    yet. Those come from lists of who holds a shingle, so a family of near copies costs what its
+    differences cost, not its pairs. Pairs are left out where nothing can come of them: two whose
+    common part is under ``width``, and two that share too few shingles. If there are two blocks,
+    only contents of different blocks are compared.
     """
-    sets = [set(body.tolist()) for body, _, _ in rows]
+    bodies = [np.unique(body) for body, _, _ in rows]
+    kinds, counts = np.unique(np.concatenate(bodies), return_counts=True)
+    common = kinds[counts > 1]
+    # a shingle that one content holds decides nothing but sizes
+    sets = [set(body[common[np.minimum(np.searchsorted(common, body), len(common) - 1)] == body].tolist()) if len(common) else set() for body in bodies]
     # similar runs of ``width`` different shingles share so many
-    least = [2 * similarity / (1 + similarity) * width if len(s) == len(r[0]) else 1 for s, r in zip(sets, rows)]
+    least = [2 * similarity / (1 + similarity) * width if len(b) == len(r[0]) else 1 for b, r in zip(bodies, rows)]
     least = np.array(least) - 1e-9
     blocks = np.array([block for *_, block in rows])
     across = len(set(blocks.tolist())) > 1
-    at, uncovered, root = [r[1] for r in rows], [set(s) for s in sets], list(range(len(rows)))
+    at, uncovered, tie = [r[1] for r in rows], [set(s) for s in sets], np.arange(len(rows))
     before, after = np.array(at), np.array([len(r[0]) for r in rows]) - at
-    holders = {}
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
+    holders: dict[int, array] = {}
+    # who held a shingle uncovered when it came; it may be covered by now
+    waiting: dict[int, list[int]] = {}
+
+    def compared(j: int, k: int) -> tuple[int, int] | None:
+        """The similar part of two contents, if it ties them or covers what was not covered."""
+        part = alike(rows[j][0], at[j], rows[k][0], at[k], width, similarity)
+        if part is None:
+            return None
+        tied, fresh = tie[j] == tie[k], False
+        for one, other in ((j, k), (k, j)):
+            inside = set(rows[one][0][at[one] - part[0] : at[one] + part[1] + 1].tolist())
+            fresh |= not (inside & uncovered[one]).isdisjoint(sets[other])
+            uncovered[one] -= inside
+        if not tied:
+            tie[tie == tie[k]] = tie[j]
+        return part if fresh or not tied else None
+
+    def can_add(j: int, k: int) -> bool:
+        open_ = (uncovered[k] & sets[j]) | (uncovered[j] & sets[k])
+        b, a = min(before[j], before[k]), min(after[j], after[k])
+        # only what both hold in their common part can be added
+        for one in (j, k):
+            if open_:
+                open_.intersection_update(rows[one][0][at[one] - b : at[one] + a].tolist())
+        return bool(open_)
 
     for k, own in enumerate(sets):
         held = [holders[s] for s in own if s in holders]
@@ -189,30 +215,32 @@ def matches(rows: list[tuple], width: int, similarity: float) -> Iterator[tuple[
             possible &= np.minimum(before[:k], before[k]) + np.minimum(after[:k], after[k]) >= width
             if across:
                 possible &= blocks[:k] != blocks[k]
-            for j in np.flatnonzero(possible).tolist():
-                tied = find(j) == find(k)
-                if tied:
-                    open_ = (uncovered[k] & sets[j]) | (uncovered[j] & own)
-                    b, a = min(before[j], before[k]), min(after[j], after[k])
-                    # only what both hold in their common part can be added
-                    for one in (j, k):
-                        if open_:
-                            open_.intersection_update(rows[one][0][at[one] - b : at[one] + a].tolist())
-                    if not open_:
-                        continue
-                part = alike(rows[j][0], at[j], rows[k][0], at[k], width, similarity)
-                if part is None:
-                    continue
-                fresh = False
-                for one, other in ((j, k), (k, j)):
-                    inside = set(rows[one][0][at[one] - part[0] : at[one] + part[1] + 1].tolist())
-                    fresh |= not (inside & uncovered[one]).isdisjoint(sets[other])
-                    uncovered[one] -= inside
-                if fresh or not tied:
-                    root[find(k)] = find(j)
-                    yield j, k, part
+            while True:
+                free = np.flatnonzero(possible & (tie[:k] != tie[k]))
+                if not len(free):
+                    break
+                # up to the first that is similar; it changes what the others are tied to
+                for j in free.tolist():
+                    possible[j] = False
+                    if part := compared(j, k):
+                        yield j, k, part
+                        break
+            if possible.any():
+                near = {j for s in uncovered[k] if s in holders for j in holders[s]}
+                for s in own:
+                    if s in waiting:
+                        waiting[s] = [j for j in waiting[s] if s in uncovered[j]]
+                        near.update(waiting[s])
+                for j in sorted(near.intersection(np.flatnonzero(possible).tolist())):
+                    if can_add(j, k) and (part := compared(j, k)):
+                        yield j, k, part
         for s in own:
-            holders.setdefault(s, array("i")).append(k)
+            if s in holders:
+                holders[s].append(k)
+            else:
+                holders[s] = array("i", (k,))
+        for s in uncovered[k]:
+            waiting.setdefault(s, []).append(k)
 
 
 def verified(bodies: DataFrame, width: int, similarity: float) -> DataFrame:

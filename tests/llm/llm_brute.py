@@ -112,25 +112,28 @@ def simhash(rows):
     return [(i, f"{f:016x}", min(least[roots[f]], default=None)) for (i, _), f in zip(rows, prints)]
 
 
-def line_dedup(rows, chunks):
-    """Texts without chunks an earlier document or line has; ``chunks`` cuts a text."""
+def line_dedup(rows):
+    """Texts without the lines of pairs that an earlier document or place of the text has."""
+
+    def pairs(text):
+        lines = (text or "").split("\n")
+        both = [(k, (lines[k], lines[k + 1])) for k in range(len(lines) - 1)]
+        return [(k, pair) for k, pair in both if any(line.strip(" \t\n\r\x0b\x0c") for line in pair)]
+
     first = {}
     for i, text in rows:
-        lines = (text or "").split("\n")
-        for a, b, _ in chunks(text or ""):
-            body, rank = tuple(lines[a:b]), (i is None, i or 0)
-            first[body] = min(first.get(body, rank), rank)
+        rank = (i is None, i or 0)
+        for _, pair in pairs(text):
+            first[pair] = min(first.get(pair, rank), rank)
     out = []
     for i, text in rows:
-        lines, kept, own, at = (text or "").split("\n"), [], set(), 0
-        for a, b, _ in chunks(text or ""):
-            body = tuple(lines[a:b])
-            kept += lines[at:a]
-            if first[body] == (i is None, i or 0) and body not in own:
-                kept += body
-            own.add(body)
-            at = b
-        out.append((i, None if text is None else "\n".join(kept + lines[at:])))
+        own, gone = set(), set()
+        for k, pair in pairs(text):
+            if first[pair] < (i is None, i or 0) or pair in own:
+                gone |= {k, k + 1}
+            own.add(pair)
+        lines = [line for k, line in enumerate((text or "").split("\n")) if k not in gone]
+        out.append((i, None if text is None else "\n".join(lines)))
     return out
 
 

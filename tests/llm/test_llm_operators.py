@@ -329,26 +329,37 @@ def test_passages_odd_rows(odd, empty):
 # --- lines ---
 
 
-def cut(text):
-    return lines.chunks(text, lines.WINDOW, lines.EVERY, lines.MIN_LINES)
-
-
 def test_lines(docs, texts, odd, empty):
     found = lines.deduplicate(docs)
     assert found.columns == [*docs.columns, "lines_before", "lines_removed"]
-    same(found.select("doc_id", "text").collect(), brute.line_dedup(list(texts.items()), cut))
-    same(lines.deduplicate(odd).select("doc_id", "text").collect(), brute.line_dedup(ODD, cut))
+    same(found.select("doc_id", "text").collect(), brute.line_dedup(list(texts.items())))
+    same(lines.deduplicate(odd).select("doc_id", "text").collect(), brute.line_dedup(ODD))
     assert lines.deduplicate(empty).count() == 0
 
 
+@pytest.mark.parametrize("length", [2, 3, 5, 12])
+def test_shared_passages_of_few_lines(make, length):
+    """Passages between foreign lines: all of the later copies' lines go, and nothing else."""
+    rows, expected = [], {}
+    for k in range(40):
+        passage = [f"shared {k} line {n}" for n in range(length)]
+        for copy in range(3):
+            own = [f"own {k} {copy} {n}" for n in range(4 + copy)]
+            text = own[: copy + 1] + passage + own[copy + 1 :]
+            rows.append((3 * k + copy, "\n".join(text)))
+            expected[3 * k + copy] = "\n".join(text if copy == 0 else own)
+    found = {r.doc_id: r.text for r in lines.deduplicate(make(rows)).collect()}
+    assert found == expected
+
+
 def test_chunks_resist_shifts():
     body = [f"line {k} {k * k % 97}" for k in range(200)]
-    whole = {h for *_, h in cut("\n".join(body))}
-    shifted = {h for *_, h in cut("\n".join(["new first line", *body[:100], "inserted", *body[100:]]))}
-    assert len(whole - shifted) <= 4
-    spans = cut("\n".join(body))
-    assert spans[0][0] == 0 and spans[-1][1] == 200 and all(b - a >= 2 for a, b, _ in spans)
-    assert all(x[1] == y[0] for x, y in zip(spans, spans[1:])) and cut("one line") == []
+    for every in (1, 3):
+        whole = {h for *_, h in lines.chunks("\n".join(body), 2, every)}
+        shifted = {h for *_, h in lines.chunks("\n".join(["new first line", *body[:100], "inserted", *body[100:]]), 2, every)}
+        # all but the pair the inserted line takes apart
+        assert len(whole - shifted) <= 1 and 200 / every / 2 < len(whole) < 200
+    assert lines.chunks("one line", 2, 1) == [] and lines.chunks("\n \n\t\n", 2, 1) == []
 
 
 # --- WARC ---

@@ -9,7 +9,7 @@ from llm_rows import ODD
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from findlark.llm import decontaminate, langid, lines, pii, quality
+from findlark.llm import decontaminate, langid, pii, quality
 from findlark.llm.queries import QUERIES
 
 
@@ -53,7 +53,7 @@ def test_language_stage(spark, sf_dir, docs, make):
 
 def test_line_stage(spark, sf_dir, docs, texts):
     found = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.repeated_lines(spark, docs, sf_dir).collect()}
-    expected = dict(brute.line_dedup(list(texts.items()), lambda t: lines.chunks(t, 2, 2, 2)))
+    expected = dict(brute.line_dedup(list(texts.items())))
     expected = {i: t for i, t in expected.items() if t == texts[i] or brute.words(t)}
     assert {i: t for i, (t, _) in found.items()} == expected
     assert all(n == len(t) for t, n in found.values())
