@@ -129,7 +129,8 @@ def test_templates(make, items):
     found = decontaminate.leaks(make(rows), items).collect()
     # in 3 one name and one number meet two partners each
     same([(r.doc_id, r.item_id) for r in found], [(1, 1), (2, 3), (5, 3), (None, 1)])
-    assert all(r.share == 1 and r.consistency == 1 for r in found)
+    # an item's first word that the document has in lower case costs the windows over it
+    assert all(r.share >= 0.9 and r.consistency == 1 for r in found)
 
 
 def test_leaks_beside_other_fillings(make, items):
@@ -142,6 +143,38 @@ def test_leaks_beside_other_fillings(make, items):
     same([(r.doc_id, r.item_id, r.consistency) for r in found], [(k, 1, 1.0) for k in (1, 2, 3, 4)])
 
 
+def test_leaks_of_other_kinds(make, spark):
+    """Names that begin sentences, of several words, other case, numbers as words, short items."""
+    rows = [
+        (1, "Tom has 3 apples and 2 pears. Tom gives 2 apples to Sue, so how many apples are left to Tom at the end?"),
+        (2, "Name the largest planet"), (3, "2 + 2"), (4, "!?"),
+    ]
+    items = spark.createDataFrame(rows, "item_id long, text string")
+    one = rows[0][1]
+    docs = [
+        (1, one), (2, one.replace("Tom", "Anna")), (3, one.lower()), (4, one.upper()),
+        (5, one.replace("Tom", "Mary Jane Smith").replace("Sue", "Old Bob")),
+        (6, one.replace("3 ", "three ").replace("2 ", "two ")), (7, f"So it goes. {one.replace('Tom', 'Pia').replace('2', '9')} Well."),
+        (8, "Please NAME THE LARGEST PLANET now"), (9, "Name the largest moon or planet"), (10, "1 + 2 and 2 * 2, then 2 + 2."),
+        (11, "Tom has 3 sisters and 2 brothers. They give 2 books to Sue, and so on until the end of the year."), (12, "!?"),
+        (13, "He said that Tom and Sue left. " * 20),
+    ]
+    found = decontaminate.leaks(make(docs), items).collect()
+    # figures between other signs are the same tokens: 2 * 2 is an occurrence of item 3
+    same([(r.doc_id, r.item_id) for r in found], [*[(k, 1) for k in range(1, 8)], (8, 2), (10, 3)])
+    assert all(r.share >= 0.8 and r.consistency >= 0.8 for r in found)
+
+
+def test_no_tokenizer_below_the_candidates(docs, spark, sf_dir):
+    """Spark must not ask all texts whether they have windows: no filter holds the tokenizer."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    own = decontaminate.readings(docs.select("doc_id", "text"), "doc_id", 5, [], False)
+    plan = own.select("doc_id", F.explode_outer(F.array_distinct("w")).alias("hash")).where("hash is not null")
+    for frame in (plan, decontaminate.leaks(docs, benchmark)):
+        lines_ = frame._jdf.queryExecution().optimizedPlan().toString().split("\n")
+        assert not any("Filter" in line and "regexp_replace" in line for line in lines_)
+
+
 def test_leaks_small_table(docs, texts, spark, sf_dir, items, empty):
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     held = {(i, r.item_id) for i, t in texts.items() for r in benchmark.collect() if r.text in (t or "")}
