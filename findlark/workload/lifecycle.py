@@ -229,6 +229,21 @@ def stored_top20(spark, sf_dir):
     return found.page(0, 20).select("uid", "portal_type", F.round("score", 4).alias("score"))
 
 
+@query(
+    search_sql(
+        C.CONTENT_SQL,
+        X.MAIN,
+        X._main(["und", "der", "die"]),
+        "SELECT uid, portal_type, round(score, 4) AS score FROM hits JOIN content USING (uid) "
+        "WHERE lang = 'de' ORDER BY hits.score DESC, uid LIMIT 10 OFFSET 15",
+    )
+)
+def stored_page(spark, sf_dir):
+    """Rows 15 to 24 of a filtered search on a stored index, in order of relevance."""
+    found = C.content_store(spark, sf_dir).index().search({"SearchableText": "und der die", "Language": "de"})
+    return found.page(15, 10).select("uid", "portal_type", F.round("score", 4).alias("score"))
+
+
 # --- fields, extracts, viewers ---
 
 
