@@ -17,6 +17,7 @@ from findlark.operators import ordering
 from findlark.operators.catalogjoin import join_catalog
 from findlark.operators.firstpage import FirstPage
 from findlark.operators.highlight import EXTRACT, describe_hits
+from findlark.operators.places import Places
 from findlark.operators.predicates import allowed_for, in_effect
 from findlark.operators.textmatch import ScannedText, StoredText, highlight_words, match_text
 from findlark.plans.query import Assembler, CompiledQuery, compile_query
@@ -87,7 +88,8 @@ class Results:
 
     ``hits`` is unordered and has every index column and ``score``. Indexing with a number
     fetches one page of ``bulk_size`` rows of the ranked result and keeps the latest few; a
-    slice is a lazy frame. :meth:`close` removes the ranked table.
+    slice is a lazy frame. Neither sorts the whole result, see :class:`Places`. :meth:`close`
+    removes what was written for :meth:`ranked` and long slices.
     """
 
     PAGES_KEPT = 8
@@ -166,7 +168,7 @@ class Results:
         return self._shown(ordering.page(first, ordering.sort_columns([], first.columns), start, size))
 
     def ranked(self) -> DataFrame:
-        """Ids with their place in the order, written once: deep pages are range filters on it."""
+        """Ids with their place in the order, written once: for passes over the whole ranking."""
         if self._ranked is None:
             names = [name.split(".")[0] for name, _ in self.plan.sort]
             keys = self._hits.select(*dict.fromkeys(["uid", *names, "score"]))
@@ -178,10 +180,10 @@ class Results:
 
     def close(self) -> None:
         """Remove the tables the ranked result was written to."""
-        if self._ranked is not None:
-            spark, self._ranked = self._ranked.sparkSession, None
-            for path in self._scratch:
-                remove(spark, path)
+        if self._scratch:
+            spark, self._ranked = self._hits.sparkSession, None
+            while self._scratch:
+                remove(spark, self._scratch.pop())
             self._pages.clear()
 
     def deep_page(self, start: int, size: int | None = None) -> DataFrame:
@@ -189,8 +191,13 @@ class Results:
         return self._shown(self._placed(start, size or self.settings.bulk_size).orderBy("rank").drop("rank"))
 
     def _placed(self, start: int, size: int) -> DataFrame:
-        wanted = ordering.deep_page(self.ranked(), start, size)
-        return self._hits.join(wanted.select("uid", "rank"), "uid")
+        return self._hits.join(self._places.between(start, start + size), "uid")
+
+    @cached_property
+    def _places(self) -> Places:
+        keys = [(self._sort_name(name), down) for name, down in self.plan.sort]
+        keys += [("score", True)] if "score" in self._hits.columns else []
+        return Places(self._hits, [*keys, ("uid", False)], self.count(), scratch=self._scratch)
 
     def count(self) -> int:
         if self._count is None:

@@ -56,7 +56,8 @@ OVERLAY = -1
 _POSTINGS = "uid string, field string, term string, run int, tf int, len int, positions array<int>"
 # a word may have several rows: by bucket, run and frequency, and signed ones of overlays
 _TERMS = "field string, term string, run int, df long, tf int, len int"
-# rows in a page of a postings file, the least that a scan of some words' first runs reads
+# rows in a page of a file of documents or postings, the least that a scan of a subtree or of some
+# words' first runs reads
 PAGE_ROWS = 1000
 _FIELDS = "field string, n long, words long"
 
@@ -137,6 +138,12 @@ class IndexStore:
     def text_fields(self) -> list[str]:
         return self.registry.text_fields(self.settings.search_only)
 
+    @cached_property
+    def _by_path(self) -> list[str]:
+        """What documents are sorted by inside a file: a subtree is then one range of rows, which
+        the statistics of its row groups and pages tell from the rest."""
+        return [f"{spec.name}.path" for spec in self.registry.values() if spec.kind == "path"][:1]
+
     @cached_property
     def _doc_schema(self) -> T.StructType:
         words = T.StructType([T.StructField(f, T.IntegerType()) for f in self.text_fields])
@@ -364,7 +371,7 @@ class IndexStore:
         docs = placed(rows).drop("_shard")
         if named:
             docs = docs.withColumns({"words": P.word_counts(named), "terms": P.word_sets(named)})
-        _by_bucket(docs.sortWithinPartitions("bucket", "uid"), self._folder("docs", part))
+        _by_bucket(docs.sortWithinPartitions("bucket", *self._by_path, "uid"), self._folder("docs", part), PAGE_ROWS)
         if named:
             texts = self._read("docs", self.schema, Version(0, part)).select("uid", *named)
             inverted = P.build_postings(

@@ -198,6 +198,16 @@ def path_subtree(spark, sf_dir):
     return _tree(spark, sf_dir, {"query": "/AFRICA", "depth": -1})
 
 
+@query(
+    f"""WITH {C.CONTENT_SQL} SELECT uid, path FROM content
+    WHERE starts_with(path, '/docs/de') OR starts_with(path, '/docs/en/w')"""
+)
+def stored_subtree(spark, sf_dir):
+    """Two subtrees of a stored index, one of them a textual prefix of folders' names."""
+    found = C.content_store(spark, sf_dir).index().search({"path": ["/docs/de", "/docs/en/w"]})
+    return found.fields().select("uid", "path")
+
+
 @query(_tree_sql("starts_with(path, '/ASIA/NATION_2') AND depth >= 2"))
 def path_prefix_is_textual(spark, sf_dir):
     return _tree(spark, sf_dir, "/ASIA/NATION_2")
