@@ -371,7 +371,8 @@ class IndexStore:
         docs = placed(rows).drop("_shard")
         if named:
             docs = docs.withColumns({"words": P.word_counts(named), "terms": P.word_sets(named)})
-        _by_bucket(docs.sortWithinPartitions("bucket", *self._by_path, "uid"), self._folder("docs", part), PAGE_ROWS)
+        docs = docs.sortWithinPartitions("bucket", *self._by_path, "uid")
+        _by_bucket(docs, self._folder("docs", part), PAGE_ROWS, named="uid")
         if named:
             texts = self._read("docs", self.schema, Version(0, part)).select("uid", *named)
             inverted = P.build_postings(
@@ -587,8 +588,14 @@ def _summed(terms: DataFrame, totals: DataFrame) -> tuple[DataFrame, DataFrame]:
     return terms, totals
 
 
-def _by_bucket(rows: DataFrame, path: str, page_rows: int | None = None) -> None:
+def _by_bucket(rows: DataFrame, path: str, page_rows: int | None = None, named: str | None = None) -> None:
+    """Write ``rows`` in folders of their bucket. Row groups tell by a Bloom filter which values of
+    ``named`` they hold, for look-ups of a column the rows are not sorted by."""
     writer = rows.write.mode("overwrite").partitionBy("bucket")
     if page_rows:
         writer = writer.option("parquet.page.row.count.limit", page_rows)
+    if named:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{named}", "true")
+        # as large as the values at hand need
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
     writer.parquet(path)

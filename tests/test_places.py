@@ -103,3 +103,17 @@ def test_subtree_reads_its_range(spark, tmp_path):
         found = index.search({"path": spec}).fields()
         read = scanned(found)
         assert found.count() == right and read <= right + 8_000 < count
+
+
+def test_ids_are_looked_up_by_row_group(spark, tmp_path):
+    count, buckets = 16_000, 16
+    rows = spark.range(count).select(
+        F.concat(F.lit("u"), "id").alias("uid"), path_struct(F.concat(F.lit("/p"), F.hash("id").cast("string"))).alias("path")
+    )
+    store = IndexStore(spark, str(tmp_path), Registry([IndexSpec("path", "path")]), Settings(buckets=buckets, search_only=frozenset()))
+    store.rebuild(rows)
+    # one id; then as many ids as Spark writes as one set, but for one of no document
+    for wanted in (["u77"], ["u77"] * 2 + [f"none{k}" for k in range(14)]):
+        found = store.index().rows.where(F.col("uid").isin(*wanted)).select("uid")
+        read = scanned(found)
+        assert [r["uid"] for r in found.collect()] == ["u77"] and read <= 6 * count // buckets
