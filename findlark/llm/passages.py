@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from array import array
-from collections.abc import Iterator
-from itertools import groupby
+from collections.abc import Generator, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +26,11 @@ FUNCTIONS = 3
 SCAN_BYTES = 1 << 20
 # contents of one value that meet in one task; more are dealt as pairs of blocks
 BLOCK = 1024
+# contents of a value whose shared shingles are counted as one table
+SMALL = 48
+# cells of rows laid out together, and of pairs compared together
+GRID_CELLS = 1 << 22
+PAIR_CELLS = 1 << 17
 LAST = (1 << 63) - 1
 POSITION_BITS = 22
 BASE = np.uint64(0x9DDFEA08EB382D69)
@@ -102,37 +107,125 @@ def windows_of(texts: list[bytes], shingle: int, width: int, functions: int) ->
     return owner, value, content.view(np.int64), left, at, right, hashes, counts
 
 
-def alike(a: np.ndarray, at_a: int, b: np.ndarray, at_b: int, width: int, similarity: float) -> tuple[int, int] | None:
-    """The part of two windows, as (before, after) of their shared minimum, in which their
-    shingles are similar: their whole common part, or else the best ``width`` shingles of it."""
-    before, after = min(at_a, at_b), min(len(a) - at_a, len(b) - at_b) - 1
-    if before + after + 1 < width:
-        return None
-    x, y = a[at_a - before : at_a + after + 1], b[at_b - before : at_b + after + 1]
-    if (x == y).all():
-        return before, after
+class Contents:
+    """Contents laid out by distance from their minimum, which all have in the middle column.
 
-    def share(p, q):
-        p, q = set(p.tolist()), set(q.tolist())
-        both = len(p & q)
-        return both / (len(p) + len(q) - both)
+    ``least`` holds the fewest different shingles that a run of ``width`` of a content has.
+    """
 
-    if share(x, y) >= similarity:
+    def __init__(self, bodies: list[bytes], at: np.ndarray, width: int):
+        sizes = np.array([len(b) // 4 for b in bodies], np.int64)
+        columns, self.width = 2 * width - 1, width
+        flat = np.frombuffer(b"".join(bodies), np.uint32)
+        self.first = width - 1 - at.astype(np.int64)
+        self.last = self.first + sizes - 1
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        column = np.arange(len(flat)) + np.repeat(self.first - np.cumsum(sizes) + sizes, sizes)
+        self.grid = np.zeros((len(sizes), columns), np.int64)
+        self.grid[row, column] = flat
+        # different shingles of each row, and where repeated ones were before
+        bits = np.int64(columns.bit_length())
+        keys = np.full(self.grid.shape, np.int64(1 << 62))
+        keys[row, column] = (flat.astype(np.int64) << bits) | column
+        keys.sort(axis=1)
+        r, place = np.nonzero(keys < 1 << 62)
+        keys = keys[r, place]
+        f, c = keys >> bits, keys & ((np.int64(1) << bits) - 1)
+        again = np.zeros(len(f), bool)
+        again[1:] = (f[1:] == f[:-1]) & (r[1:] == r[:-1])
+        self.rows, self.kinds = r[~again], f[~again]
+        self.starts = np.searchsorted(self.rows, np.arange(len(sizes) + 1))
+        # a repeat makes a run poorer if it holds both places
+        lowest, highest = np.maximum(c - width + 1, self.first[r])[again], c[np.flatnonzero(again) - 1]
+        lies, r = lowest <= highest, r[again]
+        poorer = np.bincount((r * (columns + 1) + lowest)[lies], minlength=len(sizes) * (columns + 1))
+        poorer -= np.bincount((r * (columns + 1) + highest + 1)[lies], minlength=len(poorer))
+        poorer = np.cumsum(poorer.reshape(len(sizes), columns + 1), axis=1)
+        run = np.arange(columns + 1)
+        poorer[(run < self.first[:, None]) | (run > self.last[:, None] - width + 1)] = 0
+        self.least = width - poorer.max(axis=1, initial=0)
+
+    def parts(self, a: np.ndarray, b: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+        """The part of pairs of contents, as shingles before and after their shared minimum, in
+        which their shingles are similar: their whole common part, or else the best ``width``
+        shingles of it; -1 before it if there is none."""
+        before, after = np.full(len(a), -1), np.full(len(a), -1)
+        step = max(1, PAIR_CELLS // self.grid.shape[1])
+        for k in range(0, len(a), step):
+            self._parts(a[k : k + step], b[k : k + step], similarity, before[k : k + step], after[k : k + step])
         return before, after
-    if len(set(x.tolist())) == len(x) == len(set(y.tolist())):
-        # a shingle at i and j lies in both runs that begin from max(i, j) - width + 1 to min(i, j)
-        _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-        lowest, highest = np.maximum(np.maximum(i, j) - width + 1, 0), np.minimum(np.minimum(i, j), len(x) - width)
-        lies = lowest <= highest
-        steps = np.bincount(lowest[lies], minlength=len(x) + 1) - np.bincount(highest[lies] + 1, minlength=len(x) + 1)
-        both = np.cumsum(steps)[: len(x) - width + 1]
-        best = int(np.argmax(both))
-        most = both[best] / (2 * width - both[best])
-    else:
-        shares = [share(x[k : k + width], y[k : k + width]) for k in range(len(x) - width + 1)]
-        best = int(np.argmax(shares))
-        most = shares[best]
-    return (before - best, best + width - 1 - before) if most >= similarity else None
+
+    def _parts(self, a, b, similarity, before, after) -> None:
+        width, columns = self.width, self.grid.shape[1]
+        low, high = np.maximum(self.first[a], self.first[b]), np.minimum(self.last[a], self.last[b])
+        at = np.flatnonzero(high - low + 1 >= width)
+        if not len(at):
+            return
+        x, y, low, high = self.grid[a[at]], self.grid[b[at]], low[at], high[at]
+        column = np.arange(columns)
+        outside = (column < low[:, None]) | (column > high[:, None])
+        whole = ((x == y) | outside).all(axis=1)
+        # the shingles of both, sorted with their side and column; what lies outside is like nothing
+        bits = np.int64(columns.bit_length())
+        nothing = np.int64(1 << 32) + 2 * column
+        keys = np.concatenate([np.where(outside, nothing, x) << 1, (np.where(outside, nothing + 1, y) << 1) | 1], axis=1)
+        keys = np.sort((keys << bits) | np.concatenate([column, column]), axis=1)
+        shingle, side = keys >> (bits + 1), (keys >> bits) & 1
+        same, cross = shingle[:, 1:] == shingle[:, :-1], side[:, 1:] != side[:, :-1]
+        cross &= same
+        size, both = high - low + 1, cross.sum(axis=1)
+        repeated = (same & ~cross).sum(axis=1)
+        whole |= both / (2 * size - repeated - both) >= similarity
+        before[at[whole]], after[at[whole]] = (width - 1 - low)[whole], (high - width + 1)[whole]
+        # similar runs share so many different shingles
+        needed = similarity / (1 + similarity) * (self.least[a[at]] + self.least[b[at]]) - 1e-9
+        open_ = ~whole & (both >= needed)
+        plain = np.flatnonzero(open_ & (repeated == 0))
+        if len(plain):
+            # a shingle at i and j lies in both runs that begin from max(i, j) - width + 1 to min(i, j)
+            r, c = np.nonzero(cross[plain])
+            mask = (np.int64(1) << bits) - 1
+            i, j = keys[plain[r], c] & mask, keys[plain[r], c + 1] & mask
+            lowest = np.maximum(np.maximum(i, j) - width + 1, low[plain[r]])
+            highest = np.minimum(np.minimum(i, j), high[plain[r]] - width + 1)
+            lies = lowest <= highest
+            shared = np.bincount((r * (columns + 1) + lowest)[lies], minlength=len(plain) * (columns + 1))
+            shared -= np.bincount((r * (columns + 1) + highest + 1)[lies], minlength=len(shared))
+            shared = np.cumsum(shared.reshape(len(plain), columns + 1), axis=1)
+            run = np.arange(columns + 1)
+            shared[(run < low[plain, None]) | (run > high[plain, None] - width + 1)] = -1
+            best = shared.argmax(axis=1)
+            most = shared[np.arange(len(plain)), best]
+            good = most / (2 * width - most) >= similarity
+            found, best = at[plain[good]], best[good]
+            before[found], after[found] = width - 1 - best, best
+        for k in np.flatnonzero(open_ & (repeated > 0)).tolist():
+            best = best_run(x[k, low[k] : high[k] + 1].tolist(), y[k, low[k] : high[k] + 1].tolist(), width, similarity)
+            if best is not None:
+                before[at[k]], after[at[k]] = width - 1 - low[k] - best, low[k] + best
+
+
+def best_run(x: list[int], y: list[int], width: int, similarity: float) -> int | None:
+    """Where the ``width`` places begin at which the different values of ``x`` and ``y`` are most
+    similar; ``None`` if they are less than ``similarity``."""
+    held: dict[int, list[int]] = {}
+    one = other = both = 0
+    best, most = None, -1.0
+    for k in range(len(x)):
+        for side, value in ((0, x[k]), (1, y[k])):
+            counts = held.setdefault(value, [0, 0])
+            counts[side] += 1
+            if counts[side] == 1:
+                one, other, both = one + (side == 0), other + (side == 1), both + (counts[1 - side] > 0)
+        if k >= width:
+            for side, value in ((0, x[k - width]), (1, y[k - width])):
+                counts = held[value]
+                counts[side] -= 1
+                if counts[side] == 0:
+                    one, other, both = one - (side == 0), other - (side == 1), both - (counts[1 - side] > 0)
+        if k >= width - 1 and both / (one + other - both) > most:
+            best, most = k - width + 1, both / (one + other - both)
+    return best if most >= similarity else None
 
 
 def emitted(docs: DataFrame, shingle: int, width: int, functions: int, narrow: bool) -> DataFrame:
@@ -156,9 +249,12 @@ def emitted(docs: DataFrame, shingle: int, width: int, functions: int, narrow: b
     return texts.mapInArrow(run, ddl)
 
 
-def matches(rows: list[tuple], width: int, similarity: float) -> Iterator[tuple[int, int, tuple[int, int]]]:
-    """Similar pairs among contents (shingles, place of the minimum, block) of one value: their
-    places in ``rows`` and what :func:`alike` finds.
+def matches(
+    contents: Contents, begin: int, end: int, blocks: np.ndarray, similarity: float
+) -> Generator[tuple[list[int], int], list[tuple[int, int] | None], list[tuple]]:
+    """Similar pairs among the contents ``begin`` to ``end``, which are those of one value: their
+    places and what :meth:`Contents.parts` finds. It yields what is to be compared next, some contents
+    with one later content, and is sent their similar parts, so that many values are compared together.
 
     A content is compared with those that no pair found before ties it to, in turn, until one is
     similar and ties it to all of that one's; and with those it is tied to as far as that can add to
@@ -168,79 +264,196 @@ def matches(rows: list[tuple], width: int, similarity: float) -> Iterator[tuple[
     common part is under ``width``, and two that share too few shingles. If there are two blocks,
     only contents of different blocks are compared.
     """
-    bodies = [np.unique(body) for body, _, _ in rows]
-    kinds, counts = np.unique(np.concatenate(bodies), return_counts=True)
-    common = kinds[counts > 1]
+    width, count = contents.width, end - begin
+    flat = contents.kinds[contents.starts[begin] : contents.starts[end]]
+    starts = contents.starts[begin : end + 1] - contents.starts[begin]
+    kinds, place, holding = np.unique(flat, return_inverse=True, return_counts=True)
     # a shingle that one content holds decides nothing but sizes
-    sets = [set(body[common[np.minimum(np.searchsorted(common, body), len(common) - 1)] == body].tolist()) if len(common) else set() for body in bodies]
-    # similar runs of ``width`` different shingles share so many
-    least = [2 * similarity / (1 + similarity) * width if len(b) == len(r[0]) else 1 for b, r in zip(bodies, rows)]
-    least = np.array(least) - 1e-9
-    blocks = np.array([block for *_, block in rows])
-    across = len(set(blocks.tolist())) > 1
-    at, uncovered, tie = [r[1] for r in rows], [set(s) for s in sets], np.arange(len(rows))
-    before, after = np.array(at), np.array([len(r[0]) for r in rows]) - at
+    common = (holding > 1)[place]
+    least = contents.least[begin:end] * (similarity / (1 + similarity)) - 0.5e-9
+    before, after = width - 1 - contents.first[begin:end], contents.last[begin:end] - width + 1
+    across = (blocks != blocks[0]).any()
+
+    def possible_with(rows, k, shared: np.ndarray) -> np.ndarray:
+        # similar runs share so many different shingles
+        possible = shared >= least[rows] + least[k]
+        possible &= np.minimum(before[rows], before[k]) + np.minimum(after[rows], after[k]) + 1 >= width
+        return possible & (blocks[rows] != blocks[k]) if across else possible
+
+    table = None
+    if count <= SMALL:
+        # few contents: all counts at once
+        which = np.cumsum(holding > 1) - 1
+        held_by = np.zeros((count, int(which[-1]) + 1), np.float32)
+        held_by[(contents.rows[contents.starts[begin] : contents.starts[end]] - begin)[common], which[place[common]]] = 1
+        each = np.arange(count)
+        k, j = np.nonzero(np.tril(possible_with(each[:, None], each, np.rint(held_by @ held_by.T)), -1))
+        if not len(k):
+            return []
+        j, ends = j.tolist(), np.searchsorted(k, np.arange(count + 1)).tolist()
+        table = [j[a:b] for a, b in zip(ends, ends[1:])]
+    chosen = np.concatenate([[0], np.cumsum(common)])[starts].tolist()
+    listed = flat[common].tolist()
+    sets = [set(listed[a:b]) for a, b in zip(chosen, chosen[1:])]
+    uncovered, tie = [set(s) for s in sets], list(range(count))
     holders: dict[int, array] = {}
     # who held a shingle uncovered when it came; it may be covered by now
     waiting: dict[int, list[int]] = {}
 
-    def compared(j: int, k: int) -> tuple[int, int] | None:
-        """The similar part of two contents, if it ties them or covers what was not covered."""
-        part = alike(rows[j][0], at[j], rows[k][0], at[k], width, similarity)
-        if part is None:
-            return None
+    found = []
+
+    def adds(j: int, k: int, part: tuple[int, int]) -> bool:
+        """Note a similar part; whether it ties the two or covers what was not covered."""
         tied, fresh = tie[j] == tie[k], False
         for one, other in ((j, k), (k, j)):
-            inside = set(rows[one][0][at[one] - part[0] : at[one] + part[1] + 1].tolist())
-            fresh |= not (inside & uncovered[one]).isdisjoint(sets[other])
-            uncovered[one] -= inside
+            if uncovered[one]:
+                inside = uncovered[one].intersection(contents.grid[begin + one, width - 1 - part[0] : width + part[1]].tolist())
+                fresh |= not inside.isdisjoint(sets[other])
+                uncovered[one] -= inside
         if not tied:
-            tie[tie == tie[k]] = tie[j]
-        return part if fresh or not tied else None
+            old, new = tie[k], tie[j]
+            tie[:] = [new if t == old else t for t in tie]
+        return fresh or not tied
 
     def can_add(j: int, k: int) -> bool:
+        if uncovered[k].isdisjoint(sets[j]) and uncovered[j].isdisjoint(sets[k]):
+            return False
         open_ = (uncovered[k] & sets[j]) | (uncovered[j] & sets[k])
         b, a = min(before[j], before[k]), min(after[j], after[k])
         # only what both hold in their common part can be added
         for one in (j, k):
             if open_:
-                open_.intersection_update(rows[one][0][at[one] - b : at[one] + a].tolist())
+                open_.intersection_update(contents.grid[begin + one, width - 1 - b : width + a].tolist())
         return bool(open_)
 
     for k, own in enumerate(sets):
-        held = [holders[s] for s in own if s in holders]
-        if held:
-            shared = np.bincount(np.concatenate([np.frombuffer(h, np.int32) for h in held]), minlength=k)
-            possible = shared >= np.minimum(least[:k], least[k])
-            possible &= np.minimum(before[:k], before[k]) + np.minimum(after[:k], after[k]) >= width
-            if across:
-                possible &= blocks[:k] != blocks[k]
-            while True:
-                free = np.flatnonzero(possible & (tie[:k] != tie[k]))
-                if not len(free):
-                    break
-                # up to the first that is similar; it changes what the others are tied to
-                for j in free.tolist():
-                    possible[j] = False
-                    if part := compared(j, k):
-                        yield j, k, part
-                        break
-            if possible.any():
-                near = {j for s in uncovered[k] if s in holders for j in holders[s]}
-                for s in own:
-                    if s in waiting:
-                        waiting[s] = [j for j in waiting[s] if s in uncovered[j]]
-                        near.update(waiting[s])
-                for j in sorted(near.intersection(np.flatnonzero(possible).tolist())):
-                    if can_add(j, k) and (part := compared(j, k)):
-                        yield j, k, part
-        for s in own:
-            if s in holders:
-                holders[s].append(k)
-            else:
-                holders[s] = array("i", (k,))
-        for s in uncovered[k]:
-            waiting.setdefault(s, []).append(k)
+        if table is not None:
+            possible = table[k]
+        else:
+            held = [holders[s] for s in own if s in holders]
+            shared = np.bincount(np.concatenate([np.frombuffer(h, np.int32) for h in held]), minlength=k) if held else np.zeros(k)
+            possible = np.flatnonzero(possible_with(slice(k), k, shared)).tolist()
+        while free := [j for j in possible if tie[j] != tie[k]]:
+            # up to the first that is similar; it changes what the others are tied to
+            step, done, hit = 2, set(), None
+            while free and hit is None:
+                some, free = free[:step], free[step:]
+                parts = yield some, k
+                hit = next((n for n, part in enumerate(parts) if part), None)
+                done.update(some if hit is None else some[: hit + 1])
+                step = min(4 * step, 256)
+            possible = [j for j in possible if j not in done]
+            if hit is not None:
+                adds(some[hit], k, parts[hit])
+                found.append((begin + some[hit], begin + k, *parts[hit]))
+        if table is None and possible:
+            near = {j for s in uncovered[k] if s in holders for j in holders[s]}
+            for s in own:
+                if s in waiting:
+                    waiting[s] = [j for j in waiting[s] if s in uncovered[j]]
+                    near.update(waiting[s])
+            possible = [j for j in possible if j in near]
+        step = 4
+        while possible := [j for j in possible if can_add(j, k)]:
+            # what one covers may leave nothing to the next
+            some, possible = possible[:step], possible[step:]
+            for j, part in zip(some, (yield some, k)):
+                if part and can_add(j, k) and adds(j, k, part):
+                    found.append((begin + j, begin + k, *part))
+            step = min(4 * step, 256)
+        if table is None:
+            for s in own:
+                if s in holders:
+                    holders[s].append(k)
+                else:
+                    holders[s] = array("i", (k,))
+            for s in uncovered[k]:
+                waiting.setdefault(s, []).append(k)
+    return found
+
+
+def compared(batches: Iterator[pa.RecordBatch], width: int, similarity: float) -> Iterator[pa.RecordBatch]:
+    """Similar pairs of rows sorted by ``value, one, two``, see :func:`verified`."""
+    names = ["value", "a", "b", "from_a", "from_b", "size"]
+    kept: list[pa.RecordBatch] = []
+
+    def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        value, content, at, own = (rows.column(c).to_numpy() for c in ("value", "content", "at", "own"))
+        keys = [rows.column(c).to_numpy() for c in ("value", "one", "two")]
+        new = np.flatnonzero(np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0), [True]]))
+        sizes = np.diff(new)
+        contents = Contents(rows.column("body").to_pylist(), at, width)
+        # most groups are of two: all of those at once
+        two = new[:-1][sizes == 2]
+        two = two[(own[two] != own[two + 1]) | (rows.column("one").to_numpy()[two] == rows.column("two").to_numpy()[two])]
+        before, after = contents.parts(two, two + 1, similarity)
+        found = [np.stack([two, two + 1, before, after], axis=1)[before >= 0]]
+        bounds = zip(new[:-1][sizes > 2].tolist(), new[1:][sizes > 2].tolist())
+        # groups and what they were sent last
+        going = [(a, matches(contents, a, b, own[a:b], similarity), None) for a, b in bounds]
+        while going:
+            asked = []
+            for begin, group, answer in going:
+                try:
+                    asked.append((begin, group, group.send(answer)))
+                except StopIteration as over:
+                    if over.value:
+                        found.append(np.array(over.value))
+            a = [begin + j for begin, _, (some, _) in asked for j in some]
+            b = [begin + k for begin, _, (some, k) in asked for _ in some]
+            before, after = contents.parts(np.array(a, np.int64), np.array(b, np.int64), similarity)
+            parts = iter([(x, y) if x >= 0 else None for x, y in zip(before.tolist(), after.tolist())])
+            going = [(begin, group, [next(parts) for _ in some]) for begin, group, (some, _) in asked]
+        j, k, before, after = np.concatenate(found).T
+        if len(j):
+            columns = [value[j], content[j], content[k]]
+            columns += [x.astype(np.int32) for x in (at[j] - before, at[k] - before, before + after + 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+    for batch in batches:
+        kept.append(batch)
+        if sum(b.num_rows for b in kept) * 2 * width < GRID_CELLS:
+            continue
+        rows = pa.Table.from_batches(kept).combine_chunks()
+        # the last group may go on in the next batch
+        last = [rows.column(c).to_numpy() for c in ("value", "one", "two")]
+        differs = np.flatnonzero(np.any([c != c[-1] for c in last], axis=0))
+        whole = int(differs[-1]) + 1 if len(differs) else 0
+        if whole:
+            yield from pairs(rows.slice(0, whole))
+        kept = rows.slice(whole).to_batches()
+    if sum(b.num_rows for b in kept):
+        yield from pairs(pa.Table.from_batches(kept).combine_chunks())
+
+
+def shown_windows(
+    rows: pa.RecordBatch, texts: list[bytes], shingle: int, width: int, functions: int
+) -> pa.RecordBatch:
+    """Shingles of the windows that each of ``rows`` wants, and the place of the minimum in them."""
+    owner, value, content, left, at, right, hashes, _ = windows_of(texts, shingle, width, functions)
+    small = (hashes >> np.uint64(32)).astype(np.uint32)
+    wanted = rows.column(2)
+    row = np.repeat(np.arange(len(texts)), pa.compute.list_value_length(wanted).to_numpy(zero_copy_only=False))
+    v, c = (x.to_numpy(zero_copy_only=False) for x in wanted.flatten().flatten())
+    # wanted ones before the windows they are; of equal windows of a text the first is shown
+    value, content, owner = (np.concatenate(x) for x in ((v, value), (c, content), (row, owner)))
+    order = np.lexsort((content, value, owner))
+    same = np.ones(max(0, len(order) - 1), bool)
+    for x in (value, content, owner):
+        same &= x[order[1:]] == x[order[:-1]]
+    is_window = order >= len(v)
+    at_ = np.flatnonzero(same & ~is_window[:-1] & is_window[1:]) + 1
+    found = order[at_]
+    windows = found - len(v)
+    ends = zip(left[windows].tolist(), right[windows].tolist())
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(value[found]), pa.array(content[found]), rows.column(0).take(pa.array(owner[found])),
+            pa.array([small[a : b + 1].tobytes() for a, b in ends], pa.binary()),
+            pa.array((at - left)[windows].astype(np.int32)),
+        ],
+        ["value", "content", "doc_id", "body", "at"],
+    )
 
 
 def verified(bodies: DataFrame, width: int, similarity: float) -> DataFrame:
@@ -262,24 +475,9 @@ def verified(bodies: DataFrame, width: int, similarity: float) -> DataFrame:
         "content", "body", "at",
     )
     rows = rows.repartition(*key).sortWithinPartitions(*key, "doc_id", "content")
-    names = ["value", "a", "b", "from_a", "from_b", "size"]
-    types = [pa.int64()] * 3 + [pa.int32()] * 3
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        each = (row for batch in batches for row in batch.to_pylist())
-        for (value, _, _), group in groupby(each, lambda r: (r["value"], r["one"], r["two"])):
-            group = list(group)
-            if len(group) < 2:
-                continue
-            found = matches(
-                [(np.frombuffer(r["body"], np.uint32), r["at"], r["own"]) for r in group], width, similarity
-            )
-            out = [
-                (value, group[j]["content"], group[k]["content"], group[j]["at"] - p[0], group[k]["at"] - p[0], sum(p) + 1)
-                for j, k, p in found
-            ]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+        return compared(batches, width, similarity)
 
     return rows.mapInArrow(compare, "value long, a long, b long, from_a int, from_b int, size int")
 
@@ -329,24 +527,9 @@ def near_passages(
 
     def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                want = {(w["value"], w["content"]) for w in row["wanted"]}
-                _, value, content, left, at, right, hashes, _ = windows_of([row["data"]], shingle, width, functions)
-                small = (hashes >> np.uint64(32)).astype(np.uint32)
-                out = {}
-                for v, c, a, m, b in zip(*(x.tolist() for x in (value, content, left, at, right))):
-                    if (v, c) in want and (v, c) not in out:
-                        out[(v, c)] = (small[a : b + 1].tobytes(), m - a)
-                if out:
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([v for v, _ in out], pa.int64()), pa.array([c for _, c in out], pa.int64()),
-                            pa.array([row["_id"]] * len(out), pa.int64()),
-                            pa.array([b for b, _ in out.values()], pa.binary()),
-                            pa.array([m for _, m in out.values()], pa.int32()),
-                        ],
-                        ["value", "content", "doc_id", "body", "at"],
-                    )
+            data = batch.column(1).to_pylist()
+            for a, b in groups(data, SCAN_BYTES):
+                yield shown_windows(batch.slice(a, b - a), data[a:b], shingle, width, functions)
 
     ids = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id")
     texts = docs.select(ids, F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("data"))
