@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,6 +16,8 @@ B = 0.75
 # postings of a word in its first run, in one bucket and shard, and how much longer each next run is
 RUN = 64
 RUN_GROWTH = 4
+# text that a task takes apart: its words, a row each until they are grouped, are sorted in memory
+TASK_BYTES = 1 << 22
 
 
 def word_counts(fields: Sequence[str]) -> Column:
@@ -26,6 +30,13 @@ def word_sets(fields: Sequence[str]) -> Column:
     return F.struct(*[F.array_sort(F.array_distinct(tokens(F.col(name)))).alias(name) for name in fields])
 
 
+def tasks(docs: DataFrame, fields: Sequence[str]) -> int:
+    """Tasks among which the texts are dealt, one for every :data:`TASK_BYTES`; scans the texts once."""
+    sizes = [F.coalesce(F.octet_length(name).cast("long"), F.lit(0)) for name in fields]
+    total = docs.agg(F.sum(reduce(add, sizes)).alias("n")).first()["n"] if sizes else 0
+    return 1 + (total or 0) // TASK_BYTES
+
+
 def build_postings(
     docs: DataFrame, fields: Sequence[str], keys: Sequence[str] = ("uid",), *, clustered: bool = False
 ) -> DataFrame:
@@ -33,11 +44,12 @@ def build_postings(
     the words of the field.
 
     The texts are hash-partitioned by ``keys`` before they are taken apart, so what is
-    shuffled is text and each document is inverted where it lies. ``clustered`` says that
+    shuffled is text and each document is inverted where it lies, in as many partitions as
+    :func:`tasks` says, so a task's words do not grow with the table. ``clustered`` says that
     ``docs`` is partitioned by some of ``keys`` already.
     """
     if not clustered:
-        docs = docs.select(*keys, *fields).repartition(*keys)
+        docs = docs.select(*keys, *fields).repartition(tasks(docs, fields), *keys)
     # one pass over the documents, not a union that reads them once per field
     words = F.array(
         *[F.struct(F.lit(name).alias("field"), tokens(F.col(name)).alias("words")) for name in fields]

@@ -352,20 +352,24 @@ class IndexStore:
     def _write_docs(self, rows: DataFrame, part: int, buckets: int | None) -> None:
         """Write the documents of a part, then their postings from the files written.
 
-        A base (``buckets`` given) is shuffled by bucket and a shard of it, one task each; an
+        A base (``buckets`` given) is shuffled by bucket and a shard of it, one task each, with
+        more shards than ``files_per_bucket`` where a task would have too much text; an
         overlay by uid, into one folder. Words are grouped where their document lies. Nothing
         is cached: the second step reads the text columns of the files.
         """
         rows, named = self._shape(rows), self.text_fields
+        shards = self.settings.files_per_bucket
         if buckets is None:
             keys, number, bucket = ("uid",), None, F.lit(OVERLAY)
         else:
-            keys = ("bucket", "_shard")
-            number, bucket = buckets * self.settings.files_per_bucket, _bucket(buckets)
+            keys, bucket = ("bucket", "_shard"), _bucket(buckets)
+            if named:
+                shards = max(shards, -(-P.tasks(rows, named) // buckets))
+            number = buckets * shards
 
         def placed(docs: DataFrame) -> DataFrame:
             docs = docs.withColumn("bucket", bucket)
-            docs = docs.withColumn("_shard", _shard("uid", self.settings.files_per_bucket))
+            docs = docs.withColumn("_shard", _shard("uid", shards))
             return docs.repartition(number, *keys) if number else docs.repartition(*keys)
 
         docs = placed(rows).drop("_shard")
@@ -375,6 +379,7 @@ class IndexStore:
         _by_bucket(docs, self._folder("docs", part), PAGE_ROWS, named="uid")
         if named:
             texts = self._read("docs", self.schema, Version(0, part)).select("uid", *named)
+            number = number or P.tasks(texts, named)
             inverted = P.build_postings(
                 placed(texts), named, tuple(dict.fromkeys(("bucket", *keys, "uid"))), clustered=True
             )
