@@ -62,7 +62,7 @@ def build_postings(
         F.posexplode("part.words").alias("position", "term"),
     )
     grouped = exploded.groupBy(*keys, "field", "len", "term").agg(
-        F.array_sort(F.collect_list("position")).alias("positions")
+        F.sort_array(F.collect_list("position")).alias("positions")
     )
     return grouped.select(*keys, "field", "term", F.size("positions").alias("tf"), "len", "positions")
 
@@ -78,7 +78,7 @@ def in_runs(postings: DataFrame, means: Column, keys: Sequence[str]) -> DataFram
 
     ``means`` is a map of field to mean words. It only decides how well runs sort documents;
     bounds come from what is in a run. ``postings`` is partitioned by ``keys``, and runs are those
-    of one partition, so nothing is shuffled.
+    of one partition, so nothing is shuffled; its rows come out sorted by ``keys``, field, word and run.
     """
     mean = F.coalesce(means[F.col("field")], F.lit(1.0))
     good = saturation(F.col("tf"), F.col("len"), mean)

@@ -60,6 +60,8 @@ _TERMS = "field string, term string, run int, df long, tf int, len int"
 # words' first runs reads
 PAGE_ROWS = 1000
 _FIELDS = "field string, n long, words long"
+# postings, in bytes of their files, whose word counts one task sorts and writes
+COUNT_BYTES = 1 << 27
 
 
 @dataclass(frozen=True)
@@ -355,22 +357,21 @@ class IndexStore:
         A base (``buckets`` given) is shuffled by bucket and a shard of it, one task each, with
         more shards than ``files_per_bucket`` where a task would have too much text; an
         overlay by uid, into one folder. Words are grouped where their document lies. Nothing
-        is cached: the second step reads the text columns of the files.
+        is cached: the second step reads the text columns of the files. The runs of a base leave
+        its postings in the order of the files.
         """
         rows, named = self._shape(rows), self.text_fields
         shards = self.settings.files_per_bucket
         if buckets is None:
-            keys, number, bucket = ("uid",), None, F.lit(OVERLAY)
+            keys, bucket = ("uid",), F.lit(OVERLAY)
         else:
             keys, bucket = ("bucket", "_shard"), _bucket(buckets)
             if named:
                 shards = max(shards, -(-P.tasks(rows, named) // buckets))
-            number = buckets * shards
 
-        def placed(docs: DataFrame) -> DataFrame:
+        def placed(docs: DataFrame, *number: int) -> DataFrame:
             docs = docs.withColumn("bucket", bucket)
-            docs = docs.withColumn("_shard", _shard("uid", shards))
-            return docs.repartition(number, *keys) if number else docs.repartition(*keys)
+            return docs.repartition(*number, *keys) if buckets is None else _dealt(docs, buckets, "uid", shards)
 
         docs = placed(rows).drop("_shard")
         if named:
@@ -379,17 +380,14 @@ class IndexStore:
         _by_bucket(docs, self._folder("docs", part), PAGE_ROWS, named="uid")
         if named:
             texts = self._read("docs", self.schema, Version(0, part)).select("uid", *named)
-            number = number or P.tasks(texts, named)
-            inverted = P.build_postings(
-                placed(texts), named, tuple(dict.fromkeys(("bucket", *keys, "uid"))), clustered=True
-            )
+            texts = placed(texts, P.tasks(texts, named)) if buckets is None else placed(texts)
+            inverted = P.build_postings(texts, named, tuple(dict.fromkeys(("bucket", *keys, "uid"))), clustered=True)
             if buckets is None:
                 # overlays are small: one run, which every search reads
                 inverted = inverted.withColumn("run", F.lit(0))
+                inverted = inverted.sortWithinPartitions("bucket", "field", "term", "run", "uid")
             else:
-                inverted = P.in_runs(inverted, self._means(part), keys)
-            order = ("bucket", "field", "term", "run", "uid")
-            inverted = inverted.drop("_shard").sortWithinPartitions(*order)
+                inverted = P.in_runs(inverted, self._means(part), keys).drop("_shard")
             _by_bucket(inverted, self._folder("postings", part), PAGE_ROWS)
 
     def _means(self, part: int) -> Column:
@@ -398,11 +396,19 @@ class IndexStore:
         pairs = [x for f in self.text_fields for x in (F.lit(f), F.avg(F.nullif(f"words.{f}", F.lit(0))))]
         return docs.agg(F.create_map(*pairs).alias("means")).scalar()
 
-    def _write_counts(self, terms: DataFrame, totals: DataFrame, number: int, overlay: bool) -> None:
-        """Write document counts per word and word totals per field, signed in an overlay."""
-        shard = F.col("term") if overlay else _shard("term", self.settings.files_per_bucket)
-        terms = terms.repartition("bucket", shard).sortWithinPartitions("bucket", "field", "term")
-        _by_bucket(terms, self._folder("terms", number))
+    def _write_counts(self, terms: DataFrame, totals: DataFrame, number: int, buckets: int | None) -> None:
+        """Write document counts per word and word totals per field, signed in an overlay.
+
+        Those of a base (``buckets`` given) are dealt by bucket and a shard of its words, one task each
+        and more of them the more postings there are.
+        """
+        if buckets is None:
+            terms = terms.repartition("bucket", "term")
+        else:
+            size = folder_bytes(self.spark, self._folder("postings", number))
+            shards = max(self.settings.files_per_bucket, -(-size // (buckets * COUNT_BYTES)))
+            terms = _dealt(terms, buckets, "term", shards).drop("_shard")
+        _by_bucket(terms.sortWithinPartitions("bucket", "field", "term"), self._folder("terms", number))
         _by_bucket(totals.repartition("bucket"), self._folder("fields", number))
 
     def _counts(self, version: Version) -> tuple[DataFrame, DataFrame]:
@@ -417,7 +423,7 @@ class IndexStore:
         version = replace(head, number=number, base=part, overlays=(), buckets=buckets, sizes={})
         self._write_docs(rows, part, buckets)
         if self.text_fields:
-            self._write_counts(*self._counts(version), part, overlay=False)
+            self._write_counts(*self._counts(version), part, buckets)
         return version
 
     def _write_overlay(self, rows: DataFrame, number: int, replaced: DataFrame) -> None:
@@ -432,7 +438,7 @@ class IndexStore:
         less = P.field_statistics(old, fields, ("bucket",))
         terms = terms.unionByName(gone.withColumn("df", -F.col("df")), allowMissingColumns=True)
         totals = totals.unionByName(less.withColumns({c: -F.col(c) for c in ("n", "words")}))
-        self._write_counts(*_summed(terms, totals), number, overlay=True)
+        self._write_counts(*_summed(terms, totals), number, None)
 
     def _shape(self, rows: DataFrame) -> DataFrame:
         """Rows in the index schema; attributes the rows lack are null."""
@@ -490,7 +496,7 @@ class IndexStore:
         self._write_docs(rows, part, None)
         if self.text_fields:
             terms, totals = (self._read(t, s, overlays) for t, s in (("terms", _TERMS), ("fields", _FIELDS)))
-            self._write_counts(*_summed(terms, totals), part, overlay=True)
+            self._write_counts(*_summed(terms, totals), part, None)
         self._touched(version).select("uid").distinct().write.mode("overwrite").parquet(self._folder("touched", part))
         return self._publish(replace(version, number=number, overlays=(part,)))
 
@@ -577,8 +583,11 @@ def _buckets(version: Version, name: str = "buckets", where: Column | None = Non
     return F.collect_set(bucket if where is None else F.when(where, bucket)).alias(name)
 
 
-def _shard(column: str, shards: int) -> Column:
-    return F.pmod(F.hash(column), F.lit(shards))
+def _dealt(rows: DataFrame, buckets: int, column: str, shards: int) -> DataFrame:
+    """Rows with a ``bucket``, dealt by it and one of its ``shards``, by ``column``: a task for each
+    ``_shard``. Hashes of the two would put several into one task and none into others."""
+    own = F.pmod(F.hash(column), F.lit(shards))
+    return rows.withColumn("_shard", F.col("bucket") * shards + own).repartitionById(buckets * shards, "_shard")
 
 
 def _summed(terms: DataFrame, totals: DataFrame) -> tuple[DataFrame, DataFrame]:

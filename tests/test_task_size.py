@@ -50,3 +50,51 @@ def test_store_is_written_by_text(spark, rows, tmp_path, monkeypatch, overlay):
         tables.append((files, sorted_rows(text.docs.select("uid")), sorted_rows(terms), sorted_rows(text.field_stats.groupBy("field").sum("n", "words"))))
     (few, *one), (many, *other) = tables
     assert few <= 2 and many > 8 and one == other
+
+
+def test_every_shard_has_a_task(spark, rows, tmp_path, monkeypatch):
+    """Shards are not dealt by a hash, which puts several into one task and leaves others without."""
+    monkeypatch.setattr(P, "TASK_BYTES", 500)
+    store = IndexStore(spark, str(tmp_path), TEXT, Settings(buckets=2, search_only=frozenset()))
+    dealt = rows.where("uid is not null").dropDuplicates(["uid"])
+    store.rebuild(dealt)
+    shards = -(-P.tasks(dealt, ["Title"]) // 2)
+    assert shards > 4
+    for table in ("docs", "postings"):
+        for bucket in tmp_path.rglob(f"{table}/v=*/bucket=*"):
+            assert len(list(bucket.glob("*.parquet"))) == shards
+
+
+def test_word_counts_are_dealt_by_postings(spark, rows, tmp_path, monkeypatch):
+    tables = []
+    for size in (1 << 27, 400):
+        monkeypatch.setattr("findlark.plans.store.COUNT_BYTES", size, raising=False)
+        store = IndexStore(spark, str(tmp_path / str(size)), TEXT, Settings(buckets=2, search_only=frozenset()))
+        store.rebuild(rows.where("uid is not null").dropDuplicates(["uid"]))
+        files = len(list((tmp_path / str(size)).rglob("terms/**/*.parquet")))
+        tables.append((files, sorted_rows(store.index().text.term_stats.drop("v"))))
+    (few, one), (many, other) = tables
+    assert few <= 2 < many and one == other
+
+
+def test_postings_lie_in_order_of_runs(spark, tmp_path):
+    texts = [(f"d{k:04}", "common " * (k % 9 + 1)) for k in range(700)]
+    store = IndexStore(spark, str(tmp_path), TEXT, Settings(buckets=2, search_only=frozenset()))
+    store.rebuild(spark.createDataFrame(texts, "uid string, Title string"))
+    files = list(tmp_path.rglob("postings/**/*.parquet"))
+    for file in files:
+        runs = [row["run"] for row in spark.read.parquet(str(file)).coalesce(1).collect()]
+        assert runs == sorted(runs) and runs[-1] >= 1
+    assert len(files) == 2
+
+
+def test_full_indexes_take_no_payload_into_the_join(spark):
+    """The join is for partial updates; texts of documents indexed as a whole are not shuffled for it."""
+    index = spark.createDataFrame([("a", "old"), ("b", "old"), ("c", "old")], "uid string, Title string")
+    fresh = changes.full_indexes(spark.createDataFrame([("a", "new"), ("z", "new")], "uid string, Title string"))
+    part = fresh.where("uid = 'z'").selectExpr("'b' as uid", "cast(null as string) as base", "attributes", "payload")
+    after = changes.apply_changes(index, fresh.unionByName(part))
+    assert sorted(map(tuple, after.collect())) == [("a", "new"), ("b", "new"), ("c", "old"), ("z", "new")]
+    empty = spark.createDataFrame([], index.schema)
+    plan = changes.apply_changes(empty.union(index.limit(0)), fresh)._jdf.queryExecution().analyzed().toString()
+    assert "CASE WHEN isnull(base" in plan
