@@ -130,12 +130,19 @@ def apply_changes(rows: DataFrame, compacted: DataFrame) -> DataFrame:
     """Index rows after all pending actions: full index, then partial update, then delete.
 
     ``rows`` is joined once and keeps its place when the changes are small enough for Spark
-    to broadcast; indexed rows are appended rather than joined.
+    to broadcast; indexed rows are appended rather than joined, so only partial updates take their
+    payload into the join.
     """
     names = [name for name in rows.columns if name != "uid"]
     available = compacted.schema["payload"].dataType.names
+    partial = F.col("base").isNull()
     joined = rows.join(
-        compacted.select("uid", F.col("base").alias("_base"), F.col("attributes").alias("_set"), F.col("payload").alias("_new")),
+        compacted.select(
+            "uid",
+            F.col("base").alias("_base"),
+            F.when(partial, F.col("attributes")).alias("_set"),
+            F.when(partial, F.col("payload")).alias("_new"),
+        ),
         "uid",
         "left",
     )
