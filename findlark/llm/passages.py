@@ -28,8 +28,8 @@ SCAN_BYTES = 1 << 20
 BLOCK = 1024
 # contents of a value whose shared shingles are counted as one table
 SMALL = 48
-# cells of rows laid out together, and of pairs compared together
-GRID_CELLS = 1 << 22
+# cells of rows laid out together, of which a dozen tables are held at once, and of pairs compared together
+GRID_CELLS = 1 << 20
 PAIR_CELLS = 1 << 17
 LAST = (1 << 63) - 1
 POSITION_BITS = 22

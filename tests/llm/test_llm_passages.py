@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from findlark.llm import passages
 
@@ -69,3 +70,32 @@ def test_contents_of_few_shingles_are_not_compared_in_pairs():
     except StopIteration as over:
         assert over.value == []
     assert asked == 0
+
+
+def test_contents_laid_out_together_stay_small(monkeypatch):
+    """Several tables of the size of the layout are held at once, and an executor has several workers."""
+    width, values = 46, 8000
+    draw = np.random.default_rng(5)
+    bodies = draw.integers(1, 1 << 32, (values, width), np.uint32)
+    near = bodies.copy()
+    near[:, 0] ^= np.uint32(1)
+    both = np.stack([bodies, near], axis=1).reshape(-1, width)
+    value = np.repeat(np.arange(values), 2)
+    columns = {
+        "value": value, "one": np.zeros_like(value), "two": np.zeros_like(value), "own": np.zeros_like(value),
+        "content": np.arange(len(value)), "body": [b.tobytes() for b in both], "at": np.full(len(value), 20, np.int32),
+    }
+    rows = pa.table(columns).to_batches(max_chunksize=1000)
+    cells, plain = [], passages.Contents
+
+    class Noted(plain):
+        def __init__(self, *given):
+            super().__init__(*given)
+            cells.append(self.grid.size)
+
+    monkeypatch.setattr(passages, "Contents", Noted)
+    found = pa.Table.from_batches(passages.compared(iter(rows), width, 0.8))
+    assert max(cells) <= 1 << 21
+    monkeypatch.setattr(passages, "GRID_CELLS", 1 << 30)
+    at_once = pa.Table.from_batches(passages.compared(iter(rows), width, 0.8))
+    assert found.num_rows == values and found.to_pydict() == at_once.to_pydict()
