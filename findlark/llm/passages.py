@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from array import array
-from collections.abc import Generator, Iterator
+from collections.abc import Generator, Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from findlark.config import materialise
+from findlark.config import materialise, remove
 from findlark.llm.common import release, ship
 from findlark.llm.graph import components
 from findlark.llm.substrings import groups, mixed, sliding
@@ -25,12 +26,14 @@ SIMILARITY = 0.8
 FUNCTIONS = 3
 SCAN_BYTES = 1 << 20
 # contents of one value that meet in one task; more are dealt as pairs of blocks
-BLOCK = 1024
+BLOCK = 4096
 # contents of a value whose shared shingles are counted as one table
 SMALL = 48
+# contents that are looked at one by one for what they can add, rather than found by who holds a shingle
+FEW = 512
 # cells of rows laid out together, of which a dozen tables are held at once, and of pairs compared together
-GRID_CELLS = 1 << 20
-PAIR_CELLS = 1 << 17
+GRID_CELLS = 1 << 19
+PAIR_CELLS = 1 << 15
 LAST = (1 << 63) - 1
 POSITION_BITS = 22
 BASE = np.uint64(0x9DDFEA08EB382D69)
@@ -110,7 +113,8 @@ def windows_of(texts: list[bytes], shingle: int, width: int, functions: int) ->
 class Contents:
     """Contents laid out by distance from their minimum, which all have in the middle column.
 
-    ``least`` holds the fewest different shingles that a run of ``width`` of a content has.
+    ``least`` holds the fewest different shingles that a run of ``width`` of a content has, ``places``
+    the distance from the minimum of each of ``kinds``, ``plain`` whether a content repeats none.
     """
 
     def __init__(self, bodies: list[bytes], at: np.ndarray, width: int):
@@ -133,8 +137,9 @@ class Contents:
         f, c = keys >> bits, keys & ((np.int64(1) << bits) - 1)
         again = np.zeros(len(f), bool)
         again[1:] = (f[1:] == f[:-1]) & (r[1:] == r[:-1])
-        self.rows, self.kinds = r[~again], f[~again]
+        self.rows, self.kinds, self.places = r[~again], f[~again], c[~again] - width + 1
         self.starts = np.searchsorted(self.rows, np.arange(len(sizes) + 1))
+        self.plain = np.diff(self.starts) == sizes
         # a repeat makes a run poorer if it holds both places
         lowest, highest = np.maximum(c - width + 1, self.first[r])[again], c[np.flatnonzero(again) - 1]
         lies, r = lowest <= highest, r[again]
@@ -293,70 +298,98 @@ def matches(
         j, ends = j.tolist(), np.searchsorted(k, np.arange(count + 1)).tolist()
         table = [j[a:b] for a, b in zip(ends, ends[1:])]
     chosen = np.concatenate([[0], np.cumsum(common)])[starts].tolist()
-    listed = flat[common].tolist()
-    sets = [set(listed[a:b]) for a, b in zip(chosen, chosen[1:])]
-    uncovered, tie = [set(s) for s in sets], list(range(count))
+    listed, places = flat[common].tolist(), contents.places[contents.starts[begin] : contents.starts[end]][common].tolist()
+    # shingles of each content that others hold, with their distance from the minimum
+    held_at = [dict(zip(listed[a:b], places[a:b])) for a, b in zip(chosen, chosen[1:])]
+    uncovered, plain = [set(own) for own in held_at], contents.plain[begin:end].tolist()
+    tie, tied = list(range(count)), [[k] for k in range(count)]
+    reach = list(zip(before.tolist(), after.tolist()))
     holders: dict[int, array] = {}
     # who held a shingle uncovered when it came; it may be covered by now
     waiting: dict[int, list[int]] = {}
 
     found = []
 
+    def within(one: int, some: Iterable[int], b: int, a: int) -> set[int]:
+        """Those of some shingles of a content that lie up to ``b`` before its minimum and ``a`` after it."""
+        if plain[one]:
+            at = held_at[one]
+            return {s for s in some if -b <= at[s] <= a}
+        return set(contents.grid[begin + one, width - 1 - b : width + a].tolist()).intersection(some)
+
     def adds(j: int, k: int, part: tuple[int, int]) -> bool:
         """Note a similar part; whether it ties the two or covers what was not covered."""
-        tied, fresh = tie[j] == tie[k], False
+        fresh = False
         for one, other in ((j, k), (k, j)):
             if uncovered[one]:
-                inside = uncovered[one].intersection(contents.grid[begin + one, width - 1 - part[0] : width + part[1]].tolist())
-                fresh |= not inside.isdisjoint(sets[other])
+                inside = within(one, uncovered[one], *part)
+                fresh = fresh or not held_at[other].keys().isdisjoint(inside)
                 uncovered[one] -= inside
-        if not tied:
-            old, new = tie[k], tie[j]
-            tie[:] = [new if t == old else t for t in tie]
-        return fresh or not tied
+        if tie[j] == tie[k]:
+            return fresh
+        # the fewer take the name of the more
+        old, new = sorted((tie[j], tie[k]), key=lambda t: len(tied[t]))
+        for t in tied[old]:
+            tie[t] = new
+        tied[new] += tied[old]
+        tied[old] = []
+        return True
 
     def can_add(j: int, k: int) -> bool:
-        if uncovered[k].isdisjoint(sets[j]) and uncovered[j].isdisjoint(sets[k]):
+        if not uncovered[j] and not uncovered[k]:
             return False
-        open_ = (uncovered[k] & sets[j]) | (uncovered[j] & sets[k])
-        b, a = min(before[j], before[k]), min(after[j], after[k])
+        (bj, aj), (bk, ak) = reach[j], reach[k]
+        b, a = bj if bj < bk else bk, aj if aj < ak else ak
         # only what both hold in their common part can be added
-        for one in (j, k):
-            if open_:
-                open_.intersection_update(contents.grid[begin + one, width - 1 - b : width + a].tolist())
-        return bool(open_)
-
-    for k, own in enumerate(sets):
+        for one, other in ((j, k), (k, j)):
+            if open_ := held_at[other].keys() & uncovered[one]:
+                if plain[one] and plain[other]:
+                    x, y = held_at[one], held_at[other]
+                    if any(-b <= x[s] <= a and -b <= y[s] <= a for s in open_):
+                        return True
+                elif within(other, within(one, open_, b, a), b, a):
+                    return True
+        return False
+
+    for k, own in enumerate(held_at):
         if table is not None:
             possible = table[k]
         else:
             held = [holders[s] for s in own if s in holders]
             shared = np.bincount(np.concatenate([np.frombuffer(h, np.int32) for h in held]), minlength=k) if held else np.zeros(k)
             possible = np.flatnonzero(possible_with(slice(k), k, shared)).tolist()
-        while free := [j for j in possible if tie[j] != tie[k]]:
+        at, step, done = 0, 2, set()
+        while at < len(possible):
             # up to the first that is similar; it changes what the others are tied to
-            step, done, hit = 2, set(), None
-            while free and hit is None:
-                some, free = free[:step], free[step:]
-                parts = yield some, k
-                hit = next((n for n, part in enumerate(parts) if part), None)
-                done.update(some if hit is None else some[: hit + 1])
-                step = min(4 * step, 256)
-            possible = [j for j in possible if j not in done]
-            if hit is not None:
-                adds(some[hit], k, parts[hit])
-                found.append((begin + some[hit], begin + k, *parts[hit]))
-        if table is None and possible:
+            n, some = at, []
+            while n < len(possible) and len(some) < step:
+                if tie[possible[n]] != tie[k]:
+                    some.append(n)
+                n += 1
+            if not some:
+                break
+            parts = yield [possible[i] for i in some], k
+            hit = next((i for i, part in enumerate(parts) if part), None)
+            if hit is None:
+                done.update(some)
+                at, step = n, min(4 * step, 256)
+            else:
+                done.update(some[: hit + 1])
+                at, step, j = some[hit] + 1, 2, possible[some[hit]]
+                adds(j, k, parts[hit])
+                found.append((begin + j, begin + k, *parts[hit]))
+        if done:
+            possible = [j for i, j in enumerate(possible) if i not in done]
+        if table is None and len(possible) > FEW:
             near = {j for s in uncovered[k] if s in holders for j in holders[s]}
             for s in own:
                 if s in waiting:
                     waiting[s] = [j for j in waiting[s] if s in uncovered[j]]
                     near.update(waiting[s])
             possible = [j for j in possible if j in near]
-        step = 4
-        while possible := [j for j in possible if can_add(j, k)]:
-            # what one covers may leave nothing to the next
-            some, possible = possible[:step], possible[step:]
+        rest, step = iter(possible), 4
+        # what one covers may leave nothing to the next
+        while some := list(islice((j for j in rest if can_add(j, k)), step)):
             for j, part in zip(some, (yield some, k)):
                 if part and can_add(j, k) and adds(j, k, part):
                     found.append((begin + j, begin + k, *part))
@@ -482,6 +515,13 @@ def verified(bodies: DataFrame, width: int, similarity: float) -> DataFrame:
     return rows.mapInArrow(compare, "value long, a long, b long, from_a int, from_b int, size int")
 
 
+def forget(spark: SparkSession, read: list[str]) -> None:
+    """Remove tables that no later step reads, and the shuffle files of the steps so far."""
+    while read:
+        remove(spark, read.pop())
+    release(spark)
+
+
 def near_passages(
     docs: DataFrame,
     min_words: int = MIN_WORDS,
@@ -508,11 +548,12 @@ def near_passages(
     """
     spark, width = docs.sparkSession, min_words - shingle + 1
     values = emitted(docs, shingle, width, functions, True).groupBy("value").count().where("count > 1").select("value")
-    values = materialise(values, "values")
+    read: list[str] = []
+    values = materialise(values, "values", read)
     release(spark)
     rows = emitted(docs, shingle, width, functions, False).withColumn("doc_id", F.coalesce("doc_id", F.lit(LAST)))
     rows = materialise(rows.join(values, "value"), "windows")
-    release(spark)
+    forget(spark, read)
     kinds = rows.groupBy("value", "content").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
     kinds = materialise(kinds, "contents")
     # documents of equal contents hang on the first of them
@@ -535,10 +576,10 @@ def near_passages(
     texts = docs.select(ids, F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("data"))
     texts = texts.join(wanted, F.col("doc_id") == F.col("_id")).select("_id", "data", "wanted")
     shown = texts.mapInArrow(bodies, "value long, content long, doc_id long, body binary, at int")
-    shown = materialise(shown, "window-shingles")
+    shown = materialise(shown, "window-shingles", read)
     release(spark)
     pairs = materialise(verified(shown, width, similarity), "pairs")
-    release(spark)
+    forget(spark, read)
 
     # and first ones of similar contents on each other
     names = kinds.select("value", "content", "first")
@@ -560,10 +601,7 @@ def near_passages(
         "doc_id", start.alias("start"), (start + F.col("size") - 1 + shingle).alias("end")
     )
     own = whole.unionByName(some)
-    spans = own.groupBy("doc_id").agg(
-        F.sort_array(F.collect_set(F.struct("start", "end"))).alias("r")
-    )
-    spans = spans.select("doc_id", merged("r").alias("spans"))
+    spans = merged(own)
     result = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id")).distinct()
     result = result.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     result = result.join(degree, "doc_id", "left").join(spans, "doc_id", "left")
@@ -579,19 +617,38 @@ def near_passages(
     )
 
 
-def merged(column: str):
-    """Sorted ranges with overlapping ones made one."""
-    kind = "array<struct<start:int,end:int>>"
+def merged(rows: DataFrame) -> DataFrame:
+    """``doc_id, spans``: the ranges ``start, end`` of each document in order, overlapping ones made one."""
+    rows = rows.select("doc_id", "start", "end").repartition("doc_id").sortWithinPartitions("doc_id", "start")
 
-    def step(done, r):
-        last = F.element_at(done, -1)
-        grown = F.struct(last["start"].alias("start"), F.greatest(last["end"], r["end"]).alias("end"))
-        rest = F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))
-        return (
-            F.when(F.size(done) == 0, F.array(r))
-            .when(F.try_element_at(done, F.lit(-1))["end"] >= r["start"], F.concat(rest, F.array(grown)))
-            .otherwise(F.concat(done, F.array(r)))
-            .cast(kind)
-        )
+    def joined(rows: pa.Table) -> pa.RecordBatch:
+        doc, start, end = (c.to_numpy() for c in rows.columns)
+        new_doc = np.concatenate([[True], doc[1:] != doc[:-1]])
+        # the last end so far in each document
+        until = np.maximum.accumulate((np.cumsum(new_doc) << 32) + end) & ((1 << 32) - 1)
+        new = new_doc.copy()
+        new[1:] |= start[1:] > until[:-1]
+        first = np.flatnonzero(new)
+        ends = until[np.append(first[1:], len(doc)) - 1].astype(np.int32)
+        ranges = pa.StructArray.from_arrays([pa.array(start[first]), pa.array(ends)], ["start", "end"])
+        bounds = np.append(np.flatnonzero(new_doc[first]), len(first)).astype(np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(doc[new_doc]), pa.ListArray.from_arrays(pa.array(bounds), ranges)], ["doc_id", "spans"])
 
-    return F.aggregate(F.col(column).cast(kind), F.array().cast(kind), step)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[pa.RecordBatch] = []
+        for batch in batches:
+            doc = batch.column(0).to_numpy()
+            # the last document may go on in the next batch
+            last = int(np.searchsorted(doc, doc[-1])) if len(doc) else 0
+            if last:
+                yield joined(pa.Table.from_batches([*kept, batch.slice(0, last)]).combine_chunks())
+                kept = []
+            elif kept and len(doc) and kept[-1].column(0)[0].as_py() != doc[0]:
+                yield joined(pa.Table.from_batches(kept).combine_chunks())
+                kept = []
+            if len(doc):
+                kept.append(batch.slice(last))
+        if kept:
+            yield joined(pa.Table.from_batches(kept).combine_chunks())
+
+    return rows.mapInArrow(run, "doc_id long, spans array<struct<start:int,end:int>>")

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import random
 
 import numpy as np
@@ -99,3 +100,56 @@ def test_contents_laid_out_together_stay_small(monkeypatch):
     monkeypatch.setattr(passages, "GRID_CELLS", 1 << 30)
     at_once = pa.Table.from_batches(passages.compared(iter(rows), width, 0.8))
     assert found.num_rows == values and found.to_pydict() == at_once.to_pydict()
+
+
+def test_merged_ranges(spark):
+    rng = random.Random(11)
+    rows = [(doc, s, s + rng.randrange(1, 9)) for doc in (None, 1, 2, 7) for s in (rng.randrange(400) for _ in range(90))]
+    rows += [(5, k, k + 2) for k in range(3000)] + [(6, 3, 4), (6, 3, 9), (6, 9, 10), (6, 11, 12)]
+    rows = [(-1 if doc is None else doc, s, e) for doc, s, e in rows]
+    expected = {}
+    for doc, s, e in sorted(rows):
+        ranges = expected.setdefault(doc, [])
+        if ranges and ranges[-1][1] >= s:
+            ranges[-1] = (ranges[-1][0], max(ranges[-1][1], e))
+        else:
+            ranges.append((s, e))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        # documents end inside of batches, at their ends, and go on over several
+        for size in ("7", "90", "10000"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            found = passages.merged(spark.createDataFrame(rows, "doc_id long, start int, end int").coalesce(1)).collect()
+            assert {r.doc_id: [tuple(s) for s in r.spans] for r in found} == expected and len(found) == len(expected)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert passages.merged(spark.createDataFrame([], "doc_id long, start int, end int")).collect() == []
+
+
+def test_tables_are_removed_once_read(spark, monkeypatch):
+    """The windows' values and shingles are not on disk any more while links and spans are worked out."""
+    written, plain = {}, passages.materialise
+
+    def noted(df, tag, *given):
+        df = plain(df, tag, *given)
+        written.setdefault(tag, []).extend(df.inputFiles())
+        return df
+
+    monkeypatch.setattr(passages, "materialise", noted)
+    draw = random.Random(3)
+    words = [f"w{draw.randrange(10**6)}" for _ in range(150)]
+    rows = [(k, " ".join([*words[:75], f"x{k}", *words[75:]])) for k in range(12)]
+    found = passages.near_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    there = {tag: [os.path.exists(f.removeprefix("file://")) for f in files] for tag, files in written.items()}
+    assert there["values"] and not any(there["values"]) and there["window-shingles"] and not any(there["window-shingles"])
+    assert all(there["windows"]) and {r.class_id for r in found.collect()} == {0}
+
+
+def test_contents_of_one_value_meet_in_few_groups(spark, monkeypatch):
+    """Contents of a frequent value are repeated once for every block; 3,000 need one block, not three."""
+    rows = [(1, k, 100 + k, np.array([7, k], np.uint32).tobytes(), 0) for k in range(3000)]
+    bodies = spark.createDataFrame(rows, "value long, doc_id long, content long, body binary, at int")
+    seen, plain = [], type(bodies).mapInArrow
+    monkeypatch.setattr(type(bodies), "mapInArrow", lambda self, *given: seen.append(self.count()) or plain(self, *given))
+    passages.verified(bodies, 46, 0.8)
+    assert seen == [3000]
