@@ -26,7 +26,7 @@ SIMILARITY = 0.8
 FUNCTIONS = 3
 SCAN_BYTES = 1 << 20
 # contents of one value that meet in one task; more are dealt as pairs of blocks
-BLOCK = 4096
+BLOCK = 1024
 # contents of a value whose shared shingles are counted as one table
 SMALL = 48
 # contents that are looked at one by one for what they can add, rather than found by who holds a shingle
