@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from array import array
 from collections.abc import Generator, Iterable, Iterator
+from copy import copy
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from findlark.config import materialise, remove
@@ -33,29 +34,72 @@ SMALL = 48
 FEW = 512
 # cells of rows laid out together, of which a dozen tables are held at once, and of pairs compared together
 GRID_CELLS = 1 << 19
-PAIR_CELLS = 1 << 15
+PAIR_CELLS = 1 << 16
+# shingles of contents that are compared together, which are objects then
+MEETING = 1 << 19
 LAST = (1 << 63) - 1
 POSITION_BITS = 22
 BASE = np.uint64(0x9DDFEA08EB382D69)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
+# the primes of xxHash64, and the bytes that part words
+XXH64 = tuple(
+    np.array([0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)
+)
+BLANK = np.isin(np.arange(256), [*b" \t\n\r\x0b\x0c"])
 
 
-def shingles(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the word shingles of texts, one text after another, and shingles per text."""
+def word_hashes(data: bytes, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """xxHash64 of words of ``data``: all words of one length at once, those of 32 bytes or more one by one."""
     import xxhash
 
-    parts, counts = [], []
-    for text in texts:
-        words = text.lower().split()
-        count = max(0, len(words) - size + 1)
-        counts.append(count)
-        if count:
-            each = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-            total = np.zeros(count, np.uint64)
-            for k in range(size):
-                total = total * BASE + each[k : k + count]
-            parts.append(mixed(total))
-    return (np.concatenate(parts) if parts else np.zeros(0, np.uint64)), np.array(counts, np.int64)
+    def turned(x: np.ndarray, bits: int) -> np.ndarray:
+        return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
+
+    padded = data + bytes(8)
+    lanes = {n: np.ndarray(len(data) + 1, f"<u{n}", padded, strides=(1,)) for n in (1, 4, 8)}
+    p1, p2, p3, p4, p5 = XXH64
+    hashes = np.zeros(len(starts), np.uint64)
+    order = np.argsort(np.minimum(sizes, 32).astype(np.uint8), kind="stable")
+    bounds = np.searchsorted(sizes[order], np.arange(1, 33))
+    for size, (a, b) in enumerate(zip(bounds, bounds[1:]), 1):
+        if a == b:
+            continue
+        which = order[a:b]
+        at = starts[which]
+        h = np.full(len(which), p5 + np.uint64(size))
+        for k in range(0, size - 7, 8):
+            h = turned(h ^ (turned(lanes[8][at + k] * p2, 31) * p1), 27) * p1 + p4
+        done = size & ~7
+        if size & 4:
+            h = turned(h ^ (lanes[4][at + done].astype(np.uint64) * p1), 23) * p2 + p3
+            done += 4
+        for k in range(done, size):
+            h = turned(h ^ (lanes[1][at + k].astype(np.uint64) * p5), 11) * p1
+        h = (h ^ (h >> np.uint64(33))) * p2
+        h = (h ^ (h >> np.uint64(29))) * p3
+        hashes[which] = h ^ (h >> np.uint64(32))
+    for k in order[bounds[-1] :].tolist():
+        hashes[k] = xxhash.xxh64_intdigest(data[starts[k] : starts[k] + sizes[k]])
+    return hashes
+
+
+def shingles(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the word shingles of texts, one text after another, and shingles per text."""
+    data = b" ".join(texts).lower()
+    gap = np.ones(len(data) + 2, bool)
+    gap[1:-1] = BLANK[np.frombuffer(data, np.uint8)]
+    edges = np.flatnonzero(gap[1:] != gap[:-1])
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    ends = np.cumsum([len(t) + 1 for t in texts]) if texts else np.zeros(0, np.int64)
+    owner = np.searchsorted(ends, starts, side="right")
+    counts = np.maximum(np.bincount(owner, minlength=len(texts)) - size + 1, 0)
+    if not counts.any():
+        return np.zeros(0, np.uint64), counts
+    each, count = word_hashes(data, starts, sizes), len(starts) - size + 1
+    total = np.zeros(count, np.uint64)
+    for k in range(size):
+        total = total * BASE + each[k : k + count]
+    return mixed(total[owner[:count] == owner[size - 1 :]]), counts
 
 
 def compact_windows(hashed: np.ndarray, counts: np.ndarray, width: int, seed: int) -> tuple[np.ndarray, ...]:
@@ -115,9 +159,11 @@ class Contents:
 
     ``least`` holds the fewest different shingles that a run of ``width`` of a content has, ``places``
     the distance from the minimum of each of ``kinds``, ``plain`` whether a content repeats none.
+    ``number`` has the shingles as numbers that each of ``group`` counts for itself, one after another;
+    ``kinds`` are such numbers, of contents ``rows``.
     """
 
-    def __init__(self, bodies: list[bytes], at: np.ndarray, width: int):
+    def __init__(self, bodies: list[bytes], at: np.ndarray, width: int, group: np.ndarray | None = None):
         sizes = np.array([len(b) // 4 for b in bodies], np.int64)
         columns, self.width = 2 * width - 1, width
         flat = np.frombuffer(b"".join(bodies), np.uint32)
@@ -127,6 +173,13 @@ class Contents:
         column = np.arange(len(flat)) + np.repeat(self.first - np.cumsum(sizes) + sizes, sizes)
         self.grid = np.zeros((len(sizes), columns), np.int64)
         self.grid[row, column] = flat
+        self.group = np.zeros(len(sizes), np.int64) if group is None else group
+        kinds, numbers = np.unique((self.group[row] << 32) | flat, return_inverse=True)
+        # no shingle at all has the last number
+        self.numbers, self.column = len(kinds), np.arange(columns, dtype=np.int32)
+        self.number = np.full(self.grid.shape, self.numbers, np.int32)
+        self.number[row, column] = numbers
+        self.stands = np.full(self.numbers + 1, -1, np.int32)
         # different shingles of each row, and where repeated ones were before
         bits = np.int64(columns.bit_length())
         keys = np.full(self.grid.shape, np.int64(1 << 62))
@@ -137,7 +190,8 @@ class Contents:
         f, c = keys >> bits, keys & ((np.int64(1) << bits) - 1)
         again = np.zeros(len(f), bool)
         again[1:] = (f[1:] == f[:-1]) & (r[1:] == r[:-1])
-        self.rows, self.kinds, self.places = r[~again], f[~again], c[~again] - width + 1
+        self.rows, self.places = r[~again].astype(np.int32), (c[~again] - width + 1).astype(np.int32)
+        self.kinds = self.number[self.rows, self.places + width - 1]
         self.starts = np.searchsorted(self.rows, np.arange(len(sizes) + 1))
         self.plain = np.diff(self.starts) == sizes
         # a repeat makes a run poorer if it holds both places
@@ -150,23 +204,152 @@ class Contents:
         poorer[(run < self.first[:, None]) | (run > self.last[:, None] - width + 1)] = 0
         self.least = width - poorer.max(axis=1, initial=0)
 
-    def parts(self, a: np.ndarray, b: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    def hopeful(self, sides: np.ndarray, similarity: float) -> np.ndarray:
+        """Which contents share enough shingles with the others of their group, taken together, to be
+        similar to one of them. ``sides`` is -1, or 0 and 1 in groups where only contents of different
+        sides are compared. Those that are left out hold nothing for the rest, so it is done over again."""
+        held = self.kinds
+        least = self.least * (similarity / (1 + similarity)) - 0.5e-9
+        hopeful = np.ones(len(sides), bool)
+        row, side = self.rows, sides[self.rows]
+        while True:
+            # who could be the other one: all others, or those of the other side
+            count = np.bincount(held, minlength=self.numbers)
+            count = count[held] - np.where(side < 0, 1, 0)
+            for one in (0, 1):
+                own = side == one
+                count[own] -= np.bincount(held[own], minlength=self.numbers)[held[own]]
+            shared = np.bincount(row[count > 0], minlength=len(sides))
+            lowest = np.full(int(self.group[-1]) + 1, np.inf)
+            np.minimum.at(lowest, self.group[hopeful], least[hopeful])
+            left = hopeful & (shared >= least + lowest[self.group])
+            if left.sum() >= 0.9 * hopeful.sum():
+                return left
+            hopeful = left
+            entries = hopeful[row]
+            row, side, held = row[entries], side[entries], held[entries]
+
+    def only(self, which: np.ndarray) -> Contents:
+        """The contents at some places."""
+        some = copy(self)
+        for name in ("first", "last", "number", "least", "plain", "group"):
+            setattr(some, name, getattr(self, name)[which])
+        some.grid = None
+        # a shingle that one content holds decides nothing but sizes
+        entries = which[self.rows]
+        entries[entries] = (np.bincount(self.kinds[entries], minlength=self.numbers) > 1)[self.kinds[entries]]
+        some.rows = (np.cumsum(which, dtype=np.int32) - 1)[self.rows[entries]]
+        some.kinds, some.places = self.kinds[entries], self.places[entries]
+        some.starts = np.searchsorted(some.rows, np.arange(len(some.first) + 1))
+        return some
+
+    def and_(self, others: list[Contents]) -> Contents:
+        """These contents and others, the groups of each being others than those before."""
+        if not others:
+            return self
+        every, some = [self, *others], copy(self)
+        some.numbers = sum(c.numbers for c in every)
+        number = groups = rows = 0
+        moved = []
+        for c in every:
+            # what stands for no shingle is the last number of all
+            own = np.where(c.number < c.numbers, c.number + np.int32(number), np.int32(some.numbers))
+            moved.append((own, c.kinds + np.int32(number), c.rows + np.int32(rows), c.group + groups))
+            number, rows, groups = number + c.numbers, rows + len(c.first), groups + int(c.group[-1]) + 1
+        some.number, some.kinds, some.rows, some.group = (np.concatenate(x) for x in zip(*moved))
+        for name in ("first", "last", "least", "plain", "places"):
+            setattr(some, name, np.concatenate([getattr(c, name) for c in every]))
+        some.starts = np.searchsorted(some.rows, np.arange(rows + 1))
+        some.stands = np.full(some.numbers + 1, -1, np.int32)
+        return some
+
+    def parts(
+        self, a: np.ndarray, b: np.ndarray, similarity: float, single: bool = False
+    ) -> tuple[np.ndarray, np.ndarray]:
         """The part of pairs of contents, as shingles before and after their shared minimum, in
         which their shingles are similar: their whole common part, or else the best ``width``
-        shingles of it; -1 before it if there is none."""
+        shingles of it; -1 before it if there is none. ``single`` says that the pairs of a group
+        have one second content."""
+        before, after = np.full(len(a), -1), np.full(len(a), -1)
+        plain = self.plain[a] & self.plain[b]
+        step = max(1, PAIR_CELLS // self.number.shape[1])
+        even, odd = np.flatnonzero(plain), np.flatnonzero(~plain)
+        for which in [*([even] if single else self._rounds(b, even)), odd]:
+            for k in range(0, len(which), step):
+                some = which[k : k + step]
+                parts = self._parts if which is odd else self._plain_parts
+                before[some], after[some] = parts(a[some], b[some], similarity)
+        return before, after
+
+    def _rounds(self, b: np.ndarray, which: np.ndarray) -> list[np.ndarray]:
+        """Pairs apart in which one group has several second contents; mostly it has one."""
+        rows, inverse = np.unique(b[which], return_inverse=True)
+        group = self.group[rows]
+        order = np.argsort(group, kind="stable")
+        first = np.searchsorted(group[order], group[order])
+        turn = np.empty(len(rows), np.int64)
+        turn[order] = np.arange(len(rows)) - first
+        last = int(turn.max(initial=-1))
+        return [which] if last <= 0 else [which[turn[inverse] == k] for k in range(last + 1)]
+
+    def _plain_parts(self, a, b, similarity) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`parts` of contents that repeat no shingle, with one second content in each group:
+        a table tells where it has a shingle."""
+        width, columns = self.width, self.number.shape[1]
         before, after = np.full(len(a), -1), np.full(len(a), -1)
-        step = max(1, PAIR_CELLS // self.grid.shape[1])
-        for k in range(0, len(a), step):
-            self._parts(a[k : k + step], b[k : k + step], similarity, before[k : k + step], after[k : k + step])
+        low, high = np.maximum(self.first[a], self.first[b]), np.minimum(self.last[a], self.last[b])
+        size, column = high - low + 1, self.column
+        # the pairs of one second content follow each other
+        seconds = np.ones(len(b), bool)
+        np.not_equal(b[1:], b[:-1], out=seconds[1:])
+        rows = self.number[b[seconds]]
+        self.stands[rows] = column
+        self.stands[-1] = -1
+        place = self.stands[self.number[a]]
+        self.stands[rows] = -1
+        # both places from low to high, as unsigned distances from it
+        low_, beyond = low.astype(np.int32)[:, None], np.maximum(size, 0).astype(np.uint32)[:, None]
+        cross = (place - low_).view(np.uint32) < beyond
+        cross &= (column - low_).view(np.uint32) < beyond
+        both = np.add.reduce(cross, axis=1, dtype=np.intp)
+        fits = size >= width
+        whole = fits & (both / np.maximum(2 * size - both, 1) >= similarity)
+        before[whole], after[whole] = (width - 1 - low)[whole], (high - width + 1)[whole]
+        # similar runs share so many different shingles
+        needed = similarity / (1 + similarity) * 2 * width - 1e-9
+        open_ = np.flatnonzero(fits & ~whole & (both >= needed))
+        if len(open_):
+            r, c = np.nonzero(cross[open_])
+            found, best = self._best(open_, r, c, place[open_[r], c], low, high, similarity)
+            before[found], after[found] = width - 1 - best, best
         return before, after
 
-    def _parts(self, a, b, similarity, before, after) -> None:
-        width, columns = self.width, self.grid.shape[1]
+    def _best(self, which, r, i, j, low, high, similarity) -> tuple[np.ndarray, np.ndarray]:
+        """Those of some pairs without repeated shingles that have similar runs, and where the best begins.
+        ``i`` and ``j`` are the columns of the shingles that both of the pair ``which[r]`` have."""
+        width, columns = self.width, self.number.shape[1]
+        # a shingle at i and j lies in both runs that begin from max(i, j) - width + 1 to min(i, j)
+        lowest = np.maximum(np.maximum(i, j) - width + 1, low[which[r]])
+        highest = np.minimum(np.minimum(i, j), high[which[r]] - width + 1)
+        lies = lowest <= highest
+        shared = np.bincount((r * (columns + 1) + lowest)[lies], minlength=len(which) * (columns + 1))
+        shared -= np.bincount((r * (columns + 1) + highest + 1)[lies], minlength=len(shared))
+        shared = np.cumsum(shared.reshape(len(which), columns + 1), axis=1)
+        run = np.arange(columns + 1)
+        shared[(run < low[which, None]) | (run > high[which, None] - width + 1)] = -1
+        best = shared.argmax(axis=1)
+        most = shared[np.arange(len(which)), best]
+        good = most / (2 * width - most) >= similarity
+        return which[good], best[good]
+
+    def _parts(self, a, b, similarity) -> tuple[np.ndarray, np.ndarray]:
+        width, columns = self.width, self.number.shape[1]
+        before, after = np.full(len(a), -1), np.full(len(a), -1)
         low, high = np.maximum(self.first[a], self.first[b]), np.minimum(self.last[a], self.last[b])
         at = np.flatnonzero(high - low + 1 >= width)
         if not len(at):
-            return
-        x, y, low, high = self.grid[a[at]], self.grid[b[at]], low[at], high[at]
+            return before, after
+        x, y, low, high = self.number[a[at]], self.number[b[at]], low[at], high[at]
         column = np.arange(columns)
         outside = (column < low[:, None]) | (column > high[:, None])
         whole = ((x == y) | outside).all(axis=1)
@@ -187,27 +370,16 @@ class Contents:
         open_ = ~whole & (both >= needed)
         plain = np.flatnonzero(open_ & (repeated == 0))
         if len(plain):
-            # a shingle at i and j lies in both runs that begin from max(i, j) - width + 1 to min(i, j)
             r, c = np.nonzero(cross[plain])
             mask = (np.int64(1) << bits) - 1
             i, j = keys[plain[r], c] & mask, keys[plain[r], c + 1] & mask
-            lowest = np.maximum(np.maximum(i, j) - width + 1, low[plain[r]])
-            highest = np.minimum(np.minimum(i, j), high[plain[r]] - width + 1)
-            lies = lowest <= highest
-            shared = np.bincount((r * (columns + 1) + lowest)[lies], minlength=len(plain) * (columns + 1))
-            shared -= np.bincount((r * (columns + 1) + highest + 1)[lies], minlength=len(shared))
-            shared = np.cumsum(shared.reshape(len(plain), columns + 1), axis=1)
-            run = np.arange(columns + 1)
-            shared[(run < low[plain, None]) | (run > high[plain, None] - width + 1)] = -1
-            best = shared.argmax(axis=1)
-            most = shared[np.arange(len(plain)), best]
-            good = most / (2 * width - most) >= similarity
-            found, best = at[plain[good]], best[good]
-            before[found], after[found] = width - 1 - best, best
+            found, best = self._best(plain, r, i, j, low, high, similarity)
+            before[at[found]], after[at[found]] = width - 1 - best, best
         for k in np.flatnonzero(open_ & (repeated > 0)).tolist():
             best = best_run(x[k, low[k] : high[k] + 1].tolist(), y[k, low[k] : high[k] + 1].tolist(), width, similarity)
             if best is not None:
                 before[at[k]], after[at[k]] = width - 1 - low[k] - best, low[k] + best
+        return before, after
 
 
 def best_run(x: list[int], y: list[int], width: int, similarity: float) -> int | None:
@@ -233,7 +405,7 @@ def best_run(x: list[int], y: list[int], width: int, similarity: float) -> int |
     return best if most >= similarity else None
 
 
-def emitted(docs: DataFrame, shingle: int, width: int, functions: int, narrow: bool) -> DataFrame:
+def emitted(docs: DataFrame, shingle: int, width: int, functions: int) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("data"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,17 +413,14 @@ def emitted(docs: DataFrame, shingle: int, width: int, functions: int, narrow: b
             ids, data = batch.column(0), batch.column(1).to_pylist()
             for a, b in groups(data, SCAN_BYTES):
                 owner, value, content, left, _, right, _, counts = windows_of(data[a:b], shingle, width, functions)
-                columns = [pa.array(value)]
-                if not narrow:
-                    base = (np.cumsum(counts) - counts)[owner]
-                    columns += [
-                        pa.array(content), ids.slice(a, b - a).take(pa.array(owner)),
-                        pa.array((left - base).astype(np.int32)), pa.array((right - base).astype(np.int32)),
-                    ]
-                yield pa.RecordBatch.from_arrays(columns, ["value", "content", "doc_id", "left", "right"][: len(columns)])
+                base = (np.cumsum(counts) - counts)[owner]
+                columns = [
+                    pa.array(value), pa.array(content), ids.slice(a, b - a).take(pa.array(owner)),
+                    pa.array((left - base).astype(np.int32)), pa.array((right - base).astype(np.int32)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["value", "content", "doc_id", "left", "right"])
 
-    ddl = "value long" if narrow else "value long, content long, doc_id long, left int, right int"
-    return texts.mapInArrow(run, ddl)
+    return texts.mapInArrow(run, "value long, content long, doc_id long, left int, right int")
 
 
 def matches(
@@ -277,7 +446,7 @@ def matches(
     common = (holding > 1)[place]
     least = contents.least[begin:end] * (similarity / (1 + similarity)) - 0.5e-9
     before, after = width - 1 - contents.first[begin:end], contents.last[begin:end] - width + 1
-    across = (blocks != blocks[0]).any()
+    across, lowest = (blocks != blocks[0]).any(), least.min()
 
     def possible_with(rows, k, shared: np.ndarray) -> np.ndarray:
         # similar runs share so many different shingles
@@ -315,7 +484,7 @@ def matches(
         if plain[one]:
             at = held_at[one]
             return {s for s in some if -b <= at[s] <= a}
-        return set(contents.grid[begin + one, width - 1 - b : width + a].tolist()).intersection(some)
+        return set(contents.number[begin + one, width - 1 - b : width + a].tolist()).intersection(some)
 
     def adds(j: int, k: int, part: tuple[int, int]) -> bool:
         """Note a similar part; whether it ties the two or covers what was not covered."""
@@ -355,10 +524,13 @@ def matches(
         if table is not None:
             possible = table[k]
         else:
-            held = [holders[s] for s in own if s in holders]
-            shared = np.bincount(np.concatenate([np.frombuffer(h, np.int32) for h in held]), minlength=k) if held else np.zeros(k)
-            possible = np.flatnonzero(possible_with(slice(k), k, shared)).tolist()
-        at, step, done = 0, 2, set()
+            held, needed = [holders[s] for s in own if s in holders], lowest + least[k]
+            possible = []
+            if len(held) >= needed:
+                shared = np.bincount(np.concatenate([np.frombuffer(h, np.int32) for h in held]), minlength=k)
+                rows = np.flatnonzero(shared >= needed)
+                possible = rows[possible_with(rows, k, shared[rows])].tolist()
+        at, step, done = 0, 4, set()
         while at < len(possible):
             # up to the first that is similar; it changes what the others are tied to
             n, some = at, []
@@ -387,7 +559,7 @@ def matches(
                     waiting[s] = [j for j in waiting[s] if s in uncovered[j]]
                     near.update(waiting[s])
             possible = [j for j in possible if j in near]
-        rest, step = iter(possible), 4
+        rest, step = iter(possible), 16
         # what one covers may leave nothing to the next
         while some := list(islice((j for j in rest if can_add(j, k)), step)):
             for j, part in zip(some, (yield some, k)):
@@ -409,19 +581,33 @@ def compared(batches: Iterator[pa.RecordBatch], width: int, similarity: float) -
     """Similar pairs of rows sorted by ``value, one, two``, see :func:`verified`."""
     names = ["value", "a", "b", "from_a", "from_b", "size"]
     kept: list[pa.RecordBatch] = []
+    waiting: list[tuple[Contents, tuple[np.ndarray, ...]]] = []
 
-    def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    def lay(rows: pa.Table) -> None:
         value, content, at, own = (rows.column(c).to_numpy() for c in ("value", "content", "at", "own"))
-        keys = [rows.column(c).to_numpy() for c in ("value", "one", "two")]
-        new = np.flatnonzero(np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0), [True]]))
+        one, two = (rows.column(c).to_numpy() for c in ("one", "two"))
+        new = np.any([k[1:] != k[:-1] for k in (value, one, two)], axis=0)
+        group = np.concatenate([[0], np.cumsum(new)])
+        contents = Contents(rows.column("body").to_pylist(), at, width, group)
+        # those that can be similar to none are not looked at any further
+        hopeful = contents.hopeful(np.where(one == two, -1, own == two), similarity)
+        if hopeful.any():
+            waiting.append((contents.only(hopeful), tuple(x[hopeful] for x in (value, content, at, own, one != two))))
+
+    def pairs() -> Iterator[pa.RecordBatch]:
+        first, *others = (c for c, _ in waiting)
+        contents = first.and_(others)
+        value, content, at, own, across = (np.concatenate(x) for x in zip(*(columns for _, columns in waiting)))
+        waiting.clear()
+        new = np.flatnonzero(np.concatenate([[True], contents.group[1:] != contents.group[:-1], [True]]))
         sizes = np.diff(new)
-        contents = Contents(rows.column("body").to_pylist(), at, width)
+        # of blocks that meet, both have to be there
+        there = ~across[new[:-1]] | (np.maximum.reduceat(own, new[:-1]) != np.minimum.reduceat(own, new[:-1]))
         # most groups are of two: all of those at once
-        two = new[:-1][sizes == 2]
-        two = two[(own[two] != own[two + 1]) | (rows.column("one").to_numpy()[two] == rows.column("two").to_numpy()[two])]
-        before, after = contents.parts(two, two + 1, similarity)
+        two = new[:-1][there & (sizes == 2)]
+        before, after = contents.parts(two, two + 1, similarity, True)
         found = [np.stack([two, two + 1, before, after], axis=1)[before >= 0]]
-        bounds = zip(new[:-1][sizes > 2].tolist(), new[1:][sizes > 2].tolist())
+        bounds = zip(new[:-1][there & (sizes > 2)].tolist(), new[1:][there & (sizes > 2)].tolist())
         # groups and what they were sent last
         going = [(a, matches(contents, a, b, own[a:b], similarity), None) for a, b in bounds]
         while going:
@@ -434,7 +620,7 @@ def compared(batches: Iterator[pa.RecordBatch], width: int, similarity: float) -
                         found.append(np.array(over.value))
             a = [begin + j for begin, _, (some, _) in asked for j in some]
             b = [begin + k for begin, _, (some, k) in asked for _ in some]
-            before, after = contents.parts(np.array(a, np.int64), np.array(b, np.int64), similarity)
+            before, after = contents.parts(np.array(a, np.int64), np.array(b, np.int64), similarity, True)
             parts = iter([(x, y) if x >= 0 else None for x, y in zip(before.tolist(), after.tolist())])
             going = [(begin, group, [next(parts) for _ in some]) for begin, group, (some, _) in asked]
         j, k, before, after = np.concatenate(found).T
@@ -453,10 +639,15 @@ def compared(batches: Iterator[pa.RecordBatch], width: int, similarity: float) -
         differs = np.flatnonzero(np.any([c != c[-1] for c in last], axis=0))
         whole = int(differs[-1]) + 1 if len(differs) else 0
         if whole:
-            yield from pairs(rows.slice(0, whole))
+            lay(rows.slice(0, whole))
         kept = rows.slice(whole).to_batches()
+        # groups of several layouts are compared together while they have few shingles in common
+        if sum(len(c.kinds) for c, _ in waiting) >= MEETING:
+            yield from pairs()
     if sum(b.num_rows for b in kept):
-        yield from pairs(pa.Table.from_batches(kept).combine_chunks())
+        lay(pa.Table.from_batches(kept).combine_chunks())
+    if waiting:
+        yield from pairs()
 
 
 def shown_windows(
@@ -547,13 +738,11 @@ def near_passages(
     columns are left out. A task holds one text or about a megabyte.
     """
     spark, width = docs.sparkSession, min_words - shingle + 1
-    values = emitted(docs, shingle, width, functions, True).groupBy("value").count().where("count > 1").select("value")
     read: list[str] = []
-    values = materialise(values, "values", read)
+    rows = emitted(docs, shingle, width, functions).withColumn("doc_id", F.coalesce("doc_id", F.lit(LAST)))
+    rows = rows.withColumn("_n", F.count("*").over(Window.partitionBy("value"))).where("_n > 1").drop("_n")
+    rows = materialise(rows, "windows")
     release(spark)
-    rows = emitted(docs, shingle, width, functions, False).withColumn("doc_id", F.coalesce("doc_id", F.lit(LAST)))
-    rows = materialise(rows.join(values, "value"), "windows")
-    forget(spark, read)
     kinds = rows.groupBy("value", "content").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
     kinds = materialise(kinds, "contents")
     # documents of equal contents hang on the first of them
@@ -562,7 +751,7 @@ def near_passages(
     star = members.where("doc_id != first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
     star = materialise(star, "equal-links")
     release(spark)
-    several = kinds.groupBy("value").count().where("count > 1").select("value")
+    several = materialise(kinds.groupBy("value").count().where("count > 1").select("value"), "values", read)
     compared = kinds.join(several, "value", "left_semi")
     wanted = compared.groupBy(F.col("first").alias("_id")).agg(F.collect_list(F.struct("value", "content")).alias("wanted"))
 

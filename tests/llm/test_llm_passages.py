@@ -143,3 +143,55 @@ def test_tables_are_removed_once_read(spark, monkeypatch):
     there = {tag: [os.path.exists(f.removeprefix("file://")) for f in files] for tag, files in written.items()}
     assert there["values"] and not any(there["values"]) and there["window-shingles"] and not any(there["window-shingles"])
     assert all(there["windows"]) and {r.class_id for r in found.collect()} == {0}
+
+
+def test_words_are_hashed_as_one_by_one():
+    import xxhash
+
+    rng = random.Random(2)
+    texts = [b"", b" \t", "Ünïcode  GRÜN x y".encode(), b"\xff\xfe a\x1cb\x85c\x0bd\x0ce\rf\ng"]
+    texts += [b" ".join(bytes(rng.randrange(33, 256) for _ in range(size)) for size in rng.sample(range(1, 80), 60)) for _ in range(5)]
+    hashed, counts = passages.shingles(texts, 1)
+    words = [t.lower().split() for t in texts]
+    assert counts.tolist() == [len(w) for w in words]
+    each = np.array([xxhash.xxh64_intdigest(w) for found in words for w in found], np.uint64)
+    assert (hashed == passages.mixed(each)).all()
+    assert [len(x) for x in passages.shingles([], 5)] == [0, 0]
+
+
+def test_documents_are_cut_into_windows_once(spark, monkeypatch):
+    calls, plain = [], passages.emitted
+    monkeypatch.setattr(passages, "emitted", lambda *given: calls.append(given) or plain(*given))
+    words = [f"w{k}" for k in range(80)]
+    rows = [(1, " ".join(words)), (2, " ".join(["x", *words])), (3, "short")]
+    found = passages.near_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(calls) == 1 and {r.doc_id: r.class_id for r in found} == {1: 1, 2: 1, 3: 3}
+
+
+def test_groups_of_several_layouts_are_those_of_one(monkeypatch):
+    """Groups are compared together whatever layout they come from, blocks that meet included."""
+    rng, width, rows = random.Random(9), 12, []
+    for value in range(30):
+        across = value % 3 == 0
+        for n, (body, at) in enumerate(made(rng, width, value % 5 == 0)):
+            # some blocks meet none
+            own = int(n < 9) if across and value % 2 else 0
+            rows.append((value, 0, int(across), own, 100 * value + n, np.array(body, np.uint32).tobytes(), at))
+    names = ["value", "one", "two", "own", "content", "body", "at"]
+    table = pa.table([pa.array(c, pa.int32() if n == "at" else None) for c, n in zip(zip(*rows), names)], names)
+    calls, plain = [0], passages.Contents.parts
+
+    def parts(self, *given):
+        calls[0] += 1
+        return plain(self, *given)
+
+    monkeypatch.setattr(passages.Contents, "parts", parts)
+    found = []
+    for cells in (1 << 19, 24 * 2 * width):
+        monkeypatch.setattr(passages, "GRID_CELLS", cells)
+        calls[0] = 0
+        out = pa.Table.from_batches(passages.compared(iter(table.to_batches(max_chunksize=24)), width, 0.8))
+        found.append((calls[0], out.sort_by([(c, "ascending") for c in out.column_names]).to_pydict()))
+    assert found[0] == found[1] and len(found[0][1]["a"]) > 200
+    assert all(a // 100 == b // 100 for a, b in zip(found[0][1]["a"], found[0][1]["b"]))
+    assert not {*found[0][1]["value"]} & {v for v in range(0, 30, 3) if v % 2 == 0}
