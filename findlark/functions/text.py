@@ -18,6 +18,15 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN_PATTERN), F.lit(0))
 
 
+def joined_tokens(text: Column) -> Column:
+    """Lower-cased words in order, with characters between them that no word has: a text of ASCII
+    letters as it is, which has words where ASCII letters, digits and underscores are, or else the
+    words with spaces between them."""
+    lower = F.lower(F.coalesce(text, F.lit("")))
+    plain = (F.octet_length(lower) == F.char_length(lower)) & F.is_valid_utf8(lower)
+    return F.when(plain, lower).otherwise(F.array_join(tokens(text), " "))
+
+
 def query_tokens(text: str) -> tuple[str, ...]:
     """The same rule for a query string (``\\w`` is letters, numbers and underscore)."""
     return tuple(re.findall(r"\w+", text.lower()))

@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from findlark.functions.text import tokens
+from findlark.functions.text import joined_tokens, tokens
+
+# executors need not have this module installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 K1 = 1.2
 B = 0.75
@@ -18,16 +27,21 @@ RUN = 64
 RUN_GROWTH = 4
 # text that a task takes apart: its words, a row each until they are grouped, are sorted in memory
 TASK_BYTES = 1 << 22
+# texts of a task that are taken apart together, as a multiple of those it should have
+CHUNK = 2
+# rows of postings that are handed on at once
+BATCH_ROWS = 1 << 15
+# bytes of words: ASCII letters, digits and underscore, and those of other letters and numbers
+_LETTERS = np.array([b > 127 or chr(b).isalnum() or chr(b) == "_" for b in range(256)])
 
 
-def word_counts(fields: Sequence[str]) -> Column:
-    """Words per text field as one struct column, kept with the document."""
-    return F.struct(*[F.size(tokens(F.col(name))).alias(name) for name in fields])
-
-
-def word_sets(fields: Sequence[str]) -> Column:
-    """Distinct words per text field as one struct column: what a document counts for, without its text."""
-    return F.struct(*[F.array_sort(F.array_distinct(tokens(F.col(name)))).alias(name) for name in fields])
+def with_words(docs: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """Documents with two struct columns of their text fields: ``words``, how many there are, and ``terms``,
+    which, in order: what a document counts for, without its text."""
+    found = docs.withColumn("_tokens", F.struct(*[tokens(F.col(name)).alias(name) for name in fields]))
+    counts = [F.size(f"_tokens.{name}").alias(name) for name in fields]
+    sets = [F.sort_array(F.array_distinct(f"_tokens.{name}")).alias(name) for name in fields]
+    return found.withColumns({"words": F.struct(*counts), "terms": F.struct(*sets)}).drop("_tokens")
 
 
 def tasks(docs: DataFrame, fields: Sequence[str]) -> int:
@@ -67,24 +81,122 @@ def build_postings(
     return grouped.select(*keys, "field", "term", F.size("positions").alias("tf"), "len", "positions")
 
 
-def saturation(tf: Column, length: Column, mean: Column | float) -> Column:
-    """BM25's part of a word that comes ``tf`` times in a field of ``length`` words."""
-    return tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
-
+def inverted(
+    docs: DataFrame, fields: Sequence[str], keys: Sequence[str], means: Mapping[str, float | None] | None = None
+) -> DataFrame:
+    """:func:`build_postings` of documents that are partitioned by some of ``keys`` already, with the ``run``
+    of each row: ``(keys, field, term, run, tf, len, positions)``.
 
-def in_runs(postings: DataFrame, means: Column, keys: Sequence[str]) -> DataFrame:
-    """Postings with their ``run``: the best :data:`RUN` of a word are run 0, then each run is
-    :data:`RUN_GROWTH` times as long as the one before.
+    The best :data:`RUN` postings of a word are run 0, then each run is :data:`RUN_GROWTH` times as long
+    as the one before. ``means`` has the mean words of fields. It only decides how well runs sort
+    documents; bounds come from what is in a run. Without it there is one run.
 
-    ``means`` is a map of field to mean words. It only decides how well runs sort documents;
-    bounds come from what is in a run. ``postings`` is partitioned by ``keys``, and runs are those
-    of one partition, so nothing is shuffled; its rows come out sorted by ``keys``, field, word and run.
+    Nothing is shuffled: :data:`CHUNK` times the texts of a task, all it has unless a text is
+    long, are taken apart together, and runs are those of these. Their rows come out by field, word, run and
+    worth, so that little is left to do for a sort by these.
     """
-    mean = F.coalesce(means[F.col("field")], F.lit(1.0))
-    good = saturation(F.col("tf"), F.col("len"), mean)
-    place = F.row_number().over(Window.partitionBy(*keys, "field", "term").orderBy(good.desc(), "uid")) - 1
-    longer = F.floor(F.log(float(RUN_GROWTH), F.greatest(place, F.lit(RUN)) / RUN)).cast("int") + 1
-    return postings.withColumn("run", F.when(place < RUN, 0).otherwise(longer).cast("int"))
+    texts = [F.encode(joined_tokens(F.col(name)), "UTF-8").alias(f"_text{i}") for i, name in enumerate(fields)]
+    # rows of one document follow each other
+    texts = docs.select(*keys, *texts).sortWithinPartitions(*keys)
+    found = T.StructType.fromDDL("field string, term string, run int, tf int, len int, positions array<int>")
+    schema = T.StructType([*[texts.schema[key] for key in keys], *found])
+    size, count, names = CHUNK * TASK_BYTES, len(keys), sorted((name, i) for i, name in enumerate(fields))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _documents(batches, count, size):
+            for name, i in names:
+                mean = None if means is None else means.get(name) or 1.0
+                yield from _inverted(rows, count, i, name, schema.names, mean)
+
+    return texts.mapInArrow(run, schema)
+
+
+def _same_as_before(rows: pa.Table, count: int) -> np.ndarray:
+    """Whether the first columns of a row are those of the row before it; null is like null."""
+    same = np.ones(max(0, rows.num_rows - 1), bool)
+    for i in range(count):
+        column = rows.column(i).combine_chunks()
+        before, after = column.slice(0, len(same)), column.slice(1)
+        equal = pc.fill_null(pc.equal(before, after), False).to_numpy(zero_copy_only=False)
+        none = pc.and_(before.is_null(), after.is_null()).to_numpy(zero_copy_only=False)
+        same &= equal | none
+    return np.concatenate([[False], same])[: rows.num_rows]
+
+
+def _documents(batches: Iterator[pa.RecordBatch], count: int, size: int) -> Iterator[pa.Table]:
+    """Tables of about ``size`` bytes; no two hold the same first ``count`` columns."""
+    kept: list[pa.RecordBatch] = []
+    for batch in batches:
+        # a batch may hold long texts
+        step = max(1, batch.num_rows * size // max(1, batch.nbytes))
+        for start in range(0, batch.num_rows, step):
+            kept.append(batch.slice(start, step))
+            if sum(b.nbytes for b in kept) < size:
+                continue
+            rows = pa.Table.from_batches(kept)
+            new = np.flatnonzero(~_same_as_before(rows, count))
+            whole = int(new[-1])
+            if whole:
+                yield rows.slice(0, whole)
+            kept = rows.slice(whole).to_batches()
+    if kept:
+        yield pa.Table.from_batches(kept)
+
+
+def _inverted(
+    rows: pa.Table, count: int, which: int, field: str, names: list[str], mean: float | None
+) -> Iterator[pa.RecordBatch]:
+    """Postings of one field, whose words lie between spaces, or other ASCII characters that no word has."""
+    texts = rows.column(count + which).to_pylist()
+    data = np.frombuffer(b" ".join(texts), np.uint8)
+    letter = np.zeros(len(data) + 2, bool)
+    letter[1:-1] = _LETTERS[data]
+    edges = np.flatnonzero(letter[1:] != letter[:-1])
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    if not len(starts):
+        return
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    row = np.searchsorted(ends, starts, side="right")
+    words = np.bincount(row, minlength=len(texts))
+    position = np.arange(len(row)) - (np.cumsum(words) - words)[row]
+    # rows with the same keys and as many words are one document
+    owner = np.cumsum(~_same_as_before(rows, count))
+    kinds, first, unit = np.unique((owner << 32) | words, return_index=True, return_inverse=True)
+    spelled = pa.Array.from_buffers(
+        pa.binary(), len(starts),
+        [None, pa.py_buffer(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.py_buffer(data[letter[1:-1]])],
+    ).dictionary_encode()
+    order = pc.sort_indices(spelled.dictionary)
+    rank = np.empty(len(order), np.int64)
+    rank[order.to_numpy()] = np.arange(len(order))
+    key = rank[spelled.indices.to_numpy()] * len(kinds) + unit[row]
+    by = np.lexsort((position, key)) if len(kinds) < len(texts) else np.argsort(key, kind="stable")
+    key, position = key[by], position[by].astype(np.int32)
+    at = np.flatnonzero(np.diff(key, prepend=-1))
+    tf, term, doc = np.diff(np.append(at, len(key))), key[at] // len(kinds), key[at] % len(kinds)
+    length = words[first[doc]]
+    lists = pa.ListArray.from_arrays(pa.array(np.append(at, len(key)).astype(np.int32)), pa.array(position))
+    runs = np.zeros(len(at), np.int32)
+    if mean is not None:
+        best = np.lexsort((doc, -saturation(tf, length, mean), term))
+        tf, term, doc, length, lists = tf[best], term[best], doc[best], length[best], lists.take(pa.array(best))
+        new = np.flatnonzero(np.diff(term, prepend=-1))
+        place = np.arange(len(term)) - np.repeat(new, np.diff(np.append(new, len(term))))
+        longer = np.floor(np.log(np.maximum(place, RUN) / RUN) / np.log(RUN_GROWTH)).astype(np.int32) + 1
+        runs = np.where(place < RUN, 0, longer).astype(np.int32)
+    columns = [
+        *(rows.column(i).combine_chunks().take(pa.array(first[doc])) for i in range(count)),
+        pa.repeat(field, len(at)), spelled.dictionary.take(order).cast(pa.string()).take(pa.array(term)),
+        pa.array(runs), pa.array(tf.astype(np.int32)), pa.array(length.astype(np.int32)), lists,
+    ]
+    found = pa.RecordBatch.from_arrays(columns, names)
+    for k in range(0, found.num_rows, BATCH_ROWS):
+        yield found.slice(k, BATCH_ROWS)
+
+
+def saturation(tf: Column | np.ndarray, length: Column | np.ndarray, mean: Column | float) -> Column | np.ndarray:
+    """BM25's part of a word that comes ``tf`` times in a field of ``length`` words."""
+    return tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
 
 
 def term_statistics(postings: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -101,7 +213,7 @@ def run_statistics(postings: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 
 def set_statistics(docs: DataFrame, fields: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """Documents per word from the ``terms`` column of :func:`word_sets`."""
+    """Documents per word from the ``terms`` column of :func:`with_words`."""
     sets = F.array(
         *[F.struct(F.lit(f).alias("field"), F.col(f"terms.{f}").alias("words")) for f in fields]
     )

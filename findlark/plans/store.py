@@ -375,26 +375,23 @@ class IndexStore:
 
         docs = placed(rows).drop("_shard")
         if named:
-            docs = docs.withColumns({"words": P.word_counts(named), "terms": P.word_sets(named)})
+            docs = P.with_words(docs, named)
         docs = docs.sortWithinPartitions("bucket", *self._by_path, "uid")
         _by_bucket(docs, self._folder("docs", part), PAGE_ROWS, named="uid")
         if named:
             texts = self._read("docs", self.schema, Version(0, part)).select("uid", *named)
             texts = placed(texts, P.tasks(texts, named)) if buckets is None else placed(texts)
-            inverted = P.build_postings(texts, named, tuple(dict.fromkeys(("bucket", *keys, "uid"))), clustered=True)
-            if buckets is None:
-                # overlays are small: one run, which every search reads
-                inverted = inverted.withColumn("run", F.lit(0))
-                inverted = inverted.sortWithinPartitions("bucket", "field", "term", "run", "uid")
-            else:
-                inverted = P.in_runs(inverted, self._means(part), keys).drop("_shard")
+            # overlays are small: one run, which every search reads
+            means = None if buckets is None else self._means(part)
+            inverted = P.inverted(texts, named, tuple(dict.fromkeys(("bucket", *keys, "uid"))), means).drop("_shard")
+            order = ("uid",) if buckets is None else ()
+            inverted = inverted.sortWithinPartitions("bucket", "field", "term", "run", *order)
             _by_bucket(inverted, self._folder("postings", part), PAGE_ROWS)
 
-    def _means(self, part: int) -> Column:
-        """Mean words of each text field over the documents of a part, as a map."""
+    def _means(self, part: int) -> dict[str, float | None]:
+        """Mean words of each text field over the documents of a part."""
         docs = self._read("docs", self._doc_schema, Version(0, part))
-        pairs = [x for f in self.text_fields for x in (F.lit(f), F.avg(F.nullif(f"words.{f}", F.lit(0))))]
-        return docs.agg(F.create_map(*pairs).alias("means")).scalar()
+        return docs.agg(*[F.avg(F.nullif(f"words.{f}", F.lit(0))).alias(f) for f in self.text_fields]).first().asDict()
 
     def _write_counts(self, terms: DataFrame, totals: DataFrame, number: int, buckets: int | None) -> None:
         """Write document counts per word and word totals per field, signed in an overlay.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from findlark import IndexSpec, Registry, Settings
 from findlark.operators import changes
@@ -98,3 +99,36 @@ def test_full_indexes_take_no_payload_into_the_join(spark):
     empty = spark.createDataFrame([], index.schema)
     plan = changes.apply_changes(empty.union(index.limit(0)), fresh)._jdf.queryExecution().analyzed().toString()
     assert "CASE WHEN isnull(base" in plan
+
+
+@pytest.mark.parametrize("size", [1 << 22, 300])
+def test_texts_are_inverted_in_tasks(spark, monkeypatch, size):
+    """The same postings as those of words that are rows, in runs of the best, with nothing shuffled for them."""
+    monkeypatch.setattr(P, "TASK_BYTES", size)
+    texts = [("a", "Übergrößen ÜBER x_1 ½ über", "One two"), ("b", "plain Plain, text-42\u0000text", None), (None, "no id", "no")]
+    texts += [("twice", "same words here", "x"), ("twice", "same words there", "x"), ("twice", "other", ""), ("c", "", " . "), ("d", "end", "end")]
+    texts += [(f"d{k:04}", "common " * (k % 9 + 1) + f"w{k % 30}", "common") for k in range(400)]
+    docs = spark.createDataFrame(texts, "uid string, Title string, Body string")
+    odd = spark.range(1).selectExpr("'odd' AS uid", "cast(unhex('61FF62C3') AS string) AS Title", "cast(unhex('618062') AS string) AS Body")
+    docs = docs.unionByName(odd).withColumn("bucket", F.lit(3))
+    keys, fields = ("bucket", "uid"), ("Title", "Body")
+    expected = P.build_postings(docs, fields, keys)
+    found = P.inverted(docs.repartition(2, "uid"), fields, keys)
+    assert found.where("run <> 0").count() == 0 and sorted_rows(found.drop("run")) == sorted_rows(expected)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    one = P.inverted(docs.coalesce(1), fields, keys, {"Title": 5.0, "Body": None})
+    assert sorted_rows(one.drop("run")) == sorted_rows(expected)
+    if size > 300:
+        rows = one.where("field = 'Title' and term = 'common'").collect()
+        assert [r["run"] for r in rows] == [0] * 64 + [1] * 192 + [2] * 144
+        worth = [P.saturation(r["tf"], r["len"], 5.0) for r in rows]
+        assert worth == sorted(worth, reverse=True)
+
+
+def test_words_of_documents(spark):
+    docs = spark.createDataFrame([("a", "b B a c", None), ("z", None, "x")], "uid string, Title string, Body string")
+    found = [(r["uid"], r["words"].asDict(), r["terms"].asDict()) for r in P.with_words(docs, ["Title", "Body"]).collect()]
+    assert found == [
+        ("a", {"Title": 4, "Body": 0}, {"Title": ["a", "b", "c"], "Body": []}),
+        ("z", {"Title": 0, "Body": 1}, {"Title": [], "Body": ["x"]}),
+    ]
